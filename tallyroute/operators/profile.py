@@ -49,18 +49,11 @@ def distribution(df: DataFrame, column: str) -> DataFrame:
 
 
 def distribution_percent(df: DataFrame, column: str, digits: int = 2) -> DataFrame:
-    """label, count, percent of all rows. The total is summed from the few per-label counts."""
+    """label, count, percent of all rows; the total is a scalar subquery over the label counts."""
     counts = distribution(df, column)
-    total = counts.agg(F.sum("count").alias("total"))
-    return (
-        counts.join(F.broadcast(total))  # one row
-        .select(
-            "label",
-            "count",
-            F.round(numeric.ratio(F.col("count"), F.col("total")) * 100, digits).alias("percent"),
-        )
-        .orderBy(F.desc("count"), "label")
-    )
+    total = counts.agg(F.sum("count").alias("total")).scalar()
+    share = F.round(numeric.ratio(F.col("count"), total) * 100, digits)
+    return counts.select("label", "count", share.alias("percent")).orderBy(F.desc("count"), "label")
 
 
 def _pair_correlation(left: str, right: str) -> Column:
