@@ -9,14 +9,15 @@ among equal costs the lexicographically smallest path wins.
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tallyroute.functions import formats
 from tallyroute.functions.text import path_text
-from tallyroute.session import materialize
+from tallyroute.session import materialize, scratch_path
 
 # A node is a hub when it holds more than this share of all edges: there are at most
 # HUB_SHARE such nodes, and each is spread over as many salts as its share demands.
@@ -93,16 +94,27 @@ def adjacency(edges: DataFrame, chunk: int = 10_000) -> DataFrame:
     """
     rest = [c for c in edges.columns if c not in ("src", "row")]
     sizes = edges.groupBy("src").agg(F.count("*").alias("n")).filter(F.col("n") > chunk)
-    large = sizes.select("src", F.ceil(F.col("n") / F.lit(chunk)).cast("int").alias("_parts"))
-    keyed = edges.join(large, "src", "left").withColumn(
-        "part", F.pmod(F.xxhash64("row", "dst"), F.coalesce("_parts", F.lit(1))).cast("int")
+    # Few nodes are large, so their sizes are copied to every salt and a hub's edges spread out.
+    large = sizes.select(
+        "src",
+        F.explode(F.sequence(F.lit(0), F.lit(HUB_SHARE - 1))).alias("_salt"),
+        F.ceil(F.col("n") / F.lit(chunk)).cast("int").alias("_parts"),
+    )
+    salted = edges.withColumn("_salt", F.pmod(F.xxhash64("row", "dst"), F.lit(HUB_SHARE)).cast("int"))
+    parts = F.coalesce("_parts", F.lit(1))
+    keyed = salted.join(large, ["src", "_salt"], "left").withColumn(
+        "part", F.pmod(F.xxhash64("dst", "row"), parts).cast("int")
     )
     entries = F.array_sort(F.collect_list(F.struct("row", *rest)))
     return keyed.groupBy("src", "part").agg(entries.alias("neighbours"))
 
 
-def _prepared(edges: DataFrame, weight: str) -> tuple[DataFrame, dict]:
-    """Edges reduced to the columns a relaxation needs, salted, and checked."""
+def _prepared(edges: DataFrame, weight: str) -> tuple[str, DataFrame, dict]:
+    """Edges reduced to what a relaxation needs, checked, salted, and bucketed by join key.
+
+    The bucketed table lets every round with a large frontier join in place: only the frontier
+    is shuffled. Returns its catalog name for the caller to drop.
+    """
     plain = edges.select("src", "dst", F.col(weight).cast("double").alias("w")).filter(
         F.col("w").isNotNull() & (F.col("src") != F.col("dst"))
     )
@@ -114,7 +126,16 @@ def _prepared(edges: DataFrame, weight: str) -> tuple[DataFrame, dict]:
         raise NegativeWeight(f"negative value in '{weight}'")
     hubs = _spread(table, facts["n"])
     salted = table.withColumn("salt", F.pmod(F.xxhash64("dst"), _salts(F.col("src"), hubs)).cast("int"))
-    return salted, hubs
+    spark = edges.sparkSession
+    buckets = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    name = f"tallyroute_edges_{uuid.uuid4().hex}"
+    (
+        salted.repartition(buckets, "src", "salt")
+        .write.bucketBy(buckets, "src", "salt")
+        .option("path", scratch_path(spark, "bucketed"))
+        .saveAsTable(name)
+    )
+    return name, spark.table(name), hubs
 
 
 def shortest_paths(
@@ -131,7 +152,14 @@ def shortest_paths(
     pass only the sources you need. With ``target`` the search drops branches that already
     cost more than the best known way there; rows of other nodes may then be incomplete.
     """
-    table, hubs = _prepared(edges, weight)
+    name, table, hubs = _prepared(edges, weight)
+    try:
+        return _relax(table, hubs, sources, with_path, target)
+    finally:
+        edges.sparkSession.sql(f"DROP TABLE IF EXISTS {name}")
+
+
+def _relax(table: DataFrame, hubs: dict, sources: DataFrame, with_path: bool, target) -> DataFrame:
     node_type = table.schema["src"].dataType
     start = sources.select(
         F.col("node").cast(node_type).alias("source"),
