@@ -74,10 +74,10 @@ def threshold_sweep(
 
 def best_threshold(sweep: DataFrame) -> DataFrame:
     """One row: threshold, f1. The lowest of the best wins; 0.5 when every F1 is zero."""
-    best = sweep.agg(F.max(F.struct("f1", -F.col("threshold"))).alias("b"))
+    best = sweep.agg(F.max(F.struct("f1", (-F.col("threshold")).alias("low"))).alias("b"))
     f1 = F.coalesce(F.col("b.f1"), F.lit(0.0))
     return best.select(
-        F.when(f1 > 0, -F.col("b.col2")).otherwise(F.lit(DEFAULT_THRESHOLD)).alias("threshold"), f1.alias("f1")
+        F.when(f1 > 0, -F.col("b.low")).otherwise(F.lit(DEFAULT_THRESHOLD)).alias("threshold"), f1.alias("f1")
     )
 
 

@@ -6,8 +6,7 @@ import random
 from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
 
-from pyspark.ml import PipelineModel
-from pyspark.ml import Pipeline
+from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import GBTClassifier, LogisticRegression
 from pyspark.ml.evaluation import BinaryClassificationEvaluator
 from pyspark.ml.feature import VectorAssembler
@@ -232,18 +231,18 @@ def model_document(
     rounds: int,
 ) -> DataFrame:
     """One nested row for the metadata record: features, threshold, parameters, metrics per split."""
-    document = None
-    for name, frame in evaluated.items():
-        record = metrics_record(frame, label, score, threshold, name).select(
-            F.struct("accuracy", "f1", "roc_auc").alias(f"{name}_metrics")
-        )
-        column = record.select(f"{name}_metrics").scalar().alias(f"{name}_metrics")
-        document = (document or []) + [column]
+    metrics = [
+        metrics_record(frame, label, score, threshold, name)
+        .select(F.struct("accuracy", "f1", "roc_auc"))
+        .scalar()
+        .alias(f"{name}_metrics")
+        for name, frame in evaluated.items()
+    ]
     spark = next(iter(evaluated.values())).sparkSession
     return spark.range(1).select(
         F.array(*[F.lit(f) for f in features]).alias("feature_columns"),
         F.lit(float(threshold)).alias("threshold"),
         F.struct(*[F.lit(v).alias(k) for k, v in params.items()]).alias("best_params"),
         F.lit(int(rounds)).alias("best_iteration"),
-        *document,
+        *metrics,
     )
