@@ -202,7 +202,7 @@ def paths_from_origin(spark, sf):
     f"""WITH RECURSIVE {DIRECTED_SQL}, {distance_sql('directed', 'd')}, {path_sql('directed', 'd', 0)}
 SELECT CAST(walk.n AS VARCHAR) AS dest, printf('%.1f km', c) AS cost, {_text('path')} AS path
 FROM walk JOIN dist ON dist.s = 0 AND dist.n = walk.n WHERE walk.n <> 0
-UNION ALL SELECT 'TOTAL', printf('%.1f km', sum(c)), '' FROM dist WHERE s = 0 AND n <> 0""",
+UNION ALL SELECT 'TOTAL', printf('%.1f km', coalesce(sum(c), 0)), '' FROM dist WHERE s = 0 AND n <> 0""",
 )
 def destination_table(spark, sf):
     edges = graph.directed(trade_edges(spark, sf))

@@ -42,8 +42,7 @@ def order_records(spark, sf):
     f"SELECT o_orderkey AS row_index, nullif({ORDER_ERRORS_SQL}, '') AS error FROM orders",
 )
 def order_row_errors(spark, sf):
-    checked = validate.validate(order_records(spark, sf), ORDER_RULES)
-    return checked.select("row_index", validate.error_text(F.col("errors")).alias("error"))
+    return validate.check(order_records(spark, sf), ORDER_RULES).select("row_index", "error")
 
 
 @query(
@@ -52,7 +51,7 @@ def order_row_errors(spark, sf):
 FROM (SELECT {ORDER_ERRORS_SQL} AS e FROM orders)""",
 )
 def valid_and_rejected_counts(spark, sf):
-    valid, rejected = validate.split_valid(validate.validate(order_records(spark, sf), ORDER_RULES))
+    valid, rejected = validate.split_valid(validate.check(order_records(spark, sf), ORDER_RULES))
     tagged = valid.select(F.lit(1).alias("ok")).unionAll(rejected.select(F.lit(0).alias("ok")))
     return tagged.agg(F.count_if(F.col("ok") == 1).alias("valid"), F.count_if(F.col("ok") == 0).alias("rejected"))
 
@@ -65,8 +64,7 @@ def valid_and_rejected_counts(spark, sf):
 )
 def event_value_errors(spark, sf):
     records = table(spark, sf, "events").select("event_id", F.col("value").cast("string").alias("value"))
-    checked = validate.validate(records, [FieldRule("value", "int", low=5)])
-    return checked.select("event_id", validate.error_text(F.col("errors")).alias("error"))
+    return validate.check(records, [FieldRule("value", "int", low=5)]).select("event_id", "error")
 
 
 @query(
@@ -78,8 +76,20 @@ FROM customer""",
 def text_as_number_errors(spark, sf):
     records = table(spark, sf, "customer").select("c_custkey", "c_name", "c_mktsegment")
     rules = [FieldRule("c_mktsegment", "float"), FieldRule("missing_field", "int")]
-    checked = validate.add_extra_fields(validate.validate(records, rules), ["c_name"])
-    return checked.select("c_custkey", validate.error_text(F.col("errors")).alias("error"))
+    return validate.check(records, rules, extras=["c_name"]).select("c_custkey", "error")
+
+
+@query(
+    "event_coercion_errors",
+    """SELECT event_id, CASE WHEN value <> floor(value) THEN 'Field ''value'' must be an integer'
+  ELSE 'Field ''event_type'' must be numeric' END AS error FROM events""",
+)
+def event_coercion_errors(spark, sf):
+    records = table(spark, sf, "events").select(
+        "event_id", F.col("value").cast("string").alias("value"), "event_type"
+    )
+    rules = [FieldRule("value", "int"), FieldRule("event_type", "float")]
+    return validate.coercion_errors(records, rules).select("event_id", "error")
 
 
 @query(
@@ -130,10 +140,8 @@ def batch_results(spark, sf):
     """Every line checked as text, typed, scored, and masked where it was rejected."""
     names = [r.name for r in LINE_RULES]
     records = table(spark, sf, "lineitem").select(*LINE_KEY, *[F.col(n).cast("string").alias(n) for n in names])
-    checked = validate.validate(records, LINE_RULES)
-    typed = validate.typed_values(
-        checked, LINE_RULES, {"l_quantity": "double", "l_discount": "double", "l_tax": "double", "l_linenumber": "int"}
-    )
+    types = {"l_quantity": "double", "l_discount": "double", "l_tax": "double", "l_linenumber": "int"}
+    typed = validate.check(records, LINE_RULES, types)
     return model.score_rows(typed, MODEL.probability(), LINE_THRESHOLD, LINE_KEY)
 
 
@@ -177,10 +185,10 @@ def contract_violations(spark, sf):
 FROM (SELECT *, {ORDER_ERRORS_SQL} AS e FROM orders)""",
 )
 def merged_results(spark, sf):
-    checked = validate.validate(order_records(spark, sf), ORDER_RULES)
+    checked = validate.check(order_records(spark, sf), ORDER_RULES)
     valid, rejected = validate.split_valid(checked)
     nothing = [F.lit(None).cast("double").alias("probability"), F.lit(None).cast("int").alias("prediction")]
-    refused = rejected.select("row_index", *nothing, validate.reported_text(F.col("errors")).alias("error"))
+    refused = rejected.select("row_index", *nothing, validate.reported(F.col("error")).alias("error"))
     # Only finished orders come back from scoring; the rest of the valid rows are gaps.
     scored = valid.filter(F.trim("o_orderstatus").startswith("F")).select(
         "row_index", F.lit(0.75).alias("probability"), F.lit(1).alias("prediction"), F.lit(None).cast("string").alias("error")

@@ -7,23 +7,16 @@ from collections.abc import Sequence
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from tallyroute.functions.text import strip_space
-
-# What a strict number may look like. Spark's own cast would also take '3d'.
-NUMBER_PATTERN = r"^[+-]?([0-9]+\.?[0-9]*|\.[0-9]+)([eE][+-]?[0-9]+)?$"
-NON_FINITE_PATTERN = r"^[+-]?(inf|infinity|nan)$"
+# What a number may look like: decimal notation, or a spelling of infinity or NaN. Spark's own
+# cast would also take '3d' and hexadecimal forms.
+NUMBER_PATTERN = (
+    r"^\s*[+-]?(?:(?:[0-9]+\.?[0-9]*|\.[0-9]+)(?:[eE][+-]?[0-9]+)?|(?i:inf|infinity)|(?i:nan))\s*$"
+)
 
 
 def parse_number(text: Column) -> Column:
     """Text to double; null when it is not a number. Inf and NaN spellings are kept as such."""
-    stripped = F.lower(strip_space(text))
-    unsigned = F.regexp_replace(stripped, r"^[+-]", "")
-    infinite = F.when(stripped.startswith("-"), F.lit(float("-inf"))).otherwise(F.lit(float("inf")))
-    return (
-        F.when(stripped.rlike(NUMBER_PATTERN), stripped.try_cast("double"))
-        .when(unsigned == "nan", F.lit(float("nan")))
-        .when(stripped.rlike(NON_FINITE_PATTERN), infinite)
-    )
+    return F.when(text.rlike(NUMBER_PATTERN), text.try_cast("double"))
 
 
 def is_finite(col: Column) -> Column:

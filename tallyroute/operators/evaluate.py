@@ -8,7 +8,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tallyroute.functions import numeric
@@ -45,30 +45,32 @@ def threshold_sweep(
     len(thresholds) + 1 rows, are then summed from above. No row meets more than its bin.
     """
     steps = list(thresholds)
-    bins = df.groupBy(numeric.steps_reached(col(score), steps).alias("bin")).agg(
+    measured = df.groupBy(numeric.steps_reached(col(score), steps).alias("bin")).agg(
         _positives(label).alias("p"), _negatives(label).alias("n")
     )
-    # One row holds all bins, so a threshold that no score reaches still gets its line.
-    row = bins.agg(
-        *[
-            F.coalesce(F.sum(F.when(F.col("bin") > i, F.col(c))), F.lit(0)).cast("long").alias(f"{c}{i}")
-            for i in range(len(steps))
-            for c in ("p", "n")
-        ],
-        F.coalesce(F.sum("p"), F.lit(0)).cast("long").alias("p"),
-        F.coalesce(F.sum("n"), F.lit(0)).cast("long").alias("n"),
+    # Every bin gets a line, also one that no score falls into.
+    zero = F.lit(0).cast("long")
+    empty = df.sparkSession.range(len(steps) + 1).select(
+        F.col("id").cast("int").alias("bin"), zero.alias("p"), zero.alias("n")
+    )
+    bins = measured.unionByName(empty).groupBy("bin").agg(F.sum("p").alias("p"), F.sum("n").alias("n"))
+    reached = Window.orderBy(F.desc("bin")).rowsBetween(Window.unboundedPreceding, 0)
+    every = Window.partitionBy()
+    lines = bins.select(
+        "bin",
+        F.sum("p").over(reached).alias("tp"),
+        F.sum("n").over(reached).alias("fp"),
+        F.sum("p").over(every).alias("p"),
+        F.sum("n").over(every).alias("n"),
+    ).filter(F.col("bin") > 0)
+    grid = F.array(*[F.lit(float(t)) for t in steps])
+    swept = lines.select(
+        F.element_at(grid, F.col("bin")).alias("threshold"),
+        "tp",
+        "fp",
+        (F.col("p") - F.col("tp")).alias("fn"),
+        (F.col("n") - F.col("fp")).alias("tn"),
     )
-    lines = [
-        F.struct(
-            F.lit(float(t)).alias("threshold"),
-            F.col(f"p{i}").alias("tp"),
-            F.col(f"n{i}").alias("fp"),
-            (F.col("p") - F.col(f"p{i}")).alias("fn"),
-            (F.col("n") - F.col(f"n{i}")).alias("tn"),
-        )
-        for i, t in enumerate(steps)
-    ]
-    swept = row.select(F.inline(F.array(*lines)))
     return swept.withColumn("f1", _f1(F.col("tp"), F.col("fp"), F.col("fn")))
 
 

@@ -12,7 +12,7 @@ from __future__ import annotations
 import uuid
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
 from tallyroute.functions import formats
@@ -197,17 +197,17 @@ def _relax(table: DataFrame, hubs: dict, sources: DataFrame, with_path: bool, ta
         )
         improved = F.col("old").isNull() | (F.col("new") < F.col("old"))
         fields = [F.col(f"new.{v}").alias(v) for v in value] if with_path else [F.col("new").alias("cost")]
-        best = materialize(merged.select("source", "node", *fields, improved.alias("changed")), "round")
-        state = best.agg(
+        at_target = F.lit(False) if target is None else F.col("node") == F.lit(target)
+        state = Observation()
+        observed = merged.select("source", "node", *fields, improved.alias("changed")).observe(
+            state,
             F.count_if("changed").alias("changed"),
-            F.max(F.when(F.col("node") == F.lit(target), F.col("cost"))).alias("reached")
-            if target is not None
-            else F.lit(None).cast("double").alias("reached"),
-        ).first()
-        if state["changed"] == 0:
+            F.max(F.when(at_target, F.col("cost"))).alias("reached"),
+        )
+        best = materialize(observed, "round")
+        if state.get["changed"] == 0:
             return best.drop("changed")
-        if target is not None and state["reached"] is not None:
-            bound = state["reached"]
+        bound = state.get["reached"]
 
 
 def distances(edges: DataFrame, sources: DataFrame, weight: str) -> DataFrame:
@@ -327,13 +327,18 @@ def destination_table(paths: DataFrame, origin, metric: str, units: Mapping[str,
     ``sort_order`` puts destinations by node and the total last.
     """
     mine = paths.filter((F.col("source") == F.lit(origin)) & (F.col("node") != F.lit(origin)))
-    rolled = mine.rollup("node").agg(
-        F.sum("cost").alias("cost"), F.min(path_text(F.col("path"))).alias("path"), F.grouping("node").alias("g")
+    last = mine.agg(F.coalesce(F.sum("cost"), F.lit(0.0)).alias("cost"))
+    each = mine.select(
+        F.col("node").cast("string").alias("dest"),
+        "cost",
+        path_text(F.col("path")).alias("path"),
+        F.struct(F.lit(0).alias("last"), F.col("node").alias("node")).alias("sort_order"),
+    )
+    total = last.select(
+        F.lit("TOTAL").alias("dest"),
+        "cost",
+        F.lit("").alias("path"),
+        F.struct(F.lit(1).alias("last"), F.lit(None).cast(mine.schema["node"].dataType).alias("node")).alias("sort_order"),
     )
-    total = F.col("g") == 1
-    return rolled.select(
-        F.when(total, F.lit("TOTAL")).otherwise(F.col("node").cast("string")).alias("dest"),
-        formats.cost_text(F.round(F.coalesce("cost", F.lit(0.0)), 9), metric, units).alias("cost"),
-        F.when(total, F.lit("")).otherwise(F.col("path")).alias("path"),
-        F.struct("g", "node").alias("sort_order"),
-    ).orderBy("sort_order")
+    rounded_cost = formats.cost_text(F.round("cost", 9), metric, units)
+    return each.unionByName(total).withColumn("cost", rounded_cost).orderBy("sort_order")

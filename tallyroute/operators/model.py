@@ -18,7 +18,7 @@ from pyspark.sql import functions as F
 from tallyroute.functions import numeric
 from tallyroute.operators.evaluate import metrics_record
 from tallyroute.operators.schema import col
-from tallyroute.operators.validate import ERRORS, UNKNOWN_FAILURE, reported_text
+from tallyroute.operators.validate import ERROR, UNKNOWN_FAILURE, reported
 
 SEED = 42
 
@@ -151,13 +151,13 @@ def result_columns(raw: Column, error: Column, threshold: float) -> list[Column]
     ]
 
 
-def score_rows(df: DataFrame, probability: Column, threshold: float, keep: Sequence[str], errors: str = ERRORS) -> DataFrame:
+def score_rows(df: DataFrame, probability: Column, threshold: float, keep: Sequence[str], error: str = ERROR) -> DataFrame:
     """Keep columns plus probability, prediction, error; rejected rows carry their errors.
 
     One narrow projection: a rejected row is masked, never separated and joined back.
     """
-    error = F.when(F.size(errors) > 0, reported_text(col(errors)))
-    return df.select(*[col(k) for k in keep], *result_columns(probability, error, threshold))
+    staged = df.select(*[col(k) for k in keep], probability.alias("_raw"), reported(col(error)).alias("_error"))
+    return staged.select(*[col(k) for k in keep], *result_columns(F.col("_raw"), F.col("_error"), threshold))
 
 
 def summarize_batch(results: DataFrame) -> DataFrame:

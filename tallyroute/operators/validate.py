@@ -1,7 +1,8 @@
 """Row validation that marks bad rows instead of failing the job.
 
-A row's problems live in one ``errors`` array column, so a single narrow projection both
-checks and keeps every row; no split and re-join is needed to report results in input order.
+A row's problems are one text column, built from plain conditional expressions, so a single
+narrow and fully code-generated projection both checks and keeps every row; nothing is split
+off and joined back to report results in input order.
 """
 
 from __future__ import annotations
@@ -15,9 +16,9 @@ from pyspark.sql import functions as F
 from tallyroute.functions import labels, numeric, text
 from tallyroute.operators.schema import col
 
-ERRORS = "errors"
-_ERROR_TYPE = "array<struct<field:string,message:string>>"
+ERROR = "error"
 UNKNOWN_FAILURE = "Unknown batch prediction failure"
+INVALID_PAYLOAD = "Invalid row payload"
 
 
 @dataclass(frozen=True)
@@ -34,21 +35,27 @@ class FieldRule:
     domain: Sequence[str] = field(default=())
     ignore_case: bool = False
 
-    def value(self) -> Column:
-        """The typed value; null where the text does not parse."""
+    def parsed(self) -> Column:
+        """A double for numbers, the normalized label for text; null where there is none."""
         raw = col(self.name)
-        if self.type == "int":
-            return numeric.parse_whole(raw)
-        if self.type == "float":
+        if self.type != "string":
             return numeric.parse_number(raw)
         if self.ignore_case:
             return labels.canonical(raw, self.domain)
         return labels.upper_label(raw) if self.domain else text.strip_space(raw)
 
-    def message(self) -> Column:
-        """First thing wrong with the field, null when it is fine."""
+    def value(self, parsed: Column, type_name: str) -> Column:
+        """The typed value made from ``parsed``; null where it does not fit."""
+        if self.type == "string":
+            return parsed
+        if self.type == "int":
+            whole = numeric.is_finite(parsed) & (parsed == F.floor(parsed).cast("double"))
+            return F.when(whole, parsed.try_cast(type_name))
+        return parsed.try_cast(type_name)
+
+    def message(self, parsed: Column) -> Column:
+        """First thing wrong with the field against its type and bounds, null when it is fine."""
         raw = col(self.name)
-        stripped = text.strip_space(raw)
         # Message texts.
         null_text = {
             "int": "Input should be a valid integer",
@@ -57,127 +64,119 @@ class FieldRule:
         }[self.type]
         check = F.when(raw.isNull(), F.lit(null_text))
         if self.type == "string":
-            check = check.when(stripped == "", F.lit("String should have at least 1 character"))
+            check = check.when(raw.rlike(r"^\s*$"), F.lit("String should have at least 1 character"))
             if self.domain:
                 allowed = sorted(self.domain) if self.ignore_case else self.domain
                 listed = f"Value error, {self.name} must be one of: {', '.join(allowed)}"
-                known = self.value().isNotNull() if self.ignore_case else self.value().isin(list(self.domain))
+                known = parsed.isNotNull() if self.ignore_case else parsed.isin(list(self.domain))
                 check = check.when(~known, F.lit(listed))
             return check
-        number = numeric.parse_number(raw)
-        kind = "an integer" if self.type == "int" else "a number"
-        word = "integer" if self.type == "int" else "number"
+        kind = "integer" if self.type == "int" else "number"
+        article = "an integer" if self.type == "int" else "a number"
         check = check.when(
-            number.isNull(), F.lit(f"Input should be a valid {word}, unable to parse string as {kind}")
+            parsed.isNull(), F.lit(f"Input should be a valid {kind}, unable to parse string as {article}")
         )
         if self.type == "int":
             check = check.when(
-                ~numeric.is_finite(number), F.lit("Input should be a finite number")
+                ~numeric.is_finite(parsed), F.lit("Input should be a finite number")
             ).when(
-                number != F.floor(number).cast("double"),
+                parsed != F.floor(parsed).cast("double"),
                 F.lit("Input should be a valid integer, got a number with a fractional part"),
             )
         if self.low is not None:
             check = check.when(
-                number < F.lit(float(self.low)),
-                F.lit(f"Input should be greater than or equal to {self.low:g}"),
+                parsed < F.lit(float(self.low)), F.lit(f"Input should be greater than or equal to {self.low:g}")
             )
         if self.high is not None:
             check = check.when(
-                (number > F.lit(float(self.high))) & ~F.isnan(number),
+                (parsed > F.lit(float(self.high))) & ~F.isnan(parsed),
                 F.lit(f"Input should be less than or equal to {self.high:g}"),
             )
-        if self.type == "int":
-            return check.when(self.value().isNull(), F.lit("Input should be a valid integer"))
         return check
 
-    def coercion_message(self) -> Column:
-        """The stricter second check: null, empty, not a number, not finite."""
+    def coercion_message(self, parsed: Column) -> Column:
+        """The plain type check: null, empty, not a number, not whole, not finite."""
         raw = col(self.name)
-        stripped = text.strip_space(raw)
         name = f"Field '{self.name}'"
         check = F.when(raw.isNull(), F.lit(f"{name} cannot be null")).when(
-            stripped == "", F.lit(f"{name} cannot be empty")
+            raw.rlike(r"^\s*$"), F.lit(f"{name} cannot be empty")
         )
         if self.type == "int":
-            return check.when(self.value().isNull(), F.lit(f"{name} must be an integer"))
+            whole = numeric.is_finite(parsed) & (parsed == F.floor(parsed).cast("double"))
+            return check.when(~whole, F.lit(f"{name} must be an integer"))
         if self.type == "float":
-            return check.when(self.value().isNull(), F.lit(f"{name} must be numeric")).when(
-                ~numeric.is_finite(self.value()), F.lit(f"{name} must be finite")
+            return check.when(parsed.isNull(), F.lit(f"{name} must be numeric")).when(
+                ~numeric.is_finite(parsed), F.lit(f"{name} must be finite")
             )
         if self.ignore_case:
             allowed = ", ".join(sorted(self.domain))
-            bad = F.concat(
-                F.lit(f"Invalid {self.name} '"), stripped, F.lit(f"'. Allowed values: {allowed}")
+            wrong = F.concat(
+                F.lit(f"Invalid {self.name} '"), text.strip_space(raw), F.lit(f"'. Allowed values: {allowed}")
             )
-            return check.when(self.value().isNull(), bad)
+            return check.when(parsed.isNull(), wrong)
         return check
 
 
-def validate(df: DataFrame, rules: Sequence[FieldRule], errors: str = ERRORS) -> DataFrame:
-    """Add the array of (field, message) in rule order; fields without a column count as required.
+def _with_parsed(df: DataFrame, rules: Sequence[FieldRule]) -> tuple[DataFrame, dict[str, Column]]:
+    """Parse each field once, in a projection of its own, for the checks and values above it."""
+    staged = df.select("*", *[r.parsed().alias(f"_p_{i}") for i, r in enumerate(rules)])
+    return staged, {r.name: F.col(f"_p_{i}") for i, r in enumerate(rules)}
 
-    Rows that pass every rule then face the second check, which reports its first failure
-    alone, under an empty field name.
-    """
-    present = [r for r in rules if r.name in df.columns]
-    absent = [r for r in rules if r.name not in df.columns]
-    found = [
-        F.struct(F.lit(r.name).alias("field"), r.message().alias("message")) for r in present
-    ] + [F.struct(F.lit(r.name).alias("field"), F.lit("Field required").alias("message")) for r in absent]
-    first_pass = F.filter(F.array(*found), lambda e: e["message"].isNotNull())
-    second = F.coalesce(*[r.coercion_message() for r in present], F.lit(None).cast("string"))
-    late = F.array(F.struct(F.lit("").alias("field"), second.alias("message")))
-    checked = df.withColumn(errors, first_pass.cast(_ERROR_TYPE))
-    return checked.withColumn(
-        errors,
-        F.when((F.size(errors) == 0) & second.isNotNull(), late.cast(_ERROR_TYPE)).otherwise(col(errors)),
-    )
 
+def check(
+    df: DataFrame,
+    rules: Sequence[FieldRule],
+    types: dict[str, str] | None = None,
+    extras: Sequence[str] = (),
+    error: str = ERROR,
+) -> DataFrame:
+    """Add ``error``: ``field: message`` pairs in rule order joined by ``; ``, null for a good row.
 
-def add_extra_fields(df: DataFrame, extras: Sequence[str], errors: str = ERRORS) -> DataFrame:
-    """Columns that no rule knows are an error of every row, after the row's own errors."""
-    if not extras:
-        return df
-    extra = F.array(
-        *[
-            F.struct(F.lit(e).alias("field"), F.lit("Extra inputs are not permitted").alias("message"))
-            for e in extras
-        ]
-    )
-    return df.withColumn(errors, F.concat(col(errors), extra.cast(_ERROR_TYPE)))
+    A rule whose column is absent counts as a missing required field; ``extras`` are columns
+    that are not permitted. With ``types`` the text fields become typed values of those types.
+    Rows that pass the rules must also be finite, which reports the first failure alone.
+    """
+    present = [r for r in rules if r.name in df.columns]
+    staged, parsed = _with_parsed(df, present)
 
+    def labelled(name: str, message: Column) -> Column:
+        return F.when(message.isNotNull(), F.concat(F.lit(f"{name}: "), message))
 
-def typed_values(df: DataFrame, rules: Sequence[FieldRule], types: dict[str, str]) -> DataFrame:
-    """Replace the text fields by their typed values (null where the row is rejected)."""
-    by_name = {r.name: r for r in rules}
-    return df.select(
-        *[
-            by_name[c].value().cast(types.get(c, "string")).alias(c) if c in by_name else col(c)
-            for c in df.columns
-        ]
+    found = [
+        labelled(r.name, r.message(parsed[r.name])) if r.name in parsed else F.lit(f"{r.name}: Field required")
+        for r in rules
+    ]
+    found += [F.lit(f"{e}: Extra inputs are not permitted") for e in extras]
+    listed = F.concat_ws("; ", *found) if found else F.lit("")
+    infinite = [
+        F.when(~numeric.is_finite(parsed[r.name]), F.lit(f"Field '{r.name}' must be finite"))
+        for r in present
+        if r.type == "float"
+    ]
+    late = F.coalesce(*infinite, F.lit(None).cast("string"))
+    values = {r.name: r.value(parsed[r.name], types.get(r.name, "string")) for r in present} if types else {}
+    flagged = staged.withColumn("_listed", listed)
+    return flagged.select(
+        *[values[c].alias(c) if c in values else col(c) for c in df.columns],
+        F.when(F.col("_listed") != "", F.col("_listed")).otherwise(late).alias(error),
     )
 
 
-def error_text(errors: Column) -> Column:
-    """``field: message`` pairs joined by ``; ``; null for a row without errors."""
-    parts = F.transform(
-        errors,
-        lambda e: F.when(e["field"] == "", e["message"]).otherwise(
-            F.concat(e["field"], F.lit(": "), e["message"])
-        ),
-    )
-    return F.when(F.size(errors) > 0, F.array_join(parts, "; "))
+def coercion_errors(df: DataFrame, rules: Sequence[FieldRule], error: str = ERROR) -> DataFrame:
+    """Add the first failure of the plain type checks, in rule order; null for a good row."""
+    staged, parsed = _with_parsed(df, rules)
+    first = F.coalesce(*[r.coercion_message(parsed[r.name]) for r in rules])
+    return staged.select(*[col(c) for c in df.columns], first.alias(error))
 
 
-def reported_text(errors: Column) -> Column:
-    """Text of a rejected row; a rejection that carries no detail still says something."""
-    return F.coalesce(error_text(errors), F.lit("Invalid row payload"))
+def reported(error: Column) -> Column:
+    """Text of a rejection; one that carries no detail still says something."""
+    return F.when(error == "", F.lit(INVALID_PAYLOAD)).otherwise(error)
 
 
-def split_valid(df: DataFrame, errors: str = ERRORS) -> tuple[DataFrame, DataFrame]:
+def split_valid(df: DataFrame, error: str = ERROR) -> tuple[DataFrame, DataFrame]:
     """Accepted rows and rejected rows; each input row is in exactly one of them."""
-    return df.filter(F.size(errors) == 0), df.filter(F.size(errors) > 0)
+    return df.filter(col(error).isNull()), df.filter(col(error).isNotNull())
 
 
 def field_errors(record: Column, expected: Sequence[str]) -> Column:
@@ -186,13 +185,12 @@ def field_errors(record: Column, expected: Sequence[str]) -> Column:
     keys = F.map_keys(record)
     missing = F.array_sort(F.array_except(wanted, keys))
     extra = F.array_sort(F.array_except(keys, wanted))
-    parts = F.array_compact(
-        F.array(
-            F.when(F.size(missing) > 0, F.concat(F.lit("Missing required fields: "), F.array_join(missing, ", "))),
-            F.when(F.size(extra) > 0, F.concat(F.lit("Unexpected fields: "), F.array_join(extra, ", "))),
-        )
+    listed = F.concat_ws(
+        "; ",
+        F.when(F.size(missing) > 0, F.concat(F.lit("Missing required fields: "), F.array_join(missing, ", "))),
+        F.when(F.size(extra) > 0, F.concat(F.lit("Unexpected fields: "), F.array_join(extra, ", "))),
     )
-    return F.when(F.size(parts) > 0, F.array_join(parts, "; "))
+    return F.when(listed != "", listed)
 
 
 def merge_results(base: DataFrame, scored: DataFrame, rejected: DataFrame, index: str = "row_index") -> DataFrame:

@@ -211,12 +211,10 @@ def check_records(records: DataFrame) -> DataFrame:
     """Text records plus their errors, then typed values under the same names."""
     named = schema.rename_aliases(records, NAME_ALIASES)
     known = set(INPUTS) | {ordering.FILE_POSITION, "row_index", "include_explanation"}
-    checked = validate.validate(named, RULES)
-    checked = validate.add_extra_fields(checked, [c for c in named.columns if c not in known])
-    for name in INPUTS:
-        if name not in checked.columns:
-            checked = checked.withColumn(name, F.lit(None).cast("string"))
-    return validate.typed_values(checked, RULES, INPUT_TYPES)
+    extras = [c for c in named.columns if c not in known]
+    checked = validate.check(named, RULES, INPUT_TYPES, extras)
+    absent = [F.lit(None).cast(INPUT_TYPES[n]).alias(n) for n in INPUTS if n not in named.columns]
+    return checked.select("*", *absent)
 
 
 def batch_score(spark: SparkSession, csv_path: str, fitted, threshold: float) -> DataFrame:
