@@ -52,11 +52,12 @@ def ranked_explanations(spark, sf):
 
 @query(
     "feature_importance",
-    f"""WITH {PHI_SQL} SELECT 'l_quantity' AS feature, round(avg(abs(q)), 6) AS importance FROM phi
-UNION ALL SELECT 'l_discount', round(avg(abs(d)), 6) FROM phi UNION ALL SELECT 'l_tax', round(avg(abs(t)), 6) FROM phi""",
+    f"""WITH {PHI_SQL} SELECT 'l_quantity' AS feature, round(avg(abs(q)), 9) AS importance FROM phi
+UNION ALL SELECT 'l_discount', round(avg(abs(d)), 9) FROM phi UNION ALL SELECT 'l_tax', round(avg(abs(t)), 9) FROM phi""",
 )
 def feature_importance(spark, sf):
-    return model.importance(table(spark, sf, "lineitem"), MODEL)
+    ranked = model.importance(table(spark, sf, "lineitem"), MODEL)
+    return ranked.withColumn("importance", F.round("importance", 9))
 
 
 DOCUMENT_FEATURES = ["n_chars", "n_words", "n_lines", "digit_share", "upper_share", "lang_code"]

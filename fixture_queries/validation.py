@@ -8,6 +8,7 @@ from fixture_queries.base import MODEL, SCORE_SQL, query, table
 from tallyroute.operators import model, validate
 from tallyroute.operators.schema import cast_strict
 from tallyroute.operators.validate import FieldRule
+from tallyroute.session import materialize
 
 ORDER_RULES = [
     FieldRule("o_custkey", "int", 100, 1200),
@@ -166,12 +167,13 @@ def batch_summary(spark, sf):
     f"WITH {BATCH_SQL} SELECT l_orderkey, l_partkey, probability, prediction FROM results WHERE error IS NULL",
 )
 def successful_scores(spark, sf):
-    return validate.successful(batch_results(spark, sf)).select("l_orderkey", "l_partkey", "probability", "prediction")
+    results = materialize(batch_results(spark, sf), "results")
+    return validate.successful(results).select("l_orderkey", "l_partkey", "probability", "prediction")
 
 
 @query("contract_violations", "SELECT count(*) AS rows, CAST(0 AS BIGINT) AS violations FROM lineitem")
 def contract_violations(spark, sf):
-    results = batch_results(spark, sf)
+    results = materialize(batch_results(spark, sf), "results")
     rows = results.agg(F.count("*").alias("rows"))
     broken = validate.contract_violations(results).agg(F.count("*").alias("violations"))
     return rows.withColumn("violations", broken.scalar())
@@ -188,12 +190,12 @@ def merged_results(spark, sf):
     checked = validate.check(order_records(spark, sf), ORDER_RULES)
     valid, rejected = validate.split_valid(checked)
     nothing = [F.lit(None).cast("double").alias("probability"), F.lit(None).cast("int").alias("prediction")]
-    refused = rejected.select("row_index", *nothing, validate.reported(F.col("error")).alias("error"))
+    refused = rejected.select("row_index", *nothing, "error")
     # Only finished orders come back from scoring; the rest of the valid rows are gaps.
     scored = valid.filter(F.trim("o_orderstatus").startswith("F")).select(
         "row_index", F.lit(0.75).alias("probability"), F.lit(1).alias("prediction"), F.lit(None).cast("string").alias("error")
     )
-    return validate.merge_results(checked, scored, refused)
+    return validate.merge_results(valid.select("row_index").unionAll(rejected.select("row_index")), scored, refused)
 
 
 @query("strict_cast", "SELECT c_custkey, c_nationkey, c_acctbal FROM customer")

@@ -18,7 +18,7 @@ from pyspark.sql import functions as F
 from tallyroute.functions import numeric
 from tallyroute.operators.evaluate import metrics_record
 from tallyroute.operators.schema import col
-from tallyroute.operators.validate import ERROR, UNKNOWN_FAILURE, reported
+from tallyroute.operators.validate import ERROR, UNKNOWN_FAILURE
 
 SEED = 42
 
@@ -156,7 +156,7 @@ def score_rows(df: DataFrame, probability: Column, threshold: float, keep: Seque
 
     One narrow projection: a rejected row is masked, never separated and joined back.
     """
-    staged = df.select(*[col(k) for k in keep], probability.alias("_raw"), reported(col(error)).alias("_error"))
+    staged = df.select(*[col(k) for k in keep], probability.alias("_raw"), col(error).alias("_error"))
     return staged.select(*[col(k) for k in keep], *result_columns(F.col("_raw"), F.col("_error"), threshold))
 
 
@@ -202,11 +202,11 @@ def explain(df: DataFrame, model: LinearModel, keep: Sequence[str], digits: int
     return df.select(*[col(k) for k in keep], pairs.alias("explanation"))
 
 
-def importance(df: DataFrame, model: LinearModel, top: int = 20, digits: int = 6) -> DataFrame:
+def importance(df: DataFrame, model: LinearModel, top: int = 20) -> DataFrame:
     """feature, importance: mean absolute contribution, the largest ``top``; one pass, no explode."""
     row = df.agg(*[F.avg(F.abs(model.contribution(f))).alias(f"i{i}") for i, f in enumerate(model.features)])
     cells = [
-        F.struct(F.lit(f).alias("feature"), F.round(f"i{i}", digits).alias("importance"), F.lit(i).alias("place"))
+        F.struct(F.lit(f).alias("feature"), F.col(f"i{i}").alias("importance"), F.lit(i).alias("place"))
         for i, f in enumerate(model.features)
     ]
     table = row.select(F.inline(F.array(*cells)))

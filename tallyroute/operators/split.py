@@ -42,20 +42,26 @@ class _Cut:
 
 
 def _descend(hashed: DataFrame, wanted: dict[str, _Cut]) -> dict[str, _Cut]:
-    """Extend each cut's prefix by the next digits, all cuts in one pass."""
+    """Extend each cut's prefix by the next digits, all cuts in one pass.
+
+    A group that turns out to hold a single hash is settled at once, so copies of one key cost
+    one step however many there are.
+    """
     depth = len(next(iter(wanted.values())).prefix)
     prefixes = sorted({cut.prefix for cut in wanted.values()})
     rows = hashed if depth == 0 else hashed.filter(F.substring("_h", 1, depth).isin(prefixes))
-    counts = rows.groupBy(F.substring("_h", 1, depth + _DIGITS).alias("p")).agg(F.count("*").alias("n"))
-    found = sorted((r["p"], r["n"]) for r in counts.collect())  # at most 2 * 16 ** 3 rows
+    counts = rows.groupBy(F.substring("_h", 1, depth + _DIGITS).alias("p")).agg(
+        F.count("*").alias("n"), F.min("_h").alias("low"), F.max("_h").alias("high")
+    )
+    found = sorted(map(tuple, counts.collect()))  # at most 2 * 16 ** 3 rows
     result = {}
     for name, cut in wanted.items():
         left = cut.inside
-        for prefix, n in found:
+        for prefix, n, low, high in found:
             if not prefix.startswith(cut.prefix):
                 continue
             if left < n:
-                result[name] = _Cut(prefix, left, n)
+                result[name] = _Cut(low if low == high else prefix, left, n)
                 break
             left -= n
         else:
@@ -63,16 +69,17 @@ def _descend(hashed: DataFrame, wanted: dict[str, _Cut]) -> dict[str, _Cut]:
     return result
 
 
-def _find(hashed: DataFrame, ranks: dict[str, int], width: int) -> dict[str, _Cut]:
-    settled: dict[str, _Cut] = {}
-    open_cuts = {name: _Cut("", rank, 0) for name, rank in ranks.items()}
+def _find(hashed: DataFrame, open_cuts: dict[str, _Cut], width: int) -> dict[str, _Cut]:
+    """Narrow the cuts until each falls between two hashes of ``width`` digits or inside one."""
+    settled = {k: c for k, c in open_cuts.items() if c.inside == 0 and c.prefix}
+    open_cuts = {k: c for k, c in open_cuts.items() if k not in settled}
     while open_cuts:
-        step = _descend(hashed, open_cuts)
-        settled.update({k: c for k, c in step.items() if c.inside == 0})
-        open_cuts = {k: c for k, c in step.items() if c.inside}
-        exhausted = {k: c for k, c in open_cuts.items() if len(c.prefix) >= width}
-        settled.update(exhausted)
-        open_cuts = {k: c for k, c in open_cuts.items() if k not in exhausted}
+        depth = min(len(c.prefix) for c in open_cuts.values())
+        step = _descend(hashed, {k: c for k, c in open_cuts.items() if len(c.prefix) == depth})
+        open_cuts.update(step)
+        done = {k: c for k, c in open_cuts.items() if c.prefix and (c.inside == 0 or len(c.prefix) >= width)}
+        settled.update(done)
+        open_cuts = {k: c for k, c in open_cuts.items() if k not in done}
     return settled
 
 
@@ -95,13 +102,14 @@ def exact_split(
     key = list(key) if key else columns
     n = df.count()
     ranks = {"val": int(n * train), "test": int(n * train) + int(n * val)}
+    whole = {k: _Cut("", rank, n) for k, rank in ranks.items()}
 
     hashed = df.withColumn("_h", seeded_hash(key, seed))
-    cuts = _find(hashed.select("_h"), ranks, 32)
+    cuts = _find(hashed.select("_h"), whole, 32)
     if any(c.inside for c in cuts.values()):
         # A repeated key sits on a cut: continue with a hash over whole rows.
         hashed = df.withColumn("_h", F.concat(seeded_hash(key, seed), seeded_hash(columns, seed)))
-        cuts = _find(hashed.select("_h"), ranks, 64)
+        cuts = _find(hashed.select("_h"), cuts, 64)
 
     label = (
         F.when(F.col("_h") < cuts["val"].prefix, SPLIT_NAMES[0])

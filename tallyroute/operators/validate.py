@@ -15,10 +15,10 @@ from pyspark.sql import functions as F
 
 from tallyroute.functions import labels, numeric, text
 from tallyroute.operators.schema import col
+from tallyroute.session import materialize
 
 ERROR = "error"
 UNKNOWN_FAILURE = "Unknown batch prediction failure"
-INVALID_PAYLOAD = "Invalid row payload"
 
 
 @dataclass(frozen=True)
@@ -54,43 +54,46 @@ class FieldRule:
         return parsed.try_cast(type_name)
 
     def message(self, parsed: Column) -> Column:
-        """First thing wrong with the field against its type and bounds, null when it is fine."""
+        """``field: problem`` for the first thing wrong with type and bounds, null when it is fine."""
         raw = col(self.name)
+
+        def said(problem: str) -> Column:
+            return F.lit(f"{self.name}: {problem}")
+
         # Message texts.
         null_text = {
             "int": "Input should be a valid integer",
             "float": "Input should be a valid number",
             "string": "Input should be a valid string",
         }[self.type]
-        check = F.when(raw.isNull(), F.lit(null_text))
+        check = F.when(raw.isNull(), said(null_text))
         if self.type == "string":
-            check = check.when(raw.rlike(r"^\s*$"), F.lit("String should have at least 1 character"))
+            check = check.when(raw.rlike(r"^\s*$"), said("String should have at least 1 character"))
             if self.domain:
                 allowed = sorted(self.domain) if self.ignore_case else self.domain
-                listed = f"Value error, {self.name} must be one of: {', '.join(allowed)}"
                 known = parsed.isNotNull() if self.ignore_case else parsed.isin(list(self.domain))
-                check = check.when(~known, F.lit(listed))
+                check = check.when(
+                    ~known, said(f"Value error, {self.name} must be one of: {', '.join(allowed)}")
+                )
             return check
         kind = "integer" if self.type == "int" else "number"
         article = "an integer" if self.type == "int" else "a number"
         check = check.when(
-            parsed.isNull(), F.lit(f"Input should be a valid {kind}, unable to parse string as {article}")
+            parsed.isNull(), said(f"Input should be a valid {kind}, unable to parse string as {article}")
         )
         if self.type == "int":
-            check = check.when(
-                ~numeric.is_finite(parsed), F.lit("Input should be a finite number")
-            ).when(
+            check = check.when(~numeric.is_finite(parsed), said("Input should be a finite number")).when(
                 parsed != F.floor(parsed).cast("double"),
-                F.lit("Input should be a valid integer, got a number with a fractional part"),
+                said("Input should be a valid integer, got a number with a fractional part"),
             )
         if self.low is not None:
             check = check.when(
-                parsed < F.lit(float(self.low)), F.lit(f"Input should be greater than or equal to {self.low:g}")
+                parsed < F.lit(float(self.low)), said(f"Input should be greater than or equal to {self.low:g}")
             )
         if self.high is not None:
             check = check.when(
                 (parsed > F.lit(float(self.high))) & ~F.isnan(parsed),
-                F.lit(f"Input should be less than or equal to {self.high:g}"),
+                said(f"Input should be less than or equal to {self.high:g}"),
             )
         return check
 
@@ -139,12 +142,8 @@ def check(
     present = [r for r in rules if r.name in df.columns]
     staged, parsed = _with_parsed(df, present)
 
-    def labelled(name: str, message: Column) -> Column:
-        return F.when(message.isNotNull(), F.concat(F.lit(f"{name}: "), message))
-
     found = [
-        labelled(r.name, r.message(parsed[r.name])) if r.name in parsed else F.lit(f"{r.name}: Field required")
-        for r in rules
+        r.message(parsed[r.name]) if r.name in parsed else F.lit(f"{r.name}: Field required") for r in rules
     ]
     found += [F.lit(f"{e}: Extra inputs are not permitted") for e in extras]
     listed = F.concat_ws("; ", *found) if found else F.lit("")
@@ -169,14 +168,13 @@ def coercion_errors(df: DataFrame, rules: Sequence[FieldRule], error: str = ERRO
     return staged.select(*[col(c) for c in df.columns], first.alias(error))
 
 
-def reported(error: Column) -> Column:
-    """Text of a rejection; one that carries no detail still says something."""
-    return F.when(error == "", F.lit(INVALID_PAYLOAD)).otherwise(error)
-
+def split_valid(checked: DataFrame, error: str = ERROR) -> tuple[DataFrame, DataFrame]:
+    """Accepted rows and rejected rows; each input row is in exactly one of them.
 
-def split_valid(df: DataFrame, error: str = ERROR) -> tuple[DataFrame, DataFrame]:
-    """Accepted rows and rejected rows; each input row is in exactly one of them."""
-    return df.filter(col(error).isNull()), df.filter(col(error).isNotNull())
+    The checked rows are written once, so the checks do not run again for each side.
+    """
+    written = materialize(checked, "checked")
+    return written.filter(col(error).isNull()), written.filter(col(error).isNotNull())
 
 
 def field_errors(record: Column, expected: Sequence[str]) -> Column:
@@ -217,4 +215,6 @@ def contract_violations(results: DataFrame) -> DataFrame:
 
 
 def successful(results: DataFrame) -> DataFrame:
+    """Results without an error. Pass a written result table: a filter on results that are still
+    to be computed would make Spark evaluate every check twice."""
     return results.filter(F.col("error").isNull())
