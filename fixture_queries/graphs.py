@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from fixture_queries.base import query, table
 from tallyroute.functions.text import path_text
 from tallyroute.operators import graph
+from tallyroute.session import materialize
 
 UNITS = {"d": "km", "t": "min", "f": "units"}
 
@@ -160,11 +161,9 @@ WHERE reached = (SELECT count(DISTINCT s) FROM {weight}_dist) ORDER BY total, s
     + " UNION ALL ".join(f"({_best_sql(w)})" for w in ("d", "t", "f")),
 )
 def best_origin_per_metric(spark, sf):
-    from tallyroute.session import materialize
-
     edges = materialize(graph.directed(trade_edges(spark, sf)), "directed")
     best = [
-        graph.best_origin(graph.all_pairs(edges, m), edges).select(F.lit(m).alias("metric"), "source", "total")
+        graph.best_origin(graph.all_pairs(edges, m)).select(F.lit(m).alias("metric"), "source", "total")
         for m in ("d", "t", "f")
     ]
     return best[0].unionByName(best[1]).unionByName(best[2])
@@ -177,8 +176,7 @@ SELECT s AS source, round(sum(CASE WHEN s <> n THEN c ELSE 0 END), 9) AS total F
 GROUP BY s HAVING count(*) = (SELECT count(DISTINCT s) FROM dist)""",
 )
 def origin_totals(spark, sf):
-    edges = graph.directed(trade_edges(spark, sf))
-    return graph.origin_totals(graph.all_pairs(edges, "d"), edges)
+    return graph.origin_totals(graph.all_pairs(graph.directed(trade_edges(spark, sf)), "d"))
 
 
 def _one_source(spark, node):
@@ -211,7 +209,7 @@ def destination_table(spark, sf):
 
 
 def _route(spark, sf, metric: str):
-    edges = graph.undirected(graph.canonical_edges(trade_edges(spark, sf)))
+    edges = graph.undirected(materialize(graph.canonical_edges(trade_edges(spark, sf)), "canonical"))
     return edges, graph.route(edges, 3, 17, metric, ["d", "t", "f"])
 
 
@@ -251,7 +249,7 @@ SELECT src, dst, d, EXISTS (SELECT 1 FROM hops WHERE least(a, b) = src AND great
 FROM canonical""",
 )
 def route_edges_tagged(spark, sf):
-    canonical = graph.canonical_edges(trade_edges(spark, sf))
+    canonical = materialize(graph.canonical_edges(trade_edges(spark, sf)), "canonical")
     found = graph.route(graph.undirected(canonical), 3, 17, "d", ["d"])
     return graph.tag_edges(canonical, found).select("src", "dst", "d", "on_route")
 
@@ -267,8 +265,6 @@ SELECT 5 AS source, n AS node, sum(d) AS total_d, sum(t) AS total_t, sum(f) AS t
 FROM hops JOIN firsts ON src = a AND dst = b GROUP BY n""",
 )
 def multigraph_route_totals(spark, sf):
-    from tallyroute.session import materialize
-
     edges = materialize(graph.undirected(trade_edges(spark, sf)), "both_ways")
     paths = graph.shortest_paths(edges, _one_source(spark, 5), "d")
     return graph.route_totals(paths, edges, ["d", "t", "f"])
@@ -291,7 +287,7 @@ used AS (SELECT DISTINCT unnest(path[:-2]) AS a, unnest(path[2:]) AS b FROM walk
 SELECT src, dst, d FROM directed WHERE NOT EXISTS (SELECT 1 FROM used WHERE a = src AND b = dst)""",
 )
 def background_edges(spark, sf):
-    edges = graph.directed(trade_edges(spark, sf))
+    edges = materialize(graph.directed(trade_edges(spark, sf)), "directed")
     paths = graph.shortest_paths(edges, _one_source(spark, 0), "d")
     return graph.background_edges(edges, paths).select("src", "dst", "d")
 

@@ -45,7 +45,7 @@ GROUP BY l_orderkey, l_partkey, l_suppkey, copy""",
 def ranked_explanations(spark, sf):
     explained = model.explain(table(spark, sf, "lineitem"), MODEL, LINE_KEY)
     shown = F.transform(
-        "explanation", lambda e: F.concat(e["feature"], F.lit("="), F.format_string("%.4f", e["value"]))
+        "explanation", lambda e: F.concat(e["feature"], F.lit("="), e["value"].cast("decimal(12,4)").cast("string"))
     )
     return explained.select(*LINE_KEY, F.array_join(shown, ",").alias("explanation"))
 

@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 from tallyroute.functions import numeric
 from tallyroute.operators.ordering import running_totals
 from tallyroute.operators.schema import col
+from tallyroute.session import materialize
 
 # 45 thresholds from 0.30 in steps of (0.31 - 0.30), in binary arithmetic.
 THRESHOLDS = tuple(0.3 + i * (0.31 - 0.3) for i in range(45))
@@ -160,15 +161,19 @@ def score_counts(df: DataFrame, label: str, score: str, digits: int = DIGITS) ->
     )
 
 
-def _cumulative(df: DataFrame, label: str, score: str) -> DataFrame:
-    counts = score_counts(df, label, score)
+def _written_counts(df: DataFrame, label: str, score: str) -> DataFrame:
+    """The counts as a table of their own: at most 10**6 + 1 rows, from a single pass over the data."""
+    return materialize(score_counts(df, label, score), "score_counts")
+
+
+def _cumulative(counts: DataFrame) -> DataFrame:
     bucket = -F.floor(F.col("score") * BUCKETS)
     return running_totals(counts, bucket, F.col("score").desc(), ["pos", "neg"])
 
 
 def roc_auc(df: DataFrame, label: str, score: str) -> DataFrame:
     """One row: roc_auc, exact with ties counted half; null when a class is missing."""
-    runs = _cumulative(df, label, score)
+    runs = _cumulative(_written_counts(df, label, score))
     # Pairs won: positives of a score against all negatives below it, ties half, doubled to
     # stay whole. Decimal keeps the product of two large counts exact.
     wide = "decimal(20,0)"
@@ -187,8 +192,8 @@ def roc_auc(df: DataFrame, label: str, score: str) -> DataFrame:
 
 def roc_points(df: DataFrame, label: str, score: str) -> DataFrame:
     """threshold, fpr, tpr for every distinct score, from (0, 0) at threshold infinity."""
-    runs = _cumulative(df, label, score).select("score", "upto_pos", "upto_neg")
-    counts = score_counts(df, label, score)
+    counts = _written_counts(df, label, score)
+    runs = _cumulative(counts).select("score", "upto_pos", "upto_neg")
     totals = counts.agg(F.sum("pos").alias("p"), F.sum("neg").alias("n"))
     origin = totals.select(
         F.lit(float("inf")).alias("score"), F.lit(0).cast("long").alias("upto_pos"), F.lit(0).cast("long").alias("upto_neg")

@@ -30,11 +30,15 @@ class NegativeWeight(ValueError):
     """Shortest paths need weights of zero or more."""
 
 
+def _one_per_pair(edges: DataFrame, row: str, pick) -> DataFrame:
+    # Column by column, so that plain numbers stay in a hash aggregate; ``row`` is unique.
+    rest = [c for c in edges.columns if c not in ("src", "dst")]
+    return edges.groupBy("src", "dst").agg(*[pick(c, row).alias(c) for c in rest])
+
+
 def directed(edges: DataFrame, row: str = "row") -> DataFrame:
     """One edge per (src, dst): a later row overwrites an earlier one."""
-    rest = [c for c in edges.columns if c not in ("src", "dst")]
-    last = edges.groupBy("src", "dst").agg(F.max_by(F.struct(*rest), row).alias("e"))
-    return last.select("src", "dst", "e.*")
+    return _one_per_pair(edges, row, F.max_by)
 
 
 def undirected(edges: DataFrame) -> DataFrame:
@@ -46,9 +50,7 @@ def undirected(edges: DataFrame) -> DataFrame:
 
 def first_edges(edges: DataFrame, row: str = "row") -> DataFrame:
     """The first of several parallel edges, by row."""
-    rest = [c for c in edges.columns if c not in ("src", "dst")]
-    first = edges.groupBy("src", "dst").agg(F.min_by(F.struct(*rest), row).alias("e"))
-    return first.select("src", "dst", "e.*")
+    return _one_per_pair(edges, row, F.min_by)
 
 
 def canonical_edges(edges: DataFrame, row: str = "row") -> DataFrame:
@@ -109,24 +111,29 @@ def adjacency(edges: DataFrame, chunk: int = 10_000) -> DataFrame:
     return keyed.groupBy("src", "part").agg(entries.alias("neighbours"))
 
 
-def _prepared(edges: DataFrame, weight: str) -> tuple[str, DataFrame, dict]:
-    """Edges reduced to what a relaxation needs, checked, salted, and bucketed by join key.
+def _prepared(edges: DataFrame, weight: str) -> tuple[DataFrame, dict, str | None]:
+    """The cheapest edge per pair, checked and written once; with it the hubs' salts.
 
-    The bucketed table lets every round with a large frontier join in place: only the frontier
-    is shuffled. Returns its catalog name for the caller to drop.
+    A table worth spreading is also bucketed by its join key, so that a round with a large
+    frontier joins in place and only the frontier is shuffled. The third value is then the
+    catalog name for the caller to drop.
     """
-    plain = edges.select("src", "dst", F.col(weight).cast("double").alias("w")).filter(
-        F.col("w").isNotNull() & (F.col("src") != F.col("dst"))
+    spark = edges.sparkSession
+    facts = Observation()
+    best = (
+        edges.select("src", "dst", F.col(weight).cast("double").alias("w"))
+        .filter(F.col("w").isNotNull())
+        .groupBy("src", "dst")
+        .agg(F.min("w").alias("w"))
+        .observe(facts, F.count("*").alias("n"), F.min("w").alias("low"))
     )
-    # Of parallel edges only the cheapest can be on a shortest path.
-    best = plain.groupBy("src", "dst").agg(F.min("w").alias("w"))
     table = materialize(best, "edges")
-    facts = table.agg(F.count("*").alias("n"), F.min("w").alias("low")).first()
-    if facts["low"] is not None and facts["low"] < 0:
+    if facts.get["low"] is not None and facts.get["low"] < 0:
         raise NegativeWeight(f"negative value in '{weight}'")
-    hubs = _spread(table, facts["n"])
+    if facts.get["n"] < HUB_FLOOR:
+        return table.withColumn("salt", F.lit(0)), {}, None
+    hubs = _spread(table, table.count())
     salted = table.withColumn("salt", F.pmod(F.xxhash64("dst"), _salts(F.col("src"), hubs)).cast("int"))
-    spark = edges.sparkSession
     buckets = int(spark.conf.get("spark.sql.shuffle.partitions"))
     name = f"tallyroute_edges_{uuid.uuid4().hex}"
     (
@@ -135,12 +142,12 @@ def _prepared(edges: DataFrame, weight: str) -> tuple[str, DataFrame, dict]:
         .option("path", scratch_path(spark, "bucketed"))
         .saveAsTable(name)
     )
-    return name, spark.table(name), hubs
+    return spark.table(name), hubs, name
 
 
 def shortest_paths(
     edges: DataFrame,
-    sources: DataFrame,
+    sources: DataFrame | None,
     weight: str,
     *,
     with_path: bool = True,
@@ -148,15 +155,17 @@ def shortest_paths(
 ) -> DataFrame:
     """source, node, cost and, on request, path, for every node that a source reaches.
 
-    ``sources`` has one column ``node``. The result holds |sources| x |reached nodes| rows, so
-    pass only the sources you need. With ``target`` the search drops branches that already
-    cost more than the best known way there; rows of other nodes may then be incomplete.
+    ``sources`` has one column ``node``; None takes every node of the graph. The result holds
+    |sources| x |reached nodes| rows, so pass only the sources you need. With ``target`` the
+    search drops branches that already cost more than the best known way there; rows of other
+    nodes may then be incomplete.
     """
-    name, table, hubs = _prepared(edges, weight)
+    table, hubs, name = _prepared(edges, weight)
     try:
-        return _relax(table, hubs, sources, with_path, target)
+        return _relax(table, hubs, nodes(table) if sources is None else sources, with_path, target)
     finally:
-        edges.sparkSession.sql(f"DROP TABLE IF EXISTS {name}")
+        if name:
+            edges.sparkSession.sql(f"DROP TABLE IF EXISTS {name}")
 
 
 def _relax(table: DataFrame, hubs: dict, sources: DataFrame, with_path: bool, target) -> DataFrame:
@@ -217,24 +226,24 @@ def distances(edges: DataFrame, sources: DataFrame, weight: str) -> DataFrame:
 
 def all_pairs(edges: DataFrame, weight: str, with_path: bool = False) -> DataFrame:
     """Distances between all reachable pairs; for graphs whose node count squared is affordable."""
-    return shortest_paths(edges, nodes(edges), weight, with_path=with_path)
+    return shortest_paths(edges, None, weight, with_path=with_path)
 
 
-def origin_totals(pairs: DataFrame, edges: DataFrame) -> DataFrame:
-    """source, total: summed cost to the others, only for sources that reach every node."""
-    everything = nodes(edges).agg(F.count("*").alias("n")).scalar()
-    reached = pairs.groupBy("source").agg(
-        F.count("*").alias("reached"),
-        F.round(F.sum(F.when(F.col("node") != F.col("source"), F.col("cost")).otherwise(F.lit(0.0))), 9).alias(
-            "total"
-        ),
-    )
+def origin_totals(pairs: DataFrame) -> DataFrame:
+    """source, total: summed cost to the others, only for sources that reach every node.
+
+    ``pairs`` must hold all sources; each reaches itself, which gives the number of nodes.
+    """
+    at_home = F.col("node") == F.col("source")
+    everything = pairs.filter(at_home).agg(F.count("*")).scalar()
+    total = F.round(F.sum(F.when(at_home, F.lit(0.0)).otherwise(F.col("cost"))), 9)
+    reached = pairs.groupBy("source").agg(F.count("*").alias("reached"), total.alias("total"))
     return reached.filter(F.col("reached") == everything).select("source", "total")
 
 
-def best_origin(pairs: DataFrame, edges: DataFrame) -> DataFrame:
+def best_origin(pairs: DataFrame) -> DataFrame:
     """source, total of the cheapest origin, lowest node on ties; no row if none reaches all."""
-    return origin_totals(pairs, edges).orderBy("total", "source").limit(1)
+    return origin_totals(pairs).orderBy("total", "source").limit(1)
 
 
 def route(edges: DataFrame, start, end, weight: str, metrics: Sequence[str]) -> DataFrame:

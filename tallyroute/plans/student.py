@@ -12,6 +12,7 @@ from pyspark.sql import types as T
 from tallyroute.operators import evaluate, features, model, ordering, profile, schema, split, validate
 from tallyroute.operators.schema import col
 from tallyroute.operators.validate import FieldRule
+from tallyroute.session import materialize
 from tallyroute.sources import csvfiles, metadata, parquetfiles
 
 # The column names and types of the table, in its own order.
@@ -189,12 +190,16 @@ def train(spark: SparkSession, out: str, feature_names: list[str], target: str =
         chosen.update({p.name: v for p, v in search.getEstimatorParamMaps()[best].items()})
     fitted = model.fit_boosted(splits["train"], splits["val"], feature_names, target, **chosen)
 
-    def scored(name: str) -> DataFrame:
-        return fitted.transform(splits[name]).select(target, model.positive_probability().alias("score"))
-
-    threshold = evaluate.best_threshold(evaluate.threshold_sweep(scored("val"), target, "score")).first()
+    # Scored once each; the sweep and the metrics then read two columns.
+    scored = {
+        name: materialize(
+            fitted.transform(splits[name]).select(target, model.positive_probability().alias("score")), "scored"
+        )
+        for name in ("val", "test")
+    }
+    threshold = evaluate.best_threshold(evaluate.threshold_sweep(scored["val"], target, "score")).first()
     document = model.model_document(
-        {"val": scored("val"), "test": scored("test")},
+        scored,
         target,
         "score",
         threshold["threshold"],

@@ -67,13 +67,13 @@ METRICS = ["distance", "time", "fuel"]
 
 @pytest.mark.parametrize("metric, origin, total", [("D", 6, 62.0), ("T", 2, 130.0), ("F", 6, 7.9)])
 def test_best_origin(directed, metric, origin, total):
-    best = graph.best_origin(graph.all_pairs(directed, metric), directed).first()
+    best = graph.best_origin(graph.all_pairs(directed, metric)).first()
     assert (best["source"], round(best["total"], 6)) == (origin, total)
 
 
 def test_no_origin_when_nothing_reaches_all(spark):
     edges = spark.createDataFrame([(1, 2, 1.0), (3, 2, 1.0)], "src int, dst int, w double")
-    assert graph.best_origin(graph.all_pairs(edges, "w"), edges).count() == 0
+    assert graph.best_origin(graph.all_pairs(edges, "w")).count() == 0
 
 
 @pytest.mark.parametrize(
