@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 
 from tallyroute.functions import formats
 from tallyroute.functions.text import path_text
-from tallyroute.session import materialize, scratch_path
+from tallyroute.session import discard, materialize_at, scratch_path
 
 # A node is a hub when it holds more than this share of all edges: there are at most
 # HUB_SHARE such nodes, and each is spread over as many salts as its share demands.
@@ -111,7 +111,7 @@ def adjacency(edges: DataFrame, chunk: int = 10_000) -> DataFrame:
     return keyed.groupBy("src", "part").agg(entries.alias("neighbours"))
 
 
-def _prepared(edges: DataFrame, weight: str) -> tuple[DataFrame, dict, str | None]:
+def _prepared(edges: DataFrame, weight: str, folder: str) -> tuple[DataFrame, dict, str | None]:
     """The cheapest edge per pair, checked and written once; with it the hubs' salts.
 
     A table worth spreading is also bucketed by its join key, so that a round with a large
@@ -127,7 +127,7 @@ def _prepared(edges: DataFrame, weight: str) -> tuple[DataFrame, dict, str | Non
         .agg(F.min("w").alias("w"))
         .observe(facts, F.count("*").alias("n"), F.min("w").alias("low"))
     )
-    table = materialize(best, "edges")
+    table = materialize_at(best, f"{folder}/plain")
     if facts.get["low"] is not None and facts.get["low"] < 0:
         raise NegativeWeight(f"negative value in '{weight}'")
     if facts.get["n"] < HUB_FLOOR:
@@ -139,7 +139,7 @@ def _prepared(edges: DataFrame, weight: str) -> tuple[DataFrame, dict, str | Non
     (
         salted.repartition(buckets, "src", "salt")
         .write.bucketBy(buckets, "src", "salt")
-        .option("path", scratch_path(spark, "bucketed"))
+        .option("path", f"{folder}/bucketed")
         .saveAsTable(name)
     )
     return spark.table(name), hubs, name
@@ -160,12 +160,15 @@ def shortest_paths(
     search drops branches that already cost more than the best known way there; rows of other
     nodes may then be incomplete.
     """
-    table, hubs, name = _prepared(edges, weight)
+    spark = edges.sparkSession
+    folder = scratch_path(spark, "edges")
+    table, hubs, name = _prepared(edges, weight, folder)
     try:
         return _relax(table, hubs, nodes(table) if sources is None else sources, with_path, target)
     finally:
         if name:
-            edges.sparkSession.sql(f"DROP TABLE IF EXISTS {name}")
+            spark.sql(f"DROP TABLE IF EXISTS {name}")
+        discard(spark, folder)
 
 
 def _relax(table: DataFrame, hubs: dict, sources: DataFrame, with_path: bool, target) -> DataFrame:
@@ -178,7 +181,9 @@ def _relax(table: DataFrame, hubs: dict, sources: DataFrame, with_path: bool, ta
         F.lit(True).alias("changed"),
     )
     value = ["cost", "path"] if with_path else ["cost"]
-    best = materialize(start.distinct(), "round")
+    spark = table.sparkSession
+    path = scratch_path(spark, "round")
+    best = materialize_at(start.distinct(), path)
     bound = None
     while True:
         frontier = best.filter("changed")
@@ -213,7 +218,9 @@ def _relax(table: DataFrame, hubs: dict, sources: DataFrame, with_path: bool, ta
             F.count_if("changed").alias("changed"),
             F.max(F.when(at_target, F.col("cost"))).alias("reached"),
         )
-        best = materialize(observed, "round")
+        last, path = path, scratch_path(spark, "round")
+        best = materialize_at(observed, path)
+        discard(spark, last)
         if state.get["changed"] == 0:
             return best.drop("changed")
         bound = state.get["reached"]

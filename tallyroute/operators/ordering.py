@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, Observation, Window
 from pyspark.sql import functions as F
 
 from tallyroute.operators.schema import col
@@ -15,6 +15,8 @@ FILE_POSITION = "_position"
 _PARTITION_BITS = 33
 # Pages that end below this rank are served by a top-k; deeper ones by position.
 TOP_K_LIMIT = 10_000
+# Up to this many file splits, at a few hundred bytes each, are broadcast.
+BROADCAST_SPLITS = 500_000
 
 
 def file_position() -> Column:
@@ -34,8 +36,8 @@ def with_row_index(df: DataFrame, position: str = FILE_POSITION, name: str = "ro
     """Turn a file position into a dense 0-based row number, without sorting the rows.
 
     Rows of one split are numbered by their distance from the split's first row; the splits'
-    own offsets come from one small row per split, which is the listing the driver holds
-    anyway. The join's strategy is left to the measured size of that listing.
+    own offsets come from one small row per split. They are counted first, and broadcast only
+    when they are few; otherwise both sides are shuffled, in groups no larger than a split.
     """
     split = [F.col(f"{position}.file").alias("_file"), F.col(f"{position}.block").alias("_block")]
     splits = df.groupBy(*split).agg(
@@ -53,7 +55,10 @@ def with_row_index(df: DataFrame, position: str = FILE_POSITION, name: str = "ro
             (F.col("_before_file") + F.col("_before_block") - F.col("_first")).alias("_shift"),
         )
     )
-    keyed = df.select("*", *split).join(offsets, ["_file", "_block"])
+    seen = Observation()
+    offsets = materialize(offsets.observe(seen, F.count("*").alias("splits")), "offsets")
+    side = F.broadcast(offsets) if seen.get["splits"] <= BROADCAST_SPLITS else offsets
+    keyed = df.select("*", *split).join(side, ["_file", "_block"])
     index = F.col(f"{position}.seq") + F.col("_shift")
     return keyed.withColumn(name, index).drop(position, "_file", "_block", "_shift")
 

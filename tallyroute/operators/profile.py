@@ -2,14 +2,16 @@
 
 from __future__ import annotations
 
+import math
 from collections.abc import Mapping, Sequence
-from itertools import combinations
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tallyroute.functions import formats, labels, numeric
 from tallyroute.operators.schema import col
+from tallyroute.session import materialize
 
 UNKNOWN = "Unknown"
 
@@ -63,54 +65,81 @@ def _pair_correlation(left: str, right: str) -> Column:
     return F.try_divide(F.regr_sxy(y, x), spread)
 
 
-def correlation_matrix(df: DataFrame, columns: Sequence[str], digits: int = 6) -> DataFrame:
-    """Pearson correlations as column_x, column_y, correlation for every ordered pair.
+def _centres(df: DataFrame, columns: Sequence[str]) -> list[float]:
+    """A typical value per column, from a few rows. Sums of values shifted by it keep their digits."""
+    head = df.select(*[col(c).cast("double").alias(f"c{i}") for i, c in enumerate(columns)]).limit(1000)
+    row = head.agg(*[F.median(f"c{i}").alias(f"c{i}") for i in range(len(columns))]).first()
+    return [v if v is not None and math.isfinite(v) else 0.0 for v in row]
+
 
-    One pass over the data computes the upper triangle; the rest is mirrored from that row.
-    Columns the frame does not have are left out, an undefined correlation is 0.
+def _correlations(df: DataFrame, columns: Sequence[str]) -> DataFrame:
+    """x, y, r for each ordered pair of different columns that has a defined correlation.
+
+    One pass. Each row is stacked once per column, and the copy of column x adds up n, sum y,
+    sum xy and sum yy for every y: a few dozen plain sums that stay in one generated loop, where
+    an aggregate per pair would not. They are reduced before the shuffle to one row per column.
     """
-    present = [c for c in columns if c in df.columns]
-    pairs = list(combinations(range(len(present)), 2))
-    row = df.agg(
-        F.count("*").alias("_n"),
-        *[
-            numeric.rounded(_pair_correlation(present[i], present[j]), digits).alias(f"r_{i}_{j}")
-            for i, j in pairs
-        ],
+    size = range(len(columns))
+    centres = _centres(df, columns)
+    shifted = df.select(*[(col(c).cast("double") - F.lit(m)).alias(f"z{i}") for i, (c, m) in enumerate(zip(columns, centres))])
+    copies = shifted.select(
+        "*", F.stack(F.lit(len(columns)), *[v for i in size for v in (F.lit(i), F.col(f"z{i}"))]).alias("x", "zx")
+    ).filter(F.col("zx").isNotNull())
+    sums = copies.groupBy("x").agg(
+        *[F.count(f"z{j}").alias(f"n{j}") for j in size],
+        *[F.sum(f"z{j}").alias(f"s{j}") for j in size],
+        *[F.sum(F.col(f"z{j}") * F.col("zx")).alias(f"p{j}") for j in size],
+        *[F.sum(F.col(f"z{j}") * F.col(f"z{j}")).alias(f"q{j}") for j in size],
     )
+    # From here on there are len(columns) ** 2 rows.
+    cells = [
+        F.struct(F.lit(j).alias("y"), *[F.col(f"{k}{j}").cast("double").alias(k) for k in ("n", "s", "p", "q")])
+        for j in size
+    ]
+    forward = materialize(sums.select("x", F.inline(F.array(*cells))), "cells")
+    backward = forward.select(
+        F.col("y").alias("x"), F.col("x").alias("y"), F.col("s").alias("sx"), F.col("q").alias("qx")
+    )
+    n, cross = F.col("n"), F.col("n") * F.col("p") - F.col("s") * F.col("sx")
+    spread_y = F.greatest(n * F.col("q") - F.col("s") * F.col("s"), F.lit(0.0))
+    spread_x = F.greatest(n * F.col("qx") - F.col("sx") * F.col("sx"), F.lit(0.0))
+    both = forward.filter("x <> y").join(backward, ["x", "y"])
+    return both.select("x", "y", F.try_divide(cross, F.sqrt(spread_x) * F.sqrt(spread_y)).alias("r"))
 
-    def cell(i: int, j: int) -> Column:
-        value = F.lit(1.0) if i == j else F.col(f"r_{min(i, j)}_{max(i, j)}")
-        return F.struct(
-            F.lit(present[i]).alias("column_x"), F.lit(present[j]).alias("column_y"), value.alias("correlation")
-        )
-
-    size = range(len(present))
-    return row.select(F.inline(F.array(*[cell(i, j) for i in size for j in size])))
 
+def correlation_matrix(df: DataFrame, columns: Sequence[str], digits: int = 6) -> DataFrame:
+    """Pearson correlations as column_x, column_y, correlation for every ordered pair.
 
-_STATS = ("mean", "std", "min", "max")
+    Each pair uses the rows where both values are present. Columns the frame does not have are
+    left out; the diagonal is 1 and an undefined correlation is 0.
+    """
+    present = [c for c in columns if c in df.columns]
+    names = [(i, j, x, y) for i, x in enumerate(present) for j, y in enumerate(present)]
+    grid = df.sparkSession.createDataFrame(names, "x int, y int, column_x string, column_y string")
+    if not present:
+        return grid.select("column_x", "column_y", F.lit(1.0).alias("correlation"))
+    found = grid.join(_correlations(df, present), ["x", "y"], "left")
+    value = F.when(F.col("x") == F.col("y"), F.lit(1.0)).otherwise(numeric.rounded(F.col("r"), digits))
+    return found.select("column_x", "column_y", value.alias("correlation"))
 
 
-def _stats_row(df: DataFrame, columns: Sequence[str], digits: int, extra: Sequence[Column] = ()) -> DataFrame:
-    aggregates = {"mean": F.avg, "std": F.stddev_samp, "min": F.min, "max": F.max}
-    return df.agg(
-        *[
-            F.round(aggregates[s](col(c).cast("double")), digits).alias(f"{s}_{i}")
-            for i, c in enumerate(columns)
-            for s in _STATS
-        ],
-        *extra,
-    )
+_STATS = ("mean", "std", "min", "max")
 
 
 def column_stats(df: DataFrame, columns: Sequence[str], digits: int = 4) -> DataFrame:
-    """column, mean, std (sample), min, max: one pass, one output row per column."""
-    cells = [
-        F.struct(F.lit(c).alias("column"), *[F.col(f"{s}_{i}").alias(s) for s in _STATS])
-        for i, c in enumerate(columns)
-    ]
-    return _stats_row(df, columns, digits).select(F.inline(F.array(*cells)))
+    """column, mean, std (sample), min, max: one pass, one output row per column.
+
+    The columns are stacked and reduced by four aggregates however many there are.
+    """
+    names = F.array(*[F.lit(c) for c in columns])
+    stacked = df.select(
+        F.stack(
+            F.lit(len(columns)), *[v for i, c in enumerate(columns) for v in (F.lit(i), col(c).cast("double"))]
+        ).alias("i", "v")
+    )
+    aggregates = {"mean": F.avg, "std": F.stddev_samp, "min": F.min, "max": F.max}
+    reduced = stacked.groupBy("i").agg(*[F.round(aggregates[s]("v"), digits).alias(s) for s in _STATS])
+    return reduced.select(F.element_at(names, F.col("i") + 1).alias("column"), *_STATS)
 
 
 def field_ranges(df: DataFrame, columns: Sequence[str]) -> DataFrame:
@@ -135,36 +164,30 @@ def feature_document(
     digits: int = 4,
 ) -> DataFrame:
     """One nested row that describes the training table, ready to be written as JSON."""
-    balance = [
-        F.coalesce(F.sum(col(target).cast("long")), F.lit(0).cast("long")).alias("_placed"),
-        F.count_if(col(target) == 0).alias("_not_placed"),
-        F.count("*").alias("_total"),
-    ]
-    row = _stats_row(train, numeric_features, digits, balance)
+    balance = class_balance(train, target).select(F.struct("placed", "not_placed", "total")).scalar()
 
     def names(values: Sequence[str]) -> Column:
         return F.array(*[F.lit(v) for v in values]).cast("array<string>")
 
-    stats = [
-        F.struct(*[F.col(f"{s}_{i}").alias(s) for s in _STATS]).alias(c)
-        for i, c in enumerate(numeric_features)
-    ]
+    # One row per feature becomes one struct with a field per feature.
+    stats = column_stats(train, numeric_features, digits).agg(
+        *[
+            F.max(F.when(F.col("column") == c, F.struct(*_STATS))).alias(f"f{i}")
+            for i, c in enumerate(numeric_features)
+        ]
+    )
     codes = [
         F.struct(*[F.lit(code).alias(label) for label, code in mapping.items()]).alias(name)
         for name, mapping in encodings.items()
     ]
-    return row.select(
+    return stats.select(
         F.lit(target).alias("target"),
         names([c for c in train.columns if c != target]).alias("feature_columns"),
         names(numeric_features).alias("numeric_features"),
         names(engineered).alias("engineered_features"),
         *codes,
-        F.struct(*stats).alias("train_stats"),
-        F.struct(
-            F.col("_placed").alias("placed"),
-            F.col("_not_placed").alias("not_placed"),
-            F.col("_total").alias("total"),
-        ).alias("class_balance"),
+        F.struct(*[F.col(f"f{i}").alias(c) for i, c in enumerate(numeric_features)]).alias("train_stats"),
+        balance.alias("class_balance"),
     )
 
 
@@ -202,52 +225,50 @@ def dataset_profile(
 ) -> DataFrame:
     """The whole profile as section, item, detail, value rows.
 
-    Counts and all correlations come from one pass; each category adds a grouped pass over
-    its single column.
+    Counts read the target column, correlations the heatmap columns in one pass, and each
+    distribution its own column.
     """
-    spark = df.sparkSession
-    present = [c for c in heatmap if c in df.columns]
-    pairs = list(combinations(range(len(present)), 2))
-    placed = F.coalesce(F.sum(col(target).cast("long")), F.lit(0).cast("long"))
-    row = df.agg(
-        F.count("*").alias("_rows"),
-        placed.alias("_placed"),
-        *[numeric.rounded(_pair_correlation(present[i], present[j])).alias(f"r_{i}_{j}") for i, j in pairs],
-    )
+    row = target_counts(df, target)
 
-    def cell(section: str, item: str, detail: str, value: Column) -> Column:
+    def cell(section: str, item: str, value: Column) -> Column:
         return F.struct(
             F.lit(section).alias("section"),
             F.lit(item).alias("item"),
-            F.lit(detail).alias("detail"),
+            F.lit("").alias("detail"),
             value.cast("double").alias("value"),
         )
 
     missing = [c for c in expected if c not in df.columns]
     extra = [c for c in df.columns if c not in expected]
     cells = [
-        cell("shape", "row_count", "", F.col("_rows")),
-        cell("shape", "column_count", "", F.lit(len(df.columns))),
-        cell("shape", "expected_column_count", "", F.lit(len(expected))),
-        *[cell("missing_columns", c, "", F.lit(i)) for i, c in enumerate(missing)],
-        *[cell("extra_columns", c, "", F.lit(i)) for i, c in enumerate(extra)],
-        cell("target", "placed", "", F.col("_placed")),
-        cell("target", "not_placed", "", F.greatest(F.lit(0).cast("long"), F.col("_rows") - F.col("_placed"))),
+        cell("shape", "row_count", F.col("row_count")),
+        cell("shape", "column_count", F.lit(len(df.columns))),
+        cell("shape", "expected_column_count", F.lit(len(expected))),
+        *[cell("missing_columns", c, F.lit(i)) for i, c in enumerate(missing)],
+        *[cell("extra_columns", c, F.lit(i)) for i, c in enumerate(extra)],
+        cell("target", "placed", F.col("placed")),
+        cell("target", "not_placed", F.col("not_placed")),
+    ]
+    parts = [
+        row.select(F.inline(F.array(*cells))),
+        correlation_matrix(df, heatmap).select(
+            F.lit("correlation").alias("section"),
+            F.col("column_x").alias("item"),
+            F.col("column_y").alias("detail"),
+            F.col("correlation").alias("value"),
+        ),
     ]
-    for i, x in enumerate(present):
-        for j, y in enumerate(present):
-            value = F.lit(1.0) if i == j else F.col(f"r_{min(i, j)}_{max(i, j)}")
-            cells.append(cell("correlation", x, y, value))
-    profile = row.select(F.inline(F.array(*cells)))
     for name in categories:
-        counts = distribution(df, name).select(
-            F.lit("distribution").alias("section"),
-            F.lit(name).alias("item"),
-            F.col("label").alias("detail"),
-            F.col("count").cast("double").alias("value"),
+        counts = distribution(df, name)
+        parts.append(
+            counts.select(
+                F.lit("distribution").alias("section"),
+                F.lit(name).alias("item"),
+                F.col("label").alias("detail"),
+                F.col("count").cast("double").alias("value"),
+            )
         )
-        profile = profile.unionByName(counts)
-    return profile
+    return reduce(DataFrame.unionByName, parts)
 
 
 def kpi_cards(overview_row: DataFrame, total: str, rate: str, averages: Mapping[str, str]) -> DataFrame:

@@ -155,8 +155,9 @@ def student_features(df: DataFrame) -> DataFrame:
 
 def prepare(spark: SparkSession, csv_path: str, out: str, key: list[str] | None = None) -> DataFrame:
     """CSV to features, exact splits and metadata below ``out``; returns the written table."""
-    table = csvfiles.read_strict(spark, csv_path, SCHEMA, TARGET)
-    labelled = split.exact_split(student_features(table), key)
+    # The split passes over its key a few times, so they read this table and not the CSV.
+    table = materialize(student_features(csvfiles.read_strict(spark, csv_path, SCHEMA, TARGET)), "features")
+    labelled = split.exact_split(table, key)
     csvfiles.write_snappy(labelled, f"{out}/features", partition_by="split")
     written = spark.read.parquet(f"{out}/features")
     train = written.filter(F.col("split") == "train").drop("split")

@@ -49,12 +49,25 @@ def scratch_path(spark: SparkSession, label: str) -> str:
     return f"{shared_dir(spark)}/tallyroute/{uuid.uuid4().hex}/{label}"
 
 
-def materialize(df: DataFrame, label: str = "step") -> DataFrame:
-    """Write ``df`` as a table in the shared folder and read it back.
+def materialize_at(df: DataFrame, path: str) -> DataFrame:
+    """Write ``df`` to ``path`` and read it back.
 
     The result has a one-node plan and an exact size on disk, so the next join can choose
     its strategy from that size, and a lost executor costs a re-read instead of a recompute.
     """
-    path = scratch_path(df.sparkSession, label)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def materialize(df: DataFrame, label: str = "step") -> DataFrame:
+    """``df`` as a new table in the shared folder."""
+    return materialize_at(df, scratch_path(df.sparkSession, label))
+
+
+def discard(spark: SparkSession, path: str) -> None:
+    """Delete a folder named by ``scratch_path`` that nothing reads any more."""
+    if not path.startswith(f"{shared_dir(spark)}/tallyroute/"):
+        raise ValueError(f"{path} is not a scratch folder")
+    jvm = spark.sparkContext._jvm
+    target = jvm.org.apache.hadoop.fs.Path(path)
+    target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(target, True)
