@@ -19,6 +19,9 @@ def local_session(app: str = "tallyroute", cpus: int | str = 8, memory: str = "1
         .config("spark.driver.memory", memory)
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.sql.adaptive.enabled", "true")
+        # Generated methods above 8000 bytes are never compiled by the JVM; wide checks and feature
+        # projections run faster through the split, non-fused code path.
+        .config("spark.sql.codegen.hugeMethodLimit", "8000")
         .config("spark.ui.enabled", "false")
         .config("spark.ui.showConsoleProgress", "false")
         .getOrCreate()
