@@ -161,12 +161,8 @@ WHERE reached = (SELECT count(DISTINCT s) FROM {weight}_dist) ORDER BY total, s
     + " UNION ALL ".join(f"({_best_sql(w)})" for w in ("d", "t", "f")),
 )
 def best_origin_per_metric(spark, sf):
-    edges = materialize(graph.directed(trade_edges(spark, sf)), "directed")
-    best = [
-        graph.best_origin(graph.all_pairs(edges, m)).select(F.lit(m).alias("metric"), "source", "total")
-        for m in ("d", "t", "f")
-    ]
-    return best[0].unionByName(best[1]).unionByName(best[2])
+    edges = graph.layered(graph.directed(trade_edges(spark, sf)), ["d", "t", "f"])
+    return graph.best_origin(graph.all_pairs(edges, "weight", layer="metric"), "metric")
 
 
 @query(

@@ -62,9 +62,11 @@ def canonical_edges(edges: DataFrame, row: str = "row") -> DataFrame:
     return first_edges(oriented, row)
 
 
-def nodes(edges: DataFrame) -> DataFrame:
-    """Distinct endpoints; each direction is reduced before the union is."""
-    ends = edges.select(F.col("src").alias("node")).unionAll(edges.select(F.col("dst").alias("node")))
+def nodes(edges: DataFrame, layers: Sequence[str] = ()) -> DataFrame:
+    """Distinct endpoints, per layer if there are any."""
+    ends = edges.select(*layers, F.col("src").alias("node")).unionAll(
+        edges.select(*layers, F.col("dst").alias("node"))
+    )
     return ends.distinct()
 
 
@@ -111,7 +113,13 @@ def adjacency(edges: DataFrame, chunk: int = 10_000) -> DataFrame:
     return keyed.groupBy("src", "part").agg(entries.alias("neighbours"))
 
 
-def _prepared(edges: DataFrame, weight: str, folder: str) -> tuple[DataFrame, dict, str | None]:
+def layered(edges: DataFrame, metrics: Sequence[str]) -> DataFrame:
+    """One copy of the graph per metric (metric, src, dst, weight), to be searched side by side."""
+    copies = F.stack(F.lit(len(metrics)), *[v for m in metrics for v in (F.lit(m), F.col(m).cast("double"))])
+    return edges.select("src", "dst", copies.alias("metric", "weight"))
+
+
+def _prepared(edges: DataFrame, weight: str, layer: list[str], folder: str) -> tuple[DataFrame, dict, str | None]:
     """The cheapest edge per pair, checked and written once; with it the hubs' salts.
 
     A table worth spreading is also bucketed by its join key, so that a round with a large
@@ -121,9 +129,9 @@ def _prepared(edges: DataFrame, weight: str, folder: str) -> tuple[DataFrame, di
     spark = edges.sparkSession
     facts = Observation()
     best = (
-        edges.select("src", "dst", F.col(weight).cast("double").alias("w"))
+        edges.select(*layer, "src", "dst", F.col(weight).cast("double").alias("w"))
         .filter(F.col("w").isNotNull())
-        .groupBy("src", "dst")
+        .groupBy(*layer, "src", "dst")
         .agg(F.min("w").alias("w"))
         .observe(facts, F.count("*").alias("n"), F.min("w").alias("low"))
     )
@@ -136,9 +144,10 @@ def _prepared(edges: DataFrame, weight: str, folder: str) -> tuple[DataFrame, di
     salted = table.withColumn("salt", F.pmod(F.xxhash64("dst"), _salts(F.col("src"), hubs)).cast("int"))
     buckets = int(spark.conf.get("spark.sql.shuffle.partitions"))
     name = f"tallyroute_edges_{uuid.uuid4().hex}"
+    keys = [*layer, "src", "salt"]
     (
-        salted.repartition(buckets, "src", "salt")
-        .write.bucketBy(buckets, "src", "salt")
+        salted.repartition(buckets, *keys)
+        .write.bucketBy(buckets, *keys)
         .option("path", f"{folder}/bucketed")
         .saveAsTable(name)
     )
@@ -152,36 +161,45 @@ def shortest_paths(
     *,
     with_path: bool = True,
     target=None,
+    layer: str | None = None,
 ) -> DataFrame:
     """source, node, cost and, on request, path, for every node that a source reaches.
 
     ``sources`` has one column ``node``; None takes every node of the graph. The result holds
     |sources| x |reached nodes| rows, so pass only the sources you need. With ``target`` the
     search drops branches that already cost more than the best known way there; rows of other
-    nodes may then be incomplete.
+    nodes may then be incomplete. ``layer`` names a column that keeps independent graphs apart;
+    they are searched in the same rounds, and sources and results carry it too.
     """
+    if target is not None and layer:
+        raise ValueError("a target needs a single graph")
     spark = edges.sparkSession
     folder = scratch_path(spark, "edges")
-    table, hubs, name = _prepared(edges, weight, folder)
+    layers = [layer] if layer else []
+    table, hubs, name = _prepared(edges, weight, layers, folder)
     try:
-        return _relax(table, hubs, nodes(table) if sources is None else sources, with_path, target)
+        return _relax(table, hubs, sources, layers, with_path, target)
     finally:
         if name:
             spark.sql(f"DROP TABLE IF EXISTS {name}")
         discard(spark, folder)
 
 
-def _relax(table: DataFrame, hubs: dict, sources: DataFrame, with_path: bool, target) -> DataFrame:
+def _relax(
+    table: DataFrame, hubs: dict, sources: DataFrame | None, layers: list[str], with_path: bool, target
+) -> DataFrame:
+    spark = table.sparkSession
     node_type = table.schema["src"].dataType
-    start = sources.select(
-        F.col("node").cast(node_type).alias("source"),
-        F.col("node").cast(node_type).alias("node"),
+    origin = F.col("node").cast(node_type)
+    start = (nodes(table, layers) if sources is None else sources).select(
+        *layers,
+        origin.alias("source"),
+        origin.alias("node"),
         F.lit(0.0).alias("cost"),
-        *([F.array(F.col("node").cast(node_type)).alias("path")] if with_path else []),
+        *([F.array(origin).alias("path")] if with_path else []),
         F.lit(True).alias("changed"),
     )
     value = ["cost", "path"] if with_path else ["cost"]
-    spark = table.sparkSession
     path = scratch_path(spark, "round")
     best = materialize_at(start.distinct(), path)
     bound = None
@@ -189,31 +207,31 @@ def _relax(table: DataFrame, hubs: dict, sources: DataFrame, with_path: bool, ta
         frontier = best.filter("changed")
         if bound is not None:
             frontier = frontier.filter(F.col("cost") < F.lit(bound))
-        salted = frontier.select("source", F.col("node").alias("src"), *value)
-        if hubs:
-            every_salt = F.sequence(F.lit(0), _salts(F.col("src"), hubs) - 1)
-            salted = salted.withColumn("salt", F.explode(every_salt))
-        else:
-            salted = salted.withColumn("salt", F.lit(0))
-        steps = table.join(salted, ["src", "salt"]).select(
+        salts = F.explode(F.sequence(F.lit(0), _salts(F.col("node"), hubs) - 1)) if hubs else F.lit(0)
+        salted = frontier.select(*layers, "source", F.col("node").alias("src"), *value, salts.alias("salt"))
+        joined = table.join(salted, [*layers, "src", "salt"])
+        if with_path:
+            joined = joined.filter(~F.array_contains("path", F.col("dst")))
+        steps = joined.select(
+            *layers,
             "source",
             F.col("dst").alias("node"),
             (F.col("cost") + F.col("w")).alias("cost"),
             *([F.concat("path", F.array("dst")).alias("path")] if with_path else []),
             F.lit(False).alias("known"),
         )
-        known = best.select("source", "node", *value, F.lit(True).alias("known"))
+        known = best.select(*layers, "source", "node", *value, F.lit(True).alias("known"))
         offer = F.struct(*value) if with_path else F.col("cost")
         merged = (
             steps.unionByName(known)
-            .groupBy("source", "node")
+            .groupBy(*layers, "source", "node")
             .agg(F.min(offer).alias("new"), F.min(F.when(F.col("known"), offer)).alias("old"))
         )
         improved = F.col("old").isNull() | (F.col("new") < F.col("old"))
         fields = [F.col(f"new.{v}").alias(v) for v in value] if with_path else [F.col("new").alias("cost")]
         at_target = F.lit(False) if target is None else F.col("node") == F.lit(target)
         state = Observation()
-        observed = merged.select("source", "node", *fields, improved.alias("changed")).observe(
+        observed = merged.select(*layers, "source", "node", *fields, improved.alias("changed")).observe(
             state,
             F.count_if("changed").alias("changed"),
             F.max(F.when(at_target, F.col("cost"))).alias("reached"),
@@ -231,26 +249,36 @@ def distances(edges: DataFrame, sources: DataFrame, weight: str) -> DataFrame:
     return shortest_paths(edges, sources, weight, with_path=False)
 
 
-def all_pairs(edges: DataFrame, weight: str, with_path: bool = False) -> DataFrame:
+def all_pairs(edges: DataFrame, weight: str, *, with_path: bool = False, layer: str | None = None) -> DataFrame:
     """Distances between all reachable pairs; for graphs whose node count squared is affordable."""
-    return shortest_paths(edges, None, weight, with_path=with_path)
+    return shortest_paths(edges, None, weight, with_path=with_path, layer=layer)
 
 
-def origin_totals(pairs: DataFrame) -> DataFrame:
+def origin_totals(pairs: DataFrame, layer: str | None = None) -> DataFrame:
     """source, total: summed cost to the others, only for sources that reach every node.
 
     ``pairs`` must hold all sources; each reaches itself, which gives the number of nodes.
     """
+    layers = [layer] if layer else []
     at_home = F.col("node") == F.col("source")
-    everything = pairs.filter(at_home).agg(F.count("*")).scalar()
     total = F.round(F.sum(F.when(at_home, F.lit(0.0)).otherwise(F.col("cost"))), 9)
-    reached = pairs.groupBy("source").agg(F.count("*").alias("reached"), total.alias("total"))
-    return reached.filter(F.col("reached") == everything).select("source", "total")
+    reached = pairs.groupBy(*layers, "source").agg(F.count("*").alias("reached"), total.alias("total"))
+    # One row per source in ``reached``: their number is the number of nodes.
+    if layer:
+        everything = reached.groupBy(layer).agg(F.count("*").alias("nodes"))
+        whole = reached.join(everything, layer).filter(F.col("reached") == F.col("nodes"))
+    else:
+        whole = reached.filter(F.col("reached") == reached.agg(F.count("*")).scalar())
+    return whole.select(*layers, "source", "total")
 
 
-def best_origin(pairs: DataFrame) -> DataFrame:
+def best_origin(pairs: DataFrame, layer: str | None = None) -> DataFrame:
     """source, total of the cheapest origin, lowest node on ties; no row if none reaches all."""
-    return origin_totals(pairs).orderBy("total", "source").limit(1)
+    totals = origin_totals(pairs, layer)
+    best = F.min(F.struct("total", "source")).alias("b")
+    if layer:
+        return totals.groupBy(layer).agg(best).select(layer, "b.source", "b.total")
+    return totals.orderBy("total", "source").limit(1)
 
 
 def route(edges: DataFrame, start, end, weight: str, metrics: Sequence[str]) -> DataFrame:

@@ -77,16 +77,18 @@ def page(df: DataFrame, spec: SearchSpec) -> DataFrame:
 def page_after(df: DataFrame, spec: SearchSpec, last: Mapping[str, object]) -> DataFrame:
     """The page that follows the row whose order columns are ``last``, without an offset.
 
-    Works for orders without nulls; each call is a top-k of ``limit`` rows however deep it is.
+    Each call is a top-k of ``limit`` rows however deep it is. Nulls come last, as in ``page``.
     """
     names = ([spec.sort_by] if spec.sort_by else []) + [k for k in spec.key if k != spec.sort_by]
     beyond = F.lit(False)
     for i, name in enumerate(names):
-        same = [col(n) == F.lit(last[n]) for n in names[:i]]
+        if last[name] is None:
+            continue  # nothing follows a null in this column
+        same = [col(n).eqNullSafe(F.lit(last[n])) for n in names[:i]]
         down = spec.descending and name == spec.sort_by
         step = col(name) < F.lit(last[name]) if down else col(name) > F.lit(last[name])
-        beyond = beyond | reduce(and_, same + [step])
-    found = matching(df, spec).filter(beyond)
+        beyond = beyond | reduce(and_, same + [step | col(name).isNull()])
+    found = matching(df, spec).filter(F.coalesce(beyond, F.lit(False)))
     shown = found.select(*[col(c) for c in spec.columns]) if spec.columns else found
     return shown.orderBy(*order_of(df, spec)).limit(spec.limit)
 

@@ -181,6 +181,23 @@ def test_paths_match_brute_force_with_and_without_salting(spark, monkeypatch, hu
     assert (hit["cost"], hit["path"]) == expected[(5, 17)]
 
 
+def test_zero_weight_cycles_end(spark):
+    edges = spark.createDataFrame(
+        [("a", "b", 0.0), ("b", "a", 0.0), ("a", "c", 1.0), ("b", "c", 1.0), ("c", "c", 0.0)],
+        "src string, dst string, w double",
+    )
+    origin = spark.createDataFrame([("a",)], "node string")
+    got = {r["node"]: (r["cost"], r["path"]) for r in graph.shortest_paths(edges, origin, "w").collect()}
+    assert got == {"a": (0.0, ["a"]), "b": (0.0, ["a", "b"]), "c": (1.0, ["a", "b", "c"])}
+
+
+def test_layers_are_searched_side_by_side(directed):
+    edges = graph.layered(directed, ["D", "T", "F"])
+    best = graph.best_origin(graph.all_pairs(edges, "weight", layer="metric"), "metric")
+    got = {r["metric"]: (r["source"], round(r["total"], 6)) for r in best.collect()}
+    assert got == {"D": (6, 62.0), "T": (2, 130.0), "F": (6, 7.9)}
+
+
 def test_triangle_inequality(directed):
     d = {(r["source"], r["node"]): r["cost"] for r in graph.all_pairs(directed, "T").collect()}
     assert all(d[a, c] <= d[a, b] + d[b, c] for a, b in d for c in range(1, 7))

@@ -84,6 +84,21 @@ def test_page_after_continues_a_page(spark):
     assert after == second
 
 
+@pytest.mark.parametrize("descending", [False, True])
+def test_page_after_walks_through_nulls(spark, descending):
+    rows = [(i, None if i % 3 == 0 else i % 5) for i in range(30)]
+    df = spark.createDataFrame(rows, "id int, k int")
+    spec = SearchSpec(key=["id"], sort_by="k", descending=descending, limit=7)
+    whole = df.orderBy(*search.order_of(df, spec)).collect()
+    seen = search.page(df, spec).collect()
+    while True:
+        more = search.page_after(df, spec, seen[-1].asDict()).collect()
+        if not more:
+            break
+        seen += more
+    assert seen == whole
+
+
 def test_search_conditions(spark):
     df = spark.createDataFrame(
         [(1, "CSE", "Female", 0, 8.0), (2, None, "Male", 2, 9.0), (3, "IT", None, None, None)],
