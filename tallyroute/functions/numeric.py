@@ -20,6 +20,14 @@ def parse_number(text: Column) -> Column:
     return F.when(text.rlike(NUMBER_PATTERN), text.try_cast("double"))
 
 
+def strict_number(text: Column, name: str) -> Column:
+    """Text to double; a text that is not a number fails the job."""
+    message = F.concat(F.lit(f"column '{name}' holds no number: "), text)
+    return F.when(text.isNull() | text.rlike(NUMBER_PATTERN), text.cast("double")).otherwise(
+        F.raise_error(message).cast("double")
+    )
+
+
 def is_finite(col: Column) -> Column:
     """False for null, NaN (which Spark orders above every number) and both infinities."""
     return F.coalesce(F.abs(col) <= F.lit(sys.float_info.max), F.lit(False))

@@ -19,6 +19,7 @@ from tallyroute.functions import numeric
 from tallyroute.operators.evaluate import metrics_record
 from tallyroute.operators.schema import col
 from tallyroute.operators.validate import ERROR, UNKNOWN_FAILURE
+from tallyroute.session import materialize
 
 SEED = 42
 
@@ -119,7 +120,9 @@ def tune(
     """Random search with cross-validation on mean AUC: the model, and trial, params, auc rows."""
     estimator = estimator or GBTClassifier(featuresCol="features", labelCol=label, seed=SEED)
     grid = random_grid(estimator, trials, space=space)
-    vectors = assembler(features).transform(train.select(*[col(f) for f in features], col(label)))
+    # Every fold reads the assembled rows, so they are written once.
+    assembled = assembler(features).transform(train.select(*[col(f) for f in features], col(label)))
+    vectors = materialize(assembled.select("features", label), "vectors")
     search = CrossValidator(
         estimator=estimator,
         estimatorParamMaps=grid,
@@ -127,7 +130,7 @@ def tune(
         numFolds=folds,
         seed=SEED,
         parallelism=parallelism,
-    ).fit(vectors.select("features", label))
+    ).fit(vectors)
     rows = [
         (i, {p.name: str(v) for p, v in one.items()}, float(auc))
         for i, (one, auc) in enumerate(zip(grid, search.avgMetrics))

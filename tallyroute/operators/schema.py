@@ -8,6 +8,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from tallyroute.functions import numeric
+
 NUMERIC_TYPES = (T.FloatType, T.DoubleType, T.IntegerType, T.LongType)
 
 
@@ -21,13 +23,19 @@ def col(name: str):
 
 
 def cast_strict(df: DataFrame, schema: T.StructType) -> DataFrame:
-    """Cast the declared columns that are present; a bad value fails the job."""
+    """Cast the declared columns that are present; a bad value fails the job.
+
+    Text becomes a number only if all of it is one; an integer column may be written as ``3.0``.
+    """
     declared = {f.name: f.dataType for f in schema.fields}
 
     def typed(field: T.StructField):
         target = declared.get(field.name)
         if target is None or target == field.dataType:
             return col(field.name)
+        from_text = isinstance(field.dataType, T.StringType)
+        if from_text and isinstance(target, (T.IntegerType, T.FloatType, T.DoubleType)):
+            return numeric.strict_number(col(field.name), field.name).cast(target).alias(field.name)
         return col(field.name).cast(target).alias(field.name)
 
     return df.select(*[typed(f) for f in df.schema.fields])

@@ -17,6 +17,7 @@ from pyspark.sql import functions as F
 from tallyroute.operators.schema import col
 from tallyroute.sources.parquetfiles import SPLIT_NAMES
 
+SEED = 42
 # Hex digits settled per step: at most 16 ** 3 counts come back.
 _DIGITS = 3
 
@@ -27,7 +28,7 @@ def seeded_hash(key: Sequence[str], seed: int) -> Column:
     return F.md5(F.concat(F.lit(f"{seed}:"), F.concat_ws("\u0001", *parts)))
 
 
-def shuffle_rows(df: DataFrame, key: Sequence[str], seed: int = 42) -> DataFrame:
+def shuffle_rows(df: DataFrame, key: Sequence[str], seed: int = SEED) -> DataFrame:
     """All rows in a seeded pseudo-random order."""
     return df.orderBy(seeded_hash(key, seed), *[col(k) for k in key])
 
@@ -89,7 +90,7 @@ def exact_split(
     *,
     train: float = 0.70,
     val: float = 0.15,
-    seed: int = 42,
+    seed: int = SEED,
     name: str = "split",
 ) -> DataFrame:
     """Add the split label: int(n * train) rows, int(n * val) rows, and the rest as test.

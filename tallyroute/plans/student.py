@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
 from dataclasses import dataclass
 
 from pyspark.ml import PipelineModel
@@ -88,6 +89,15 @@ BOUNDS = {
         )
     },
 }
+# The columns a served table should have, in the order they are reported.
+EXPECTED = [
+    "age", "gender", "branch", "college_tier", "city_tier", "family_income", "cgpa", "tenth_percentage",
+    "twelfth_percentage", "backlogs", "attendance", "python_skill", "c++_skill", "java_skill", "ml_skill",
+    "web_dev_skill", "communication_skill", "aptitude_score", "logical_reasoning", "problem_solving", "teamwork",
+    "leadership", "time_management", "internships", "projects", "github_projects", "hackathons", "certifications",
+    "coding_contest_rating", "placed",
+]
+# The columns of the correlation matrix.
 HEATMAP = [
     "age", "cgpa", "backlogs", "attendance", "tenth_percentage", "twelfth_percentage", "communication_skill",
     "aptitude_score", "logical_reasoning", "problem_solving", "internships", "projects", "placed",
@@ -155,9 +165,10 @@ def student_features(df: DataFrame) -> DataFrame:
 
 def prepare(spark: SparkSession, csv_path: str, out: str, key: list[str] | None = None) -> DataFrame:
     """CSV to features, exact splits and metadata below ``out``; returns the written table."""
-    # The split passes over its key a few times, so they read this table and not the CSV.
-    table = materialize(student_features(csvfiles.read_strict(spark, csv_path, SCHEMA, TARGET)), "features")
-    labelled = split.exact_split(table, key)
+    # The split passes over its key a few times: it reads one column of this table, not the CSV.
+    table = student_features(csvfiles.read_strict(spark, csv_path, SCHEMA, TARGET))
+    hashed = table.withColumn("_row_hash", split.seeded_hash(key or table.columns, split.SEED))
+    labelled = split.exact_split(materialize(hashed, "features"), ["_row_hash"]).drop("_row_hash")
     csvfiles.write_snappy(labelled, f"{out}/features", partition_by="split")
     written = spark.read.parquet(f"{out}/features")
     train = written.filter(F.col("split") == "train").drop("split")
@@ -213,10 +224,21 @@ def train(spark: SparkSession, out: str, feature_names: list[str], target: str =
     return Trained(fitted, threshold["threshold"], document)
 
 
-def check_records(records: DataFrame) -> DataFrame:
-    """Text records plus their errors, then typed values under the same names."""
+def overview(df: DataFrame) -> DataFrame:
+    return profile.overview(df, TARGET, ["cgpa", "internships"])
+
+
+def dataset_profile(df: DataFrame) -> DataFrame:
+    return profile.dataset_profile(df, TARGET, EXPECTED, ["branch", "gender"], HEATMAP)
+
+
+def check_records(records: DataFrame, keep: Sequence[str] = ("row_index",)) -> DataFrame:
+    """Text records with their errors and typed values under the same names.
+
+    ``keep`` names columns that identify a row and are no input.
+    """
     named = schema.rename_aliases(records, NAME_ALIASES)
-    known = set(INPUTS) | {ordering.FILE_POSITION, "row_index", "include_explanation"}
+    known = {*INPUTS, *keep, "include_explanation"}
     extras = [c for c in named.columns if c not in known]
     checked = validate.check(named, RULES, INPUT_TYPES, extras)
     absent = [F.lit(None).cast(INPUT_TYPES[n]).alias(n) for n in INPUTS if n not in named.columns]

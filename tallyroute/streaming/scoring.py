@@ -28,11 +28,10 @@ def score_arrivals(
 ):
     """Start a query that scores what has arrived and stops; run it again for later files."""
     records = arriving_records(spark, folder, student.INPUTS)
-    checked = student.check_records(records.withColumnRenamed("source_file", "row_index"))
-    scored = student.score_records(checked, fitted, threshold, ["row_index"])
+    checked = student.check_records(records, keep=["source_file"])
+    scored = student.score_records(checked, fitted, threshold, ["source_file"])
     return (
-        scored.withColumnRenamed("row_index", "source_file")
-        .writeStream.format("parquet")
+        scored.writeStream.format("parquet")
         .option("checkpointLocation", checkpoint)
         .trigger(availableNow=True)
         .start(out)

@@ -215,8 +215,14 @@ def test_prepare_train_and_score(spark, tmp_path):
 def test_strict_read_rejects_bad_values_and_missing_columns(spark, tmp_path):
     row = {**GOOD, "placed": "1"}
     write_csv(tmp_path / "a.csv", [{**row, "age": "old"}])
-    with pytest.raises(Exception, match="CAST_INVALID_INPUT"):
+    with pytest.raises(Exception, match="column 'age' holds no number: old"):
         csvfiles.read_strict(spark, str(tmp_path / "a.csv"), student.SCHEMA, "placed").collect()
+    write_csv(tmp_path / "c.csv", [{**row, "cgpa": "7d"}])
+    with pytest.raises(Exception, match="column 'cgpa' holds no number: 7d"):
+        csvfiles.read_strict(spark, str(tmp_path / "c.csv"), student.SCHEMA, "placed").collect()
+    write_csv(tmp_path / "d.csv", [{**row, "age": "22.0", "backlogs": ""}, {**row, "placed": ""}])
+    kept = csvfiles.read_strict(spark, str(tmp_path / "d.csv"), student.SCHEMA, "placed").collect()
+    assert len(kept) == 1 and kept[0]["age"] == 22 and kept[0]["backlogs"] is None
     write_csv(tmp_path / "b.csv", [{k: v for k, v in row.items() if k != "cgpa"}])
     with pytest.raises(ValueError, match="cgpa"):
         csvfiles.read_strict(spark, str(tmp_path / "b.csv"), student.SCHEMA, "placed")
@@ -262,6 +268,20 @@ def test_arriving_files_score_like_the_batch(spark, tmp_path):
     assert got.filter("source_file like '%two.csv'").first()["probability"] == batch
 
 
+def test_student_profile_and_overview(spark):
+    rows = spark.createDataFrame(
+        [("CSE", "Male", 1, 8.0, 2), ("IT", None, 0, 6.0, 0), ("CSE", "Male", 1, 9.0, 1)],
+        "branch string, gender string, placed int, cgpa double, internships int",
+    )
+    assert tuple(student.overview(rows).first()) == (3, 0.666667, 7.6667, 1.0)
+    found = {(r["section"], r["item"], r["detail"]): r["value"] for r in student.dataset_profile(rows).collect()}
+    assert found["shape", "row_count", ""] == 3 and found["target", "not_placed", ""] == 1
+    assert found["distribution", "gender", "Unknown"] == 1 and found["distribution", "branch", "CSE"] == 2
+    assert found["correlation", "cgpa", "placed"] == found["correlation", "placed", "cgpa"] > 0.9
+    missing = [k[1] for k in sorted(found, key=lambda k: found[k]) if k[0] == "missing_columns"]
+    assert missing[:3] == ["age", "college_tier", "city_tier"] and len(missing) == 25
+
+
 def test_reconcile_and_row_index_in_records(spark, tmp_path):
     write_csv(tmp_path / "r.csv", [{"ID": str(i), "FirstName": "x"} for i in range(5)])
     records = csvfiles.read_records(spark, str(tmp_path / "r.csv"))
