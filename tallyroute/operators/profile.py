@@ -11,7 +11,6 @@ from pyspark.sql import functions as F
 
 from tallyroute.functions import formats, labels, numeric
 from tallyroute.operators.schema import col
-from tallyroute.session import materialize
 
 UNKNOWN = "Unknown"
 
@@ -73,7 +72,7 @@ def _centres(df: DataFrame, columns: Sequence[str]) -> list[float]:
 
 
 def _correlations(df: DataFrame, columns: Sequence[str]) -> DataFrame:
-    """x, y, r for each ordered pair of different columns that has a defined correlation.
+    """a, b, r for each pair of column numbers a < b that occur together.
 
     One pass. Each row is stacked once per column, and the copy of column x adds up n, sum y,
     sum xy and sum yy for every y: a few dozen plain sums that stay in one generated loop, where
@@ -91,20 +90,22 @@ def _correlations(df: DataFrame, columns: Sequence[str]) -> DataFrame:
         *[F.sum(F.col(f"z{j}") * F.col("zx")).alias(f"p{j}") for j in size],
         *[F.sum(F.col(f"z{j}") * F.col(f"z{j}")).alias(f"q{j}") for j in size],
     )
-    # From here on there are len(columns) ** 2 rows.
-    cells = [
-        F.struct(F.lit(j).alias("y"), *[F.col(f"{k}{j}").cast("double").alias(k) for k in ("n", "s", "p", "q")])
-        for j in size
-    ]
-    forward = materialize(sums.select("x", F.inline(F.array(*cells))), "cells")
-    backward = forward.select(
-        F.col("y").alias("x"), F.col("x").alias("y"), F.col("s").alias("sx"), F.col("q").alias("qx")
+    # From here on there are len(columns) ** 2 rows. Of a pair a < b, the copy of a holds the sums
+    # of b and the copy of b those of a, each over the rows where both are present.
+    cells = [F.struct(F.lit(j).alias("y"), *[F.col(f"{k}{j}").cast("double").alias(k) for k in "nspq"]) for j in size]
+    matrix = sums.select("x", F.inline(F.array(*cells))).filter("x <> y")
+    of_a, of_b = F.col("x") > F.col("y"), F.col("x") < F.col("y")
+    pairs = matrix.groupBy(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b")).agg(
+        F.max("n").alias("n"),
+        F.max("p").alias("p"),
+        *[F.max(F.when(of_a, F.col(k))).alias(f"{k}a") for k in "sq"],
+        *[F.max(F.when(of_b, F.col(k))).alias(f"{k}b") for k in "sq"],
     )
-    n, cross = F.col("n"), F.col("n") * F.col("p") - F.col("s") * F.col("sx")
-    spread_y = F.greatest(n * F.col("q") - F.col("s") * F.col("s"), F.lit(0.0))
-    spread_x = F.greatest(n * F.col("qx") - F.col("sx") * F.col("sx"), F.lit(0.0))
-    both = forward.filter("x <> y").join(backward, ["x", "y"])
-    return both.select("x", "y", F.try_divide(cross, F.sqrt(spread_x) * F.sqrt(spread_y)).alias("r"))
+    n, zero = F.col("n"), F.lit(0.0)
+    spread_a = F.greatest(n * F.col("qa") - F.col("sa") * F.col("sa"), zero)
+    spread_b = F.greatest(n * F.col("qb") - F.col("sb") * F.col("sb"), zero)
+    cross = n * F.col("p") - F.col("sa") * F.col("sb")
+    return pairs.select("a", "b", F.try_divide(cross, F.sqrt(spread_a) * F.sqrt(spread_b)).alias("r"))
 
 
 def correlation_matrix(df: DataFrame, columns: Sequence[str], digits: int = 6) -> DataFrame:
@@ -114,12 +115,12 @@ def correlation_matrix(df: DataFrame, columns: Sequence[str], digits: int = 6) -
     left out; the diagonal is 1 and an undefined correlation is 0.
     """
     present = [c for c in columns if c in df.columns]
-    names = [(i, j, x, y) for i, x in enumerate(present) for j, y in enumerate(present)]
-    grid = df.sparkSession.createDataFrame(names, "x int, y int, column_x string, column_y string")
+    names = [(min(i, j), max(i, j), x, y) for i, x in enumerate(present) for j, y in enumerate(present)]
+    grid = df.sparkSession.createDataFrame(names, "a int, b int, column_x string, column_y string")
     if not present:
         return grid.select("column_x", "column_y", F.lit(1.0).alias("correlation"))
-    found = grid.join(_correlations(df, present), ["x", "y"], "left")
-    value = F.when(F.col("x") == F.col("y"), F.lit(1.0)).otherwise(numeric.rounded(F.col("r"), digits))
+    found = grid.join(_correlations(df, present), ["a", "b"], "left")
+    value = F.when(F.col("a") == F.col("b"), F.lit(1.0)).otherwise(numeric.rounded(F.col("r"), digits))
     return found.select("column_x", "column_y", value.alias("correlation"))
 
 
