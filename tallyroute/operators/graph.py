@@ -292,17 +292,17 @@ def route(edges: DataFrame, start, end, weight: str, metrics: Sequence[str]) ->
     node_type = edges.schema["src"].dataType
     origin = spark.range(1).select(F.lit(start).cast(node_type).alias("node"))
     found = shortest_paths(edges, origin, weight, target=end).filter(F.col("node") == F.lit(end))
-    asked = spark.range(1).select(
-        F.lit(start).cast(node_type).alias("source"), F.lit(end).cast(node_type).alias("node")
-    )
-    rows = asked.join(found, ["source", "node"], "left")
-    sums = route_totals(found, edges, metrics)
-    return rows.join(sums, ["source", "node"], "left").select(
-        F.col("source").alias("start"),
-        F.col("node").alias("end"),
-        "cost",
-        F.coalesce("path", F.array().cast(rows.schema["path"].dataType)).alias("path"),
-        *[f"total_{m}" for m in metrics],
+    totals = [f"total_{m}" for m in metrics]
+    rows = found.join(route_totals(found, edges, metrics), ["source", "node"], "left")
+    # At most one row is found; the aggregate also gives one when there is none.
+    best = rows.agg(F.max(F.struct("cost", "path", *totals)).alias("r"))
+    nowhere = F.array().cast(found.schema["path"].dataType)
+    return best.select(
+        F.lit(start).cast(node_type).alias("start"),
+        F.lit(end).cast(node_type).alias("end"),
+        "r.cost",
+        F.coalesce("r.path", nowhere).alias("path"),
+        *[F.col(f"r.{t}").alias(t) for t in totals],
     )
 
 

@@ -18,6 +18,8 @@ from tallyroute.operators.schema import col
 from tallyroute.session import materialize
 
 ERROR = "error"
+# Integer fields are stored in 32 bits.
+INT_LIMIT = 2**31 - 1
 UNKNOWN_FAILURE = "Unknown batch prediction failure"
 
 
@@ -85,7 +87,7 @@ class FieldRule:
             check = check.when(~numeric.is_finite(parsed), said("Input should be a finite number")).when(
                 parsed != F.floor(parsed).cast("double"),
                 said("Input should be a valid integer, got a number with a fractional part"),
-            )
+            ).when(F.abs(parsed) > F.lit(float(INT_LIMIT)), said("Input should be a valid integer"))
         if self.low is not None:
             check = check.when(
                 parsed < F.lit(float(self.low)), said(f"Input should be greater than or equal to {self.low:g}")

@@ -72,6 +72,7 @@ def test_bounds_are_inclusive(spark):
         ({"age": "3.5"}, "age: Input should be a valid integer, got a number with a fractional part"),
         ({"age": None}, "age: Input should be a valid integer"),
         ({"age": "x"}, "age: Input should be a valid integer, unable to parse string as an integer"),
+        ({"backlogs": "3000000000"}, "backlogs: Input should be a valid integer"),
         ({"cgpa": "3d"}, "cgpa: Input should be a valid number, unable to parse string as a number"),
         ({"cgpa": "inf"}, "cgpa: Input should be less than or equal to 10"),
         ({"family_income": "inf"}, "Field 'family_income' must be finite"),
