@@ -108,8 +108,10 @@ def exact_split(
     hashed = df.withColumn("_h", seeded_hash(key, seed))
     cuts = _find(hashed.select("_h"), whole, 32)
     if any(c.inside for c in cuts.values()):
-        # A repeated key sits on a cut: continue with a hash over whole rows.
-        hashed = df.withColumn("_h", F.concat(seeded_hash(key, seed), seeded_hash(columns, seed)))
+        # A repeated key sits on a cut: its copies, and only they, get a hash over the whole row.
+        tied = sorted({c.prefix for c in cuts.values() if c.inside})
+        rest = F.when(F.col("_h").isin(tied), seeded_hash(columns, seed)).otherwise(F.lit(""))
+        hashed = hashed.withColumn("_h", F.concat("_h", rest))
         cuts = _find(hashed.select("_h"), cuts, 64)
 
     label = (

@@ -75,7 +75,8 @@ def csv_to_parquet(spark: SparkSession, source: str, target: str, schema: T.Stru
 
 
 def write_snappy(df: DataFrame, path: str, partition_by: str | None = None) -> None:
-    writer = df.write.option("compression", "snappy")
+    """Write Parquet in place of an older table; ``df`` must not read from ``path``."""
+    writer = df.write.mode("overwrite").option("compression", "snappy")
     if partition_by:
         writer = writer.partitionBy(partition_by)
     writer.parquet(path)

@@ -6,8 +6,8 @@ from pyspark.sql import DataFrame, SparkSession
 
 
 def write_document(document: DataFrame, path: str) -> None:
-    """Write a one-row nested frame as a JSON document, nulls included."""
-    document.coalesce(1).write.option("ignoreNullFields", "false").json(path)
+    """Write a one-row nested frame as a JSON document, nulls included, in place of an older one."""
+    document.coalesce(1).write.mode("overwrite").option("ignoreNullFields", "false").json(path)
 
 
 def read_document(spark: SparkSession, path: str) -> DataFrame:

@@ -187,7 +187,7 @@ def student_csv(path, n=400):
     write_csv(path, rows)
 
 
-def test_prepare_train_and_score(spark, tmp_path):
+def test_prepare_train_and_score(spark, tmp_path, monkeypatch):
     student_csv(tmp_path / "students.csv")
     out = str(tmp_path / "out")
     table = student.prepare(spark, str(tmp_path / "students.csv"), out)
@@ -207,6 +207,11 @@ def test_prepare_train_and_score(spark, tmp_path):
     record = metadata.read_document(spark, f"{out}/model_metadata").first()
     assert record["val_metrics"]["roc_auc"] > 0.6
 
+    monkeypatch.setattr(model, "SEARCH_SPACE", {"maxDepth": lambda r: r.randint(1, 2), "maxIter": lambda r: r.randint(2, 3)})
+    tuned = student.train(spark, out, student.FEATURES, trials=2)
+    record = metadata.read_document(spark, f"{out}/model_metadata").first()
+    assert record["best_params"]["maxDepth"] in (1, 2) and 0.3 <= tuned.threshold < 0.75
+
     write_csv(tmp_path / "up.csv", [GOOD, {**GOOD, "age": "1"}])
     results = student.batch_score(spark, str(tmp_path / "up.csv"), trained.model, trained.threshold)
     got = results.orderBy("row_index").collect()
