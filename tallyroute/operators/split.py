@@ -20,6 +20,14 @@ from tallyroute.sources.parquetfiles import SPLIT_NAMES
 SEED = 42
 # Hex digits settled per step: at most 16 ** 3 counts come back.
 _DIGITS = 3
+# Hex digits that fit a long; two longs cover what is left of a hash after the first step.
+_LONG_DIGITS = 15
+
+
+def _spans(depth: int, width: int) -> list[tuple[int, int]]:
+    """Start and size of the next up to two groups of digits."""
+    starts = [depth, depth + _LONG_DIGITS]
+    return [(s, min(_LONG_DIGITS, width - s)) for s in starts if s < width]
 
 
 def seeded_hash(key: Sequence[str], seed: int) -> Column:
@@ -42,17 +50,22 @@ class _Cut:
     size: int
 
 
-def _descend(hashed: DataFrame, wanted: dict[str, _Cut]) -> dict[str, _Cut]:
+def _descend(hashed: DataFrame, wanted: dict[str, _Cut], width: int) -> dict[str, _Cut]:
     """Extend each cut's prefix by the next digits, all cuts in one pass.
 
-    A group that turns out to hold a single hash is settled at once, so copies of one key cost
-    one step however many there are.
+    After the first step a group also tells whether its rows agree on the digits that follow.
+    If so these are settled at once: copies of one key cost a few steps however many there
+    are. The digits are compared as numbers, which keeps the counting in a hash aggregate.
     """
     depth = len(next(iter(wanted.values())).prefix)
     prefixes = sorted({cut.prefix for cut in wanted.values()})
     rows = hashed if depth == 0 else hashed.filter(F.substring("_h", 1, depth).isin(prefixes))
+    spans = _spans(depth, width) if depth else []
+    numbers = [F.conv(F.substring("_h", start + 1, size), 16, 10).cast("long") for start, size in spans]
     counts = rows.groupBy(F.substring("_h", 1, depth + _DIGITS).alias("p")).agg(
-        F.count("*").alias("n"), F.min("_h").alias("low"), F.max("_h").alias("high")
+        F.count("*").alias("n"),
+        F.array(*[F.min(x) for x in numbers]).alias("low"),
+        F.array(*[F.max(x) for x in numbers]).alias("high"),
     )
     found = sorted(map(tuple, counts.collect()))  # at most 2 * 16 ** 3 rows
     result = {}
@@ -62,7 +75,9 @@ def _descend(hashed: DataFrame, wanted: dict[str, _Cut]) -> dict[str, _Cut]:
             if not prefix.startswith(cut.prefix):
                 continue
             if left < n:
-                result[name] = _Cut(low if low == high else prefix, left, n)
+                if spans and low == high:
+                    prefix = cut.prefix + "".join(f"{x:0{size}x}" for x, (_, size) in zip(low, spans))
+                result[name] = _Cut(prefix, left, n)
                 break
             left -= n
         else:
@@ -76,7 +91,7 @@ def _find(hashed: DataFrame, open_cuts: dict[str, _Cut], width: int) -> dict[str
     open_cuts = {k: c for k, c in open_cuts.items() if k not in settled}
     while open_cuts:
         depth = min(len(c.prefix) for c in open_cuts.values())
-        step = _descend(hashed, {k: c for k, c in open_cuts.items() if len(c.prefix) == depth})
+        step = _descend(hashed, {k: c for k, c in open_cuts.items() if len(c.prefix) == depth}, width)
         open_cuts.update(step)
         done = {k: c for k, c in open_cuts.items() if c.prefix and (c.inside == 0 or len(c.prefix) >= width)}
         settled.update(done)
