@@ -303,22 +303,19 @@ def payloads(records: DataFrame) -> DataFrame:
 
 def catalogue(decoded: DataFrame) -> DataFrame:
     """``payloads`` without the payload, revisits completed from the responses they refer to."""
-    rows = materialize(decoded.drop("payload"), "catalogue")
+    rows = materialize(decoded.drop("payload"), "catalogue").select(
+        "record_id", "record_type", "target_uri", "refers_to", "payload_bytes", "payload_digest", "fault"
+    )
     stored = rows.where("record_type = 'response'").groupBy(F.col("record_id").alias("refers_to")).agg(
         F.max("payload_bytes").alias("stored_bytes"), F.max("payload_digest").alias("stored_digest")
     )
-    revisit = F.col("record_type") == "revisit"
-    joined = rows.join(stored, "refers_to", "left")
-    missing = F.when(revisit & ~F.col("payload_digest").eqNullSafe(F.col("stored_digest")), F.lit("no such response"))
-    return joined.select(
-        "record_id",
-        "record_type",
-        "target_uri",
-        "refers_to",
-        F.when(revisit, F.col("stored_bytes")).otherwise(F.col("payload_bytes")).alias("payload_bytes"),
-        "payload_digest",
+    missing = F.when(~F.col("payload_digest").eqNullSafe(F.col("stored_digest")), F.lit("no such response"))
+    # Only revisits take part in the join: a null reference would gather all other records in one task.
+    revisits = rows.where("record_type = 'revisit'").join(stored, "refers_to", "left").select(
+        "record_id", "record_type", "target_uri", "refers_to", F.col("stored_bytes").alias("payload_bytes"), "payload_digest",
         F.coalesce("fault", missing).alias("fault"),
-    )
+    )
+    return rows.where("not record_type <=> 'revisit'").unionByName(revisits)
 
 
 def archived(pages: DataFrame, key: str = "page_id", url: str = "url", html: str = "html", segment_bytes: int = SEGMENT_BYTES) -> DataFrame:
