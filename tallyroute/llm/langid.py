@@ -122,7 +122,7 @@ def fit(samples: list[tuple[str, str]], common_first: list[str] | None = None) -
         if total:
             known.append(language)
             tables.append(parsing_table(suffix_automaton(np.concatenate(parts).tolist()), width))
-            bits.append(float(np.log2(total + 1)))
+            bits.append(float(np.log2(total + width)))  # a phrase is a place in the sample or a single symbol
     return Model(known, table, letters, width, tables, bits)
 
 

@@ -13,7 +13,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tallyroute.llm.rows import map_rows, utf8
+from tallyroute.llm.rows import key_type, map_rows, utf8
 
 SYMBOLS = b"#*$%&|<>"
 BLANKS = bytes([0x20, *range(0x09, 0x0E)])
@@ -101,9 +101,9 @@ STRICT = Policy("v2", PRODUCTION.rules + ("few_words_strict", "some_symbols"))
 
 def ledger(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
     """key, MEASURES and failed_bits for every row: null and empty texts measure zero, repeated rows each get a row."""
-    kind = docs.schema[key].dataType.simpleString()
+    kind, arrow_kind = key_type(docs, key)
     source = docs.select(F.col(f"`{key}`").alias("key"), utf8(text).alias("text"))
-    arrow = pa.schema([("key", _arrow_type(kind))] + [(name, pa.int64()) for name in MEASURES])
+    arrow = pa.schema([("key", arrow_kind)] + [(name, pa.int64()) for name in MEASURES])
     measured = map_rows(
         source, arrow, f"key {kind}, " + ", ".join(f"{name} long" for name in MEASURES), lambda key, text: [(key, *measure(text))]
     )
@@ -113,10 +113,6 @@ def ledger(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFram
     return measured.select(F.col("key").alias(key), *MEASURES, bits.alias("failed_bits"))
 
 
-def _arrow_type(kind: str) -> pa.DataType:
-    return {"bigint": pa.int64(), "int": pa.int32(), "string": pa.string()}[kind]
-
-
 def _broken(bits: Column, mask: int) -> Column:
     return F.bit_count(bits.bitwiseAND(F.lit(mask).cast("long")))
 

@@ -107,15 +107,12 @@ FROM firsts
 @query("op2_warc_segments", WARC_SQL)
 def op2_warc_segments(spark, sf_dir):
     """All pages written as WARC archives and read back: what the archives hold of each."""
-
-    def page(name):
-        return F.when(F.col(name) != "urn:page:", F.substring_index(name, ":", -1).cast("long"))
-
     found = warc.archived(table(spark, sf_dir, "pages").select("page_id", "url", "html"))
     checked = F.when(F.col("fault").isNull(), F.col("payload_digest")).otherwise(F.raise_error(F.concat(F.lit("WARC: "), "fault")))
     return found.select(
-        page("record_id").alias("page_id"), "payload_bytes", checked.alias("payload_digest"), "record_type", page("refers_to").alias("refers_to")
-    )
+        warc.page_of(F.col("record_id")).cast("long").alias("page_id"), "payload_bytes", checked.alias("payload_digest"), "record_type",
+        warc.page_of(F.col("refers_to")).cast("long").alias("refers_to"),
+    )
 
 
 @query("op3_decontaminate")

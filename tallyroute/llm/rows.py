@@ -47,6 +47,12 @@ def as_batch(rows: list[tuple], schema: pa.Schema) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays(columns, schema=schema)
 
 
+def key_type(df: DataFrame, key: str) -> tuple[str, pa.DataType]:
+    """The SQL and the Arrow type of a key column: whole numbers or text."""
+    kind = df.schema[key].dataType.simpleString()
+    return kind, {"bigint": pa.int64(), "int": pa.int32(), "string": pa.string()}[kind]
+
+
 def utf8(name: str) -> Column:
     """A string column as its UTF-8 bytes; null stays null."""
     return F.col(f"`{name}`").cast("binary")

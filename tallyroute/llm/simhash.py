@@ -20,7 +20,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tallyroute.llm.rows import map_rows, packed, unpacked, utf8
+from tallyroute.llm.rows import key_type, map_rows, packed, unpacked, utf8
 from tallyroute.session import materialize
 
 HASH_SEED = 42
@@ -210,8 +210,8 @@ def components(edges: DataFrame) -> DataFrame:
 
 
 def fingerprints(docs: DataFrame, key: str, text: str, width: int) -> DataFrame:
-    kind = docs.schema[key].dataType.simpleString()
-    arrow = pa.schema([("key", {"bigint": pa.int64(), "int": pa.int32(), "string": pa.string()}[kind]), ("fp", pa.int64())])
+    kind, arrow_kind = key_type(docs, key)
+    arrow = pa.schema([("key", arrow_kind), ("fp", pa.int64())])
     source = docs.select(F.col(f"`{key}`").alias("key"), utf8(text).alias("text"))
     return map_rows(source, arrow, f"key {kind}, fp long", lambda key, text: [(key, fingerprint(shingle_hashes(text, width)))])
 
@@ -247,10 +247,8 @@ def keep_first(docs: DataFrame, key: str = "doc_id", text: str = "text", width:
     SHA-256 stays, and of equal rows one. Rows are told apart by (key, fingerprint, SHA-256 of the text).
     """
     source = docs.select(packed(docs), F.col(f"`{key}`").alias("key"), utf8(text).alias("text"), F.sha2(utf8(text), 256).alias("sha"))
-    kind = docs.schema[key].dataType.simpleString()
-    arrow = pa.schema(
-        [("key", {"bigint": pa.int64(), "int": pa.int32(), "string": pa.string()}[kind]), ("sha", pa.string()), ("fp", pa.int64())]
-    )
+    kind, arrow_kind = key_type(docs, key)
+    arrow = pa.schema([("key", arrow_kind), ("sha", pa.string()), ("fp", pa.int64())])
     marked = materialize(
         map_rows(
             source.select("key", "text", "sha"),

@@ -127,8 +127,15 @@ def records_of(record_id: str, uri: str | None, payload: bytes, digest: str, ref
         yield record(fields, block[at : at + segment_bytes])
 
 
-def record_name(kind: str, key: Column) -> Column:
-    return F.concat(F.lit(f"urn:{kind}:"), F.coalesce(key.cast("string"), F.lit("")))
+def page_name(key: Column) -> Column:
+    """What a reference calls a page. A record's identifier is this name and a number that tells repeated keys apart."""
+    return F.concat(F.lit("urn:page:"), F.coalesce(key.cast("string"), F.lit("")))
+
+
+def page_of(name: Column) -> Column:
+    """The key in a page's name or in a record's identifier, as text; null for a null key."""
+    key = F.regexp_extract(name, r"(?s)^urn:page:(.*?)(?::\d+)?$", 1)
+    return F.when(key != "", key)
 
 
 def write_archives(pages: DataFrame, path: str, key: str = "page_id", url: str = "url", html: str = "html", segment_bytes: int = SEGMENT_BYTES) -> None:
@@ -151,8 +158,8 @@ def write_archives(pages: DataFrame, path: str, key: str = "page_id", url: str =
         .select("digest", "first_key")
     )
     decided = rows.join(materialize(shared, "shared"), "digest", "left")
-    refers = F.when(F.col("first_key").isNotNull() & ~F.col("key").eqNullSafe(F.col("first_key")), record_name("page", F.col("first_key")))
-    ready = decided.select(record_name("page", F.col("key")).alias("id"), "url", F.when(refers.isNull(), F.col("payload")).alias("payload"), "digest", refers.alias("refers"))
+    refers = F.when(F.col("first_key").isNotNull() & ~F.col("key").eqNullSafe(F.col("first_key")), page_name(F.col("first_key")))
+    ready = decided.select(F.concat_ws(":", page_name(F.col("key")), F.monotonically_increasing_id()).alias("id"), "url", F.when(refers.isNull(), F.col("payload")).alias("payload"), "digest", refers.alias("refers"))
 
     def each(record_id, uri, payload, digest, refers):
         for value in records_of(record_id, uri, payload or b"", digest, refers, segment_bytes):
@@ -306,12 +313,11 @@ def catalogue(decoded: DataFrame) -> DataFrame:
     rows = materialize(decoded.drop("payload"), "catalogue").select(
         "record_id", "record_type", "target_uri", "refers_to", "payload_bytes", "payload_digest", "fault"
     )
-    stored = rows.where("record_type = 'response'").groupBy(F.col("record_id").alias("refers_to")).agg(
-        F.max("payload_bytes").alias("stored_bytes"), F.max("payload_digest").alias("stored_digest")
-    )
-    missing = F.when(~F.col("payload_digest").eqNullSafe(F.col("stored_digest")), F.lit("no such response"))
+    name = page_name(page_of(F.col("record_id"))).alias("refers_to")
+    stored = rows.where("record_type = 'response' and fault is null").groupBy(name, "payload_digest").agg(F.max("payload_bytes").alias("stored_bytes"))
+    missing = F.when(F.col("stored_bytes").isNull(), F.lit("no such response"))
     # Only revisits take part in the join: a null reference would gather all other records in one task.
-    revisits = rows.where("record_type = 'revisit'").join(stored, "refers_to", "left").select(
+    revisits = rows.where("record_type = 'revisit'").join(stored, ["refers_to", "payload_digest"], "left").select(
         "record_id", "record_type", "target_uri", "refers_to", F.col("stored_bytes").alias("payload_bytes"), "payload_digest",
         F.coalesce("fault", missing).alias("fault"),
     )
