@@ -54,7 +54,7 @@ def sort_timings(spark: SparkSession, sf: str) -> dict[str, float]:
     )
     timings = {}
     for n in SORT_SIZES:
-        head = ordering.first_rows(records, n).coalesce(1 if n <= 10_000 else 8).cache()
+        head = ordering.first_rows(records, n).cache()
         rows = head.count()
         if rows == n:
             ordered = ordering.sort_records(head, "FirstName", tie=["row_index"])

@@ -89,5 +89,5 @@ def canonical_priority(spark, sf):
 def ordered_feature_matrix(spark, sf):
     named = lineitem_records(spark, sf).select("l_linenumber", "l_quantity", F.col("l_tax").alias("tax"))
     renamed = schema.rename_aliases(named, {"tax": "l_tax"})
-    ordered = schema.enforce_order(renamed, ["l_tax", "l_quantity", "l_linenumber"])
+    ordered = schema.fitted(renamed, ["l_tax", "l_quantity", "l_linenumber"], exact=True)
     return ordered.withColumn("l_tax", F.col("l_tax") + 0.0)

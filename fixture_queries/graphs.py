@@ -139,6 +139,21 @@ def adjacency_lists(spark, sf):
     )
 
 
+@query(
+    "adjacency_parts",
+    f"""WITH {CANONICAL_SQL} SELECT src, count(*) AS neighbours, CAST(sum(dst) AS BIGINT) AS total,
+  CAST(ceil(count(*) / 3.0) AS INTEGER) AS parts FROM mirrored GROUP BY src""",
+)
+def adjacency_parts(spark, sf):
+    """Lists cut into parts of about three: together they still hold every neighbour."""
+    lists = graph.adjacency(graph.undirected(graph.canonical_edges(trade_edges(spark, sf))), chunk=3)
+    return lists.groupBy("src").agg(
+        F.sum(F.size("neighbours")).alias("neighbours"),
+        F.sum(F.aggregate("neighbours", F.lit(0).cast("long"), lambda total, e: total + e["dst"])).alias("total"),
+        F.max("parts").alias("parts"),
+    )
+
+
 @query(
     "all_pairs_distance",
     f"WITH {DIRECTED_SQL}, {distance_sql('directed', 'd')} SELECT s AS source, n AS node, c AS cost FROM dist",
@@ -162,7 +177,7 @@ WHERE reached = (SELECT count(DISTINCT s) FROM {weight}_dist) ORDER BY total, s
 )
 def best_origin_per_metric(spark, sf):
     edges = graph.layered(graph.directed(trade_edges(spark, sf)), ["d", "t", "f"])
-    return graph.best_origin(graph.all_pairs(edges, "weight", layer="metric"), "metric")
+    return graph.cheapest_source(graph.source_totals(edges, "weight", layer="metric"), "metric")
 
 
 @query(

@@ -73,7 +73,7 @@ ORDER BY o_totalprice ASC NULLS LAST, o_orderkey LIMIT 50 OFFSET 13950""",
 )
 def orders_deep_page(spark, sf):
     spec = SearchSpec(
-        key=["o_orderkey"], sort_by="o_totalprice", page=280, limit=50, columns=["o_orderkey", "o_totalprice"]
+        key=["o_orderkey"], sort_by="o_totalprice", page=280, limit=50, columns=["o_orderkey", "o_totalprice"], deep=True
     )
     return search.page(table(spark, sf, "orders"), spec)
 

@@ -6,9 +6,13 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 
+#: Unicode white space and the four information separators.
+BLANK = r"[\s\x1c-\x1f]"
+
+
 def strip_space(col: Column) -> Column:
-    """Trim every kind of whitespace; Spark's ``trim`` alone leaves tabs and newlines."""
-    return F.regexp_replace(F.regexp_replace(col, r"^\s+", ""), r"\s+$", "")
+    """Trim every kind of white space, no-break and other Unicode blanks included."""
+    return F.regexp_replace(F.regexp_replace(col, rf"(?U)^{BLANK}+", ""), rf"(?U){BLANK}+\z", "")
 
 
 def contains_ignoring_case(col: Column, needle: str) -> Column:

@@ -1,4 +1,4 @@
-"""Evaluation of a (label, score) table. Scores are probabilities, compared at six decimals.
+"""Evaluation of a (label, score) table. Scores are compared as they are.
 
 Everything is reduced to counts first: per threshold bin, per confusion cell, or per distinct
 score. Nothing is joined or sorted row by row.
@@ -12,7 +12,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tallyroute.functions import numeric
-from tallyroute.operators.ordering import running_totals
+from tallyroute.operators.ordering import partition_of, running_totals
 from tallyroute.operators.schema import col
 from tallyroute.session import materialize
 
@@ -20,9 +20,6 @@ from tallyroute.session import materialize
 THRESHOLDS = tuple(0.3 + i * (0.31 - 0.3) for i in range(45))
 DEFAULT_THRESHOLD = 0.5
 CLASS_NAMES = ("Not Placed", "Placed")
-DIGITS = 6
-# Score buckets per unit: with six decimals each holds at most 10**6 / BUCKETS distinct scores.
-BUCKETS = 1000
 
 
 def _positives(label: str) -> Column:
@@ -152,28 +149,29 @@ def class_report(
     return _cells(df, label, prediction).select(F.inline(F.array(*lines)))
 
 
-def score_counts(df: DataFrame, label: str, score: str, digits: int = DIGITS) -> DataFrame:
+def score_counts(df: DataFrame, label: str, score: str) -> DataFrame:
     """score, pos, neg per distinct score, counted before the shuffle; unscored rows are left out."""
     usable = df.filter(numeric.is_finite(col(score)) & col(label).isin(0, 1))
     # Adding 0.0 folds the negative zero into the positive one.
-    return usable.groupBy((F.round(col(score), digits) + F.lit(0.0)).alias("score")).agg(
+    return usable.groupBy((col(score).cast("double") + F.lit(0.0)).alias("score")).agg(
         _positives(label).alias("pos"), _negatives(label).alias("neg")
     )
 
 
-def _written_counts(df: DataFrame, label: str, score: str) -> DataFrame:
-    """The counts as a table of their own: at most 10**6 + 1 rows, from a single pass over the data."""
-    return materialize(score_counts(df, label, score), "score_counts")
+def _cumulative(df: DataFrame, label: str, score: str) -> DataFrame:
+    """The counts with upto_pos and upto_neg, from the highest score down.
 
-
-def _cumulative(counts: DataFrame) -> DataFrame:
-    bucket = -F.floor(F.col("score") * BUCKETS)
-    return running_totals(counts, bucket, F.col("score").desc(), ["pos", "neg"])
+    They are range-partitioned by score and written in order; the partitions are the buckets of
+    the running totals, so any number of distinct scores is spread over the tasks.
+    """
+    place = F.monotonically_increasing_id()
+    counts = score_counts(df, label, score).orderBy(F.desc("score")).withColumn("_place", place)
+    return running_totals(materialize(counts, "score_counts"), partition_of("_place"), F.col("_place").asc(), ["pos", "neg"])
 
 
 def roc_auc(df: DataFrame, label: str, score: str) -> DataFrame:
     """One row: roc_auc, exact with ties counted half; null when a class is missing."""
-    runs = _cumulative(_written_counts(df, label, score))
+    runs = _cumulative(df, label, score)
     # Pairs won: positives of a score against all negatives below it, ties half, doubled to
     # stay whole. Decimal keeps the product of two large counts exact.
     wide = "decimal(20,0)"
@@ -192,14 +190,13 @@ def roc_auc(df: DataFrame, label: str, score: str) -> DataFrame:
 
 def roc_points(df: DataFrame, label: str, score: str) -> DataFrame:
     """threshold, fpr, tpr for every distinct score, from (0, 0) at threshold infinity."""
-    counts = _written_counts(df, label, score)
-    runs = _cumulative(counts).select("score", "upto_pos", "upto_neg")
-    totals = counts.agg(F.sum("pos").alias("p"), F.sum("neg").alias("n"))
+    runs = _cumulative(df, label, score)
+    totals = runs.agg(F.sum("pos").alias("p"), F.sum("neg").alias("n"))
     origin = totals.select(
         F.lit(float("inf")).alias("score"), F.lit(0).cast("long").alias("upto_pos"), F.lit(0).cast("long").alias("upto_neg")
     )
     p, n = totals.select("p").scalar(), totals.select("n").scalar()
-    return origin.unionByName(runs).select(
+    return origin.unionByName(runs.select(*origin.columns)).select(
         F.col("score").alias("threshold"),
         numeric.ratio(F.col("upto_neg"), n).alias("fpr"),
         numeric.ratio(F.col("upto_pos"), p).alias("tpr"),

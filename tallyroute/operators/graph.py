@@ -1,29 +1,28 @@
 """Weighted graphs as edge tables (src, dst, weights..., row).
 
 Shortest paths relax all frontier nodes at once: join the frontier with the edges, keep the
-best candidate per (source, node), stop when nothing improves. Each round is written as a
-table, so plans stay flat, a lost executor re-reads one table, and a small frontier is
-broadcast by its true size instead of shuffling the edges. Weights must not be negative;
+best candidate per (source, node), stop when nothing improves. Each round's improvements are
+written as a table, so plans stay flat, a lost executor re-reads tables, and a small frontier
+is broadcast by its true size instead of shuffling the edges. Weights must not be negative;
 among equal costs the lexicographically smallest path wins.
 """
 
 from __future__ import annotations
 
-import uuid
 from collections.abc import Mapping, Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
 from tallyroute.functions import formats
 from tallyroute.functions.text import path_text
-from tallyroute.session import discard, materialize_at, scratch_path
+from tallyroute.session import discard, materialize, materialize_at, release, scratch_mark, scratch_path
 
-# A node is a hub when it holds more than this share of all edges: there are at most
-# HUB_SHARE such nodes, and each is spread over as many salts as its share demands.
-HUB_SHARE = 64
-# Below this many edges no single join group is worth spreading.
-HUB_FLOOR = 1_000_000
+# Rounds whose improvements are kept apart before they are merged into one table of distances.
+MERGE_ROUNDS = 4
+# Rows of distances that one block of sources may give when only their totals are kept.
+BLOCK_ROWS = 100_000_000
 
 
 class NegativeWeight(ValueError):
@@ -75,42 +74,20 @@ def edge_count(edges: DataFrame) -> DataFrame:
     return edges.agg(F.count("*").alias("edges"))
 
 
-def _spread(edges: DataFrame, total: int) -> dict:
-    """Hub node -> number of salts; at most HUB_SHARE entries come to the driver."""
-    if total < HUB_FLOOR:
-        return {}
-    share = total / HUB_SHARE
-    degrees = edges.groupBy("src").agg(F.count("*").alias("n")).filter(F.col("n") > share)
-    return {r["src"]: int(-(-r["n"] // share)) for r in degrees.collect()}
-
-
-def _salts(node: Column, hubs: dict) -> Column:
-    if not hubs:
-        return F.lit(1)
-    table = F.create_map(*[F.lit(x) for pair in hubs.items() for x in pair])
-    return F.coalesce(F.try_element_at(table, node), F.lit(1))
-
-
 def adjacency(edges: DataFrame, chunk: int = 10_000) -> DataFrame:
-    """Neighbour lists: src, part, neighbours (structs in row order).
+    """Neighbour lists: src, part, parts, neighbours (structs in row order).
 
-    A list longer than ``chunk`` comes in several parts, so no array grows with a hub's degree.
+    A list longer than ``chunk`` comes in as many parts as its degree asks for, so no array and
+    no group grows with a hub. The large nodes' degrees are a written table: Spark copies it to
+    the edges if it is small and splits a hub's share of the join if it is not.
     """
     rest = [c for c in edges.columns if c not in ("src", "row")]
-    sizes = edges.groupBy("src").agg(F.count("*").alias("n")).filter(F.col("n") > chunk)
-    # Few nodes are large, so their sizes are copied to every salt and a hub's edges spread out.
-    large = sizes.select(
-        "src",
-        F.explode(F.sequence(F.lit(0), F.lit(HUB_SHARE - 1))).alias("_salt"),
-        F.ceil(F.col("n") / F.lit(chunk)).cast("int").alias("_parts"),
-    )
-    salted = edges.withColumn("_salt", F.pmod(F.xxhash64("row", "dst"), F.lit(HUB_SHARE)).cast("int"))
+    degrees = edges.groupBy("src").agg(F.count("*").alias("n")).filter(F.col("n") > chunk)
+    large = materialize(degrees.select("src", F.ceil(F.col("n") / F.lit(chunk)).cast("int").alias("_parts")), "degrees")
     parts = F.coalesce("_parts", F.lit(1))
-    keyed = salted.join(large, ["src", "_salt"], "left").withColumn(
-        "part", F.pmod(F.xxhash64("dst", "row"), parts).cast("int")
-    )
+    keyed = edges.join(large, "src", "left").withColumn("part", F.pmod(F.xxhash64("dst", "row"), parts).cast("int"))
     entries = F.array_sort(F.collect_list(F.struct("row", *rest)))
-    return keyed.groupBy("src", "part").agg(entries.alias("neighbours"))
+    return keyed.groupBy("src", "part").agg(F.max(parts).alias("parts"), entries.alias("neighbours"))
 
 
 def layered(edges: DataFrame, metrics: Sequence[str]) -> DataFrame:
@@ -119,39 +96,20 @@ def layered(edges: DataFrame, metrics: Sequence[str]) -> DataFrame:
     return edges.select("src", "dst", copies.alias("metric", "weight"))
 
 
-def _prepared(edges: DataFrame, weight: str, layer: list[str], folder: str) -> tuple[DataFrame, dict, str | None]:
-    """The cheapest edge per pair, checked and written once; with it the hubs' salts.
-
-    A table worth spreading is also bucketed by its join key, so that a round with a large
-    frontier joins in place and only the frontier is shuffled. The third value is then the
-    catalog name for the caller to drop.
-    """
-    spark = edges.sparkSession
+def _prepared(edges: DataFrame, weight: str, layer: list[str]) -> DataFrame:
+    """The cheapest edge per pair, checked and written once."""
     facts = Observation()
     best = (
         edges.select(*layer, "src", "dst", F.col(weight).cast("double").alias("w"))
         .filter(F.col("w").isNotNull())
         .groupBy(*layer, "src", "dst")
         .agg(F.min("w").alias("w"))
-        .observe(facts, F.count("*").alias("n"), F.min("w").alias("low"))
+        .observe(facts, F.min("w").alias("low"))
     )
-    table = materialize_at(best, f"{folder}/plain")
+    table = materialize(best, "edges")
     if facts.get["low"] is not None and facts.get["low"] < 0:
         raise NegativeWeight(f"negative value in '{weight}'")
-    if facts.get["n"] < HUB_FLOOR:
-        return table.withColumn("salt", F.lit(0)), {}, None
-    hubs = _spread(table, table.count())
-    salted = table.withColumn("salt", F.pmod(F.xxhash64("dst"), _salts(F.col("src"), hubs)).cast("int"))
-    buckets = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    name = f"tallyroute_edges_{uuid.uuid4().hex}"
-    keys = [*layer, "src", "salt"]
-    (
-        salted.repartition(buckets, *keys)
-        .write.bucketBy(buckets, *keys)
-        .option("path", f"{folder}/bucketed")
-        .saveAsTable(name)
-    )
-    return spark.table(name), hubs, name
+    return table
 
 
 def shortest_paths(
@@ -167,81 +125,94 @@ def shortest_paths(
 
     ``sources`` has one column ``node``; None takes every node of the graph. The result holds
     |sources| x |reached nodes| rows, so pass only the sources you need. With ``target`` the
-    search drops branches that already cost more than the best known way there; rows of other
+    search drops branches that cost more than the best known way there; rows of other
     nodes may then be incomplete. ``layer`` names a column that keeps independent graphs apart;
     they are searched in the same rounds, and sources and results carry it too.
     """
     if target is not None and layer:
         raise ValueError("a target needs a single graph")
     spark = edges.sparkSession
-    folder = scratch_path(spark, "edges")
     layers = [layer] if layer else []
-    table, hubs, name = _prepared(edges, weight, layers, folder)
-    try:
-        return _relax(table, hubs, sources, layers, with_path, target)
-    finally:
-        if name:
-            spark.sql(f"DROP TABLE IF EXISTS {name}")
-        discard(spark, folder)
-
-
-def _relax(
-    table: DataFrame, hubs: dict, sources: DataFrame | None, layers: list[str], with_path: bool, target
-) -> DataFrame:
-    spark = table.sparkSession
+    start = scratch_mark()
+    found = _relax(_prepared(edges, weight, layers), sources, layers, with_path, target)
+    path = scratch_path(spark, "paths")
+    result = materialize_at(found, path)
+    release(spark, start, keep=path)
+    return result
+
+
+def _relax(table: DataFrame, sources: DataFrame | None, layers: list[str], with_path: bool, target) -> DataFrame:
+    """Rounds of relaxation that only move what changed.
+
+    A round extends the rows improved by the last one, reduces the offers to the best per
+    (source, node) and looks these up in the distances known so far. What is better is written
+    as one more small table; a few of them are merged at a time. Offers are written before they
+    are looked up, so Spark sees their size: few are copied to the known rows, which then
+    aren't moved, and many are shuffled, where a hub's share is split.
+    """
     node_type = table.schema["src"].dataType
     origin = F.col("node").cast(node_type)
+    value = ["cost", "path"] if with_path else ["cost"]
+    keys = [*layers, "source", "node"]
     start = (nodes(table, layers) if sources is None else sources).select(
         *layers,
         origin.alias("source"),
         origin.alias("node"),
         F.lit(0.0).alias("cost"),
         *([F.array(origin).alias("path")] if with_path else []),
-        F.lit(True).alias("changed"),
     )
-    value = ["cost", "path"] if with_path else ["cost"]
-    path = scratch_path(spark, "round")
-    best = materialize_at(start.distinct(), path)
-    bound = None
+
+    def best(rows: DataFrame) -> DataFrame:
+        offer = F.struct(*value) if with_path else F.col("cost")
+        least = rows.groupBy(*keys).agg(F.min(offer).alias("_best"))
+        return least.select(*keys, *[F.col(f"_best.{v}").alias(v) for v in value]) if with_path else least.withColumnRenamed("_best", "cost")
+
+    def written(rows: DataFrame, label: str) -> tuple[DataFrame, str]:
+        path = scratch_path(spark, label)
+        return materialize_at(rows, path), path
+
+    spark = table.sparkSession
+    frontier, path = written(start.distinct(), "sources")
+    known, bound = [(frontier, path, frontier.count())], None
     while True:
-        frontier = best.filter("changed")
-        if bound is not None:
-            frontier = frontier.filter(F.col("cost") < F.lit(bound))
-        salts = F.explode(F.sequence(F.lit(0), _salts(F.col("node"), hubs) - 1)) if hubs else F.lit(0)
-        salted = frontier.select(*layers, "source", F.col("node").alias("src"), *value, salts.alias("salt"))
-        joined = table.join(salted, [*layers, "src", "salt"])
+        moving = frontier if bound is None else frontier.filter(F.col("cost") <= F.lit(bound))
+        ahead = moving.select(*layers, "source", F.col("node").alias("src"), *value)
+        steps = table.join(ahead, [*layers, "src"])
         if with_path:
-            joined = joined.filter(~F.array_contains("path", F.col("dst")))
-        steps = joined.select(
+            steps = steps.filter(~F.array_contains("path", F.col("dst")))
+        reached = steps.select(
             *layers,
             "source",
             F.col("dst").alias("node"),
             (F.col("cost") + F.col("w")).alias("cost"),
             *([F.concat("path", F.array("dst")).alias("path")] if with_path else []),
-            F.lit(False).alias("known"),
-        )
-        known = best.select(*layers, "source", "node", *value, F.lit(True).alias("known"))
-        offer = F.struct(*value) if with_path else F.col("cost")
-        merged = (
-            steps.unionByName(known)
-            .groupBy(*layers, "source", "node")
-            .agg(F.min(offer).alias("new"), F.min(F.when(F.col("known"), offer)).alias("old"))
         )
-        improved = F.col("old").isNull() | (F.col("new") < F.col("old"))
-        fields = [F.col(f"new.{v}").alias(v) for v in value] if with_path else [F.col("new").alias("cost")]
-        at_target = F.lit(False) if target is None else F.col("node") == F.lit(target)
+        offers, offered = written(best(reached), "offers")
+        everything = reduce(DataFrame.unionByName, [rows for rows, _, _ in known])
+        met = best(everything.join(offers.select(*keys), keys))
+        old, new = [F.struct(*[F.col(f"{side}.{v}") for v in value]) for side in ("old", "new")]
+        joined = offers.alias("new").join(met.alias("old"), keys, "left")
+        better = joined.filter(F.col("old.cost").isNull() | (new < old)).select(*keys, *[F.col(f"new.{v}").alias(v) for v in value])
         state = Observation()
-        observed = merged.select(*layers, "source", "node", *fields, improved.alias("changed")).observe(
-            state,
-            F.count_if("changed").alias("changed"),
-            F.max(F.when(at_target, F.col("cost"))).alias("reached"),
-        )
-        last, path = path, scratch_path(spark, "round")
-        best = materialize_at(observed, path)
-        discard(spark, last)
-        if state.get["changed"] == 0:
-            return best.drop("changed")
-        bound = state.get["reached"]
+        at_target = F.lit(False) if target is None else F.col("node") == F.lit(target)
+        seen = better.observe(state, F.count("*").alias("changed"), F.min(F.when(at_target, F.col("cost"))).alias("reached"))
+        frontier, path = written(seen, "better")
+        discard(spark, offered.rsplit("/", 1)[0])
+        if not state.get["changed"]:
+            return best(everything)
+        if state.get["reached"] is not None:
+            bound = state.get["reached"]
+        known.append((frontier, path, state.get["changed"]))
+        if len(known) > MERGE_ROUNDS:
+            # The large first table is only rewritten once the others have grown to half its size.
+            late = sum(n for _, _, n in known[1:])
+            kept = [] if 2 * late >= known[0][2] else known[:1]
+            gone = known[len(kept) :]
+            merged, merged_path = written(best(reduce(DataFrame.unionByName, [rows for rows, _, _ in gone])), "known")
+            frontier, path = written(frontier, "frontier")
+            for _, old_path, _ in gone:
+                discard(spark, old_path.rsplit("/", 1)[0])
+            known = [*kept, (merged, merged_path, sum(n for _, _, n in gone))]
 
 
 def distances(edges: DataFrame, sources: DataFrame, weight: str) -> DataFrame:
@@ -254,27 +225,59 @@ def all_pairs(edges: DataFrame, weight: str, *, with_path: bool = False, layer:
     return shortest_paths(edges, None, weight, with_path=with_path, layer=layer)
 
 
+def _total() -> Column:
+    at_home = F.col("node") == F.col("source")
+    return F.round(F.sum(F.when(at_home, F.lit(0.0)).otherwise(F.col("cost"))), 9)
+
+
 def origin_totals(pairs: DataFrame, layer: str | None = None) -> DataFrame:
     """source, total: summed cost to the others, only for sources that reach every node.
 
     ``pairs`` must hold all sources; each reaches itself, which gives the number of nodes.
     """
     layers = [layer] if layer else []
-    at_home = F.col("node") == F.col("source")
-    total = F.round(F.sum(F.when(at_home, F.lit(0.0)).otherwise(F.col("cost"))), 9)
-    reached = pairs.groupBy(*layers, "source").agg(F.count("*").alias("reached"), total.alias("total"))
-    # One row per source in ``reached``: their number is the number of nodes.
+    reached = pairs.groupBy(*layers, "source").agg(F.count("*").alias("reached"), _total().alias("total"))
+    return _complete(reached, reached, layer)
+
+
+def _complete(reached: DataFrame, every_node: DataFrame, layer: str | None) -> DataFrame:
+    """Of ``reached`` the sources that reach as many nodes as ``every_node`` has rows."""
     if layer:
-        everything = reached.groupBy(layer).agg(F.count("*").alias("nodes"))
+        everything = every_node.groupBy(layer).agg(F.count("*").alias("nodes"))
         whole = reached.join(everything, layer).filter(F.col("reached") == F.col("nodes"))
-    else:
-        whole = reached.filter(F.col("reached") == reached.agg(F.count("*")).scalar())
-    return whole.select(*layers, "source", "total")
+        return whole.select(layer, "source", "total")
+    return reached.filter(F.col("reached") == every_node.agg(F.count("*")).scalar()).select("source", "total")
+
+
+def source_totals(edges: DataFrame, weight: str, *, layer: str | None = None, block_rows: int = BLOCK_ROWS) -> DataFrame:
+    """``origin_totals`` of all pairs, keeping one row per source.
+
+    Sources are searched in blocks whose distances come to about ``block_rows`` rows; a block's
+    distances are reduced to its totals and deleted before the next one starts.
+    """
+    spark = edges.sparkSession
+    layers = [layer] if layer else []
+    every_node = materialize(nodes(edges, layers), "nodes")
+    n = every_node.count()
+    blocks = max(1, -(-n * n // block_rows))
+    totals = []
+    for block in range(blocks):
+        mark = scratch_mark()
+        some = every_node.filter(F.pmod(F.xxhash64("node"), F.lit(blocks)) == block)
+        pairs = shortest_paths(edges, some, weight, with_path=False, layer=layer)
+        path = scratch_path(spark, "totals")
+        totals.append(materialize_at(pairs.groupBy(*layers, "source").agg(F.count("*").alias("reached"), _total().alias("total")), path))
+        release(spark, mark, keep=path)
+    return _complete(reduce(DataFrame.unionByName, totals), every_node, layer)
 
 
 def best_origin(pairs: DataFrame, layer: str | None = None) -> DataFrame:
     """source, total of the cheapest origin, lowest node on ties; no row if none reaches all."""
-    totals = origin_totals(pairs, layer)
+    return cheapest_source(origin_totals(pairs, layer), layer)
+
+
+def cheapest_source(totals: DataFrame, layer: str | None = None) -> DataFrame:
+    """The row of the smallest total, per layer if there are any; the lowest node on ties."""
     best = F.min(F.struct("total", "source")).alias("b")
     if layer:
         return totals.groupBy(layer).agg(best).select(layer, "b.source", "b.total")

@@ -189,21 +189,16 @@ def contributions(df: DataFrame, model: LinearModel, keep: Sequence[str] = ()) -
 
 def explain(df: DataFrame, model: LinearModel, keep: Sequence[str], digits: int = 4) -> DataFrame:
     """Keep columns plus ``explanation``: (feature, value) by absolute value, ties by feature order."""
-    ranked = F.sort_array(
-        F.array(
-            *[
-                F.struct(
-                    (-F.abs(F.round(model.contribution(f), digits))).alias("size"),
-                    F.lit(i).alias("place"),
-                    F.lit(f).alias("feature"),
-                    (F.round(model.contribution(f), digits) + F.lit(0.0)).alias("value"),
-                )
-                for i, f in enumerate(model.features)
-            ]
-        )
-    )
-    pairs = F.transform(ranked, lambda e: F.struct(e["feature"].alias("feature"), e["value"].alias("value")))
-    return df.select(*[col(k) for k in keep], pairs.alias("explanation"))
+    # Each term is rounded once, in a projection of its own.
+    terms = [(F.round(model.contribution(f), digits) + F.lit(0.0)).alias(f"_term{i}") for i, f in enumerate(model.features)]
+    wide = df.select(*[col(k) for k in keep], *terms)
+    entries = [
+        F.struct((-F.abs(F.col(f"_term{i}"))).alias("size"), F.lit(i).alias("place"), F.lit(f).alias("feature"), F.col(f"_term{i}").alias("value"))
+        for i, f in enumerate(model.features)
+    ]
+    ranked = wide.select(*[col(k) for k in keep], F.sort_array(F.array(*entries)).alias("_ranked"))
+    pairs = F.arrays_zip(F.col("_ranked.feature").alias("feature"), F.col("_ranked.value").alias("value"))
+    return ranked.select(*[col(k) for k in keep], pairs.alias("explanation"))
 
 
 def importance(df: DataFrame, model: LinearModel, top: int = 20) -> DataFrame:

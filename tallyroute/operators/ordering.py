@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, Observation, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tallyroute.operators.schema import col
@@ -13,10 +13,6 @@ from tallyroute.session import materialize
 FILE_POSITION = "_position"
 # A monotonically increasing id holds the partition above this many bits of row counter.
 _PARTITION_BITS = 33
-# Pages that end below this rank are served by a top-k; deeper ones by position.
-TOP_K_LIMIT = 10_000
-# Up to this many file splits, at a few hundred bytes each, are broadcast.
-BROADCAST_SPLITS = 500_000
 
 
 def file_position() -> Column:
@@ -35,14 +31,14 @@ def file_position() -> Column:
 def with_row_index(df: DataFrame, position: str = FILE_POSITION, name: str = "row_index") -> DataFrame:
     """Turn a file position into a dense 0-based row number, without sorting the rows.
 
-    Rows of one split are numbered by their distance from the split's first row; the splits'
-    own offsets come from one small row per split. They are counted first, and broadcast only
-    when they are few; otherwise both sides are shuffled, in groups no larger than a split.
+    The rows are written once with their positions, so that a second scan cannot cut the files
+    elsewhere. Rows of one split are numbered by their distance from the split's first row; the
+    splits' own offsets come from one small row per split, and Spark chooses how to join them by
+    their size. A row whose split has no offset fails the job.
     """
     split = [F.col(f"{position}.file").alias("_file"), F.col(f"{position}.block").alias("_block")]
-    splits = df.groupBy(*split).agg(
-        F.min(f"{position}.seq").alias("_first"), F.count("*").alias("_rows")
-    )
+    written = materialize(df.select("*", *split), "rows")
+    splits = written.groupBy("_file", "_block").agg(F.min(f"{position}.seq").alias("_first"), F.count("*").alias("_rows"))
     files = splits.groupBy("_file").agg(F.sum("_rows").alias("_file_rows"))
     before_file = F.sum("_file_rows").over(Window.orderBy("_file")) - F.col("_file_rows")
     in_file = Window.partitionBy("_file").orderBy("_block")
@@ -55,11 +51,9 @@ def with_row_index(df: DataFrame, position: str = FILE_POSITION, name: str = "ro
             (F.col("_before_file") + F.col("_before_block") - F.col("_first")).alias("_shift"),
         )
     )
-    seen = Observation()
-    offsets = materialize(offsets.observe(seen, F.count("*").alias("splits")), "offsets")
-    side = F.broadcast(offsets) if seen.get["splits"] <= BROADCAST_SPLITS else offsets
-    keyed = df.select("*", *split).join(side, ["_file", "_block"])
-    index = F.col(f"{position}.seq") + F.col("_shift")
+    keyed = written.join(materialize(offsets, "offsets"), ["_file", "_block"], "left")
+    lost = F.raise_error(F.lit("a row belongs to no counted split")).cast("long")
+    index = F.col(f"{position}.seq") + F.coalesce("_shift", lost)
     return keyed.withColumn(name, index).drop(position, "_file", "_block", "_shift")
 
 
@@ -68,20 +62,25 @@ def first_rows(indexed: DataFrame, n: int | None, index: str = "row_index") -> D
     return indexed.filter(F.col(index) < n) if n else indexed
 
 
+def partition_of(row_id: str) -> Column:
+    """The partition in which a monotonically increasing id was given."""
+    return F.shiftright(row_id, _PARTITION_BITS)
+
+
 def with_position(ordered: DataFrame, name: str = "position") -> DataFrame:
     """Number the rows of an already globally sorted frame from 1, with no single-task window.
 
     The sort is written once; each row's number is its counter within the sorted partition
     plus the size of the partitions before it (one row per partition).
     """
-    part, seq = F.shiftright("_id", _PARTITION_BITS), F.col("_id").bitwiseAND((1 << _PARTITION_BITS) - 1)
+    part, seq = partition_of("_id"), F.col("_id").bitwiseAND((1 << _PARTITION_BITS) - 1)
     written = materialize(ordered.withColumn("_id", F.monotonically_increasing_id()), "sorted")
     sizes = written.groupBy(part.alias("_part")).agg(F.count("*").alias("_rows"))
     before = F.sum("_rows").over(Window.orderBy("_part")) - F.col("_rows")
     offsets = sizes.select("_part", before.alias("_before"))
     return (
         written.withColumn("_part", part)
-        .join(F.broadcast(offsets), "_part")
+        .join(materialize(offsets, "offsets"), "_part")
         .withColumn(name, seq + F.col("_before") + 1)
         .drop("_id", "_part", "_before")
     )
@@ -142,14 +141,14 @@ def first_ranked(ordered: DataFrame, order: Sequence[Column], n: int = 10, name:
     return top.withColumn(name, F.row_number().over(Window.orderBy(*order)))
 
 
-def page_of(df: DataFrame, order: Sequence[Column], page: int, limit: int) -> DataFrame:
+def page_of(df: DataFrame, order: Sequence[Column], page: int, limit: int, deep: bool = False) -> DataFrame:
     """Rows of one page under a total order.
 
-    Near pages are a distributed top-k. A deep page would carry its whole offset through one
-    task, so it is cut out of the numbered sort instead.
+    A distributed top-k, which carries the whole offset through one task, or with ``deep`` a page
+    cut out of the numbered sort, which writes the sorted table once. Both give the same rows.
     """
     offset = (page - 1) * limit
-    if offset + limit <= TOP_K_LIMIT:
+    if not deep:
         return df.orderBy(*order).offset(offset).limit(limit)
     numbered = with_position(df.orderBy(*order), "_rank")
     return numbered.filter(F.col("_rank").between(offset + 1, offset + limit)).drop("_rank")

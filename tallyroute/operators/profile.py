@@ -65,16 +65,16 @@ def _pair_correlation(left: str, right: str) -> Column:
 
 
 def _centres(df: DataFrame, columns: Sequence[str]) -> list[float]:
-    """A typical value per column, from a few rows. Sums of values shifted by it keep their digits."""
-    head = df.select(*[col(c).cast("double").alias(f"c{i}") for i, c in enumerate(columns)]).limit(1000)
-    row = head.agg(*[F.median(f"c{i}").alias(f"c{i}") for i in range(len(columns))]).first()
+    """The mean of each column's finite values, over all rows. Sums of values shifted by it keep their digits."""
+    values = [(f"c{i}", col(c).cast("double")) for i, c in enumerate(columns)]
+    row = df.agg(*[F.avg(F.when(numeric.is_finite(v), v)).alias(name) for name, v in values]).first()
     return [v if v is not None and math.isfinite(v) else 0.0 for v in row]
 
 
 def _correlations(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     """a, b, r for each pair of column numbers a < b that occur together.
 
-    One pass. Each row is stacked once per column, and the copy of column x adds up n, sum y,
+    One pass for the means, one for the sums. Each row is stacked once per column, and the copy of column x adds up n, sum y,
     sum xy and sum yy for every y: a few dozen plain sums that stay in one generated loop, where
     an aggregate per pair would not. They are reduced before the shuffle to one row per column.
     """

@@ -21,7 +21,8 @@ MAX_PAGE_SIZE = 50
 class SearchSpec:
     """What to find and which page of it to show.
 
-    ``key`` names the columns that make the order total; ``columns`` limits what is read.
+    ``key`` names the columns that make the order total; ``columns`` limits what is read. ``deep``
+    cuts the page out of a numbered sort, for pages far from the start (see ``page_of``).
     """
 
     key: Sequence[str]
@@ -34,6 +35,7 @@ class SearchSpec:
     page: int = 1
     limit: int = 10
     columns: Sequence[str] | None = None
+    deep: bool = False
 
     def __post_init__(self) -> None:
         if self.page < 1:
@@ -71,7 +73,7 @@ def page(df: DataFrame, spec: SearchSpec) -> DataFrame:
     """The rows of the requested page, in order."""
     found = matching(df, spec)
     shown = found.select(*[col(c) for c in spec.columns]) if spec.columns else found
-    return page_of(shown, order_of(df, spec), spec.page, spec.limit)
+    return page_of(shown, order_of(df, spec), spec.page, spec.limit, spec.deep)
 
 
 def page_after(df: DataFrame, spec: SearchSpec, last: Mapping[str, object]) -> DataFrame:

@@ -11,10 +11,13 @@ from __future__ import annotations
 from collections.abc import Sequence
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
+from tallyroute.operators.ordering import partition_of
 from tallyroute.operators.schema import col
+from tallyroute.session import materialize
 from tallyroute.sources.parquetfiles import SPLIT_NAMES
 
 SEED = 42
@@ -31,11 +34,28 @@ def _spans(depth: int, width: int) -> list[tuple[int, int]]:
 
 
 def seeded_hash(key: Sequence[str], seed: int) -> Column:
-    """32 hex digits from the seed and the key columns."""
+    """32 hex digits from the seed and the key columns. Keys that read alike tie and are told apart by their rows."""
     parts = [F.coalesce(col(k).cast("string"), F.lit("\u0000")) for k in key]
     return F.md5(F.concat(F.lit(f"{seed}:"), F.concat_ws("\u0001", *parts)))
 
 
+def _cell_text(df: DataFrame, name: str) -> Column:
+    """A cell as text that no other value of its column has; instants as microseconds."""
+    kind = df.schema[name].dataType
+    if isinstance(kind, (T.StructType, T.MapType, T.ArrayType, T.VariantType)):
+        return F.to_json(F.struct(col(name)), {"ignoreNullFields": "false"})
+    if isinstance(kind, T.TimestampType):
+        return F.unix_micros(col(name)).cast("string")
+    return F.hex(col(name)) if isinstance(kind, T.BinaryType) else col(name).cast("string")
+
+
+def row_hash(df: DataFrame, seed: int) -> Column:
+    """32 hex digits over all cells. Each is written with its length, so no two rows read alike."""
+    texts = [_cell_text(df, name) for name in df.columns]
+    parts = [F.coalesce(F.concat(F.length(t).cast("string"), F.lit(":"), t), F.lit("-")) for t in texts]
+    return F.md5(F.concat(F.lit(f"{seed}:"), *parts))
+
+
 def shuffle_rows(df: DataFrame, key: Sequence[str], seed: int = SEED) -> DataFrame:
     """All rows in a seeded pseudo-random order."""
     return df.orderBy(seeded_hash(key, seed), *[col(k) for k in key])
@@ -112,20 +132,20 @@ def exact_split(
 
     ``key`` should tell rows apart; without one all columns are the key. Copies of a key that
     fall on a cut are told apart by their other columns, and rows equal in every column are
-    handed out by number.
+    handed out by number. ``df`` must give the same rows each time it is read.
     """
     columns = df.columns
-    key = list(key) if key else columns
+    hashed = seeded_hash(list(key), seed) if key else row_hash(df, seed)
     n = df.count()
     ranks = {"val": int(n * train), "test": int(n * train) + int(n * val)}
     whole = {k: _Cut("", rank, n) for k, rank in ranks.items()}
 
-    hashed = df.withColumn("_h", seeded_hash(key, seed))
+    hashed = df.withColumn("_h", hashed)
     cuts = _find(hashed.select("_h"), whole, 32)
     if any(c.inside for c in cuts.values()):
         # A repeated key sits on a cut: its copies, and only they, get a hash over the whole row.
         tied = sorted({c.prefix for c in cuts.values() if c.inside})
-        rest = F.when(F.col("_h").isin(tied), seeded_hash(columns, seed)).otherwise(F.lit(""))
+        rest = F.when(F.col("_h").isin(tied), row_hash(df, seed)).otherwise(F.lit(""))
         hashed = hashed.withColumn("_h", F.concat("_h", rest))
         cuts = _find(hashed.select("_h"), cuts, 64)
 
@@ -139,25 +159,25 @@ def exact_split(
     if not shared:
         return labelled.drop("_h")
 
-    # Rows equal in every column straddle a cut: write out the right number of copies of each.
-    kept = labelled.filter(~F.col("_h").isin(shared)).drop("_h")
+    # Rows equal in every column straddle a cut: these rows are written once and numbered where they are.
+    part = partition_of("_id")
+    tied = labelled.filter(F.col("_h").isin(shared)).withColumn("_id", F.monotonically_increasing_id())
+    written = materialize(tied.withColumn("_part", part), "tied")
+    sizes = written.groupBy("_h", "_part").agg(F.count("*").alias("_rows"))
+    before = F.sum("_rows").over(Window.partitionBy("_h").orderBy("_part")) - F.col("_rows")
+    inside = F.row_number().over(Window.partitionBy("_h", "_part").orderBy("_id"))
+    numbered = written.withColumn("_n", inside).join(
+        materialize(sizes.select("_h", "_part", before.alias("_before")), "offsets"), ["_h", "_part"]
+    )
+    number = F.col("_before") + F.col("_n")
+    dealt = F.lit(None).cast("string")
     for prefix in shared:
-        size = next(c.size for c in cuts.values() if c.prefix == prefix)
-        into_val = next((c.inside for k, c in cuts.items() if k == "val" and c.prefix == prefix), None)
-        into_test = next((c.inside for k, c in cuts.items() if k == "test" and c.prefix == prefix), None)
-        first = into_val if into_val is not None else 0
-        second = into_test if into_test is not None else size
-        sample = hashed.filter(F.col("_h") == prefix).drop("_h").limit(1)
-        values = sample.collect()[0]
-        copies = df.sparkSession.range(size).select(
-            *[F.lit(values[f.name]).cast(f.dataType).alias(f.name) for f in df.schema.fields],
-            F.when(F.col("id") < first, SPLIT_NAMES[0])
-            .when(F.col("id") < second, SPLIT_NAMES[1])
-            .otherwise(SPLIT_NAMES[2])
-            .alias(name),
-        )
-        kept = kept.unionByName(copies)
-    return kept
+        of = {k: c.inside for k, c in cuts.items() if c.prefix == prefix}
+        first, second = of.get("val", 0), of.get("test", next(c.size for c in cuts.values() if c.prefix == prefix))
+        here = F.when(number <= first, SPLIT_NAMES[0]).when(number <= second, SPLIT_NAMES[1]).otherwise(SPLIT_NAMES[2])
+        dealt = F.when(F.col("_h") == prefix, here).otherwise(dealt)
+    rest = labelled.filter(~F.col("_h").isin(shared))
+    return rest.drop("_h").unionByName(numbered.withColumn(name, dealt).select(*map(col, [*columns, name])))
 
 
 def split_sizes(split: DataFrame, name: str = "split") -> DataFrame:

@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
+import atexit
 import tempfile
 import uuid
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -47,9 +49,49 @@ def shared_dir(spark: SparkSession) -> str:
     return context.getCheckpointDir().rstrip("/")
 
 
+#: Scratch folders not yet discarded, in the order they were named.
+_held: list[str] = []
+
+
 def scratch_path(spark: SparkSession, label: str) -> str:
-    """A new path below the shared folder, never used before."""
-    return f"{shared_dir(spark)}/tallyroute/{uuid.uuid4().hex}/{label}"
+    """A new path below the shared folder, never used before; the innermost ``scratch`` block releases it."""
+    folder = f"{shared_dir(spark)}/tallyroute/{uuid.uuid4().hex}"
+    _held.append(folder)
+    return f"{folder}/{label}"
+
+
+@contextmanager
+def scratch(spark: SparkSession):
+    """Tables written inside the block are deleted at its end: finish with their results before.
+
+    Outside of any block they stay until ``release`` or until the Python process ends.
+    """
+    start = len(_held)
+    try:
+        yield
+    finally:
+        release(spark, start)
+
+
+def scratch_mark() -> int:
+    """A point in time for ``release``."""
+    return len(_held)
+
+
+def release(spark: SparkSession, start: int = 0, keep: str | None = None) -> None:
+    """Delete the scratch folders named since ``start``, but for the one that holds ``keep``."""
+    for folder in _held[start:]:
+        if keep is None or not keep.startswith(f"{folder}/"):
+            discard(spark, folder)
+
+
+def _release_at_exit() -> None:
+    spark = SparkSession.getActiveSession()
+    if spark is not None and _held:
+        release(spark)
+
+
+atexit.register(_release_at_exit)
 
 
 def materialize_at(df: DataFrame, path: str) -> DataFrame:
@@ -74,3 +116,5 @@ def discard(spark: SparkSession, path: str) -> None:
     jvm = spark.sparkContext._jvm
     target = jvm.org.apache.hadoop.fs.Path(path)
     target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(target, True)
+    folder = path.rstrip("/")
+    _held[:] = [held for held in _held if held != folder and not folder.startswith(f"{held}/")]

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tallyroute.operators.ordering import FILE_POSITION, file_position
-from tallyroute.operators.schema import cast_strict, require_columns
+from tallyroute.operators.schema import cast_strict, fitted
 
 
 class EmptyUpload(ValueError):
@@ -25,21 +25,25 @@ class UnreadableUpload(ValueError):
 
 
 def read_records(spark: SparkSession, path: str) -> DataFrame:
-    """Every column as text, plus the row's place in its file (see ``file_position``)."""
-    raw = spark.read.csv(path, header=True, inferSchema=False, escape='"')
+    """Every column as text, plus the row's place in its file (see ``file_position``).
+
+    Quoted cells may hold line breaks, so a file is read by one task.
+    """
+    raw = spark.read.csv(path, header=True, inferSchema=False, escape='"', multiLine=True)
     return raw.select("*", file_position().alias(FILE_POSITION))
 
 
 def read_strict(
-    spark: SparkSession, path: str, schema: T.StructType, target: str | None = None
+    spark: SparkSession, path: str, schema: T.StructType, target: str | None = None, line_breaks: bool = False
 ) -> DataFrame:
     """Typed scan: a value that does not fit its declared type fails the job, as does a missing column.
 
-    Columns beyond the schema are kept as text. Rows without a target are left out.
+    Columns beyond the schema are kept as text. Rows without a target are left out. With
+    ``line_breaks`` quoted cells may hold them and a file is read by one task; without, files are
+    split, and a row that such a cell has broken fails the job for its number of cells.
     """
-    raw = spark.read.csv(path, header=True, inferSchema=False, escape='"')
-    require_columns(raw, schema.fieldNames())
-    typed = cast_strict(raw, schema)
+    raw = spark.read.csv(path, header=True, inferSchema=False, escape='"', multiLine=line_breaks, mode="FAILFAST")
+    typed = cast_strict(fitted(raw, schema.fieldNames()), schema)
     return typed.filter(F.col(target).isNotNull()) if target else typed
 
 
@@ -67,9 +71,11 @@ class Conversion:
     columns: int
 
 
-def csv_to_parquet(spark: SparkSession, source: str, target: str, schema: T.StructType) -> Conversion:
+def csv_to_parquet(
+    spark: SparkSession, source: str, target: str, schema: T.StructType, line_breaks: bool = False
+) -> Conversion:
     """Convert and report. The row count comes from the written files' footers, not a second CSV scan."""
-    write_snappy(read_strict(spark, source, schema), target)
+    write_snappy(read_strict(spark, source, schema, line_breaks=line_breaks), target)
     written = spark.read.parquet(target)
     return Conversion(target, written.count(), len(written.columns))
 

@@ -1,5 +1,6 @@
 import hashlib
 import random
+from dataclasses import replace
 
 import pytest
 from pyspark.sql import functions as F
@@ -27,6 +28,30 @@ def test_row_index_follows_file_order_over_many_files_and_splits(spark):
         spark.conf.unset("spark.sql.files.openCostInBytes")
 
 
+def test_row_index_survives_another_cut_of_the_files(spark):
+    """The split size changes between building the frame and reading it: every row still comes back."""
+    path = scratch_path(spark, "rows")
+    spark.range(40_000).coalesce(1).write.option("header", True).csv(path)
+    try:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", "20000")
+        indexed = ordering.with_row_index(csvfiles.read_records(spark, path))
+        spark.conf.set("spark.sql.files.maxPartitionBytes", "7000")
+        assert indexed.filter(F.col("id").cast("long") == F.col("row_index")).count() == 40_000
+    finally:
+        spark.conf.unset("spark.sql.files.maxPartitionBytes")
+
+
+def test_quoted_line_breaks(spark, tmp_path):
+    (tmp_path / "a.csv").write_text('k,s,n\n1,"x\ny ""z""",2\n3,plain,4\n')
+    rows = ordering.with_row_index(csvfiles.read_upload(spark, str(tmp_path))).orderBy("row_index").collect()
+    assert [tuple(r) for r in rows] == [("1", 'x\ny "z"', "2", 0), ("3", "plain", "4", 1)]
+    kinds = spark.createDataFrame([], "k int, s string, n int").schema
+    whole = csvfiles.read_strict(spark, str(tmp_path), kinds, line_breaks=True).collect()
+    assert [tuple(r) for r in whole] == [(1, 'x\ny "z"', 2), (3, "plain", 4)]
+    with pytest.raises(Exception, match="MALFORMED"):
+        csvfiles.read_strict(spark, str(tmp_path), kinds).collect()
+
+
 def records(spark, rows):
     return spark.createDataFrame(
         [(i, *r) for i, r in enumerate(rows)], "row_index long, ID string, FirstName string"
@@ -66,12 +91,11 @@ def test_running_totals_match_a_loop(spark):
         assert row["upto_n"] == total
 
 
-def test_deep_and_near_pages_are_the_same(spark, monkeypatch):
+def test_deep_and_near_pages_are_the_same(spark):
     df = spark.range(300).select("id", (F.col("id") * 37 % 11).alias("k"))
     spec = SearchSpec(key=["id"], sort_by="k", descending=True, page=7, limit=20)
     near = [tuple(r) for r in search.page(df, spec).collect()]
-    monkeypatch.setattr(ordering, "TOP_K_LIMIT", 0)
-    deep = sorted((tuple(r) for r in search.page(df, spec).collect()), key=lambda r: (-r[1], r[0]))
+    deep = sorted((tuple(r) for r in search.page(df, replace(spec, deep=True)).collect()), key=lambda r: (-r[1], r[0]))
     assert near == deep and len(near) == 20
 
 
@@ -165,6 +189,21 @@ def test_split_with_one_hot_key_and_identical_rows(spark):
     assert done.count() == 200
 
 
+def test_split_keeps_rows_that_read_alike(spark):
+    """Keys and cells whose texts collide when joined, instants of one wall-clock time, and nested cells."""
+    alike = [("a\u0001", "b", None), ("a", "\u0001b", None), ("n", None, 1), ("n", "\u0000", 1), ("n", "\u0000", 1)] * 40
+    table = spark.createDataFrame(alike, "k string, v string, n int")
+    for key in (["k", "v"], None):
+        done = split.exact_split(table, key)
+        assert sizes(done) == {"train": 140, "val": 30, "test": 30}
+        assert done.drop("split").exceptAll(table).count() == 0 and table.exceptAll(done.drop("split")).count() == 0
+    nested = table.select(F.struct("k", "n").alias("s"), F.create_map(F.lit("x"), "v").alias("m"), F.array("n").alias("a"))
+    done = split.exact_split(nested).withColumn("text", F.concat(F.to_json("s"), F.to_json("m")))
+    assert sizes(done) == {"train": 140, "val": 30, "test": 30}
+    texts = nested.select(F.concat(F.to_json("s"), F.to_json("m")).alias("text"))
+    assert done.select("text").exceptAll(texts).count() == 0
+
+
 def test_shuffle_is_reproducible(spark):
     a = [r["id"] for r in split.shuffle_rows(spark.range(50).repartition(7), ["id"]).collect()]
     b = [r["id"] for r in split.shuffle_rows(spark.range(50), ["id"]).collect()]

@@ -55,13 +55,12 @@ def test_column_stats_and_odd_names(spark):
 
 def test_schema_checks(spark):
     df = spark.createDataFrame([(1, 2)], "b int, a int")
-    assert schema.enforce_order(df, ["a", "b"]).columns == ["a", "b"]
-    with pytest.raises(ValueError, match="missing required model features: c"):
-        schema.enforce_order(df, ["a", "b", "c"])
-    with pytest.raises(ValueError, match="unexpected features: b"):
-        schema.enforce_order(df, ["a"])
-    with pytest.raises(ValueError, match="Missing columns"):
-        schema.require_columns(df, ["z"])
+    assert schema.fitted(df, ["a", "b"], exact=True).columns == ["a", "b"]
+    assert schema.fitted(df, ["a"]).columns == ["b", "a"]
+    for declared, exact, absent, surplus in [(["a", "b", "c"], True, ["c"], []), (["a"], True, [], ["b"]), (["z"], False, ["z"], ["a", "b"])]:
+        with pytest.raises(schema.ColumnMismatch, match="differ from the declaration") as error:
+            schema.fitted(df, declared, exact=exact)
+        assert (error.value.absent, error.value.surplus) == (absent, surplus)
 
 
 def scored(spark, rows):
