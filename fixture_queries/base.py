@@ -56,6 +56,17 @@ def scored_lineitem(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
+def raw_scored_lineitem(spark: SparkSession, sf: str) -> DataFrame:
+    """label, score: as many scores as prices, unrounded; one division gives the same double in both engines."""
+    price = F.col("l_extendedprice").cast("double")
+    return lineitem_records(spark, sf).select(F.col("placed").alias("label"), (price / (price + F.lit(25000.0))).alias("score"))
+
+
+RAW_SCORED_SQL = """scored AS (
+  SELECT CAST(l_returnflag = 'R' AS INTEGER) AS label,
+    CAST(l_extendedprice AS DOUBLE) / (CAST(l_extendedprice AS DOUBLE) + CAST(25000.0 AS DOUBLE)) AS score FROM lineitem
+)"""
+
 SCORED_SQL = f"""scored AS (
   SELECT CAST(l_returnflag = 'R' AS INTEGER) AS label, round({SCORE_SQL}, 6) AS score FROM lineitem
 )"""

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from fixture_queries.base import SCORED_SQL, THRESHOLD, query, scored_lineitem
+from fixture_queries.base import RAW_SCORED_SQL, SCORED_SQL, THRESHOLD, query, raw_scored_lineitem, scored_lineitem
 from tallyroute.functions import numeric
 from tallyroute.operators import evaluate
 
@@ -22,6 +22,7 @@ CELLS_SQL = f"""WITH {SCORED_SQL}, cells AS (
     CAST(count(*) FILTER (WHERE label = 0 AND score >= {THRESHOLD}) AS DOUBLE) AS fp,
     CAST(count(*) FILTER (WHERE label = 1 AND score < {THRESHOLD}) AS DOUBLE) AS fn,
     CAST(count(*) FILTER (WHERE label = 0 AND score < {THRESHOLD}) AS DOUBLE) AS tn FROM scored)"""
+RAW_CELLS_SQL = CELLS_SQL.replace(SCORED_SQL, RAW_SCORED_SQL)
 AUC_SQL = """ranks AS (SELECT label, rank() OVER (ORDER BY score) + (count(*) OVER (PARTITION BY score) - 1) / 2.0 AS r FROM scored),
 auc AS (SELECT (sum(r) FILTER (WHERE label = 1) - CAST(count(*) FILTER (WHERE label = 1) AS DOUBLE) * (count(*) FILTER (WHERE label = 1) + 1) / 2)
   / (CAST(count(*) FILTER (WHERE label = 1) AS DOUBLE) * count(*) FILTER (WHERE label = 0)) AS a FROM ranks)"""
@@ -88,15 +89,15 @@ def class_report(spark, sf):
     return report.withColumns({m: F.round(m, 6) for m in ("precision", "recall", "f1")})
 
 
-@query("roc_auc", f"WITH {SCORED_SQL}, {AUC_SQL} SELECT round(a, 9) AS roc_auc FROM auc")
+@query("roc_auc", f"WITH {RAW_SCORED_SQL}, {AUC_SQL} SELECT round(a, 9) AS roc_auc FROM auc")
 def roc_auc(spark, sf):
-    auc = evaluate.roc_auc(scored_lineitem(spark, sf), "label", "score")
+    auc = evaluate.roc_auc(raw_scored_lineitem(spark, sf), "label", "score")
     return auc.select(F.round("roc_auc", 9).alias("roc_auc"))
 
 
 @query(
     "roc_points",
-    f"""WITH {SCORED_SQL}, counts AS (
+    f"""WITH {RAW_SCORED_SQL}, counts AS (
   SELECT score, count(*) FILTER (WHERE label = 1) AS p, count(*) FILTER (WHERE label = 0) AS n FROM scored GROUP BY score),
 t AS (SELECT CAST(sum(p) AS DOUBLE) AS p, CAST(sum(n) AS DOUBLE) AS n FROM counts)
 SELECT CAST(2 AS DOUBLE) AS threshold, CAST(0 AS DOUBLE) AS fpr, CAST(0 AS DOUBLE) AS tpr
@@ -104,16 +105,16 @@ UNION ALL SELECT score, round(sum(counts.n) OVER (ORDER BY score DESC) / t.n, 9)
   round(sum(counts.p) OVER (ORDER BY score DESC) / t.p, 9) FROM counts, t""",
 )
 def roc_points(spark, sf):
-    points = evaluate.roc_points(scored_lineitem(spark, sf), "label", "score")
+    points = evaluate.roc_points(raw_scored_lineitem(spark, sf), "label", "score")
     finite = F.when(F.col("threshold") == float("inf"), 2.0).otherwise(F.col("threshold"))
     return points.select(finite.alias("threshold"), F.round("fpr", 9).alias("fpr"), F.round("tpr", 9).alias("tpr"))
 
 
 @query(
     "metrics_record",
-    f"""{CELLS_SQL}, {AUC_SQL} SELECT 'val' AS split, CAST({THRESHOLD} AS DOUBLE) AS threshold,
+    f"""{RAW_CELLS_SQL}, {AUC_SQL} SELECT 'val' AS split, CAST({THRESHOLD} AS DOUBLE) AS threshold,
   round((tp + tn) / (tp + tn + fp + fn), 4) AS accuracy, round(2 * tp / (2 * tp + fp + fn), 4) AS f1,
   round(a, 4) AS roc_auc FROM cells, auc""",
 )
 def metrics_record(spark, sf):
-    return evaluate.metrics_record(scored_lineitem(spark, sf), "label", "score", THRESHOLD, "val")
+    return evaluate.metrics_record(raw_scored_lineitem(spark, sf), "label", "score", THRESHOLD, "val")

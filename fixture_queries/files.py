@@ -7,6 +7,7 @@ from pyspark.sql import types as T
 
 from fixture_queries.base import LINEITEM_SQL, lineitem_records, query, table
 from fixture_queries.graphs import TRADE_SQL, trade_edges
+from tallyroute.functions import labels, numeric
 from tallyroute.operators import ordering, profile, schema, split
 from tallyroute.session import scratch_path
 from tallyroute.sources import csvfiles, edgefiles, linefiles, metadata, parquetfiles
@@ -184,3 +185,29 @@ def undirected_edge_file(spark, sf):
         "ignoreTrailingWhiteSpace", False
     ).csv(path)
     return edgefiles.read_undirected_edges(spark, path).drop("row")
+
+
+@query(
+    "csv_odd_cells",
+    """SELECT o_orderkey AS row_index, o_orderkey, o_totalprice, o_orderpriority || chr(10) || 'second "line"' AS note, upper(o_orderstatus) AS status
+FROM orders""",
+)
+def csv_odd_cells(spark, sf):
+    """Cells with quoted line breaks, quotes, and no-break and other Unicode blanks around numbers and labels."""
+    blank = F.lit("\u00a0\u2003\t")
+    orders = table(spark, sf, "orders").orderBy("o_orderkey").select(
+        F.concat(blank, F.col("o_orderkey").cast("string"), blank).alias("key"),
+        F.concat(F.col("o_totalprice").cast("string"), blank).alias("price"),
+        F.concat("o_orderpriority", F.lit('\nsecond "line"')).alias("note"),
+        F.concat(blank, F.lower("o_orderstatus"), F.lit("\u3000")).alias("status"),
+    )
+    path = scratch_path(spark, "odd")
+    orders.write.option("header", True).option("escape", '"').option("ignoreLeadingWhiteSpace", False).option("ignoreTrailingWhiteSpace", False).csv(path)
+    records = ordering.with_row_index(csvfiles.read_upload(spark, path))
+    return records.select(
+        "row_index",
+        numeric.parse_whole(F.col("key")).cast("long").alias("o_orderkey"),
+        numeric.parse_number(F.col("price")).alias("o_totalprice"),
+        "note",
+        labels.upper_label(F.col("status")).alias("status"),
+    )

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from pyspark.ml.classification import GBTClassifier
+from pyspark.ml.functions import vector_to_array
 from pyspark.sql import functions as F
 
 from fixture_queries.base import MODEL, query, table
@@ -63,8 +64,8 @@ def feature_importance(spark, sf):
 DOCUMENT_FEATURES = ["n_chars", "n_words", "n_lines", "digit_share", "upper_share", "lang_code"]
 
 
-def judged_documents(spark, sf):
-    """Whole-text measures of every judged document with its quality label."""
+def measured_documents(spark, sf):
+    """Whole-text measures of every document, written once."""
     text = F.col("text")
     size = F.greatest(F.length(text), F.lit(1))
     languages = {"en": 0, "de": 1, "fr": 2, "es": 3}
@@ -79,23 +80,79 @@ def judged_documents(spark, sf):
         .cast("double")
         .alias("lang_code"),
     )
-    return measured.join(table(spark, sf, "labels").select("doc_id", "quality"), "doc_id")
+    return materialize(measured, "measured")
 
 
-def _document_splits(spark, sf):
-    table_ = materialize(split.exact_split(judged_documents(spark, sf), ["doc_id"]), "judged")
+def judged_documents(spark, sf, measured=None):
+    """The measured documents that have a quality label: the training rows."""
+    rows = measured_documents(spark, sf) if measured is None else measured
+    return rows.join(table(spark, sf, "labels").select("doc_id", "quality"), "doc_id")
+
+
+def _document_splits(spark, sf, measured=None):
+    table_ = materialize(split.exact_split(judged_documents(spark, sf, measured), ["doc_id"]), "judged")
     return {n: table_.filter(F.col("split") == n).drop("split") for n in ("train", "val", "test")}
 
 
-@query("boosted_scores")
+@query(
+    "boosted_scores",
+    """SELECT doc_id, true AS score_in_range, true AS prediction_follows, true AS without_error FROM documents""",
+)
 def boosted_scores(spark, sf):
-    splits = _document_splits(spark, sf)
-    fitted = model.fit_boosted(
-        splits["train"], splits["val"], DOCUMENT_FEATURES, "quality", maxIter=10, maxDepth=3
-    )
-    scored = fitted.transform(judged_documents(spark, sf))
+    """Every document scored by trees that were trained on the labelled ones: properties of each row."""
+    measured = measured_documents(spark, sf)
+    splits = _document_splits(spark, sf, measured)
+    fitted = model.fit_boosted(splits["train"], splits["val"], DOCUMENT_FEATURES, "quality", maxIter=10, maxDepth=3)
     raw = model.positive_probability()
-    return scored.select("doc_id", *model.result_columns(raw, F.lit(None).cast("string"), 0.5))
+    scored = fitted.transform(measured).select("doc_id", *model.result_columns(raw, F.lit(None).cast("string"), 0.5))
+    return scored.select(
+        "doc_id",
+        F.col("probability").between(0, 1).alias("score_in_range"),
+        (((F.col("probability") > 0.5).cast("int") == F.col("prediction")) | (F.col("probability") == 0.5)).alias("prediction_follows"),
+        F.col("error").isNull().alias("without_error"),
+    )
+
+
+STUMP_SQL = """WITH t AS (SELECT CAST(l_returnflag = 'R' AS INTEGER) AS y, CAST(l_quantity > 25 AS INTEGER) AS x FROM lineitem),
+m AS (SELECT x, avg(CAST(y AS DOUBLE)) AS p FROM t GROUP BY x)"""
+
+
+def _one_feature(spark, sf):
+    lines = table(spark, sf, "lineitem")
+    return lines.select((F.col("l_returnflag") == "R").cast("int").alias("y"), (F.col("l_quantity") > 25).cast("int").alias("x"))
+
+
+@query("stump_probabilities", f"{STUMP_SQL} SELECT x, round(1 / (1 + exp(-2 * (2 * p - 1))), 6) AS probability FROM m")
+def stump_probabilities(spark, sf):
+    """One tree of depth 1 on a 0/1 feature: a leaf gives the mean of 2y - 1, the score its logistic of twice that."""
+    rows = _one_feature(spark, sf)
+    fitted = model.fit_boosted(rows, rows, ["x"], "y", maxIter=1, maxDepth=1)
+    shown = fitted.transform(rows.select("x").distinct())
+    return shown.select("x", F.round(model.positive_probability(), 6).alias("probability"))
+
+
+@query(
+    "one_feature_log_odds",
+    f"""{STUMP_SQL}, o AS (SELECT max(ln(p / (1 - p))) FILTER (WHERE x = 1) AS one, max(ln(p / (1 - p))) FILTER (WHERE x = 0) AS zero FROM m)
+SELECT round(one - zero, 3) AS weight, round(zero, 3) AS intercept, (SELECT round(avg(x), 6) FROM t) AS mean FROM o""",
+)
+def one_feature_log_odds(spark, sf):
+    """Unpenalised logistic regression on a 0/1 feature has a closed form: log-odds and their difference."""
+    fitted = model.fit_logistic(_one_feature(spark, sf), ["x"], "y", maxIter=100, tol=1e-10)
+    row = (round(fitted.weights["x"], 3), round(fitted.intercept, 3), round(fitted.means["x"], 6))
+    return spark.createDataFrame([row], "weight double, intercept double, mean double")
+
+
+@query(
+    "feature_vectors",
+    """SELECT l_orderkey, l_partkey, l_suppkey, coalesce(CAST(l_quantity AS VARCHAR), 'NaN') IS NOT NULL AS complete,
+  l_quantity AS v0, l_discount AS v1, l_tax AS v2 FROM lineitem""",
+)
+def feature_vectors(spark, sf):
+    """Rows as vectors in the order of the features."""
+    vectors = model.assembler(["l_quantity", "l_discount", "l_tax"]).transform(table(spark, sf, "lineitem"))
+    values = vector_to_array(F.col("features"))
+    return vectors.select(*LINE_KEY, (F.size(values) == 3).alias("complete"), *[values[i].alias(f"v{i}") for i in range(3)])
 
 
 @query("boosted_importance")

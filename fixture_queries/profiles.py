@@ -246,3 +246,24 @@ UNION ALL SELECT 'size', 'The table holds ' || format('{{:,}}', n) || ' rows.' F
 )
 def narrative_insights(spark, sf):
     return profile.insights(lineitem_records(spark, sf), "l_quantity", "l_extendedprice", "placed")
+
+
+@query(
+    "unlike_head_correlation",
+    """WITH v AS (SELECT CASE WHEN l_orderkey < 500 THEN 0 ELSE 1000000000 + l_quantity END AS a,
+  CASE WHEN l_orderkey < 500 THEN 0 ELSE 1000000000 - 2 * l_quantity + l_linenumber END AS b,
+  CASE WHEN l_orderkey >= 500 THEN 1000000000 + l_quantity + l_linenumber END AS c FROM lineitem)
+SELECT round(corr(a, b), 6) AS a_b, round(corr(b - 1000000000, c - 1000000000), 6) AS b_c FROM v""",
+)
+def unlike_head_correlation(spark, sf):
+    """Rows sorted so that the first ones are unlike the rest, whose values are large beside their spread."""
+    lines, head, base = table(spark, sf, "lineitem"), F.col("l_orderkey") < 500, F.lit(1e9)
+    values = lines.select(
+        "l_orderkey",
+        F.when(head, F.lit(0.0)).otherwise(base + F.col("l_quantity")).alias("a"),
+        F.when(head, F.lit(0.0)).otherwise(base - 2 * F.col("l_quantity") + F.col("l_linenumber")).alias("b"),
+        F.when(~head, base + F.col("l_quantity") + F.col("l_linenumber")).alias("c"),
+    )
+    found = profile.correlation_matrix(values.orderBy("l_orderkey"), ["a", "b", "c"])
+    pick = lambda x, y: F.max(F.when((F.col("column_x") == x) & (F.col("column_y") == y), F.col("correlation")))
+    return found.agg(pick("a", "b").alias("a_b"), pick("b", "c").alias("b_c"))

@@ -8,28 +8,25 @@ from collections.abc import Sequence
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from tallyroute.functions.text import strip_space
+from tallyroute.functions.text import BLANK
 
 # What a number may look like: decimal notation, or a spelling of infinity or NaN. Spark's own
 # cast would also take '3d' and hexadecimal forms.
 NUMBER_PATTERN = (
-    r"^[+-]?(?:(?:[0-9]+\.?[0-9]*|\.[0-9]+)(?:[eE][+-]?[0-9]+)?|(?i:inf|infinity)|(?i:nan))\z"
+    rf"(?U)^{BLANK}*([+-]?(?:(?:[0-9]+\.?[0-9]*|\.[0-9]+)(?:[eE][+-]?[0-9]+)?|(?i:inf|infinity)|(?i:nan))){BLANK}*\z"
 )
 
 
 def parse_number(text: Column) -> Column:
     """Text to double; null when it is not a number. Inf and NaN spellings are kept as such."""
-    bare = strip_space(text)
-    return F.when(bare.rlike(NUMBER_PATTERN), bare.try_cast("double"))
+    # A text that doesn't match gives an empty group, which no number is read from.
+    return F.regexp_extract(text, NUMBER_PATTERN, 1).try_cast("double")
 
 
 def strict_number(text: Column, name: str) -> Column:
     """Text to double; a text that is not a number fails the job."""
     message = F.concat(F.lit(f"column '{name}' holds no number: "), text)
-    bare = strip_space(text)
-    return F.when(bare.isNull() | bare.rlike(NUMBER_PATTERN), bare.cast("double")).otherwise(
-        F.raise_error(message).cast("double")
-    )
+    return F.coalesce(parse_number(text), F.when(text.isNotNull(), F.raise_error(message).cast("double")))
 
 
 def is_finite(col: Column) -> Column:

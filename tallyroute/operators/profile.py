@@ -64,31 +64,47 @@ def _pair_correlation(left: str, right: str) -> Column:
     return F.try_divide(F.regr_sxy(y, x), spread)
 
 
-def _centres(df: DataFrame, columns: Sequence[str]) -> list[float]:
-    """The mean of each column's finite values, over all rows. Sums of values shifted by it keep their digits."""
+def _means(row, names: Sequence[str]) -> list[float]:
+    return [v if (v := row[name]) is not None and math.isfinite(v) else 0.0 for name in names]
+
+
+def _centres(df: DataFrame, columns: Sequence[str]) -> tuple[list[float], bool]:
+    """Mean of each column's finite values over all rows, and whether every row has them all."""
     values = [(f"c{i}", col(c).cast("double")) for i, c in enumerate(columns)]
-    row = df.agg(*[F.avg(F.when(numeric.is_finite(v), v)).alias(name) for name, v in values]).first()
-    return [v if v is not None and math.isfinite(v) else 0.0 for v in row]
+    row = df.agg(
+        F.count("*").alias("rows"),
+        F.least(*[F.count(v) for _, v in values], F.count("*")).alias("least"),
+        *[F.avg(F.when(numeric.is_finite(v), v)).alias(name) for name, v in values],
+    ).first()
+    return _means(row, [name for name, _ in values]), row["rows"] == row["least"]
 
 
 def _correlations(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     """a, b, r for each pair of column numbers a < b that occur together.
 
-    One pass for the means, one for the sums. Each row is stacked once per column, and the copy of column x adds up n, sum y,
+    One pass for the means, one for the sums, and one between where values are missing. Each row is stacked once per column, and the copy of column x adds up n, sum y,
     sum xy and sum yy for every y: a few dozen plain sums that stay in one generated loop, where
     an aggregate per pair would not. They are reduced before the shuffle to one row per column.
     """
     size = range(len(columns))
-    centres = _centres(df, columns)
+    centres, complete = _centres(df, columns)
     shifted = df.select(*[(col(c).cast("double") - F.lit(m)).alias(f"z{i}") for i, (c, m) in enumerate(zip(columns, centres))])
     copies = shifted.select(
         "*", F.stack(F.lit(len(columns)), *[v for i in size for v in (F.lit(i), F.col(f"z{i}"))]).alias("x", "zx")
     ).filter(F.col("zx").isNotNull())
+    y, x = {j: F.col(f"z{j}") for j in size}, {j: F.col("zx") for j in size}
+    if not complete:
+        # The rows of a pair may lie far from a column's mean: shift once more, by the means of each pair's own rows.
+        own = {r["x"]: _means(r, [f"m{j}" for j in size]) for r in copies.groupBy("x").agg(*[F.avg(f"z{j}").alias(f"m{j}") for j in size]).collect()}
+        beside = [own.get(i, [0.0] * len(columns)) for i in size]
+        at_x = lambda values: F.element_at(F.array(*map(F.lit, values)), F.col("x") + 1)
+        y = {j: y[j] - at_x([beside[i][j] for i in size]) for j in size}
+        x = {j: x[j] - at_x(beside[j]) for j in size}
     sums = copies.groupBy("x").agg(
         *[F.count(f"z{j}").alias(f"n{j}") for j in size],
-        *[F.sum(f"z{j}").alias(f"s{j}") for j in size],
-        *[F.sum(F.col(f"z{j}") * F.col("zx")).alias(f"p{j}") for j in size],
-        *[F.sum(F.col(f"z{j}") * F.col(f"z{j}")).alias(f"q{j}") for j in size],
+        *[F.sum(y[j]).alias(f"s{j}") for j in size],
+        *[F.sum(y[j] * x[j]).alias(f"p{j}") for j in size],
+        *[F.sum(y[j] * y[j]).alias(f"q{j}") for j in size],
     )
     # From here on there are len(columns) ** 2 rows. Of a pair a < b, the copy of a holds the sums
     # of b and the copy of b those of a, each over the rows where both are present.
