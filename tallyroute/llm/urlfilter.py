@@ -97,17 +97,22 @@ def encode(keys: DataFrame, count: int, number: int) -> Level:
     return Level(number, bytes(held))
 
 
-def cascade(universe: DataFrame, listed: DataFrame) -> list[Level]:
-    """Levels that tell the listed keys of ``universe`` (key) from the others; no level if none is listed.
+def universe(keys: DataFrame, listed: DataFrame) -> DataFrame:
+    """Every distinct key of the corpus (key), and whether it is listed: one aggregate over both, no join."""
+    names = listed.select(F.translate(F.col("key"), UPPER, LOWER).alias("key")).where("key is not null")
+    both = keys.select("key", F.lit(True).alias("present"), F.lit(False).alias("listed")).unionByName(
+        names.select("key", F.lit(False).alias("present"), F.lit(True).alias("listed"))
+    )
+    return both.groupBy("key").agg(F.bool_or("present").alias("present"), F.bool_or("listed").alias("listed")).where("present").drop("present")
+
+
+def cascade(keys: DataFrame, listed: DataFrame) -> list[Level]:
+    """Levels that tell the listed ones of ``keys`` (key, repeats allowed) from the others; no level if none is listed.
 
     Each level encodes what the one before got wrong. Ten bits and four hashes a key let about one key
     in eighty through, so levels shrink quickly and their number grows with the logarithm of the universe.
     """
-    names = listed.select(F.translate(F.col("key"), UPPER, LOWER).alias("key")).where("key is not null").distinct()
-    marked = materialize(
-        universe.join(names.withColumn("listed", F.lit(True)), "key", "left").select("key", F.coalesce("listed", F.lit(False)).alias("listed")),
-        "keys",
-    )
+    marked = materialize(universe(keys, listed), "keys")
     levels: list[Level] = []
     wrong, kind = marked, True
     while True:
@@ -142,8 +147,7 @@ def judge(pages: DataFrame, rules: list[Rule], listed: DataFrame, key: str = "pa
     host, path = host_and_path(F.col(f"`{url}`"))
     parts = pages.select(F.col(f"`{key}`").alias("id"), host.alias("host"), path.alias("path"))
     hosts = parts.select("host").distinct()
-    universe = materialize(hosts.select(F.explode(keys_of(F.col("host"))).alias("key")).distinct(), "universe")
-    levels = cascade(universe, listed)
+    levels = cascade(hosts.select(F.explode(keys_of(F.col("host"))).alias("key")), listed)
     blocked = F.exists(keys_of(F.col("host")), lambda k: is_listed(k, levels))
     ruled = rule_of(F.col("host"), F.col("path"), rules, "verdict")
     return parts.select(
