@@ -4,7 +4,7 @@ A document may belong to several sources. Documents are aggregated by membership
 from patterns to the quotas of their sources, where the k-th repetition of a token costs k - 1, so
 capacity is used evenly before anything is repeated again. The flow is a table of one row per
 pattern. Each pattern's documents stand in seeded order on a ring, and every source takes a stretch
-of it; the borders of the stretches are found by one pass of bucket sums, so no pattern, however
+of it; the borders of the stretches are found digit by digit in sums over ranks, so no pattern, however
 large, is sorted or held in one task.
 """
 
@@ -23,7 +23,7 @@ from tallyroute.llm.rows import WORD, packed, unpacked
 from tallyroute.session import materialize
 
 MAX_PATTERNS = 100_000  # rows of the pattern table that the driver may hold; more are refused, never cut
-BUCKET_ROWS = 2_000
+STEP_DIGITS = 3  # hex digits of a border that one pass finds, from at most 16 ** 3 sums
 SEED = "mix-1"
 
 
@@ -140,7 +140,7 @@ def _null_last(source) -> tuple:
 def plan(narrow: DataFrame, weigh, max_repeats: int) -> Plan:
     """``narrow``: pattern, size, rank, written. ``weigh``: source names in order -> weight by name."""
     spark = narrow.sparkSession
-    totals = narrow.groupBy("pattern").agg(F.sum("size").alias("size"), F.count(F.lit(1)).alias("n")).limit(MAX_PATTERNS + 1).collect()
+    totals = narrow.groupBy("pattern").agg(F.sum("size").alias("size")).limit(MAX_PATTERNS + 1).collect()
     if len(totals) > MAX_PATTERNS:
         raise ValueError(f"more than {MAX_PATTERNS} membership patterns; group rare sources first")
     patterns = sorted(((tuple(json.loads(r.pattern)), r.size, r.pattern) for r in totals), key=lambda x: x[2])
@@ -153,7 +153,6 @@ def plan(narrow: DataFrame, weigh, max_repeats: int) -> Plan:
         goal = {s: t * spare for s, t in goal.items()}
     sent = cheapest_flow([(m, size) for m, size, _ in patterns], {s: math.floor(t) for s, t in goal.items()}, max_repeats)
 
-    digits = max(1, math.ceil(math.log(max(1, sum(r.n for r in totals)) / BUCKET_ROWS + 1, 16)))
     stretches, borders = [], []
     for (_, size, pattern), flow in zip(patterns, sent, strict=True):
         end = 0
@@ -161,7 +160,7 @@ def plan(narrow: DataFrame, weigh, max_repeats: int) -> Plan:
             start, end = end, end + flow[source]
             stretches.append((pattern, source, start, end, size))
             borders += [(pattern, x % size) for x in (start, end) if x % size]
-    found = _borders(spark, narrow, sorted(set(borders)), digits)
+    found = _borders(spark, narrow, sorted(set(borders)))
 
     def border(pattern: str, x: int, size: int) -> tuple[int, str, int]:
         times, rest = divmod(x, size)
@@ -174,26 +173,35 @@ def plan(narrow: DataFrame, weigh, max_repeats: int) -> Plan:
     return Plan(sizes, goal, spark.createDataFrame(sorted(rows.items()), kind))
 
 
-def _borders(spark, narrow: DataFrame, wanted: list[tuple[str, int]], digits: int) -> dict:
+def _borders(spark, narrow: DataFrame, wanted: list[tuple[str, int]]) -> dict:
     """(pattern, position) -> (rank of the document that holds it, words of that document before it).
 
-    Positions are looked up in sums per (pattern, bucket of ranks); only the buckets that hold one are
-    ordered, each on its own.
+    A pass adds up the words of the ranks that share a position's first digits, by their next digits, and
+    goes on in the sum that holds the position until that sum is of a single rank. Rows of one rank are
+    equal in text, so their sum and number tell the size of each.
     """
-    if not wanted:
-        return {}
-    asked = F.broadcast(spark.createDataFrame(wanted, "pattern string, at long"))  # at most two per flow of the plan
-    placed = narrow.where("size > 0").select("pattern", "size", "rank", F.substring("rank", 1, digits).alias("bucket"))
-    running = Window.partitionBy("pattern").orderBy("bucket").rowsBetween(Window.unboundedPreceding, -1)
-    sums = placed.groupBy("pattern", "bucket").agg(F.sum("size").alias("held"))
-    sums = sums.withColumn("before", F.coalesce(F.sum("held").over(running), F.lit(0)))
-    holders = sums.join(asked, "pattern").where("at >= before and at < before + held").select("pattern", "bucket", "before", "at")
-    inside = Window.partitionBy("pattern", "bucket", "at").orderBy("rank").rowsBetween(Window.unboundedPreceding, -1)
-    rows = placed.join(F.broadcast(holders), ["pattern", "bucket"]).withColumn(
-        "from", F.col("before") + F.coalesce(F.sum("size").over(inside), F.lit(0))
-    )
-    hit = rows.where("at >= from and at < from + size").select("pattern", "at", "rank", (F.col("at") - F.col("from")).alias("part"))
-    return {(r.pattern, r.at): (r.rank, r.part) for r in hit.collect()}
+    found: dict = {}
+    asked = [(pattern, at, "", at) for pattern, at in wanted]  # at most two per flow of the plan
+    rows = narrow.where("size > 0").select("pattern", "size", "rank")
+    running = Window.partitionBy("pattern", "prefix").orderBy("bucket").rowsBetween(Window.unboundedPreceding, -1)
+    depth = 0
+    while asked:
+        known = spark.createDataFrame(sorted({(pattern, prefix) for pattern, _, prefix, _ in asked}), "pattern string, prefix string")
+        sums = (
+            rows.withColumn("prefix", F.substring("rank", 1, depth))
+            .join(F.broadcast(known), ["pattern", "prefix"])
+            .groupBy("pattern", "prefix", F.substring("rank", depth + 1, STEP_DIGITS).alias("bucket"))
+            .agg(F.sum("size").alias("held"), F.count(F.lit(1)).alias("n"), F.min("rank").alias("least"), F.max("rank").alias("most"))
+            .withColumn("before", F.coalesce(F.sum("held").over(running), F.lit(0)))
+        )
+        places = F.broadcast(spark.createDataFrame(asked, "pattern string, at long, prefix string, rest long"))
+        holders = sums.join(places, ["pattern", "prefix"]).where("rest >= before and rest < before + held").collect()
+        for r in holders:
+            if r.least == r.most:
+                found[r.pattern, r.at] = r.least, (r.rest - r.before) % (r.held // r.n)
+        asked = [(r.pattern, r.at, r.prefix + r.bucket, r.rest - r.before) for r in holders if r.least != r.most]
+        depth += STEP_DIGITS
+    return found
 
 
 def assigned(rows: DataFrame, flows: DataFrame) -> DataFrame:

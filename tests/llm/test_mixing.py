@@ -86,3 +86,18 @@ def test_documents_are_repeated_whole(texts):
     counts = {(r.source, r.doc_id): r["count"] for r in made.groupBy("source", "doc_id").count().collect()}
     assert all(counts[("a", i)] == 3 for i in range(5))  # the target of a is three times its size
     assert sum(n for (s, _), n in counts.items() if s == "b") == pytest.approx(7.5, abs=1)
+
+
+@pytest.mark.parametrize("digits", [1, 3])
+def test_borders_follow_the_order_of_ranks(spark, monkeypatch, digits):
+    monkeypatch.setattr(mixing, "STEP_DIGITS", digits)
+    docs = spark.createDataFrame([(i // 2 if i < 20 else i, f"w{i // 2 if i < 20 else i} " * (i // 2 % 5)) for i in range(300)], "doc_id long, text string")
+    narrow = mixing.sized(docs, F.array(F.lit("s")), "doc_id", "text", "seed").select("pattern", "size", "rank")
+    ordered = sorted((r["rank"], r["size"], r.pattern) for r in narrow.collect() if r["size"])
+    holder = []
+    for rank, size, _ in ordered:
+        holder += [(rank, part) for part in range(size)]
+    pattern = ordered[0][2]
+    wanted = list(range(0, len(holder), 7))
+    found = mixing._borders(spark, narrow, [(pattern, at) for at in wanted])
+    assert [found[pattern, at] for at in wanted] == [holder[at] for at in wanted]
