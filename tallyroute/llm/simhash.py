@@ -190,7 +190,8 @@ def components(edges: DataFrame) -> DataFrame:
         both = pairs.select("a", "b").union(pairs.select(F.col("b").alias("a"), F.col("a").alias("b")))
         if not larger:
             both = both.where("b < a")
-        least = both.groupBy("a").agg(F.least(F.min("b"), F.min("a")).alias("m"))
+        # Written, so that its join with the edges of a node that very many link to can be split.
+        least = materialize(both.groupBy("a").agg(F.least(F.min("b"), F.min("a")).alias("m")), "least")
         moved = both.join(least, "a")
         moved = moved.where("b > a") if larger else moved.select("b", "m").union(least.select(F.col("a").alias("b"), "m"))
         return moved.select(F.col("b").alias("a"), F.col("m").alias("b")).where("a != b").distinct()
