@@ -24,6 +24,8 @@ from tallyroute.session import materialize
 
 MAX_PATTERNS = 100_000  # rows of the pattern table that the driver may hold; more are refused, never cut
 STEP_DIGITS = 3  # hex digits of a border that one pass finds, from at most 16 ** 3 sums
+#: Name, first digit and number of digits of the parts of a rank (32 hex digits), each below 2^63.
+RANK_PARTS = [("high", 1, 15), ("middle", 16, 15), ("low", 31, 2)]
 SEED = "mix-1"
 
 
@@ -182,7 +184,10 @@ def _borders(spark, narrow: DataFrame, wanted: list[tuple[str, int]]) -> dict:
     """
     found: dict = {}
     asked = [(pattern, at, "", at) for pattern, at in wanted]  # at most two per flow of the plan
-    rows = narrow.where("size > 0").select("pattern", "size", "rank")
+    # As whole numbers, whose least and greatest values a hash aggregate can keep.
+    parts = [F.conv(F.substring("rank", start, digits), 16, 10).cast("long").alias(name) for name, start, digits in RANK_PARTS]
+    rows = narrow.where("size > 0").select("pattern", "size", "rank", *parts)
+    ends = [f(name).alias(f"{f.__name__}_{name}") for name, _, _ in RANK_PARTS for f in (F.min, F.max)]
     running = Window.partitionBy("pattern", "prefix").orderBy("bucket").rowsBetween(Window.unboundedPreceding, -1)
     depth = 0
     while asked:
@@ -191,15 +196,18 @@ def _borders(spark, narrow: DataFrame, wanted: list[tuple[str, int]]) -> dict:
             rows.withColumn("prefix", F.substring("rank", 1, depth))
             .join(F.broadcast(known), ["pattern", "prefix"])
             .groupBy("pattern", "prefix", F.substring("rank", depth + 1, STEP_DIGITS).alias("bucket"))
-            .agg(F.sum("size").alias("held"), F.count(F.lit(1)).alias("n"), F.min("rank").alias("least"), F.max("rank").alias("most"))
+            .agg(F.sum("size").alias("held"), F.count(F.lit(1)).alias("n"), *ends)
             .withColumn("before", F.coalesce(F.sum("held").over(running), F.lit(0)))
         )
         places = F.broadcast(spark.createDataFrame(asked, "pattern string, at long, prefix string, rest long"))
         holders = sums.join(places, ["pattern", "prefix"]).where("rest >= before and rest < before + held").collect()
+        asked = []
         for r in holders:
-            if r.least == r.most:
-                found[r.pattern, r.at] = r.least, (r.rest - r.before) % (r.held // r.n)
-        asked = [(r.pattern, r.at, r.prefix + r.bucket, r.rest - r.before) for r in holders if r.least != r.most]
+            if all(r[f"min_{name}"] == r[f"max_{name}"] for name, _, _ in RANK_PARTS):
+                rank = "".join(f"{r[f'min_{name}']:0{digits}x}" for name, _, digits in RANK_PARTS)
+                found[r.pattern, r.at] = rank, (r.rest - r.before) % (r.held // r.n)
+            else:
+                asked.append((r.pattern, r.at, r.prefix + r.bucket, r.rest - r.before))
         depth += STEP_DIGITS
     return found
 
