@@ -60,7 +60,7 @@ def difference(spark, con, run, sql: str, sf: str) -> str | None:
 
 
 if __name__ == "__main__":
-    from fixture_queries import ORACLES, QUERIES
+    from __spark_entry__ import ORACLES, QUERIES
     from tallyroute.session import local_session
 
     sf = sys.argv[1]
