@@ -314,7 +314,10 @@ def catalogue(decoded: DataFrame) -> DataFrame:
         "record_id", "record_type", "target_uri", "refers_to", "payload_bytes", "payload_digest", "fault"
     )
     name = page_name(page_of(F.col("record_id"))).alias("refers_to")
-    stored = rows.where("record_type = 'response' and fault is null").groupBy(name, "payload_digest").agg(F.max("payload_bytes").alias("stored_bytes"))
+    # Written, so that its join with a response that very many records revisit can be split.
+    stored = materialize(
+        rows.where("record_type = 'response' and fault is null").groupBy(name, "payload_digest").agg(F.max("payload_bytes").alias("stored_bytes")), "stored"
+    )
     missing = F.when(F.col("stored_bytes").isNull(), F.lit("no such response"))
     # Only revisits take part in the join: a null reference would gather all other records in one task.
     revisits = rows.where("record_type = 'revisit'").join(stored, ["refers_to", "payload_digest"], "left").select(
