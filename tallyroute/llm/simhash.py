@@ -221,8 +221,9 @@ def grouped(marked: DataFrame, max_distance: int) -> DataFrame:
     """(fp, root, first_key) for every distinct fingerprint of (key, fp); root names the component."""
     classes = materialize(marked.groupBy("fp").agg(F.min("key").alias("first_key")), "classes")
     stars = components(links(classes, max_distance))
-    rooted = classes.join(stars, classes.fp == stars.node, "left").select("fp", "first_key", F.coalesce("root", "fp").alias("root"))
-    first = rooted.groupBy("root").agg(F.min("first_key").alias("first_key"))
+    rooted = materialize(classes.join(stars, classes.fp == stars.node, "left").select("fp", "first_key", F.coalesce("root", "fp").alias("root")), "rooted")
+    # Written, so that the join of a component with very many fingerprints can be split.
+    first = materialize(rooted.groupBy("root").agg(F.min("first_key").alias("first_key")), "firsts")
     return materialize(rooted.select("fp", "root").join(first, "root"), "groups")
 
 
