@@ -4,22 +4,26 @@ Every benchmark item is compared with windows of its own number of words. A wind
 similarity if enough of its five-word shingles occur in items of that length, so other windows need no
 fingerprint. The rest get a SimHash; a multi-index over its bytes finds every item of that length within
 the radius, and the exact weighted Jaccard similarity of the shingles decides. Documents are read where
-they are, one benchmark block of bounded size at a time, and never shuffled.
+they are, one benchmark block of bounded size at a time, and never shuffled. What a block finds is
+written before the next one is read, so the driver, the plan and a task hold one block.
 """
 
 from __future__ import annotations
 
 import math
 from collections import Counter, defaultdict
+from collections.abc import Iterator
 from dataclasses import dataclass
 from itertools import combinations
 
 import numpy as np
 import pyarrow as pa
+import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tallyroute.llm.rows import map_rows, packed, unpacked, utf8
+from tallyroute.session import discard, materialize, materialize_at, scratch_path
 
 WIDTH = 5
 SIMILARITY = 0.8
@@ -44,7 +48,7 @@ def shingles_of(words: list[bytes]) -> np.ndarray:
     n = len(words) - WIDTH + 1
     if n < 1:
         return np.zeros(0, np.uint64)
-    hashed = np.fromiter(map(hash, words), np.int64, len(words)).view(np.uint64)
+    hashed = np.fromiter(map(xxhash.xxh3_64_intdigest, words), np.uint64, len(words))
     mixed = sum(hashed[i : i + n] * MIX[i] for i in range(WIDTH))
     mixed ^= mixed >> np.uint64(32)
     mixed *= MIX[0]
@@ -159,13 +163,14 @@ def search(text: bytes | None, items: Items) -> list[tuple[int, int, int, int, f
     return [best[i] for i in sorted(best)]
 
 
-def blocks_of(benchmark: DataFrame, key: str, text: str) -> list[list[tuple[int, bytes]]]:
-    """The benchmark in blocks of about BLOCK_BYTES, each read for itself; null texts hold nothing to find."""
+def blocks_of(benchmark: DataFrame, key: str, text: str) -> Iterator[list[tuple[int, bytes]]]:
+    """The benchmark in blocks of about BLOCK_BYTES, each read when it is asked for; null texts hold nothing to find."""
     items = benchmark.select(F.col(f"`{key}`").cast("long").alias("item"), utf8(text).alias("text")).where("text is not null")
     total = items.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     number = -(-total // BLOCK_BYTES)
     share = F.pmod(F.xxhash64("item", "text"), F.lit(max(1, number)))
-    return [[(r.item, bytes(r.text)) for r in items.where(share == i).collect()] for i in range(number)]
+    for i in range(number):
+        yield [(r.item, bytes(r.text)) for r in items.where(share == i).collect()]
 
 
 SCHEMA = pa.schema(
@@ -196,19 +201,25 @@ def leaks(docs: DataFrame, benchmark: DataFrame, key: str = "doc_id", text: str
                 ready.append(prepare(block))
             return [(doc, *match) for match in search(text, ready[0])]
 
-        found = found.unionByName(map_rows(source, SCHEMA, DDL, each))
+        found = found.unionByName(materialize(map_rows(source, SCHEMA, DDL, each), "leaks"))
     return found.withColumnRenamed("key", key)
 
 
 def without_leaks(docs: DataFrame, benchmark: DataFrame, text: str = "text", item: str = "item_id", item_text: str = "text") -> DataFrame:
-    """The rows of ``docs`` that hold no benchmark item."""
-    whole = docs.select(packed(docs), utf8(text).alias("text"))
+    """The rows of ``docs`` that hold no benchmark item. Between two blocks the rows left are written."""
+    spark, left, written = docs.sparkSession, docs, None
     for block in blocks_of(benchmark, item, item_text):
+        if left is not docs:
+            before, written = written, scratch_path(spark, "left")
+            left = materialize_at(left, written)
+            if before:
+                discard(spark, before)
 
         def run(batches, block=block):
             ready = prepare(block)
             for batch in batches:
                 yield batch.filter(pa.array([not search(t.as_py(), ready) for t in batch.column(1)], pa.bool_()))
 
-        whole = whole.mapInArrow(run, whole.schema)
-    return unpacked(whole, docs.columns)
+        whole = left.select(packed(left), utf8(text).alias("text"))
+        left = unpacked(whole.mapInArrow(run, whole.schema), docs.columns)
+    return left
