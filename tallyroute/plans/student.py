@@ -192,12 +192,12 @@ class Trained:
     document: DataFrame
 
 
-def train(spark: SparkSession, out: str, feature_names: list[str], target: str = TARGET, trials: int = 0, **params) -> Trained:
-    """Tune (optional), fit with early stopping, choose the threshold, evaluate, save below ``out``."""
+def train(spark: SparkSession, out: str, feature_names: list[str], target: str = TARGET, trials: int = 0, space=None, folds: int = model.FOLDS, **params) -> Trained:
+    """Tune (optional, ``trials`` draws from ``space``), fit with early stopping, choose the threshold, evaluate, save below ``out``."""
     splits = parquetfiles.load_splits(spark, f"{out}/features", feature_names, target)
     chosen = dict(params)
     if trials:
-        search, _ = model.tune(splits["train"], feature_names, target, trials=trials)
+        search, _ = model.tune(splits["train"], feature_names, target, space=space, trials=trials, folds=folds)
         best = max(range(trials), key=lambda i: search.avgMetrics[i])
         chosen.update({p.name: v for p, v in search.getEstimatorParamMaps()[best].items()})
     fitted = model.fit_boosted(splits["train"], splits["val"], feature_names, target, **chosen)
