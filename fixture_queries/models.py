@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from pyspark.ml.classification import GBTClassifier
+from functools import reduce
+from operator import and_
+
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import functions as F
 
@@ -205,22 +207,19 @@ def logistic_coefficients(spark, sf):
     return lines.agg(F.array(*cells).alias("cells")).select(F.inline("cells"))
 
 
-#: A smaller space than the operator's own: with hundreds of trees of depth 8 a search takes hours on one machine.
-SMALL_SPACE = {
-    "maxDepth": lambda r: r.randint(2, 3),
-    "stepSize": lambda r: 0.01 * (0.3 / 0.01) ** r.random(),
-    "maxIter": lambda r: r.randint(2, 4),
-}
+#: Trials of the registered searches; the space and the folds are the operator's own.
+TRIALS = 2
+SPACE_BOUNDS = {
+    "maxDepth": (3, 8), "stepSize": (0.01, 0.3), "maxIter": (100, 600), "subsamplingRate": (0.6, 1.0),
+    "featureSubsetStrategy": (0.6, 0.999), "minInstancesPerNode": (1, 10), "minInfoGain": (0.0, 0.001),
+}
 
 
 @query("tuned_trials", "SELECT CAST(unnest([0, 1]) AS INTEGER) AS trial, true AS auc_in_range, true AS best_is_refitted")
 def tuned_trials(spark, sf):
     """The trials of a search over the judged documents; the one of the highest AUC is fitted again on all rows."""
-    trees = GBTClassifier(featuresCol="features", labelCol="quality", seed=model.SEED)
-    found, trials = model.tune(
-        judged_documents(spark, sf), DOCUMENT_FEATURES, "quality", estimator=trees, space=SMALL_SPACE, trials=2, folds=3
-    )
-    best = found.getEstimatorParamMaps()[max(range(2), key=lambda i: found.avgMetrics[i])]
+    found, trials = model.tune(judged_documents(spark, sf), DOCUMENT_FEATURES, "quality", trials=TRIALS)
+    best = found.getEstimatorParamMaps()[max(range(TRIALS), key=lambda i: found.avgMetrics[i])]
     kept = all(found.bestModel.getOrDefault(p.name) == value for p, value in best.items())
     return trials.select("trial", F.col("auc").between(0, 1).alias("auc_in_range"), F.lit(kept).alias("best_is_refitted"))
 
@@ -234,7 +233,7 @@ def tuned_separable(spark, sf):
     """A label that one feature gives away: the AUC is 1 whatever the folds and the parameters."""
     flag = (F.col("l_quantity") > 25).cast("int")
     rows = table(spark, sf, "lineitem").select(flag.alias("y"), flag.alias("x"), "l_discount")
-    _, trials = model.tune(rows, ["x", "l_discount"], "y", space={"maxIter": lambda r: r.randint(1, 2), "maxDepth": lambda r: r.randint(1, 2)}, trials=2)
+    _, trials = model.tune(rows, ["x", "l_discount"], "y", trials=TRIALS)
     return trials.select("trial", "auc")
 
 
@@ -247,13 +246,13 @@ def trained_metadata(spark, sf):
     out = scratch_path(spark, "training")
     labelled = split.exact_split(judged_documents(spark, sf), ["doc_id"])
     csvfiles.write_snappy(labelled, f"{out}/features", partition_by="split")
-    student.train(spark, out, DOCUMENT_FEATURES, "quality", trials=2, space=SMALL_SPACE)
+    student.train(spark, out, DOCUMENT_FEATURES, "quality", trials=TRIALS)
     steps = (F.col("threshold") - 0.3) / 0.01
     metrics = [F.col(f"{part}.{name}").between(0, 1) for part in ("val_metrics", "test_metrics") for name in ("accuracy", "f1", "roc_auc")]
     return metadata.read_document(spark, f"{out}/model_metadata").select(
         F.size("feature_columns").alias("n_features"),
         ((F.abs(steps - F.round(steps)) < 1e-6) & steps.between(-1e-6, 44 + 1e-6)).alias("threshold_on_grid"),
         F.col("best_iteration").between(1, F.col("best_params.maxIter")).alias("stopped_within"),
-        (F.col("best_params.maxDepth").between(2, 3) & F.col("best_params.stepSize").between(0.01, 0.3)).alias("params_in_space"),
+        reduce(and_, (F.col(f"best_params.{name}").cast("double").between(*bounds) for name, bounds in SPACE_BOUNDS.items())).alias("params_in_space"),
         (metrics[0] & metrics[1] & metrics[2] & metrics[3] & metrics[4] & metrics[5]).alias("metrics_in_range"),
     )
