@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallyroute.llm import decontaminate, htmltext, langid, mixing, packing, quality, simhash, spans, urlfilter, warc
+from tallyroute.llm import conversations, decontaminate, htmltext, langid, licenses, mixing, packing, quality, signatures, simhash, spans, spelling, urlfilter, warc
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -221,3 +221,141 @@ def op9_language(spark, sf_dir):
 def op10_main_text(spark, sf_dir):
     """The main text of every page."""
     return htmltext.extract(table(spark, sf_dir, "pages").select("page_id", "url", "html"))
+
+
+#: CRC-32 of a list of bytes, from the table of its 256 remainders; ``bytes`` and ``remainders`` are columns.
+CRC_TABLE = """SELECT list(v ORDER BY i) AS remainders FROM (
+    SELECT i, list_reduce([0, 0, 0, 0, 0, 0, 0, 0], lambda c, z: CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END, i) AS v FROM range(256) AS t(i))"""
+CRC = "xor(list_reduce(bytes, lambda c, b: xor(c >> 8, remainders[CAST(xor(c, b) & 255 AS INTEGER) + 1]), 4294967295), 4294967295)"
+
+SPELLING_SQL = rf"""
+WITH RECURSIVE table_of AS MATERIALIZED ({CRC_TABLE}),
+runs AS (
+  SELECT key, run, CAST(count(*) AS BIGINT) AS n FROM (
+    SELECT doc_id AS key, unnest(list_transform(regexp_extract_all(text, '[A-Za-z\x{{C0}}-\x{{FF}}]+'), lambda x: translate(x, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'))) AS run FROM documents)
+  GROUP BY key, run
+), spelt AS (
+  SELECT run, n, flatten(list_transform(string_split(coalesce(CAST(key AS VARCHAR), '') || ':' || run, ''),
+      lambda c: CASE WHEN unicode(c) < 128 THEN [CAST(unicode(c) AS BIGINT)] ELSE [195, CAST(unicode(c) AS BIGINT) - 64] END)) AS bytes FROM runs
+), hashed AS (
+  SELECT run, n, {CRC} AS h FROM spelt, table_of
+), words AS MATERIALIZED (
+  SELECT word, CAST(sum(n) AS BIGINT) AS n FROM (
+    SELECT CASE WHEN h % 97 = 0 THEN left(run, CAST(h % length(run) AS INTEGER)) || substr(run, CAST(h % length(run) AS INTEGER) + 2) ELSE run END AS word, n FROM hashed)
+  WHERE length(word) >= 5 GROUP BY word HAVING sum(n) >= 3
+), shorter AS MATERIALIZED (
+  SELECT word, n, i, left(word, i - 1) || substr(word, i + 1) AS rest FROM (SELECT word, n, unnest(range(1, length(word) + 1)) AS i FROM words)
+), near AS (
+  SELECT a.word, b.word AS other, b.n AS other_n FROM shorter a JOIN shorter b ON a.rest = b.rest AND a.i = b.i AND length(a.word) = length(b.word) AND a.word <> b.word
+  UNION SELECT a.word, b.word, b.n FROM shorter a JOIN words b ON a.rest = b.word
+  UNION SELECT b.word, a.word, a.n FROM shorter a JOIN words b ON a.rest = b.word
+), best AS (
+  SELECT word, count(*) AS n_near, max(other_n) AS most FROM near GROUP BY word
+), forms AS MATERIALIZED (
+  SELECT w.word, w.n, CAST(coalesce(b.n_near, 0) AS BIGINT) AS n_near,
+    CASE WHEN most >= 2 * w.n THEN (SELECT min(other) FROM near x WHERE x.word = w.word AND x.other_n = most) END AS form,
+    CASE WHEN most >= 2 * w.n THEN CAST(most AS BIGINT) END AS form_n
+  FROM words w LEFT JOIN best b ON b.word = w.word
+), ways AS (
+  SELECT word, word AS at FROM forms
+  UNION ALL SELECT w.word, f.form FROM ways w JOIN forms f ON f.word = w.at WHERE f.form IS NOT NULL
+)
+SELECT f.word, f.form, w.at AS root, f.n, f.n_near, f.form_n
+FROM forms f JOIN ways w ON w.word = f.word JOIN forms e ON e.word = w.at WHERE e.form IS NULL
+"""
+
+
+@query("op11_spelling_variants", SPELLING_SQL)
+def op11_spelling_variants(spark, sf_dir):
+    """Every word of all documents, and the commoner spelling that it stands for."""
+    return spelling.variants(table(spark, sf_dir, "documents").select("doc_id", "text"))
+
+
+TRIE_SQL = f"""
+WITH table_of AS MATERIALIZED ({CRC_TABLE}),
+own AS MATERIALIZED (
+  SELECT conv_id, list(struct_pack(t := turn_key, b := bytes) ORDER BY turn NULLS FIRST, turn_key) AS turns FROM (
+    SELECT conv_id, turn, octet_length(encode(coalesce(text, ''))) AS bytes,
+      substr(md5(octet_length(encode(coalesce(role, ''))) || ':' || coalesce(role, '') || coalesce(text, '')), 1, 30) AS turn_key
+    FROM conversations WHERE conv_id IS NOT NULL)
+  GROUP BY conv_id
+), skips AS (
+  SELECT conv_id, turns, {CRC} % 9 AS h FROM (
+    SELECT *, list_transform(string_split(CAST(conv_id AS VARCHAR), ''), lambda c: CAST(unicode(c) AS BIGINT)) AS bytes FROM own), table_of
+), rebuilt AS MATERIALIZED (
+  SELECT s.conv_id, list_concat(coalesce(o.turns, [])[1:s.h], s.turns[s.h + 1:]) AS turns
+  FROM skips s LEFT JOIN own o ON o.conv_id = s.conv_id - s.conv_id % 5
+), prefixes AS MATERIALIZED (
+  SELECT conv_id, d AS depth, array_to_string(list_transform(turns[1:d], lambda x: x.t), '') AS node,
+    array_to_string(list_transform(turns[1:d - 1], lambda x: x.t), '') AS up, CASE WHEN d = 0 THEN 0 ELSE turns[d].b END AS bytes, d = len(turns) AS ends
+  FROM (SELECT *, unnest(range(0, len(turns) + 1)) AS d FROM rebuilt)
+), nodes AS MATERIALIZED (
+  SELECT node, depth, min(up) AS up, min(conv_id) AS conv_id, CAST(count(*) AS BIGINT) AS n_convs, min(bytes) AS bytes,
+    sha256(coalesce(string_agg(CAST(conv_id AS VARCHAR), ',' ORDER BY conv_id) FILTER (WHERE ends), '')) AS ends_sha256
+  FROM prefixes GROUP BY node, depth
+), counted AS MATERIALIZED (
+  SELECT n.*, p.conv_id AS parent_conv_id, coalesce(c.n, 0) AS n_children
+  FROM nodes n LEFT JOIN nodes p ON n.depth > 0 AND p.depth = n.depth - 1 AND p.node = n.up
+  LEFT JOIN (SELECT up, depth - 1 AS depth, count(*) AS n FROM nodes WHERE depth > 0 GROUP BY up, depth) c ON c.up = n.node AND c.depth = n.depth
+), totals AS (
+  SELECT p.node, p.depth, CAST(sum(CASE WHEN c.n_children = 0 THEN 1 ELSE 0 END) AS BIGINT) AS n_leaves, CAST(sum((c.n_convs - 1) * c.bytes) AS BIGINT) AS saved_tokens
+  FROM counted c JOIN prefixes p ON p.conv_id = c.conv_id AND p.depth <= c.depth GROUP BY p.node, p.depth
+)
+SELECT conv_id, CAST(c.depth AS BIGINT) AS depth, parent_conv_id, n_convs, CAST(n_children AS BIGINT) AS n_children, n_leaves, saved_tokens, ends_sha256
+FROM counted c JOIN totals t ON t.node = c.node AND t.depth = c.depth
+"""
+
+
+@query("op12_conversation_trie", TRIE_SQL)
+def op12_conversation_trie(spark, sf_dir):
+    """Every node of the prefix trie of the rebuilt conversations."""
+    return conversations.trie(table(spark, sf_dir, "conversations"))
+
+
+def _quoted(text: str) -> str:
+    return "'" + text.replace("'", "''") + "'"
+
+
+def _rule_rows() -> str:
+    listed = enumerate(signatures.rules())
+    return ", ".join(f"({i}, {_quoted(r.label)}, {r.priority}, {_quoted(r.keyword)}, {_quoted(licenses.over_words(r.pattern))})" for i, r in listed)
+
+
+LICENSE_SQL = rf"""
+WITH rules(place, label, priority, keyword, pattern) AS (VALUES {_rule_rows()}),
+scores(priority, score) AS (VALUES {", ".join(f"({p}, CAST({s} AS DOUBLE))" for p, s in licenses.SCORES.items())}),
+split AS MATERIALIZED (
+  SELECT row_number() OVER () AS row, doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS words FROM documents
+), formed AS (
+  SELECT row, words, array_to_string(list_transform(words, lambda w, i: ' ' || w || chr(1) || (i - 1) || ' '), '') AS form FROM split
+), matched AS (
+  SELECT row, place, label, priority, unnest(regexp_extract_all(form, pattern)) AS m FROM formed JOIN rules ON list_contains(words, keyword)
+), detections AS MATERIALIZED (
+  SELECT *, CAST(regexp_extract(m, chr(1) || '([0-9]+)', 1) AS INTEGER) AS first, CAST(regexp_extract(m, chr(1) || '([0-9]+) $', 1) AS INTEGER) AS last FROM matched
+), kept AS (
+  SELECT * FROM detections d WHERE NOT EXISTS (
+    SELECT 1 FROM detections e WHERE e.row = d.row
+      AND ((e.first >= d.first AND e.last <= d.last) OR (e.first <= d.first AND e.last >= d.last))
+      AND (e.priority < d.priority OR (e.priority = d.priority AND (e.last - e.first > d.last - d.first OR (e.last - e.first = d.last - d.first AND e.place < d.place)))))
+), spots AS (
+  SELECT row, i - 1 AS spot, CASE WHEN words[i] = 'cc' AND words[i + 1] = 'by' THEN 'cc-by'
+      WHEN words[i] = 'general' AND words[i + 1] = 'public' AND words[i + 2] = 'license' THEN 'gpl'
+      WHEN words[i] = 'all' AND words[i + 1] = 'rights' AND words[i + 2] = 'reserved' THEN 'reserved' END AS label
+  FROM (SELECT row, words, unnest(range(1, len(words) + 1)) AS i FROM split)
+), base AS (
+  SELECT row, count(*) AS n_base, min(spot) AS first_word, max(spot) AS last_word, list_sort(list_distinct(list(label))) AS own FROM spots WHERE label IS NOT NULL GROUP BY row
+), method AS (
+  SELECT row, list(DISTINCT label) AS found, max(score) AS score FROM kept JOIN scores USING (priority) GROUP BY row
+)
+SELECT doc_id, CAST(len(words) AS BIGINT) AS n_words, CAST(coalesce(n_base, 0) AS BIGINT) AS n_base, CAST(first_word AS BIGINT) AS first_word, CAST(last_word AS BIGINT) AS last_word,
+  array_to_string(coalesce(own, []), ',') AS base_labels,
+  array_to_string(list_sort(list_distinct(list_concat(coalesce(own, []), coalesce(found, [])))), ',') AS labels,
+  greatest(coalesce(method.score, 0), CASE WHEN n_base > 0 THEN CAST({licenses.BASE_SCORE} AS DOUBLE) ELSE 0 END) AS score
+FROM split LEFT JOIN base USING (row) LEFT JOIN method USING (row)
+"""
+
+
+@query("op13_license_scan", LICENSE_SQL)
+def op13_license_scan(spark, sf_dir):
+    """Licenses and license phrases that every document names."""
+    return licenses.scan(table(spark, sf_dir, "documents").select("doc_id", "text"))
