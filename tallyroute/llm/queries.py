@@ -171,8 +171,8 @@ def op5_pack_tokens(spark, sf_dir):
 
 @query("op6_repeated_spans")
 def op6_repeated_spans(spark, sf_dir):
-    """Documents that repeat a passage of another place, and what is left of them."""
-    return spans.repeats(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    """Documents that repeat a passage of an earlier document, and what is left of them."""
+    return spans.repeats(table(spark, sf_dir, "documents").select("doc_id", "text"), within=False)
 
 
 @query("op7_simhash_components")
