@@ -9,7 +9,7 @@ from pyspark.ml.functions import vector_to_array
 from pyspark.sql import functions as F
 
 from fixture_queries.base import MODEL, query, table
-from tallyroute.operators import model, split
+from tallyroute.operators import boosting, model, shapley, split
 from tallyroute.plans import student
 from tallyroute.session import materialize, scratch_path
 from tallyroute.sources import csvfiles, metadata
@@ -210,18 +210,20 @@ def logistic_coefficients(spark, sf):
 #: Trials of the registered searches; the space and the folds are the operator's own.
 TRIALS = 2
 SPACE_BOUNDS = {
-    "maxDepth": (3, 8), "stepSize": (0.01, 0.3), "maxIter": (100, 600), "subsamplingRate": (0.6, 1.0),
-    "featureSubsetStrategy": (0.6, 0.999), "minInstancesPerNode": (1, 10), "minInfoGain": (0.0, 0.001),
+    "max_depth": (3, 8), "learning_rate": (0.01, 0.3), "n_estimators": (100, 600), "subsample": (0.6, 1.0), "colsample_bytree": (0.6, 1.0),
+    "min_child_weight": (1, 10), "gamma": (0.0, 1.0), "reg_alpha": (0.0, 1.0), "reg_lambda": (0.5, 2.0),
 }
 
 
-@query("tuned_trials", "SELECT CAST(unnest([0, 1]) AS INTEGER) AS trial, true AS auc_in_range, true AS best_is_refitted")
+@query("tuned_trials", "SELECT CAST(unnest([0, 1]) AS INTEGER) AS trial, true AS auc_in_range, true AS params_in_space, true AS ended_within")
 def tuned_trials(spark, sf):
-    """The trials of a search over the judged documents; the one of the highest AUC is fitted again on all rows."""
-    found, trials = model.tune(judged_documents(spark, sf), DOCUMENT_FEATURES, "quality", trials=TRIALS)
-    best = found.getEstimatorParamMaps()[max(range(TRIALS), key=lambda i: found.avgMetrics[i])]
-    kept = all(found.bestModel.getOrDefault(p.name) == value for p, value in best.items())
-    return trials.select("trial", F.col("auc").between(0, 1).alias("auc_in_range"), F.lit(kept).alias("best_is_refitted"))
+    """The trials of a search over the judged documents, with the operator's space, folds and early stopping."""
+    found = model.tune(judged_documents(spark, sf), DOCUMENT_FEATURES, "quality", trials=TRIALS)
+    rows = [
+        (t.number, 0 <= t.auc <= 1, all(low <= getattr(t.params, n) <= high for n, (low, high) in SPACE_BOUNDS.items()), 1 <= t.rounds <= t.params.n_estimators)
+        for t in found
+    ]
+    return spark.createDataFrame(rows, "trial int, auc_in_range boolean, params_in_space boolean, ended_within boolean")
 
 
 @query(
@@ -233,8 +235,8 @@ def tuned_separable(spark, sf):
     """A label that one feature gives away: the AUC is 1 whatever the folds and the parameters."""
     flag = (F.col("l_quantity") > 25).cast("int")
     rows = table(spark, sf, "lineitem").select(flag.alias("y"), flag.alias("x"), "l_discount")
-    _, trials = model.tune(rows, ["x", "l_discount"], "y", trials=TRIALS)
-    return trials.select("trial", "auc")
+    found = model.tune(rows, ["x", "l_discount"], "y", trials=TRIALS)
+    return spark.createDataFrame([(t.number, t.auc) for t in found], "trial int, auc double")
 
 
 @query(
@@ -252,7 +254,67 @@ def trained_metadata(spark, sf):
     return metadata.read_document(spark, f"{out}/model_metadata").select(
         F.size("feature_columns").alias("n_features"),
         ((F.abs(steps - F.round(steps)) < 1e-6) & steps.between(-1e-6, 44 + 1e-6)).alias("threshold_on_grid"),
-        F.col("best_iteration").between(1, F.col("best_params.maxIter")).alias("stopped_within"),
+        F.col("best_iteration").between(1, F.col("best_params.n_estimators")).alias("stopped_within"),
         reduce(and_, (F.col(f"best_params.{name}").cast("double").between(*bounds) for name, bounds in SPACE_BOUNDS.items())).alias("params_in_space"),
         (metrics[0] & metrics[1] & metrics[2] & metrics[3] & metrics[4] & metrics[5]).alias("metrics_in_range"),
     )
+
+
+#: The parameters of the one regularised split that has a closed form.
+STUMP = boosting.Params(max_depth=1, n_estimators=1, learning_rate=0.5, reg_lambda=2.0, reg_alpha=0.75, min_child_weight=1.0)
+SECOND_ORDER_SQL = """WITH t AS (SELECT CAST(l_returnflag = 'R' AS DOUBLE) AS y, CAST(l_quantity > 25 AS INTEGER) AS x FROM lineitem),
+p AS (SELECT avg(y) AS p, ln(avg(y) / (1 - avg(y))) AS base, count(*) AS n FROM t),
+s AS (SELECT x, sum(p - y) AS g, sum(p * (1 - p)) AS h, max(base) AS base, CAST(count(*) AS DOUBLE) / max(n) AS share FROM t, p GROUP BY x),
+w AS (SELECT *, -0.5 * sign(g) * greatest(abs(g) - 0.75, 0) / (h + 2) AS w FROM s),
+m AS (SELECT *, (SELECT sum(share * w) FROM w) AS mean FROM w)"""
+
+
+@query("second_order_stump", f"{SECOND_ORDER_SQL} SELECT x, round(1 / (1 + exp(-(base + w))), 9) AS probability FROM m")
+def second_order_stump(spark, sf):
+    """One split of second-order boosting with L1 and L2 terms: its two leaves have a closed form."""
+    rows = _one_feature(spark, sf)
+    fitted = boosting.fit(rows, None, ["x"], "y", STUMP)
+    return rows.select("x").distinct().select("x", F.round(fitted.probability(), 9).alias("probability"))
+
+
+@query("stump_contributions", f"{SECOND_ORDER_SQL} SELECT x, round(w - mean, 9) + 0.0 AS contribution, round(base + mean, 9) AS expected FROM m")
+def stump_contributions(spark, sf):
+    """The contribution of the only feature: its leaf less the mean of the leaves over all rows."""
+    rows = _one_feature(spark, sf)
+    fitted = boosting.fit(rows, None, ["x"], "y", STUMP)
+    shown = rows.select(F.col("x").alias("key"), "x").distinct()
+    made = model.contributions(shown, fitted, ["key"])
+    base = F.lit(round(shapley.expected(fitted), 9))
+    return made.select(F.col("key").alias("x"), (F.round("x", 9) + F.lit(0.0)).alias("contribution"), base.alias("expected"))
+
+
+@query("explained_documents", "SELECT doc_id, CAST(6 AS INTEGER) AS n_terms, true AS adds_up, true AS ranked FROM documents")
+def explained_documents(spark, sf):
+    """The trees that score are the trees that are explained: of every document the contributions and the base add up to its log-odds."""
+    measured = measured_documents(spark, sf)
+    splits = _document_splits(spark, sf, measured)
+    fitted = boosting.fit(splits["train"], splits["val"], DOCUMENT_FEATURES, "quality", boosting.Params(max_depth=4, n_estimators=12))
+    scored = measured.select("doc_id", *DOCUMENT_FEATURES, fitted.log_odds().alias("log_odds"))
+    shown = model.explain(scored, fitted, ["doc_id", "log_odds"], digits=12)
+    total = F.aggregate("explanation", F.lit(shapley.expected(fitted)), lambda total, e: total + e["value"])
+    sizes = F.transform("explanation", lambda e: -F.abs(e["value"]))
+    return shown.select(
+        "doc_id", F.size("explanation").alias("n_terms"), (F.abs(total - F.col("log_odds")) < 1e-6).alias("adds_up"), (sizes == F.array_sort(sizes)).alias("ranked")
+    )
+
+
+@query(
+    "model_record",
+    """WITH t AS (SELECT CAST(l_returnflag = 'R' AS INTEGER) AS y, CASE WHEN l_quantity > 25 THEN 0.75 ELSE 0.25 END AS s FROM lineitem),
+c AS (SELECT sum(CAST(y = 1 AND s > 0.5 AS INTEGER)) AS tp, sum(CAST(y = 0 AND s > 0.5 AS INTEGER)) AS fp, sum(CAST(y = 1 AND s < 0.5 AS INTEGER)) AS fn,
+  sum(CAST(y = 0 AND s < 0.5 AS INTEGER)) AS tn FROM t)
+SELECT 'x' AS features, CAST(0.5 AS DOUBLE) AS threshold, CAST(1 AS INTEGER) AS best_iteration, CAST(2 AS DOUBLE) AS reg_lambda,
+  round((tp + tn) / (tp + fp + fn + tn), 4) AS accuracy, round(2 * tp / (2 * tp + fp + fn), 4) AS f1,
+  round((tp * tn + 0.5 * (tp * fp + fn * tn)) / ((tp + fn) * CAST(fp + tn AS DOUBLE)), 4) AS roc_auc FROM c""",
+)
+def model_record(spark, sf):
+    """The metadata record of a model whose scores are given: metrics, threshold and parameters."""
+    rows = _one_feature(spark, sf).select("y", F.when(F.col("x") == 1, 0.75).otherwise(0.25).alias("score"))
+    record = model.model_document({"val": rows}, "y", "score", 0.5, ["x"], {"reg_lambda": 2.0}, 1)
+    metrics = [F.round(f"val_metrics.{name}", 4).alias(name) for name in ("accuracy", "f1", "roc_auc")]
+    return record.select(F.array_join("feature_columns", ",").alias("features"), "threshold", "best_iteration", "best_params.reg_lambda", *metrics)

@@ -2,24 +2,21 @@
 
 from __future__ import annotations
 
-import random
 from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
 
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import GBTClassifier, LogisticRegression
-from pyspark.ml.evaluation import BinaryClassificationEvaluator
 from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.functions import vector_to_array
-from pyspark.ml.tuning import CrossValidator, CrossValidatorModel
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tallyroute.functions import numeric
+from tallyroute.operators import boosting, shapley
 from tallyroute.operators.evaluate import metrics_record
 from tallyroute.operators.schema import col
 from tallyroute.operators.validate import ERROR, UNKNOWN_FAILURE
-from tallyroute.session import materialize
 
 SEED = 42
 
@@ -85,59 +82,14 @@ def fit_boosted(
     return Pipeline(stages=[assembler(features), trees]).fit(both)
 
 
-# Search space: name -> draw from a seeded generator. The bounds. Spark measures the
-# gain of a split per row, so the minimum gain is drawn from a range that is smaller by a thousand.
-SEARCH_SPACE = {
-    "maxDepth": lambda r: r.randint(3, 8),
-    "stepSize": lambda r: 0.01 * (0.3 / 0.01) ** r.random(),
-    "maxIter": lambda r: r.randint(100, 600),
-    "subsamplingRate": lambda r: r.uniform(0.6, 1.0),
-    "featureSubsetStrategy": lambda r: str(round(r.uniform(0.6, 0.999), 3)),
-    "minInstancesPerNode": lambda r: r.randint(1, 10),
-    "minInfoGain": lambda r: r.uniform(0.0, 1.0) / 1000,
-}
-TRIALS = 50
-FOLDS = 5
+SEARCH_SPACE = boosting.SPACE
+TRIALS = boosting.TRIALS
+FOLDS = boosting.FOLDS
 
 
-def random_grid(estimator, trials: int = TRIALS, seed: int = SEED, space=None) -> list[dict]:
-    """Seeded random draws from the search space as parameter maps of the estimator."""
-    generator = random.Random(seed)
-    drawn = [{n: draw(generator) for n, draw in (space or SEARCH_SPACE).items()} for _ in range(trials)]
-    return [{estimator.getParam(n): v for n, v in one.items()} for one in drawn]
-
-
-def tune(
-    train: DataFrame,
-    features: Sequence[str],
-    label: str,
-    *,
-    estimator=None,
-    space=None,
-    trials: int = TRIALS,
-    folds: int = FOLDS,
-    parallelism: int = 4,
-) -> tuple[CrossValidatorModel, DataFrame]:
-    """Random search with cross-validation on mean AUC: the model, and trial, params, auc rows."""
-    estimator = estimator or GBTClassifier(featuresCol="features", labelCol=label, seed=SEED)
-    grid = random_grid(estimator, trials, space=space)
-    # Every fold reads the assembled rows, so they are written once.
-    assembled = assembler(features).transform(train.select(*[col(f) for f in features], col(label)))
-    vectors = materialize(assembled.select("features", label), "vectors")
-    search = CrossValidator(
-        estimator=estimator,
-        estimatorParamMaps=grid,
-        evaluator=BinaryClassificationEvaluator(labelCol=label, metricName="areaUnderROC", numBins=0),
-        numFolds=folds,
-        seed=SEED,
-        parallelism=parallelism,
-    ).fit(vectors)
-    rows = [
-        (i, {p.name: str(v) for p, v in one.items()}, float(auc))
-        for i, (one, auc) in enumerate(zip(grid, search.avgMetrics))
-    ]
-    results = train.sparkSession.createDataFrame(rows, "trial int, params map<string,string>, auc double")
-    return search, results
+def tune(train: DataFrame, features: Sequence[str], label: str, *, space=None, trials: int = TRIALS, folds: int = FOLDS) -> list[boosting.Trial]:
+    """Cross-validated search for the parameters of boosted trees, by mean AUC; the trials in their order."""
+    return boosting.search(train, features, label, space=space or SEARCH_SPACE, trials=trials, folds=folds)
 
 
 def positive_probability(probability: str = "probability") -> Column:
@@ -182,28 +134,35 @@ def summarize_batch(results: DataFrame) -> DataFrame:
     )
 
 
-def contributions(df: DataFrame, model: LinearModel, keep: Sequence[str] = ()) -> DataFrame:
-    """Wide table: one column per feature with its contribution."""
+def contributions(df: DataFrame, model: LinearModel | boosting.Boosted, keep: Sequence[str] = ()) -> DataFrame:
+    """Wide table: one column per feature with its contribution in log-odds."""
+    if isinstance(model, boosting.Boosted):
+        return shapley.contributions(df, model, keep)
     return df.select(*[col(k) for k in keep], *[model.contribution(f).alias(f) for f in model.features])
 
 
-def explain(df: DataFrame, model: LinearModel, keep: Sequence[str], digits: int = 4) -> DataFrame:
+def explain(df: DataFrame, model: LinearModel | boosting.Boosted, keep: Sequence[str], digits: int = 4) -> DataFrame:
     """Keep columns plus ``explanation``: (feature, value) by absolute value, ties by feature order."""
+    # Kept columns may bear the features' names, so they go by number meanwhile.
+    numbered = df.select(*[col(k).alias(f"_keep{i}") for i, k in enumerate(keep)], *[col(f) for f in model.features])
+    names = [f"_keep{i}" for i in range(len(keep))]
     # Each term is rounded once, in a projection of its own.
-    terms = [(F.round(model.contribution(f), digits) + F.lit(0.0)).alias(f"_term{i}") for i, f in enumerate(model.features)]
-    wide = df.select(*[col(k) for k in keep], *terms)
+    made = contributions(numbered, model, names)
+    terms = [(F.round(col(f), digits) + F.lit(0.0)).alias(f"_term{i}") for i, f in enumerate(model.features)]
+    wide = made.select(*names, *terms)
     entries = [
         F.struct((-F.abs(F.col(f"_term{i}"))).alias("size"), F.lit(i).alias("place"), F.lit(f).alias("feature"), F.col(f"_term{i}").alias("value"))
         for i, f in enumerate(model.features)
     ]
-    ranked = wide.select(*[col(k) for k in keep], F.sort_array(F.array(*entries)).alias("_ranked"))
+    ranked = wide.select(*names, F.sort_array(F.array(*entries)).alias("_ranked"))
     pairs = F.arrays_zip(F.col("_ranked.feature").alias("feature"), F.col("_ranked.value").alias("value"))
-    return ranked.select(*[col(k) for k in keep], pairs.alias("explanation"))
+    return ranked.select(*[F.col(n).alias(k) for n, k in zip(names, keep)], pairs.alias("explanation"))
 
 
-def importance(df: DataFrame, model: LinearModel, top: int = 20) -> DataFrame:
+def importance(df: DataFrame, model: LinearModel | boosting.Boosted, top: int = 20) -> DataFrame:
     """feature, importance: mean absolute contribution, the largest ``top``; one pass, no explode."""
-    row = df.agg(*[F.avg(F.abs(model.contribution(f))).alias(f"i{i}") for i, f in enumerate(model.features)])
+    wide = contributions(df, model)
+    row = wide.agg(*[F.avg(F.abs(col(f))).alias(f"i{i}") for i, f in enumerate(model.features)])
     cells = [
         F.struct(F.lit(f).alias("feature"), F.col(f"i{i}").alias("importance"), F.lit(i).alias("place"))
         for i, f in enumerate(model.features)

@@ -3,14 +3,13 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
-from dataclasses import dataclass
+from dataclasses import asdict, dataclass, replace
 
-from pyspark.ml import PipelineModel
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tallyroute.operators import evaluate, features, model, ordering, profile, schema, split, validate
+from tallyroute.operators import boosting, evaluate, features, model, ordering, profile, schema, split, validate
 from tallyroute.operators.schema import col
 from tallyroute.operators.validate import FieldRule
 from tallyroute.session import materialize
@@ -187,7 +186,7 @@ def prepare(spark: SparkSession, csv_path: str, out: str, key: list[str] | None
 class Trained:
     """A fitted model with the threshold chosen on the validation split."""
 
-    model: PipelineModel
+    model: boosting.Boosted
     threshold: float
     document: DataFrame
 
@@ -195,31 +194,17 @@ class Trained:
 def train(spark: SparkSession, out: str, feature_names: list[str], target: str = TARGET, trials: int = 0, space=None, folds: int = model.FOLDS, **params) -> Trained:
     """Tune (optional, ``trials`` draws from ``space``), fit with early stopping, choose the threshold, evaluate, save below ``out``."""
     splits = parquetfiles.load_splits(spark, f"{out}/features", feature_names, target)
-    chosen = dict(params)
+    chosen = boosting.Params(**params)
     if trials:
-        search, _ = model.tune(splits["train"], feature_names, target, space=space, trials=trials, folds=folds)
-        best = max(range(trials), key=lambda i: search.avgMetrics[i])
-        chosen.update({p.name: v for p, v in search.getEstimatorParamMaps()[best].items()})
-    fitted = model.fit_boosted(splits["train"], splits["val"], feature_names, target, **chosen)
+        given = {} if space is None and folds == model.FOLDS else {"space": space, "folds": folds}
+        chosen = replace(boosting.best_params(model.tune(splits["train"], feature_names, target, trials=trials, **given)), **params)
+    fitted = boosting.fit(splits["train"], splits["val"], feature_names, target, chosen)
 
     # Scored once each; the sweep and the metrics then read two columns.
-    scored = {
-        name: materialize(
-            fitted.transform(splits[name]).select(target, model.positive_probability().alias("score")), "scored"
-        )
-        for name in ("val", "test")
-    }
+    scored = {name: materialize(splits[name].select(target, fitted.probability().alias("score")), "scored") for name in ("val", "test")}
     threshold = evaluate.best_threshold(evaluate.threshold_sweep(scored["val"], target, "score")).first()
-    document = model.model_document(
-        scored,
-        target,
-        "score",
-        threshold["threshold"],
-        feature_names,
-        chosen or {"maxIter": fitted.stages[-1].getNumTrees},
-        fitted.stages[-1].getNumTrees,
-    )
-    fitted.write().overwrite().save(f"{out}/model")
+    document = model.model_document(scored, target, "score", threshold["threshold"], feature_names, asdict(chosen), len(fitted.trees))
+    boosting.save(fitted, spark, f"{out}/model")
     metadata.write_document(document, f"{out}/model_metadata")
     return Trained(fitted, threshold["threshold"], document)
 
@@ -254,7 +239,7 @@ def batch_score(spark: SparkSession, csv_path: str, fitted, threshold: float) ->
 def score_records(checked: DataFrame, fitted, threshold: float, keep: list[str]) -> DataFrame:
     """Score checked records with trees or with a linear model; rejected rows keep their errors."""
     table = student_features(checked)
-    if isinstance(fitted, model.LinearModel):
+    if isinstance(fitted, (model.LinearModel, boosting.Boosted)):
         return model.score_rows(table, fitted.probability(), threshold, keep)
     scored = fitted.transform(table)
     return model.score_rows(scored, model.positive_probability(), threshold, keep)

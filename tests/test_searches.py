@@ -2,7 +2,7 @@
 
 import pytest
 from fixture_queries import QUERIES, models
-from tallyroute.operators import model
+from tallyroute.operators import boosting, model
 from tallyroute.plans import student
 
 SF = "/root/testdata/sf0.001"
@@ -26,7 +26,7 @@ def test_searches_the_whole_space(spark, monkeypatch, name):
 
 
 def test_metadata_reads_every_parameter(spark, monkeypatch):
-    monkeypatch.setattr(model, "SEARCH_SPACE", {**model.SEARCH_SPACE, "maxIter": lambda r: 2, "maxDepth": lambda r: 3})
-    monkeypatch.setitem(models.SPACE_BOUNDS, "maxIter", (2, 2))
+    monkeypatch.setattr(model, "SEARCH_SPACE", {**model.SEARCH_SPACE, "n_estimators": boosting.whole(2, 2), "max_depth": boosting.whole(3, 3)})
+    monkeypatch.setitem(models.SPACE_BOUNDS, "n_estimators", (2, 2))
     row = QUERIES["trained_metadata"](spark, SF).first()
     assert row.params_in_space and row.stopped_within and row.threshold_on_grid

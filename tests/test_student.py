@@ -3,7 +3,7 @@ import random
 import pytest
 from pyspark.sql import functions as F
 
-from tallyroute.operators import evaluate, model, ordering, validate
+from tallyroute.operators import boosting, evaluate, model, ordering, validate
 from tallyroute.plans import student
 from tallyroute.sources import csvfiles, metadata, parquetfiles
 from tallyroute.streaming import scoring
@@ -202,15 +202,15 @@ def test_prepare_train_and_score(spark, tmp_path, monkeypatch):
     assert document["class_balance"]["total"] == parts["train"]
     assert document["train_stats"]["c++_skill"]["mean"] == 4.0
 
-    trained = student.train(spark, out, student.FEATURES, maxIter=4, maxDepth=2)
+    trained = student.train(spark, out, student.FEATURES, n_estimators=4, max_depth=2)
     assert 0.3 <= trained.threshold < 0.75
     record = metadata.read_document(spark, f"{out}/model_metadata").first()
     assert record["val_metrics"]["roc_auc"] > 0.6
 
-    monkeypatch.setattr(model, "SEARCH_SPACE", {"maxDepth": lambda r: r.randint(1, 2), "maxIter": lambda r: r.randint(2, 3)})
+    monkeypatch.setattr(model, "SEARCH_SPACE", {"max_depth": boosting.whole(1, 2), "n_estimators": boosting.whole(2, 3)})
     tuned = student.train(spark, out, student.FEATURES, trials=2)
     record = metadata.read_document(spark, f"{out}/model_metadata").first()
-    assert record["best_params"]["maxDepth"] in (1, 2) and 0.3 <= tuned.threshold < 0.75
+    assert record["best_params"]["max_depth"] in (1, 2) and 0.3 <= tuned.threshold < 0.75
 
     write_csv(tmp_path / "up.csv", [GOOD, {**GOOD, "age": "1"}])
     results = student.batch_score(spark, str(tmp_path / "up.csv"), trained.model, trained.threshold)
@@ -245,15 +245,18 @@ def test_logistic_fit_matches_its_own_scores(spark):
     assert ranked[0]["feature"] == "a"
 
 
-def test_random_grid_is_seeded_and_in_bounds(spark):
-    from pyspark.ml.classification import GBTClassifier
+def test_drawn_parameters_are_seeded_and_in_bounds():
+    def drawn():
+        generator, done = random.Random(42), []
+        for i in range(50):
+            done.append((boosting.draw_params(done, generator), i / 50))
+        return done
 
-    trees = GBTClassifier()
-    one, two = model.random_grid(trees, 50), model.random_grid(trees, 50)
-    assert one == two and len(one) == 50
-    for trial in one:
-        values = {p.name: v for p, v in trial.items()}
-        assert 3 <= values["maxDepth"] <= 8 and 0.01 <= values["stepSize"] <= 0.3 and 100 <= values["maxIter"] <= 600
+    assert drawn() == drawn()
+    for trial, _ in drawn():
+        assert 3 <= trial.max_depth <= 8 and 0.01 <= trial.learning_rate <= 0.3 and 100 <= trial.n_estimators <= 600
+        assert 0.6 <= trial.subsample <= 1 and 0.6 <= trial.colsample_bytree <= 1 and 1 <= trial.min_child_weight <= 10
+        assert 0 <= trial.gamma <= 1 and 0 <= trial.reg_alpha <= 1 and 0.5 <= trial.reg_lambda <= 2
 
 
 def test_arriving_files_score_like_the_batch(spark, tmp_path):
