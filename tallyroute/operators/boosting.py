@@ -1,8 +1,8 @@
 """Regularised second-order boosted trees for a binary label, many models in the same passes over the rows.
 
-Features are cut into quantile bins once. Every level of every tree is one aggregate: rows add their gradient and
-hessian to (model, node, feature, bin), and the best split of each (model, node) is picked from the running sums of its
-bins, so what reaches the driver is one row per node. All models of a search, each with its own held-out
+Features are cut into quantile bins once. Every level of every tree is one aggregate: each task sums the gradients and
+hessians of its rows per (model, node, feature, bin), the sums are added up across tasks, and the best split of each (model, node)
+is picked from the running sums of its bins, so what reaches the driver is one row per node. All models of a search, each with its own held-out
 fold, grow in the same aggregates. A model stops when the AUC of its held-out rows stops improving.
 """
 
@@ -14,6 +14,8 @@ import random
 from collections.abc import Callable, Sequence
 from dataclasses import asdict, dataclass, field
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -26,7 +28,10 @@ STOP_AFTER = 20
 #: Trees that are added to the margins by expression before the margins are written anew.
 WRITE_EVERY = 8
 SMALLEST_GAIN = 1e-6
-SUM_PARTITIONS = 8
+SMALLEST_SUM = 1e-12  # what rounding may leave of a side without rows
+SUM_PARTITIONS = 4
+MOST_SUM_PARTITIONS = 512
+MARGINS_A_TASK = 2_000_000
 #: Held-out probabilities are compared to this many places.
 AUC_PLACES = 4
 
@@ -58,12 +63,12 @@ class Tree:
     sums: dict[int, tuple[float, float]] = field(default_factory=dict)
     value: dict[int, float] = field(default_factory=dict)
 
-    def arrays(self) -> dict:
-        """The tree as arrays over the heap numbers; a node without a feature is a leaf."""
-        size = 2 ** (self.depth + 1)
+    def arrays(self) -> dict[str, np.ndarray]:
+        """The tree as arrays over the heap numbers; the feature of a leaf is -1."""
+        places = range(2 ** (self.depth + 1))
         return {
-            "feature": [self.feature.get(n) for n in range(size)], "bin": [self.bin.get(n, 0) for n in range(size)],
-            "left": [self.missing_left.get(n, False) for n in range(size)], "value": [self.value.get(n, 0.0) for n in range(size)],
+            "feature": np.array([self.feature.get(n, -1) for n in places]), "bin": np.array([self.bin.get(n, 0) for n in places]),
+            "left": np.array([self.missing_left.get(n, False) for n in places]), "value": np.array([self.value.get(n, 0.0) for n in places]),
         }
 
     def settle(self, params: Params) -> None:
@@ -103,13 +108,22 @@ class Boosted:
     base: float = 0.0
     aucs: list[float] = field(default_factory=list)
 
+    def _bound(self, tree: Tree, node: int) -> float | None:
+        """Up to which value rows go left at a split; none parts missing values from all others."""
+        edges, place = self.edges[tree.feature[node]], tree.bin[node]
+        return edges[place] if place < len(edges) else None
+
     def log_odds(self) -> Column:
         """Sum of the trees' leaves as a column expression; null and NaN are missing."""
         values = F.array(*[_value(name) for name in self.features])
-        listed = [
-            {**tree.arrays(), "depth": tree.depth, "at": [self.edges[f][tree.bin[n]] if (f := tree.feature.get(n)) is not None and tree.bin[n] < len(self.edges[f]) else None for n in range(2 ** (tree.depth + 1))]}
-            for tree in self.trees
-        ]
+        listed = []
+        for tree in self.trees:
+            places = range(2 ** (tree.depth + 1))
+            at = [self._bound(tree, n) if n in tree.feature else None for n in places]
+            listed.append({
+                "feature": [tree.feature.get(n) for n in places], "at": at, "left": [tree.missing_left.get(n, False) for n in places],
+                "value": [tree.value.get(n, 0.0) for n in places], "depth": tree.depth,
+            })
         if not listed:
             return F.lit(self.base)
         kind = "array<struct<feature:array<int>,at:array<double>,left:array<boolean>,value:array<double>,depth:int>>"
@@ -118,7 +132,6 @@ class Boosted:
         def leaf(tree: Column) -> Column:
             def down(n: Column, _: Column) -> Column:
                 x, at = F.get(values, F.get(tree["feature"], n)), F.get(tree["at"], n)
-                # A bound of null parts missing values from all others.
                 right = F.when(x.isNull(), ~F.get(tree["left"], n)).otherwise(F.coalesce(x > at, F.lit(False)))
                 return F.when(F.get(tree["feature"], n).isNull(), n).otherwise(2 * n + right.cast("int"))
 
@@ -168,17 +181,74 @@ def binned(df: DataFrame, features: Sequence[str], label: str, edges: list[list[
     )
 
 
-TREE = "struct<feature:array<int>,bin:array<int>,left:array<boolean>,value:array<double>,depth:int>"
-MODELS = (
-    "array<struct<m:int,held:int,features:array<int>,seed:bigint,subsample:double,lambda:double,alpha:double,weight:double,"
-    f"growing:boolean,tree:{TREE},pending:array<{TREE}>>>"
-)
-STEP = (
-    "CASE WHEN n = 0 OR get({tree}.feature, n) IS NULL THEN {end} "
-    "ELSE 2 * n + IF(IF(bins[get({tree}.feature, n)] = -1, NOT get({tree}.left, n), bins[get({tree}.feature, n)] > get({tree}.bin, n)), 1, 0) END"
+CELL_SCHEMA = pa.schema([("m", pa.int32()), ("node", pa.int32()), ("f", pa.int32()), ("bin", pa.int32()), ("g", pa.float64()), ("h", pa.float64())])
+CELL_DDL = "m int, node int, f int, bin int, g double, h double"
+
+
+BEST_DDL = "m int, node int, f int, bin int, missing_left boolean, gain double, gl double, hl double, ga double, ha double, auc double"
+BEST_SCHEMA = pa.schema(
+    [("m", pa.int32()), ("node", pa.int32()), ("f", pa.int32()), ("bin", pa.int32()), ("missing_left", pa.bool_())]
+    + [(name, pa.float64()) for name in ("gain", "gl", "hl", "ga", "ha", "auc")]
 )
-LEAF = "get(t.value, aggregate(sequence(1, greatest(t.depth, 1)), 1, (n, i) -> " + STEP.format(tree="t", end="n") + "))"
-MARGIN = f"margins[d.m] + aggregate(d.pending, CAST(0 AS DOUBLE), (total, t) -> total + {LEAF})"
+
+
+def best_split(g: np.ndarray, h: np.ndarray, params: Params) -> tuple:
+    """Column, bin, whether missing values go left, gain, sums of the left side, and sums of the node.
+
+    ``g`` and ``h`` hold a row per feature, its first cell the missing values. Gains that are equal to nine places go to the
+    first feature, then the lowest bin, then missing values to the left. Without a split the gain is -1.
+    """
+    ga, ha = g.sum(axis=1)[:, None, None], h.sum(axis=1)[:, None, None]
+    # Both ways for the missing values: with the left side, then with the right one.
+    gl, hl = (np.stack([c := x.cumsum(axis=1)[:, 1:], c - x[:, :1]], axis=2) for x in (g, h))
+
+    def score(g, h):
+        return np.maximum(np.abs(g) - params.reg_alpha, 0) ** 2 / (h + params.reg_lambda)
+
+    allowed = (h[:, 1:, None] > 0) & (np.minimum(hl, ha - hl) >= params.min_child_weight) & (hl > 0) & (ha - hl > SMALLEST_SUM)
+    allowed[:, :, 1] &= h[:, :1] > 0
+    with np.errstate(divide="ignore", invalid="ignore"):
+        gain = np.where(allowed, score(gl, hl) + score(ga - gl, ha - hl) - score(ga, ha), -1.0)
+    f, place, side = np.unravel_index(np.round(gain, 9).argmax(), gain.shape)
+    return (int(f), int(place), side == 0, float(gain[f, place, side]), float(gl[f, place, side]), float(hl[f, place, side]), float(ga[f, 0, 0]), float(ha[f, 0, 0]))
+
+
+def area(positives: np.ndarray, negatives: np.ndarray) -> float | None:
+    """Area under the ROC curve from counts by score; none without a row of either label."""
+    below = negatives.cumsum() - negatives / 2
+    pairs = positives.sum() * negatives.sum()
+    return float((positives * below).sum() / pairs) if pairs else None
+
+
+def walked(tree: dict[str, np.ndarray], bins: np.ndarray, steps: int) -> np.ndarray:
+    """The node that each row reaches in so many steps."""
+    node, rows = np.ones(len(bins), np.int64), np.arange(len(bins))
+    for _ in range(steps):
+        f = tree["feature"][node]
+        own = bins[rows, f]
+        right = np.where(own < 0, ~tree["left"][node], own > tree["bin"][node])
+        node = np.where(f < 0, node, 2 * node + right)
+    return node
+
+
+def in_sample(rid: np.ndarray, seed: int, share: float) -> np.ndarray:
+    """Which rows a tree sees: by a hash of row and seed."""
+    if share >= 1:
+        return np.ones(len(rid), bool)
+    x = rid.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15) + np.uint64(seed)
+    for shift, factor in ((30, 0xBF58476D1CE4E5B9), (27, 0x94D049BB133111EB)):
+        x = (x ^ (x >> np.uint64(shift))) * np.uint64(factor)
+    return (x ^ (x >> np.uint64(31))) < np.uint64(int(share * 2**63) * 2)
+
+
+def cell_batch(m: int, node: np.ndarray, f: np.ndarray, place: np.ndarray, g: np.ndarray, h: np.ndarray) -> pa.RecordBatch:
+    whole = [np.full(len(node), m), node, f, place]
+    return pa.RecordBatch.from_arrays([*(pa.array(c.astype(np.int32)) for c in whole), pa.array(g), pa.array(h)], schema=CELL_SCHEMA)
+
+
+def matrix(column: pa.Array, width: int) -> np.ndarray:
+    """A column of arrays of one length as a matrix."""
+    return column.flatten().to_numpy(zero_copy_only=False).reshape(-1, width)
 
 
 @dataclass
@@ -205,81 +275,118 @@ class Model:
 class Grower:
     """Grows models tree by tree over one binned table."""
 
-    def __init__(self, table: DataFrame, models: list[Model], n_features: int):
+    def __init__(self, table: DataFrame, models: list[Model], n_features: int, bins: int = BINS):
         # Sums per model, node, feature and bin are small whatever the table: they need few partitions and no re-planning.
         self.spark = table.sparkSession.newSession()
         self.spark.conf.set("spark.sql.adaptive.enabled", "false")
         self.spark.conf.set("spark.sql.shuffle.partitions", str(SUM_PARTITIONS))
-        self.models, self.n_features = models, n_features
+        self.models, self.n_features, self.bins = models, n_features, bins
         self.path = scratch_path(self.spark, "margins")
         folds = {r.fold: (r.n, r.placed) for r in table.groupBy("fold").agg(F.count("*").alias("n"), F.sum("y").alias("placed")).collect()}
         for model in models:
             n, placed = (sum(own[i] for fold, own in folds.items() if fold != model.held) for i in range(2))
             model.base = math.log(placed / (n - placed)) if 0 < placed < n else 0.0
-        start = table.withColumn("margins", F.array(*[F.lit(model.base) for model in models]))
+        tasks = math.ceil(sum(n for n, _ in folds.values()) * len(models) / MARGINS_A_TASK)
+        start = table.withColumn("margins", F.array(*[F.lit(model.base) for model in models])).repartition(max(tasks, 1))
         materialize_at(start, self.path)
         self.state = self.spark.read.schema(start.schema).parquet(self.path)
         self.written = [0] * len(models)
 
-    def _literal(self, growing: list[int]) -> Column:
-        listed = []
+    def _plan(self, growing: list[int]) -> list[dict]:
+        """What the tasks need to know of the models that grow or have trees not yet in the margins."""
+        plan = []
         for m, model in enumerate(self.models):
-            if not (m in growing or len(model.trees) > self.written[m]):
-                continue
-            tree = model.tree.arrays() | {"depth": model.tree.depth} if model.tree else None
-            listed.append({
-                "m": m, "held": model.held, "features": model.columns, "subsample": model.params.subsample,
-                "seed": random.Random(f"rows {model.seed}:{len(model.trees)}").getrandbits(62), "lambda": model.params.reg_lambda, "alpha": model.params.reg_alpha,
-                "weight": model.params.min_child_weight, "growing": m in growing, "tree": tree,
-                "pending": [t.arrays() | {"depth": t.depth} for t in model.trees[self.written[m] :]],
-            })
-        return F.from_json(F.lit(json.dumps(listed)), MODELS)
+            pending = [(t.arrays(), t.depth) for t in model.trees[self.written[m] :]]
+            if m in growing or pending:
+                seed = random.Random(f"rows {model.seed}:{len(model.trees)}").getrandbits(62)
+                plan.append({"m": m, "held": model.held, "columns": model.columns, "share": model.params.subsample, "seed": seed,
+                             "growing": m in growing, "tree": model.tree and model.tree.arrays(), "pending": pending})
+        return plan
 
     def write_margins(self) -> None:
         """Add the trees grown since the last time to the written margins."""
-        models = self._literal([])
-        with_models = self.state.withColumn("models", models)
-        added = F.expr(f"transform(margins, (x, m) -> coalesce(try_element_at(transform(filter(models, d -> d.m = m), d -> {MARGIN}), 1), x))")
+        plan, width, n_features = self._plan([]), len(self.models), self.n_features
+
+        def add(batches):
+            for batch in batches:
+                bins, margins = matrix(batch.column("bins"), n_features), matrix(batch.column("margins"), width).copy()
+                for own in plan:
+                    for tree, depth in own["pending"]:
+                        margins[:, own["m"]] += tree["value"][walked(tree, bins, depth)]
+                flat = pa.ListArray.from_arrays(np.arange(0, (batch.num_rows + 1) * width, width, dtype=np.int32), pa.array(margins.ravel()))
+                at = batch.schema.get_field_index("margins")
+                yield batch.set_column(at, batch.schema.field(at).name, flat)
+
         path = scratch_path(self.spark, "margins")
-        self.state = materialize_at(with_models.withColumn("margins", added).drop("models"), path)
+        self.state = materialize_at(self.state.mapInArrow(add, self.state.schema), path)
         discard(self.spark, self.path)
         self.path, self.written = path, [len(model.trees) for model in self.models]
 
     def level(self, growing: list[int], level: int) -> list:
         """One row per (model, node) of a level: its best split; at the top also the AUC of the held-out rows so far."""
-        rows = self.state.withColumn("models", self._literal(growing))
-        node = "1" if level == 0 else f"aggregate(sequence(1, {level}), 1, (n, i) -> {STEP.format(tree='d.tree', end='0')})"
-        here = f"""transform(filter(models, d -> d.growing AND d.held <> fold AND (d.subsample >= 1 OR pmod(xxhash64(rid, d.seed), 1000000) < d.subsample * 1000000)),
-            d -> struct(d.m AS m, d.features AS features, {node} AS node, 1 / (1 + exp(-({MARGIN}))) AS p))"""
-        entries = """flatten(transform(filter(here, x -> x.node > 0), x -> transform(x.features,
-            f -> struct(x.m AS m, x.node AS node, f AS f, CAST(bins[f] AS INT) AS bin, x.p - y AS g, x.p * (1 - x.p) AS h))))"""
-        if level == 0:
-            held = f"""transform(filter(models, d -> d.growing AND d.held = fold), d -> struct(d.m AS m, 1 AS node, -1 AS f,
-                CAST(round(1 / (1 + exp(-({MARGIN}))) * {10**AUC_PLACES}) AS INT) AS bin, y AS g, 1 - y AS h))"""
-            entries = f"concat({entries}, {held})"
-        rows = rows.withColumn("here", F.expr(here))
-        cells = rows.select(F.expr(f"inline({entries})")).groupBy("m", "node", "f", "bin").agg(F.sum("g").alias("g"), F.sum("h").alias("h"))
-        running = "(PARTITION BY m, node, f ORDER BY bin ROWS UNBOUNDED PRECEDING)"
-        whole = "(PARTITION BY m, node, f)"
-        sums = cells.select(
-            "m", "node", "f", "bin", "g", "h", F.expr(f"sum(g) OVER {running}").alias("gl"), F.expr(f"sum(h) OVER {running}").alias("hl"),
-            F.expr(f"sum(g) OVER {whole}").alias("ga"), F.expr(f"sum(h) OVER {whole}").alias("ha"),
-            F.expr(f"sum(IF(bin = -1, g, 0)) OVER {whole}").alias("gm"), F.expr(f"sum(IF(bin = -1, h, 0)) OVER {whole}").alias("hm"),
-        )
-        known = {m: model.params for m, model in enumerate(self.models)}
-        per_model = [{"lambda": p.reg_lambda, "alpha": p.reg_alpha, "weight": p.min_child_weight} for p in known.values()]
-        by_model = F.from_json(F.lit(json.dumps(per_model)), "array<struct<lambda:double,alpha:double,weight:double>>")
-        sides = sums.withColumn("own", F.get(by_model, F.col("m"))).select(
-            "*", F.explode(F.array(F.lit(True), F.lit(False))).alias("left")
-        )
-        sides = sides.withColumn("gl", F.expr("gl - IF(left, 0, gm)")).withColumn("hl", F.expr("hl - IF(left, 0, hm)"))
-        score = lambda g, h: f"power(greatest(abs({g}) - own.alpha, 0), 2) / ({h} + own.lambda)"
-        allowed = "f >= 0 AND bin >= 0 AND hl >= own.weight AND ha - hl >= own.weight AND hl > 0 AND ha - hl > 0 AND (left OR hm > 0 OR gm = 0)"
-        gain = f"CASE WHEN {allowed} THEN {score('gl', 'hl')} + {score('ga - gl', 'ha - hl')} - {score('ga', 'ha')} END"
-        rated = sides.withColumn("gain", F.expr(gain))
-        best = F.expr("max_by(struct(f, bin, left, gain, gl, hl, ga, ha), struct(coalesce(round(gain, 9), -1), -f, -bin, left)) FILTER (WHERE f >= 0)")
-        auc = F.expr("sum(g * (hl - h / 2)) FILTER (WHERE f = -1 AND left) / (sum(g) FILTER (WHERE f = -1 AND left) * sum(h) FILTER (WHERE f = -1 AND left))")
-        return rated.groupBy("m", "node").agg(best.alias("best"), auc.alias("auc")).collect()
+        plan, width, n_features, per_node = [p for p in self._plan(growing) if p["growing"]], len(self.models), self.n_features, self.bins + 1
+        nodes, places = 1 << level, 10**AUC_PLACES + 1
+
+        def cells(batches):
+            # Sums of the task's rows: as many as models, nodes, features and bins, whatever the number of rows.
+            sums = {p["m"]: np.zeros((3, len(p["columns"]), nodes * per_node)) for p in plan}
+            held = {p["m"]: np.zeros((2, places)) for p in plan}
+            for batch in batches:
+                y, fold, rid = (batch.column(c).to_numpy(zero_copy_only=False) for c in ("y", "fold", "rid"))
+                bins, margins = matrix(batch.column("bins"), n_features), matrix(batch.column("margins"), width)
+                for own in plan:
+                    margin = margins[:, own["m"]].copy()
+                    for tree, depth in own["pending"]:
+                        margin += tree["value"][walked(tree, bins, depth)]
+                    p = 1 / (1 + np.exp(-margin))
+                    if level == 0:
+                        test = fold == own["held"]
+                        place = np.rint(p[test] * (places - 1)).astype(np.int64)
+                        for i, label in enumerate((y[test], 1 - y[test])):
+                            held[own["m"]][i] += np.bincount(place, label, places)
+                    node = walked(own["tree"], bins, level)
+                    here = np.flatnonzero((fold != own["held"]) & (node >= nodes) & in_sample(rid, own["seed"], own["share"]))
+                    start, g, h = (node[here] - nodes) * per_node + 1, p[here] - y[here], (p * (1 - p))[here]
+                    for i, f in enumerate(own["columns"]):
+                        at = start + bins[here, f]
+                        for part, weights in enumerate((g, h, None)):
+                            sums[own["m"]][part, i] += np.bincount(at, weights, nodes * per_node)
+            for own in plan:
+                g, h, n = sums[own["m"]]
+                which, at = np.nonzero(n)
+                yield cell_batch(own["m"], nodes + at // per_node, np.array(own["columns"], np.int64)[which], at % per_node - 1, g[which, at], h[which, at])
+                if level == 0:
+                    pos, neg = held[own["m"]]
+                    (at,) = np.nonzero(pos + neg)
+                    yield cell_batch(own["m"], np.ones(len(at), np.int64), np.full(len(at), -1), at, pos[at], neg[at])
+
+        # The tasks' sums are added and compared where the cells of a node come together: one shuffle a level, as large
+        # as the sums of all tasks.
+        parts = min(max(SUM_PARTITIONS, len(plan) * nodes // 16), MOST_SUM_PARTITIONS)
+        params, columns = [model.params for model in self.models], [model.columns for model in self.models]
+
+        def choose(batches):
+            sums, scores = {}, {}
+            for batch in batches:
+                m, node, f, place, g, h = (c.to_numpy(zero_copy_only=False) for c in batch.columns)
+                for key in set(zip(m.tolist(), node.tolist(), (f < 0).tolist())):
+                    here = (m == key[0]) & (node == key[1]) & ((f < 0) == key[2])
+                    if key[2]:
+                        to, at = scores.setdefault(key[0], np.zeros((2, places))), place[here]
+                    else:
+                        to = sums.setdefault(key[:2], np.zeros((2, len(columns[key[0]]), per_node)))
+                        at = (np.searchsorted(columns[key[0]], f[here]), place[here] + 1)
+                    np.add.at(to[0], at, g[here])
+                    np.add.at(to[1], at, h[here])
+            rows = []
+            for m, node in sums.keys() | {(m, 1) for m in scores}:
+                best = best_split(*sums[m, node], params[m]) if (m, node) in sums else None
+                split = (columns[m][best[0]], *best[1:]) if best else (None,) * 8
+                rows.append((m, node, *split, area(*scores[m]) if node == 1 and m in scores else None))
+            if rows:
+                yield pa.RecordBatch.from_arrays([pa.array(c, t.type) for c, t in zip(zip(*rows, strict=True), BEST_SCHEMA)], schema=BEST_SCHEMA)
+
+        return self.state.mapInArrow(cells, CELL_DDL).repartition(parts, "m", "node").mapInArrow(choose, BEST_DDL).collect()
 
     def round(self, growing: list[int]) -> None:
         """One more tree for each of the models, and the AUC before it."""
@@ -291,15 +398,15 @@ class Grower:
         while left:
             open_models = set()
             for row in self.level(left, level):
-                model, n, best = self.models[row.m], row.node, row.best
+                model, n, best = self.models[row.m], row.node, row
                 if row.auc is not None:
                     model.aucs.append(row.auc)
-                if best is None:
+                if row.ga is None:
                     continue
                 if level == 0:
                     model.tree.sums[1] = (best.ga, best.ha)
                 if best.gain is not None and best.gain > SMALLEST_GAIN:
-                    model.tree.feature[n], model.tree.bin[n], model.tree.missing_left[n], model.tree.gain[n] = best.f, best.bin, best.left, best.gain
+                    model.tree.feature[n], model.tree.bin[n], model.tree.missing_left[n], model.tree.gain[n] = best.f, best.bin, best.missing_left, best.gain
                     model.tree.sums[2 * n], model.tree.sums[2 * n + 1] = (best.gl, best.hl), (best.ga - best.gl, best.ha - best.hl)
                     open_models.add(row.m)
             level += 1
@@ -367,7 +474,7 @@ def fit(
         rows = rows.unionByName(val.select(*keep, F.lit(1).alias("_fold")))
     rows = rows.where(col(label).isNotNull())
     edges = bin_edges(rows.where("_fold = 0"), names, bins)
-    grower = Grower(binned(rows, names, label, edges, F.col("_fold")), [Model(params, 1, seed)], len(names))
+    grower = Grower(binned(rows, names, label, edges, F.col("_fold")), [Model(params, 1, seed)], len(names), bins)
     (model,) = grower.models
     (aucs,) = _rounds(grower, [[0]], params.n_estimators, stop_after)
     if val is not None and model.trees:
@@ -469,7 +576,7 @@ def search(
         known = [(t.params, t.auc) for t in done]
         drawn = [draw_params(known, generator, space) for _ in range(min(batch, trials - len(done)))]
         models = [Model(p, fold, seed + len(done) + i) for i, p in enumerate(drawn) for fold in range(folds)]
-        grower = Grower(table, models, len(names))
+        grower = Grower(table, models, len(names), bins)
         groups = [list(range(i * folds, (i + 1) * folds)) for i in range(len(drawn))]
         seen: list[list[float]] = [[] for _ in groups]
         running, rounds = list(range(len(groups))), first_rung
