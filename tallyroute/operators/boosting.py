@@ -26,12 +26,12 @@ BINS = 64
 QUANTILE_ERROR = 0.001
 STOP_AFTER = 20
 #: Trees that are added to the margins by expression before the margins are written anew.
-WRITE_EVERY = 8
+WRITE_EVERY = 2
 SMALLEST_GAIN = 1e-6
 SMALLEST_SUM = 1e-12  # what rounding may leave of a side without rows
 SUM_PARTITIONS = 4
 MOST_SUM_PARTITIONS = 512
-MARGINS_A_TASK = 2_000_000
+MARGINS_A_TASK = 200_000
 #: Held-out probabilities are compared to this many places.
 AUC_PLACES = 4
 

@@ -8,8 +8,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tallyroute.operators.ordering import FILE_POSITION, file_position
+from tallyroute.operators.ordering import FILE_POSITION
 from tallyroute.operators.schema import cast_strict, fitted
+from tallyroute.sources import csvrecords
 
 
 class EmptyUpload(ValueError):
@@ -25,12 +26,12 @@ class UnreadableUpload(ValueError):
 
 
 def read_records(spark: SparkSession, path: str) -> DataFrame:
-    """Every column as text, plus the row's place in its file (see ``file_position``).
+    """Every column as text, plus the row's place in its file: file, split, and number in the split.
 
-    Quoted cells may hold line breaks, so a file is read by one task.
+    Quoted cells may hold line breaks; files are split all the same (see ``csvrecords``).
     """
-    raw = spark.read.csv(path, header=True, inferSchema=False, escape='"', multiLine=True)
-    return raw.select("*", file_position().alias(FILE_POSITION))
+    named = spark.read.csv(path, header=True, inferSchema=False, escape='"', multiLine=True)  # only the header is read
+    return csvrecords.table(spark, path, named.columns, FILE_POSITION)
 
 
 def read_strict(
@@ -38,11 +39,13 @@ def read_strict(
 ) -> DataFrame:
     """Typed scan: a value that does not fit its declared type fails the job, as does a missing column.
 
-    Columns beyond the schema are kept as text. Rows without a target are left out. With
-    ``line_breaks`` quoted cells may hold them and a file is read by one task; without, files are
-    split, and a row that such a cell has broken fails the job for its number of cells.
+    Columns beyond the schema are kept as text. Rows without a target are left out. With ``line_breaks`` quoted cells may
+    hold them; without, a row that such a cell has broken fails the job for its number of cells. Files are split either way.
     """
-    raw = spark.read.csv(path, header=True, inferSchema=False, escape='"', multiLine=line_breaks, mode="FAILFAST")
+    if line_breaks:
+        raw = read_records(spark, path).drop(FILE_POSITION)
+    else:
+        raw = spark.read.csv(path, header=True, inferSchema=False, escape='"', mode="FAILFAST")
     typed = cast_strict(fitted(raw, schema.fieldNames()), schema)
     return typed.filter(F.col(target).isNotNull()) if target else typed
 
