@@ -27,10 +27,11 @@ SAMPLE_ROWS = 96  # labelled rows a language is learned from
 SAMPLE_CHARS = 1_000  # characters used of each of these rows
 SYMBOLS_OF_ALL = 160_000  # symbols in all automata together, shared evenly by the languages
 SYMBOLS_OF_ONE = 40_000
-LETTERS = 60  # letters that are told apart; all others count as one symbol
+LETTERS = 60  # letters that are one symbol each; all others are spelt out, so none is lost
+RARE_DIGITS = 5  # a rare letter is that many symbols: its code point's last digits to base 16
 STRETCH = 512  # symbols parsed in one go; every phrase ends with it
 GROUP_SYMBOLS = 2_000_000
-BLANK, OTHER = 0, 1  # symbols: anything but letters, and rare letters
+BLANK, RARE, FIRST_LETTER = 0, 1, 17  # symbols: anything but letters, from RARE the 16 digits of rare letters, then letters
 
 
 @dataclass
@@ -49,8 +50,16 @@ class Model:
 
 
 def symbols_of(text: str, table: np.ndarray) -> np.ndarray:
-    """The symbols of a text; a run of blanks counts once."""
-    found = table[np.frombuffer(text.encode("utf-32-le", "surrogatepass"), "<u4")]
+    """The symbols of a text; a run of blanks counts once, a rare letter is several symbols."""
+    points = np.frombuffer(text.encode("utf-32-le", "surrogatepass"), "<u4")
+    found = table[points]
+    rare = np.flatnonzero(found == RARE)
+    if len(rare):
+        times = np.where(found == RARE, RARE_DIGITS, 1)
+        first = (np.cumsum(times) - times)[rare]
+        found = np.repeat(found, times)
+        for digit in range(RARE_DIGITS):
+            found[first + digit] = RARE + (points[rare] >> (4 * (RARE_DIGITS - 1 - digit)) & 15)
     keep = np.ones(len(found), bool)
     keep[1:] = (found[1:] != BLANK) | (found[:-1] != BLANK)
     return found[keep]
@@ -102,13 +111,13 @@ def fit(samples: list[tuple[str, str]], common_first: list[str] | None = None) -
     """``samples``: (language, text), in an order that doesn't vary. ``common_first``: languages, by name if not given."""
     letters = np.fromiter(map(str.isalpha, map(chr, range(sys.maxunicode + 1))), bool, sys.maxunicode + 1)
     counted = Counter(c for _, text in samples for c in text.lower() if c.isalpha())
-    table = np.where(letters, OTHER, BLANK).astype(np.uint8)
+    table = np.where(letters, RARE, BLANK).astype(np.uint8)
     common = sorted(counted, key=lambda c: (-counted[c], c))[:LETTERS]
-    for symbol, letter in enumerate(common, OTHER + 1):
+    for symbol, letter in enumerate(common, FIRST_LETTER):
         table[ord(letter)] = symbol
         if len(letter.upper()) == 1:
             table[ord(letter.upper())] = symbol
-    width = OTHER + 1 + len(common) + 1
+    width = FIRST_LETTER + len(common) + 1
     languages = common_first or sorted({language for language, _ in samples})
     limit = min(SYMBOLS_OF_ONE, SYMBOLS_OF_ALL // max(1, len(languages)))
     tables, bits, known = [], [], []
@@ -212,11 +221,12 @@ def _in_groups(batches: Iterator[pa.RecordBatch], text_at: int) -> Iterator[tupl
 def identify(docs: DataFrame, model: Model, key: str = "doc_id", text: str = "text") -> DataFrame:
     """key, held_out, lang_pred and score of every row; repeated rows each get a row, a null key is not held out."""
     kind = docs.schema[key].dataType.simpleString()
-    shared = docs.sparkSession.sparkContext.broadcast(model)  # at most SYMBOLS_OF_ALL * 2 states
+    # At most SYMBOLS_OF_ALL * 2 states; plain values, as a broadcast class would be looked up in a package that executors may lack.
+    shared = docs.sparkSession.sparkContext.broadcast(tuple(vars(model).values()))
 
     def run(batches):
         for batch, texts in _in_groups(batches, 2):
-            names, scores = zip(*judge(shared.value, texts), strict=True)
+            names, scores = zip(*judge(Model(*shared.value), texts), strict=True)
             yield pa.RecordBatch.from_arrays(
                 [batch.column(0), batch.column(1), pa.array(names, pa.string()), pa.array(scores, pa.float64())],
                 names=["id", "held_out", "lang_pred", "score"],
@@ -229,11 +239,11 @@ def identify(docs: DataFrame, model: Model, key: str = "doc_id", text: str = "te
 
 def keep_known(docs: DataFrame, model: Model, text: str = "text", least_score: float = 0.0) -> DataFrame:
     """The rows of ``docs`` whose language is known with at least ``least_score``; unknown ones go."""
-    shared = docs.sparkSession.sparkContext.broadcast(model)
+    shared = docs.sparkSession.sparkContext.broadcast(tuple(vars(model).values()))
 
     def run(batches):
         for batch, texts in _in_groups(batches, 1):
-            kept = [name != UNKNOWN and score >= least_score for name, score in judge(shared.value, texts)]
+            kept = [name != UNKNOWN and score >= least_score for name, score in judge(Model(*shared.value), texts)]
             yield batch.filter(pa.array(kept, pa.bool_()))
 
     whole = docs.select(packed(docs), F.col(f"`{text}`").alias("text"))

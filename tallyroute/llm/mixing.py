@@ -180,7 +180,7 @@ def _borders(spark, narrow: DataFrame, wanted: list[tuple[str, int]]) -> dict:
 
     A pass adds up the words of the ranks that share a position's first digits, by their next digits, and
     goes on in the sum that holds the position until that sum is of a single rank. Rows of one rank are
-    equal in text, so their sum and number tell the size of each.
+    equal in text, and each gives an equal part of the words up to the border.
     """
     found: dict = {}
     asked = [(pattern, at, "", at) for pattern, at in wanted]  # at most two per flow of the plan
@@ -205,7 +205,7 @@ def _borders(spark, narrow: DataFrame, wanted: list[tuple[str, int]]) -> dict:
         for r in holders:
             if all(r[f"min_{name}"] == r[f"max_{name}"] for name, _, _ in RANK_PARTS):
                 rank = "".join(f"{r[f'min_{name}']:0{digits}x}" for name, _, digits in RANK_PARTS)
-                found[r.pattern, r.at] = rank, (r.rest - r.before) % (r.held // r.n)
+                found[r.pattern, r.at] = rank, (r.rest - r.before) // r.n  # equal rows share the words up to the border
             else:
                 asked.append((r.pattern, r.at, r.prefix + r.bucket, r.rest - r.before))
         depth += STEP_DIGITS
@@ -243,7 +243,7 @@ def mix(docs: DataFrame, membership: Column, weigh, key: str = "doc_id", text: s
     Null and empty texts have size zero and are never taken; a null source is a source of its own; a
     document without any source is never taken; rows equal in key and text share their place in the
     order and are each taken like the others. The words a source takes differ from its target by less than
-    one word, and by no more than the copies of one row where such rows lie at the border of a stretch.
+    one word, and by less than a word a copy where copies of one row lie at the border of a stretch.
     """
     whole = sized(docs, membership, key, text, seed)
     made = plan(materialize(whole.select("pattern", "size", "rank"), "sizes"), weigh, max_repeats)

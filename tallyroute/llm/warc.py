@@ -23,7 +23,8 @@ from tallyroute.session import materialize, scratch_path
 
 CRLF = "\r\n"
 VERSION = "WARC/1.1"
-SEGMENT_BYTES = 32_768  # longest block of one record
+WRITTEN = "1970-01-01T00:00:00Z"  # pages come without the time of their capture, and equal input makes equal archives
+SEGMENT_BYTES = 3_072  # longest block of one record; about a third of web pages have longer ones
 FILE_RECORDS = 2_000  # records in one file, so no file holds over FILE_RECORDS * (SEGMENT_BYTES + headers)
 CHUNK_BYTES = 8_192
 REVISIT_BYTES = 100  # shorter payloads are always stored
@@ -99,7 +100,7 @@ def _line(value: str | None) -> str:
 
 def records_of(record_id: str, uri: str | None, payload: bytes, digest: str, refers_to: str | None, segment_bytes: int) -> Iterator[bytes]:
     """The records of one page: a revisit, a whole response, or a first segment and its continuations."""
-    named = [("WARC-Record-ID", f"<{record_id}>"), ("WARC-Target-URI", _line(uri)), ("WARC-Payload-Digest", f"sha256:{digest}")]
+    named = [("WARC-Record-ID", f"<{record_id}>"), ("WARC-Target-URI", _line(uri)), ("WARC-Payload-Digest", f"sha256:{digest}"), ("WARC-Date", WRITTEN)]
     http = b"HTTP/1.1 200 OK\r\nContent-Type: text/html; charset=utf-8\r\n"
     if refers_to is not None:
         profile = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
@@ -119,6 +120,8 @@ def records_of(record_id: str, uri: str | None, payload: bytes, digest: str, ref
             fields = [
                 ("WARC-Type", "continuation"),
                 ("WARC-Record-ID", f"<{record_id}:segment:{number}>"),
+                named[1],
+                named[3],
                 ("WARC-Segment-Origin-ID", f"<{record_id}>"),
                 ("WARC-Segment-Number", str(number)),
             ]
@@ -261,14 +264,19 @@ def reassembled(records: DataFrame) -> DataFrame:
         F.array_sort(F.collect_list(F.struct("segment", "block"))).alias("parts"), F.max("total_length").alias("total_length"), *first.values()
     )
     numbers = F.transform("parts", lambda p: p.segment)
-    block = F.unhex(F.array_join(F.transform("parts", lambda p: F.hex(p.block)), ""))
+    size = F.aggregate("parts", F.lit(0).cast("long"), lambda n, p: n + F.octet_length(p.block))
     fault = (
         F.when(numbers != F.sequence(F.lit(1), F.size("parts")), F.lit("segments are missing or repeated"))
         .when(F.col("total_length").isNull(), F.lit("no total length"))
-        .when(F.octet_length("block") != F.col("total_length"), F.lit("total length is wrong"))
+        .when(size != F.col("total_length"), F.lit("total length is wrong"))
     )
-    done = joined.withColumn("block", block).withColumn("fault", fault).withColumn("segment", F.lit(None).cast("int"))
-    return whole.unionByName(done.select(*columns))
+
+    def each(record_id, kind, uri, refers, digest, origin, total, blocks, fault):
+        yield record_id, kind, uri, refers, digest, None, origin, total, b"".join(blocks), fault
+
+    blocks = F.transform("parts", lambda p: p.block).alias("blocks")
+    picked = joined.select("record_id", "record_type", "target_uri", "refers_to", "payload_digest", "origin", "total_length", blocks, fault.alias("fault"))
+    return whole.unionByName(map_rows(picked, RECORD_SCHEMA, RECORD_DDL, each).select(*columns))
 
 
 def payloads(records: DataFrame) -> DataFrame:

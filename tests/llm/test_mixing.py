@@ -95,9 +95,19 @@ def test_borders_follow_the_order_of_ranks(spark, monkeypatch, digits):
     narrow = mixing.sized(docs, F.array(F.lit("s")), "doc_id", "text", "seed").select("pattern", "size", "rank")
     ordered = sorted((r["rank"], r["size"], r.pattern) for r in narrow.collect() if r["size"])
     holder = []
-    for rank, size, _ in ordered:
-        holder += [(rank, part) for part in range(size)]
+    for rank in sorted({rank for rank, _, _ in ordered}):
+        sizes = [size for other, size, _ in ordered if other == rank]
+        holder += [(rank, at // len(sizes)) for at in range(sum(sizes))]  # equal rows share the words up to the border
     pattern = ordered[0][2]
     wanted = list(range(0, len(holder), 7))
     found = mixing._borders(spark, narrow, [(pattern, at) for at in wanted])
     assert [found[pattern, at] for at in wanted] == [holder[at] for at in wanted]
+
+
+def test_equal_rows_come_near_their_target(texts):
+    """A thousand rows equal in key and text at a border: each gives an equal part of the words."""
+    rows = [(1, "same " * 100)] * 1_000 + [(2, "other " * 50_000)]
+    docs = texts(rows).withColumn("source", F.when(F.col("doc_id") == 1, F.lit("a")).otherwise(F.lit("b")))
+    made, plan = mixing.mix(docs, F.array("source"), lambda names: dict(zip(names, (4, 5), strict=True)))
+    taken = {r.doc_id: r.words for r in made.select("row.doc_id", F.explode("takes").alias("t")).groupBy("doc_id").agg(F.sum("t.words").alias("words")).collect()}
+    assert abs(taken[1] - plan.targets["a"]) < 1_000 and abs(taken[2] - plan.targets["b"]) < 1
