@@ -211,3 +211,27 @@ def csv_odd_cells(spark, sf):
         "note",
         labels.upper_label(F.col("status")).alias("status"),
     )
+
+
+@query(
+    "upload_types",
+    r"""WITH cells AS (
+  SELECT unnest(['o_orderkey', 'o_totalprice', 'o_orderdate', 'high', 'mixed', 'nothing', 'late']) AS "column",
+    unnest([CAST(o_orderkey AS VARCHAR), CAST(o_totalprice AS VARCHAR), CAST(CAST(o_orderdate AS DATE) AS VARCHAR), CAST(o_totalprice > 1000 AS VARCHAR),
+      CASE WHEN o_orderkey % 2 = 0 THEN CAST(o_orderkey AS VARCHAR) ELSE 'no. ' || o_orderkey END, NULL,
+      CASE WHEN o_orderkey = (SELECT max(o_orderkey) FROM orders) THEN 'x' ELSE '7' END]) AS cell FROM orders)
+SELECT "column", count(cell) AS values, count(*) - count(cell) AS missing,
+  CASE WHEN count(cell) = 0 THEN 'string' WHEN bool_and(cell IN ('true', 'false')) THEN 'boolean' WHEN bool_and(regexp_full_match(cell, '-?[0-9]{1,18}')) THEN 'bigint'
+    WHEN bool_and(TRY_CAST(cell AS DOUBLE) IS NOT NULL) THEN 'double' WHEN bool_and(TRY_CAST(cell AS DATE) IS NOT NULL) THEN 'date' ELSE 'string' END AS type
+FROM cells GROUP BY cells."column" """,
+)
+def upload_types(spark, sf):
+    """Types of an uploaded file's columns, from all of its rows: the last row alone makes a column text."""
+    orders = table(spark, sf, "orders")
+    last = orders.agg(F.max("o_orderkey").alias("last"))
+    made = orders.join(F.broadcast(last)).select(  # one row
+        "o_orderkey", "o_totalprice", F.col("o_orderdate").cast("date").alias("o_orderdate"), (F.col("o_totalprice") > 1000).alias("high"),
+        F.when(F.col("o_orderkey") % 2 == 0, F.col("o_orderkey").cast("string")).otherwise(F.concat(F.lit("no. "), F.col("o_orderkey"))).alias("mixed"),
+        F.lit(None).cast("string").alias("nothing"), F.when(F.col("o_orderkey") == F.col("last"), "x").otherwise("7").alias("late"),
+    )
+    return schema.inferred_types(csvfiles.read_upload(spark, _as_csv(made, "orders")).drop(ordering.FILE_POSITION))

@@ -120,6 +120,7 @@ def shortest_paths(
     with_path: bool = True,
     target=None,
     layer: str | None = None,
+    prepared: bool = False,
 ) -> DataFrame:
     """source, node, cost and, on request, path, for every node that a source reaches.
 
@@ -127,14 +128,15 @@ def shortest_paths(
     |sources| x |reached nodes| rows, so pass only the sources you need. With ``target`` the
     search drops branches that cost more than the best known way there; rows of other
     nodes may then be incomplete. ``layer`` names a column that keeps independent graphs apart;
-    they are searched in the same rounds, and sources and results carry it too.
+    they are searched in the same rounds, and sources and results carry it too. ``prepared`` says that ``edges``
+    is what an earlier search has made of them, to be read as it is.
     """
     if target is not None and layer:
         raise ValueError("a target needs a single graph")
     spark = edges.sparkSession
     layers = [layer] if layer else []
     start = scratch_mark()
-    found = _relax(_prepared(edges, weight, layers), sources, layers, with_path, target)
+    found = _relax(edges if prepared else _prepared(edges, weight, layers), sources, layers, with_path, target)
     path = scratch_path(spark, "paths")
     result = materialize_at(found, path)
     release(spark, start, keep=path)
@@ -258,13 +260,14 @@ def source_totals(edges: DataFrame, weight: str, *, layer: str | None = None, bl
     spark = edges.sparkSession
     layers = [layer] if layer else []
     every_node = materialize(nodes(edges, layers), "nodes")
+    cheapest = _prepared(edges, weight, layers)  # written once, read by every block
     n = every_node.count()
     blocks = max(1, -(-n * n // block_rows))
     totals = []
     for block in range(blocks):
         mark = scratch_mark()
         some = every_node.filter(F.pmod(F.xxhash64("node"), F.lit(blocks)) == block)
-        pairs = shortest_paths(edges, some, weight, with_path=False, layer=layer)
+        pairs = shortest_paths(cheapest, some, weight, with_path=False, layer=layer, prepared=True)
         path = scratch_path(spark, "totals")
         totals.append(materialize_at(pairs.groupBy(*layers, "source").agg(F.count("*").alias("reached"), _total().alias("total")), path))
         release(spark, mark, keep=path)
@@ -292,6 +295,8 @@ def route(edges: DataFrame, start, end, weight: str, metrics: Sequence[str]) ->
     if start == end:
         raise ValueError("start and end must differ")
     spark = edges.sparkSession
+    # The search and the totals both read the edges.
+    edges = materialize(edges.select(*dict.fromkeys(["src", "dst", "row", weight, *metrics])), "edges")
     node_type = edges.schema["src"].dataType
     origin = spark.range(1).select(F.lit(start).cast(node_type).alias("node"))
     found = shortest_paths(edges, origin, weight, target=end).filter(F.col("node") == F.lit(end))

@@ -106,3 +106,32 @@ def rename_aliases(df: DataFrame, aliases: Mapping[str, str]) -> DataFrame:
         if alias in df.columns and name not in df.columns:
             df = df.withColumnRenamed(alias, name)
     return df
+
+
+#: What a value must look like to count as of a type, narrowest first; every value is a string.
+TYPE_PATTERNS = {
+    "boolean": r"(?i)true|false",
+    "bigint": r"[+-]?[0-9]{1,18}",
+    "double": r"(?i)[+-]?([0-9]+\.?[0-9]*|\.[0-9]+)(e[+-]?[0-9]+)?|[+-]?inf(inity)?|nan",
+    "date": r"[0-9]{4}-(0[1-9]|1[0-2])-(0[1-9]|[12][0-9]|3[01])",
+}
+
+
+def inferred_types(df: DataFrame) -> DataFrame:
+    """column, type, values, missing: the narrowest type that every value of each text column has, blanks around it aside.
+
+    All rows are looked at, in one aggregate: a row is of the types its cell matches, and a column of those that none of its cells
+    rules out, so parts of a table can be looked at in any order. Null and blank cells are missing; a
+    column without a value is of type string. Impossible days (such as 30 February) make a column text.
+    """
+    cells = df.select(F.explode(F.array(*[F.struct(F.lit(i).alias("place"), F.lit(c).alias("column"), F.trim(col(c).cast("string")).alias("cell")) for i, c in enumerate(df.columns)])).alias("x"))
+    cell = F.when(F.col("x.cell") != "", F.col("x.cell"))
+    fits = [
+        F.bool_and(cell.rlike(rf"^(?:{pattern})\z") & (cell.try_cast("date").isNotNull() if kind == "date" else F.lit(True))).alias(kind)
+        for kind, pattern in TYPE_PATTERNS.items()
+    ]
+    counted = cells.groupBy("x.place", "x.column").agg(F.count(cell).alias("values"), F.count_if(cell.isNull()).alias("missing"), *fits)
+    kind = F.lit("string")
+    for name in reversed(TYPE_PATTERNS):
+        kind = F.when(F.col(name), F.lit(name)).otherwise(kind)
+    return counted.orderBy("place").select("column", kind.alias("type"), "values", "missing")

@@ -17,6 +17,9 @@ from tallyroute.functions import labels, numeric, text
 from tallyroute.operators.schema import col
 from tallyroute.session import materialize
 
+#: Text of white space only, Unicode blanks included.
+EMPTY = rf"(?U)^{text.BLANK}*\z"
+
 ERROR = "error"
 # Integer fields are stored in 32 bits.
 INT_LIMIT = 2**31 - 1
@@ -70,7 +73,7 @@ class FieldRule:
         }[self.type]
         check = F.when(raw.isNull(), said(null_text))
         if self.type == "string":
-            check = check.when(raw.rlike(r"^\s*$"), said("String should have at least 1 character"))
+            check = check.when(raw.rlike(EMPTY), said("String should have at least 1 character"))
             if self.domain:
                 allowed = sorted(self.domain) if self.ignore_case else self.domain
                 known = parsed.isNotNull() if self.ignore_case else parsed.isin(list(self.domain))
@@ -104,7 +107,7 @@ class FieldRule:
         raw = col(self.name)
         name = f"Field '{self.name}'"
         check = F.when(raw.isNull(), F.lit(f"{name} cannot be null")).when(
-            raw.rlike(r"^\s*$"), F.lit(f"{name} cannot be empty")
+            raw.rlike(EMPTY), F.lit(f"{name} cannot be empty")
         )
         if self.type == "int":
             whole = numeric.is_finite(parsed) & (parsed == F.floor(parsed).cast("double"))

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
@@ -9,10 +10,14 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tallyroute.operators.ordering import FILE_POSITION
-from tallyroute.operators.schema import cast_strict, fitted
+from tallyroute.operators.schema import cast_strict, col, fitted, inferred_types
 from tallyroute.sources import csvrecords
 
 
+#: How cells are read, by batch and stream alike: a quote inside a quoted cell is doubled, and such a cell may hold line breaks.
+CELLS = {"escape": '"', "multiLine": "true"}
+
+
 class EmptyUpload(ValueError):
     """The file has no content at all."""
 
@@ -30,7 +35,7 @@ def read_records(spark: SparkSession, path: str) -> DataFrame:
 
     Quoted cells may hold line breaks; files are split all the same (see ``csvrecords``).
     """
-    named = spark.read.csv(path, header=True, inferSchema=False, escape='"', multiLine=True)  # only the header is read
+    named = spark.read.options(**CELLS).csv(path, header=True, inferSchema=False)  # only the header is read
     return csvrecords.table(spark, path, named.columns, FILE_POSITION)
 
 
@@ -65,6 +70,13 @@ def read_upload(spark: SparkSession, path: str) -> DataFrame:
     return records
 
 
+def typed_upload(records: DataFrame, keep: Sequence[str] = (FILE_POSITION,)) -> DataFrame:
+    """The records with each column as the narrowest type that all its values have (see ``schema.inferred_types``)."""
+    columns = [c for c in records.columns if c not in keep]
+    kinds = {r["column"]: r["type"] for r in inferred_types(records.select(*[col(c) for c in columns])).collect()}  # one row a column
+    return records.select(*[col(c).try_cast(kinds[c]).alias(c) if c in kinds else col(c) for c in records.columns])
+
+
 @dataclass(frozen=True)
 class Conversion:
     """What a CSV to Parquet job wrote."""

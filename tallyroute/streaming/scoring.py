@@ -12,19 +12,21 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from tallyroute.operators.boosting import Boosted
 from tallyroute.operators.model import LinearModel
 from tallyroute.plans import student
+from tallyroute.sources import csvfiles
 
 
 def arriving_records(spark: SparkSession, folder: str, columns: Sequence[str]) -> DataFrame:
     """Text records of every CSV file that lands in ``folder``, with the file they came from."""
     text = T.StructType([T.StructField(c, T.StringType()) for c in columns])
-    stream = spark.readStream.schema(text).option("header", True).csv(folder)
+    stream = spark.readStream.schema(text).options(**csvfiles.CELLS).option("header", True).csv(folder)
     return stream.withColumn("source_file", F.col("_metadata.file_path"))
 
 
 def score_arrivals(
-    spark: SparkSession, folder: str, out: str, checkpoint: str, fitted: LinearModel, threshold: float
+    spark: SparkSession, folder: str, out: str, checkpoint: str, fitted: LinearModel | Boosted, threshold: float
 ):
     """Start a query that scores what has arrived and stops; run it again for later files."""
     records = arriving_records(spark, folder, student.INPUTS)

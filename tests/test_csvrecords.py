@@ -7,6 +7,7 @@ import random
 import pytest
 
 from tallyroute.operators.ordering import FILE_POSITION, with_row_index
+from tallyroute.operators import schema
 from tallyroute.sources import csvfiles, csvrecords
 
 
@@ -61,3 +62,19 @@ def test_states_of_a_line():
 def test_empty_files(spark, tmp_path):
     (tmp_path / "h.csv").write_text("a,b\n")
     assert csvfiles.read_records(spark, str(tmp_path / "h.csv")).count() == 0
+
+
+def test_types_come_from_all_rows(spark):
+    names = ["whole", "real", "flag", "day", "late", "none", "spaced", "big"]
+    rows = [("1", "1.5", "true", "2024-02-29", "7", None, " 5 ", "1")] * 50 + [("-2", "3", "FALSE", "1999-12-31", "x", " ", "", "9" * 30), ("+3", "-1e-3", None, "2024-01-01", "7", None, "6", "2")]
+    df = spark.createDataFrame(rows, ", ".join(f"{n} string" for n in names))
+    found = {r["column"]: (r["type"], r["values"], r["missing"]) for r in schema.inferred_types(df).collect()}
+    assert found == {
+        "whole": ("bigint", 52, 0), "real": ("double", 52, 0), "flag": ("boolean", 51, 1), "day": ("date", 52, 0), "late": ("string", 52, 0),
+        "none": ("string", 0, 52), "spaced": ("bigint", 51, 1), "big": ("double", 52, 0),
+    }
+    typed = csvfiles.typed_upload(df)
+    assert [t for _, t in typed.dtypes] == ["bigint", "double", "boolean", "date", "string", "string", "bigint", "double"]
+    assert typed.select("spaced").distinct().count() == 3
+    wrong = spark.createDataFrame([("2023-02-30",), ("2023-02-01",)], "day string")
+    assert schema.inferred_types(wrong).first()["type"] == "string" and schema.inferred_types(wrong.limit(0)).count() == 0
