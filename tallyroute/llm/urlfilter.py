@@ -8,6 +8,7 @@ known, so the answer is exact for every key in it. DataFrame and SQL functions t
 
 from __future__ import annotations
 
+import math
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -79,11 +80,19 @@ class Level:
         return tests[0] & tests[1] & tests[2] & tests[3]
 
 
-def encode(keys: DataFrame, count: int, number: int) -> Level:
-    """A Bloom filter of the ``count`` keys: bits are set by an aggregate, one row per cell comes back."""
-    size = max(8, -(-count * BITS_PER_KEY // BYTE_BITS))
-    if size > MAX_FILTER_BYTES:
-        raise ValueError(f"a level of {size} bytes is above {MAX_FILTER_BYTES}; split the list by key")
+def cells_of(count: int, others: int) -> int:
+    """Bytes of a level that encodes ``count`` keys and lets through about as many of the ``others``, or one in eighty if that is fewer.
+
+    With HASHES bits a key, a key that isn't encoded passes with the HASHES-th power of the share of set bits.
+    """
+    bits = float(BITS_PER_KEY)
+    if others > count:
+        bits = max(bits, -HASHES / math.log1p(-((count / others) ** (1 / HASHES))))
+    return max(8, math.ceil(count * bits / BYTE_BITS))
+
+
+def encode(keys: DataFrame, size: int, number: int) -> Level:
+    """A Bloom filter of the keys in ``size`` cells: bits are set by an aggregate, one row per cell comes back."""
     level = Level(number, bytes(size))
     at = F.explode(F.array(*[level.position(F.col("key"), turn) for turn in range(HASHES)])).alias("at")
     cells = (
@@ -109,18 +118,23 @@ def universe(keys: DataFrame, listed: DataFrame) -> DataFrame:
 def cascade(keys: DataFrame, listed: DataFrame) -> list[Level]:
     """Levels that tell the listed ones of ``keys`` (key, repeats allowed) from the others; no level if none is listed.
 
-    Each level encodes what the one before got wrong. Ten bits and four hashes a key let about one key
-    in eighty through, so levels shrink quickly and their number grows with the logarithm of the universe.
+    Each level encodes what the one before got wrong. The first is so large that no more than about as many unlisted keys pass as
+    there are listed ones, however many keys the corpus has; so all levels, and what comes to the driver, are
+    bounded by the list. Of the later ones ten bits and four hashes a key let about one key in eighty through.
     """
     marked = materialize(universe(keys, listed), "keys")
     levels: list[Level] = []
     wrong, kind = marked, True
     while True:
         wanted = wrong.where(F.col("listed") == kind)
-        count = wanted.count()
-        if not count:
+        counts = {row.listed: row["count"] for row in wrong.groupBy("listed").count().collect()}
+        if kind not in counts:
             return levels
-        levels.append(encode(wanted, count, len(levels) + 1))
+        size = cells_of(counts[kind], counts.get(not kind, 0))
+        total = size + sum(len(level.cells) for level in levels)
+        if total > MAX_FILTER_BYTES:
+            raise ValueError(f"levels of {total} bytes are above {MAX_FILTER_BYTES}; split the list by key")
+        levels.append(encode(wanted, size, len(levels) + 1))
         others = wrong.where(F.col("listed") != kind)
         # The next level encodes the keys that this one wrongly holds, and is asked about those it rightly holds.
         wrong = materialize(others.where(levels[-1].holds(F.col("key"))).unionByName(wanted), "level")

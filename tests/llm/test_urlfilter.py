@@ -73,3 +73,13 @@ def test_odd_tables(spark):
     assert judged(spark, [f"http://{lone}/", "http://....net/"])[f"http://{lone}/"][3] == "allow"
     pages = spark.createDataFrame([(None, "http://bad.example.org/"), (1, "http://bad.example.org/"), (1, "http://bad.example.org/")], "page_id long, url string")
     assert [r.verdict for r in u.judge(pages, URL_RULES, u.names(spark, ["bad.example.org"])).collect()] == ["block"] * 3
+
+
+def test_levels_are_bounded_by_the_list(spark):
+    """Of many unlisted keys about as many pass the first level as there are listed ones."""
+    keys = spark.range(60_000).select(F.concat(F.lit("h"), F.col("id").cast("string")).alias("key"))
+    listed = u.names(spark, [f"h{i}" for i in range(0, 60_000, 10_000)])
+    levels = u.cascade(keys, listed)
+    assert sum(len(level.cells) for level in levels) < 200 and len(levels[1].cells) <= 40
+    found = keys.where(u.is_listed(F.col("key"), levels)).collect()
+    assert sorted(r.key for r in found) == sorted(r.key for r in listed.collect())
