@@ -18,7 +18,7 @@ class Rule(NamedTuple):
     pattern: str
 
 
-ANY = r"[^ \x01]+"
+ANY = "[^ \x01]+"
 VERSION = r"(?:version |ver |v |v)?"
 
 #: Licenses that come in versions: label, keyword, names, versions (digits as words, "2 0" for 2.0; a lone "3" also is "3 0").
@@ -66,11 +66,11 @@ VERSIONED = [
 #: Elements of the shared commons licenses, in words and in letters, and the versions that exist.
 COMMONS = [
     ("cc-by", "attribution", "by"),
-    ("cc-by-sa", "attribution share ?alike", "by sa"),
-    ("cc-by-nd", "attribution no ?deriv(?:ative)?s?(?: works)?", "by nd"),
-    ("cc-by-nc", "attribution non ?commercial", "by nc"),
-    ("cc-by-nc-sa", "attribution non ?commercial share ?alike", "by nc sa"),
-    ("cc-by-nc-nd", "attribution non ?commercial no ?deriv(?:ative)?s?(?: works)?", "by nc nd"),
+    ("cc-by-sa", "attribution share(?: )?alike", "by sa"),
+    ("cc-by-nd", "attribution no(?: )?deriv(?:ative)?s?(?: works)?", "by nd"),
+    ("cc-by-nc", "attribution non(?: )?commercial", "by nc"),
+    ("cc-by-nc-sa", "attribution non(?: )?commercial share(?: )?alike", "by nc sa"),
+    ("cc-by-nc-nd", "attribution non(?: )?commercial no(?: )?deriv(?:ative)?s?(?: works)?", "by nc nd"),
 ]
 COMMONS_VERSIONS = ["1 0", "2 0", "2 5", "3 0", "4 0"]
 
