@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tallyroute.operators.ordering import FILE_POSITION
+from tallyroute.operators.ordering import FILE_POSITION, file_position
 from tallyroute.operators.schema import cast_strict, col, fitted, inferred_types
 from tallyroute.sources import csvrecords
 
@@ -36,6 +36,8 @@ def read_records(spark: SparkSession, path: str) -> DataFrame:
     Quoted cells may hold line breaks; files are split all the same (see ``csvrecords``).
     """
     named = spark.read.options(**CELLS).csv(path, header=True, inferSchema=False)  # only the header is read
+    if not named.columns:  # files without any content
+        return named.select(file_position().alias(FILE_POSITION))
     return csvrecords.table(spark, path, named.columns, FILE_POSITION)
 
 
