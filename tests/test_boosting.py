@@ -193,3 +193,23 @@ def test_later_draws_follow_the_better_trials():
     done = [(b.Params(reg_lambda=0.5 + 1.5 * i / 40), -abs(i - 30)) for i in range(40)]
     drawn = [b.draw_params(done, generator, {"reg_lambda": b.even(0.5, 2.0)}).reg_lambda for _ in range(60)]
     assert abs(sum(drawn) / len(drawn) - (0.5 + 1.5 * 30 / 40)) < 0.25
+
+
+def test_small_nodes_send_their_rows_and_give_the_same_trees(spark, monkeypatch):
+    df, params = frame(spark, rows_of(300, 4)), b.Params(max_depth=4, n_estimators=3, subsample=0.8, colsample_bytree=0.7)
+    passes, level = [], b.Grower.level
+    monkeypatch.setattr(b.Grower, "level", lambda self, *a: passes.append(a) or level(self, *a))
+    whole = b.fit(df, None, FEATURES, "y", params)
+    assert len(passes) == 3  # a pass a tree, not one a level
+    for limit in (0, 100):
+        monkeypatch.setattr(b, "SUBTREE_ROWS", limit)
+        by_level = b.fit(df, None, FEATURES, "y", params)
+        assert [(t.feature, t.bin, t.missing_left) for t in by_level.trees] == [(t.feature, t.bin, t.missing_left) for t in whole.trees]
+        assert all(abs(t.value[n] - u.value[n]) < 1e-9 for t, u in zip(by_level.trees, whole.trees) for n in u.value)
+    assert len(passes) > 9
+
+
+def test_folds_of_one_label_leave_the_others_to_decide(spark):
+    rows = [(i, float(i % 7), None, 1.0, int(i in (3, 8))) for i in range(60)]
+    (trial,) = b.search(frame(spark, rows), FEATURES, "y", trials=1, folds=5, space={"n_estimators": b.whole(2, 2), "max_depth": b.whole(2, 2)})
+    assert 0 <= trial.auc <= 1 and 1 <= trial.rounds <= 2
