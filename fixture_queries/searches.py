@@ -119,7 +119,7 @@ def orders_sorted_by_key_text(spark, sf):
 )
 def quantities_descending(spark, sf):
     values = table(spark, sf, "lineitem").select(F.col("l_quantity").cast("long").alias("value"))
-    return ordering.with_position(values.orderBy(F.desc("value")))
+    return ordering.with_position(ordering.sorted_evenly(values, [F.desc("value")]))
 
 
 @query(

@@ -208,3 +208,13 @@ def test_shuffle_is_reproducible(spark):
     a = [r["id"] for r in split.shuffle_rows(spark.range(50).repartition(7), ["id"]).collect()]
     b = [r["id"] for r in split.shuffle_rows(spark.range(50), ["id"]).collect()]
     assert a == b != sorted(a) and sorted(a) == list(range(50))
+
+
+def test_a_frequent_value_is_sorted_by_several_tasks(spark):
+    rows = spark.range(0, 1000, 1, 4).select((F.col("id") % 997 > 900).cast("int").alias("value"), "id")
+    ordered = ordering.sorted_evenly(rows, [F.desc("value")], rows_a_task=100)
+    sizes = [r["count"] for r in ordered.groupBy(F.spark_partition_id()).count().collect()]
+    assert len(sizes) >= 8 and max(sizes) < 400
+    numbered = ordering.with_position(ordered).orderBy("position").collect()
+    want = sorted(((int(i % 997 > 900), i) for i in range(1000)), key=lambda r: (-r[0], r[1]))
+    assert [(r["value"], r["id"], r["position"]) for r in numbered] == [(*r, i + 1) for i, r in enumerate(want)]
