@@ -78,3 +78,12 @@ def test_formats(spark):
 def test_ratio_and_rounded(spark):
     assert one(spark, numeric.ratio(X, F.lit(0)), 1, "int") == 0.0
     assert one(spark, numeric.rounded(X), None, "double") == 0.0
+
+
+def test_plain_numbers_are_read_as_by_the_pattern(spark):
+    texts = [None, "", "1", "-1.50", "+.5", ".", "1.", "1.e3", ".e3", "1e", "e5", "1E-3", "1e5.5", "--1", "+-1", "1-2", "1.2.3", "-", "E", "1e400", "-0", " 7 ", "3d", "1f", "0x1", "Inf", "nan", "1 2", "٣"]
+    df = spark.createDataFrame([(t,) for t in texts], "t string")
+    by_pattern = F.regexp_extract("t", numeric.NUMBER_PATTERN, 1).try_cast("double")
+    rows = df.select("t", numeric.parse_number(F.col("t")).alias("found"), by_pattern.alias("want")).collect()
+    assert [(r["t"], str(r["found"])) for r in rows] == [(r["t"], str(r["want"])) for r in rows]
+    assert numeric.PLAIN_CHARACTERS in str(numeric.parse_number(F.col("t")))  # plain texts don't go through the pattern
