@@ -1,4 +1,4 @@
-"""Removal of repeated passages, by hashed runs of consecutive sentences.
+"""Removal of repeated passages, by hashed runs of consecutive sentences and of words.
 
 From every sentence the shortest run forwards, and to every sentence the shortest run backwards, that
 has at least two sentences and MIN_WORDS words is hashed, and so is a single sentence of that many words. Any passage of
@@ -13,13 +13,19 @@ costs one subtraction, for all runs of a text at once. Only run hashes and place
 A sentence of over LONG_WORDS words counts as several: it is cut before each word whose hash is the least
 of some CUT_WORDS consecutive words of it, so the cuts move with the text, no piece is longer than CUT_WORDS
 words, and cuts that are CUT_WORDS words away from the ends of a shared passage are the same wherever it
-stands. A passage of over LONG_WORDS words without a sentence's end thereby loses at most 15 words at either end.
-One word said over and over is not cut: such a piece is hashed whole.
+stands. One word said over and over is not cut: such a piece is hashed whole.
+
+A passage of PASSAGE_WORDS words that two documents share goes wherever sentences end in it: its words are compared one by
+one, the blanks between them are not. Less than CUT_WORDS words of a sentence at an end of it stay, if whole sentences of
+MIN_WORDS words go. Of every such window the least hash of its runs of ANCHOR_WORDS words is noted, a few for each text. Equal
+windows have equal least hashes, so only windows whose least hash another text has are hashed whole, and these are
+counted like the runs of sentences. Of texts that are the same only the first document's windows are compared: the others go whole by their sentences.
 """
 
 from __future__ import annotations
 
 import re
+from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -35,6 +41,8 @@ MIN_WORDS = 20
 TEXT_SEED = 42
 LONG_WORDS = 50  # longer sentences are cut; 2 * (2 * CUT_WORDS - 1) + MIN_WORDS words are no more than that
 CUT_WORDS = 8
+PASSAGE_WORDS = 51  # words of a passage that counts wherever sentences end
+ANCHOR_WORDS = 20  # words of the runs whose least hash tells which windows may be repeated
 #: Odd numbers whose powers weigh the sentences of a run, for the two halves of its hash, and their inverses modulo 2^64.
 WEIGHTS = (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F)
 INVERSES = tuple(pow(w, -1, 1 << 64) for w in WEIGHTS)
@@ -122,16 +130,54 @@ def weighed(own: np.ndarray, first: np.ndarray, last: np.ndarray, weight: int, i
     return ((upto[last + 1] - upto[first]) * back[first]).view(np.int64)
 
 
-def arrays_of_runs(text: bytes) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+def digests(parts: Iterable[bytes]) -> np.ndarray:
+    """Two words of hash (columns) of every part."""
+    return np.frombuffer(b"".join(map(xxhash.xxh3_128_digest, parts)), "<u8").reshape(-1, 2).astype(np.uint64)
+
+
+def halves(own: np.ndarray, first: np.ndarray, last: np.ndarray) -> list[np.ndarray]:
+    return [weighed(own[:, i], first, last, WEIGHTS[i], INVERSES[i]) for i in range(2)]
+
+
+def arrays_of_runs(text: bytes, pieces: list[tuple[int, int, int]] | None = None) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
     """Hash, second hash, first and last sentence of every run; sentences are compared byte by byte, trimmed."""
-    pieces = counted_sentences(text)
+    pieces = counted_sentences(text) if pieces is None else pieces
     words = np.array([n for _, _, n in pieces], np.int64)
     first, last = bounds_of_runs(words)
     alone = np.flatnonzero(words >= MIN_WORDS)
     first, last = np.concatenate([first, alone]), np.concatenate([last, alone])
-    digests = np.frombuffer(b"".join(xxhash.xxh3_128_digest(text[a:b]) for a, b, _ in pieces), "<u8").reshape(-1, 2)
-    halves = (weighed(digests[:, i].astype(np.uint64), first, last, WEIGHTS[i], INVERSES[i]) for i in range(2))
-    return *halves, first, last
+    return *halves(digests(text[a:b] for a, b, _ in pieces), first, last), first, last
+
+
+def words_of(text: bytes, pieces: list[tuple[int, int, int]]) -> list[bytes]:
+    """The words of all sentences, in order."""
+    if text.isascii():
+        return text.split()
+    if not UNSPACED.search(text):
+        return [word for a, b, _ in pieces for word in text[a:b].split()]
+    return [word for a, b, _ in pieces for word in WORD_UTF8.findall(text, a, b)]
+
+
+def least_hashes(own: np.ndarray) -> np.ndarray:
+    """The least hash of the runs of ANCHOR_WORDS words, for every window of PASSAGE_WORDS words."""
+    at = np.arange(len(own) - ANCHOR_WORDS + 1)
+    each = weighed(own[:, 0], at, at + ANCHOR_WORDS - 1, WEIGHTS[0], INVERSES[0])
+    return np.lib.stride_tricks.sliding_window_view(each, PASSAGE_WORDS - ANCHOR_WORDS + 1).min(axis=1)
+
+
+def anchors(text: bytes, pieces: list[tuple[int, int, int]]) -> np.ndarray:
+    """The least hashes of a text's windows, each once."""
+    if sum(n for _, _, n in pieces) < PASSAGE_WORDS:
+        return np.zeros(0, np.int64)
+    return np.unique(least_hashes(digests(words_of(text, pieces))))
+
+
+def arrays_of_windows(text: bytes, wanted: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Hash, second hash, first and last word of every window whose least hash is ``wanted``."""
+    own = digests(words_of(text, counted_sentences(text)))
+    first = np.flatnonzero(np.isin(least_hashes(own), wanted))
+    last = first + PASSAGE_WORDS - 1
+    return *halves(own, first, last), first, last
 
 
 def hashed_runs(text: bytes | None) -> list[tuple[int, int, int, int]]:
@@ -145,80 +191,153 @@ SPAN_SCHEMA = pa.schema(
 )
 
 
-def _spans(batches):
-    """The runs of every document, a few documents' arrays at a time."""
+def _batches(found: Iterable[tuple]) -> Iterator[pa.RecordBatch]:
+    """Arrays of places, given with key and twin, a few documents' at a time."""
     held, rows = [], 0
 
     def together():
-        key = pa.chunked_array([pa.array([k] * n, pa.int64()) for k, _, n, _ in held])
-        twin = np.concatenate([np.full(n, t, np.int64) for _, t, n, _ in held])
+        key = pa.chunked_array([pa.array([k] * len(sides[0]), pa.int64()) for k, _, sides in held])
+        twin = np.concatenate([np.full(len(sides[0]), t, np.int64) for _, t, sides in held])
         h1, h2, first, last = (np.concatenate(side) for side in zip(*(sides for *_, sides in held), strict=True))
         columns = [key.combine_chunks(), twin, h1, h2, first.astype(np.int32), last.astype(np.int32)]
         return pa.RecordBatch.from_arrays([pa.array(c) if isinstance(c, np.ndarray) else c for c in columns], schema=SPAN_SCHEMA)
 
-    for batch in batches:
-        for key, text in zip(*batch.columns, strict=True):
-            if text := text.as_py():
-                sides = arrays_of_runs(text)
-                if n := len(sides[0]):
-                    held.append((key.as_py(), signed(xxhash.xxh64_intdigest(text, TEXT_SEED)), n, sides))
-                    rows += n
-                    if rows >= HELD_RUNS:
-                        yield together()
-                        held, rows = [], 0
+    for key, twin, sides in found:
+        if n := len(sides[0]):
+            held.append((key, twin, sides))
+            rows += n
+            if rows >= HELD_RUNS:
+                yield together()
+                held, rows = [], 0
     if held:
         yield together()
 
 
+def _spans(batches):
+    """Of (key, text) the runs of every document, and its windows' least hashes, whose first and last are -1."""
+
+    def places():
+        for batch in batches:
+            for key, text in zip(*batch.columns, strict=True):
+                if text := text.as_py():
+                    pieces = counted_sentences(text)
+                    twin = signed(xxhash.xxh64_intdigest(text, TEXT_SEED))
+                    yield key.as_py(), twin, arrays_of_runs(text, pieces)
+                    least = anchors(text, pieces)
+                    none = np.full(len(least), -1)
+                    yield key.as_py(), twin, (least, np.zeros(len(least), np.int64), none, none)
+
+    return _batches(places())
+
+
+def _windows(batches):
+    """Of (key, twin, text, wanted) the windows whose least hash is wanted; first and last count words."""
+
+    def places():
+        for batch in batches:
+            for key, twin, text, wanted in zip(*batch.columns, strict=True):
+                yield key.as_py(), twin.as_py(), arrays_of_windows(text.as_py(), wanted.values.to_numpy())
+
+    return _batches(places())
+
+
+def _whole(docs: DataFrame, key: str, text: str, *more) -> DataFrame:
+    """key, text and twin of all documents."""
+    rows = docs.select(*more, F.col(f"`{key}`").cast("long").alias("key"), utf8(text).alias("text"))
+    return rows.withColumn("twin", F.xxhash64(F.col("text").cast("string")))  # the same hash and seed as TEXT_SEED
+
+
+def _later(copies: DataFrame, path: str, within: bool, words: bool) -> DataFrame:
+    """All places but the first of every hash in ``copies``, a written table."""
+    place = F.struct(F.col("key").isNull().alias("last_key"), "key", "twin", *(["first"] if within else []))
+    # Both sides of the join are written tables: a passage that very many places share can then be split.
+    start = copies.groupBy("h1", "h2").agg(F.min(place).alias("start"), F.max(place).alias("end")).where("start < end").drop("end")
+    start = materialize_at(start, path)
+    same = F.col("key").eqNullSafe(F.col("start.key")) & (F.col("twin") == F.col("start.twin"))
+    later = copies.join(start, ["h1", "h2"]).where(~(same & (F.col("first") == F.col("start.first")) if within else same))
+    return later.select("key", "twin", F.struct(F.lit(words).alias("words"), "first", "last", F.col("start.key").alias("first_key")).alias("span"))
+
+
 def repeated(docs: DataFrame, key: str, text: str, within: bool = False) -> DataFrame:
-    """key, twin (hash of the text), spans: array of (first, last, first_key), sorted: what goes in each document."""
+    """key, twin (hash of the text), spans: array of (words, first, last, first_key), sorted: what goes in each document.
+
+    First and last number its words in a span of words, else its sentences.
+    """
     spark = docs.sparkSession
-    paths = {name: scratch_path(spark, name) for name in ("spans", "often", "copies", "starts")}
+    paths = {name: scratch_path(spark, name) for name in ("spans", "often", "copies", "starts", "wanted", "windows", "window_starts")}
     spans = materialize_at(docs.select(F.col(f"`{key}`").cast("long"), utf8(text)).mapInArrow(_spans, SPAN_DDL), paths["spans"])
     # One word of the hash is enough to leave out what stands in one document; the whole hash decides below.
     by_hash = spans.groupBy("h1")
     if within:
         often = by_hash.agg(F.count(F.lit(1)).alias("n")).where("n > 1")
     else:
-        doc = F.xxhash64("key", "twin")
+        doc = F.when(F.col("first") < 0, F.col("twin")).otherwise(F.xxhash64("key", "twin"))
         often = by_hash.agg(F.min(doc).alias("least"), F.max(doc).alias("greatest")).where("least < greatest")
     often = materialize_at(often.select("h1"), paths["often"])
     copies = materialize_at(spans.join(often, "h1", "left_semi"), paths["copies"])
     discard(spark, paths["spans"])
     discard(spark, paths["often"])
-    place = F.struct(F.col("key").isNull().alias("last_key"), "key", "twin", *(["first"] if within else []))
-    # Both sides of the join are written tables: a passage that very many places share can then be split.
-    start = copies.groupBy("h1", "h2").agg(F.min(place).alias("start"), F.max(place).alias("end")).where("start < end").drop("end")
-    start = materialize_at(start, paths["starts"])
-    same = F.col("key").eqNullSafe(F.col("start.key")) & (F.col("twin") == F.col("start.twin"))
-    later = copies.join(start, ["h1", "h2"]).where(~(same & (F.col("first") == F.col("start.first")) if within else same))
+    owner = F.min(F.struct(F.col("key").isNull().alias("last_key"), "key"))
+    wanted = copies.where("first < 0").groupBy(F.col("twin").alias("own_twin")).agg(owner.alias("owner"), F.collect_set("h1").alias("wanted"))
+    wanted = materialize_at(wanted, paths["wanted"])
+    texts = _whole(docs, key, text).join(wanted, F.col("key").eqNullSafe(F.col("owner.key")) & (F.col("twin") == F.col("own_twin")))
+    windows = materialize_at(texts.select("key", "twin", "text", "wanted").mapInArrow(_windows, SPAN_DDL), paths["windows"])
+    later = _later(copies.where("first >= 0"), paths["starts"], within, False).unionByName(_later(windows, paths["window_starts"], False, True))
     # Rows equal in key and text say the same: each of their places counts once.
-    return later.groupBy("key", "twin").agg(
-        F.array_sort(F.collect_set(F.struct("first", "last", F.col("start.key").alias("first_key")))).alias("spans")
-    )
+    return later.groupBy("key", "twin").agg(F.array_sort(F.collect_set("span")).alias("spans"))
+
+
+def covered_words(spans: list[dict], upto: np.ndarray) -> np.ndarray:
+    """Which words go by spans of words; sentence i holds words ``upto[i]`` to ``upto[i + 1]``. Short ends of passages stay."""
+    edges = np.zeros(upto[-1] + 1, np.int64)
+    for span in spans:
+        if span["words"]:
+            edges[span["first"]] += 1
+            edges[span["last"] + 1] -= 1
+    covered = np.cumsum(edges) > 0
+    bounds = np.flatnonzero(np.diff(covered, prepend=False))
+    for start, stop in zip(bounds[::2].tolist(), bounds[1::2].tolist(), strict=True):
+        inner = upto[np.searchsorted(upto, start)], upto[np.searchsorted(upto, stop, side="right") - 1]
+        if inner[1] - inner[0] >= MIN_WORDS:
+            covered[start : inner[0]] &= inner[0] - start >= CUT_WORDS
+            covered[inner[1] : stop] &= stop - inner[1] >= CUT_WORDS
+    return covered[:-1]
 
 
 def cut(text: bytes, spans: list[dict]) -> tuple[bytes, list[int]]:
-    """The text without the covered sentences and the blanks that followed them, and which sentences went."""
-    gone = sorted({i for span in spans for i in range(span["first"], span["last"] + 1)})
-    bounds = sentences(text)
+    """The text without the covered sentences and words and the blanks that followed them, and which sentences went, whole or in part."""
+    pieces = counted_sentences(text)
+    gone = {i for span in spans if not span["words"] for i in range(span["first"], span["last"] + 1)}
+    upto = np.concatenate([np.zeros(1, np.int64), np.cumsum(np.array([n for _, _, n in pieces], np.int64))])
+    covered = covered_words(spans, upto)
+    pattern = WORD_UTF8 if UNSPACED.search(text) else WORD
+    parts, units = set(), []  # where sentences begin, and words of those that go in part, and whether they go
+    for i, (start, end, _) in enumerate(pieces):
+        own = covered[upto[i] : upto[i + 1]]
+        if i in gone or own.all() or not own.any():
+            gone |= {i} if own.all() else set()
+            units.append((start, i in gone))
+        else:
+            parts.add(i)
+            units += [(word.start(), bool(goes)) for word, goes in zip(pattern.finditer(text, start, end), own, strict=True)]
     kept, at = [], 0
-    for i in gone:
-        kept.append(text[at : bounds[i][0]])
-        at = bounds[i + 1][0] if i + 1 < len(bounds) else len(text)
-    return b"".join([*kept, text[at:]]).rstrip() if gone and gone[-1] == len(bounds) - 1 else b"".join([*kept, text[at:]]), gone
+    for (start, goes), (after, _) in zip(units, [*units[1:], (len(text), False)], strict=True):
+        if goes:
+            kept.append(text[at:start])
+            at = after
+    left = b"".join([*kept, text[at:]])
+    return left.rstrip() if units and units[-1][1] else left, sorted(gone | parts)
 
 
 def _joined(docs: DataFrame, key: str, text: str, how: str, within: bool) -> DataFrame:
     found = materialize(repeated(docs, key, text, within).select(F.col("key").alias("own_key"), F.col("twin").alias("own_twin"), "spans"), "repeats")
-    whole = docs.select(packed(docs), F.col(f"`{key}`").cast("long").alias("key"), utf8(text).alias("text"))
-    twin = F.xxhash64(F.col("text").cast("string"))  # the same hash and seed as TEXT_SEED
-    return whole.join(found, F.col("key").eqNullSafe(F.col("own_key")) & (twin == F.col("own_twin")), how).drop("own_key", "own_twin")
+    whole = _whole(docs, key, text, packed(docs))
+    return whole.join(found, F.col("key").eqNullSafe(F.col("own_key")) & (F.col("twin") == F.col("own_twin")), how).drop("own_key", "own_twin")
 
 
 def repeats(docs: DataFrame, key: str = "doc_id", text: str = "text", within: bool = True) -> DataFrame:
     """One row per document that loses sentences: key, first_keys (documents whose passages it repeats),
-    removed_sentences (places), n_removed, text (what is left).
+    removed_sentences (places of those that go, whole or in part), n_removed, text (what is left).
 
     Without ``within`` a passage counts as repeated only if several documents hold it: the first document keeps all its places.
     Documents that keep every sentence have no row. Null and empty texts have no sentence. Rows equal in key

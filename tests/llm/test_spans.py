@@ -172,3 +172,56 @@ def test_repeats_within_one_document(texts):
     assert [r.doc_id for r in s.repeats(texts(rows)).collect()] == [1]
     (copy,) = s.repeats(texts([*rows, (3, "Before. " + poem * 2)]), within=False).collect()
     assert copy.doc_id == 3 and copy.text == "Before." and copy.first_keys == [1]
+
+
+def windows_of_earlier_documents(rows):
+    """Brute force of its own: the words of every text that lie in a window of 51 words which a document of smaller key holds."""
+    held, gone = set(), {}
+    for key, text in sorted(rows):
+        words = text.split()
+        own = [tuple(words[i : i + 51]) for i in range(len(words) - 50)]
+        gone[key] = {i + j for i, window in enumerate(own) if window in held for j in range(51)}
+        held.update(own)
+    return gone
+
+
+def test_passages_inside_sentences_and_of_one_word(texts):
+    draw = random.Random(9)
+    number = iter(range(10**9))
+
+    def said(n, end=0.06):
+        return [f"w{next(number)}" + ("." if draw.random() < end else "") for _ in range(n)]
+
+    shared = [said(draw.randint(51, 90)) for _ in range(8)]
+    rows = [(i, " ".join(said(draw.randint(0, 40)) + draw.choice(shared)[draw.randrange(3) :] + said(draw.randint(0, 40)))) for i in range(40)]
+    half = said(25, 0), said(26, 0)  # a passage of two halves: no whole sentence and no piece of one is shared
+    rows += [(100 + i, f"{' '.join(said(20, 0))} {' '.join(half[0])}. {' '.join(half[1])} {' '.join(said(20, 0))}.") for i in range(2)]
+    rows += [(200, "own " + "w " * 60 + "one two"), (201, "w\n" * 70 + "three four"), (300, rows[0][1].replace(" ", "\n") + "\nmore")]
+    found = {r.doc_id: r for r in s.repeats(texts(rows), within=False).collect()}
+    gone = windows_of_earlier_documents(rows)
+    assert {101, 201, 300} <= set(found) and all(key in found for key, words in gone.items() if words)
+    for key, text in rows:
+        if key in found and key != 201:
+            left, words = found[key].text.split(), text.split()
+            assert all(word in words for word in left)
+            still = [i for i in gone[key] if words[i] in left]
+            assert len(still) <= 2 * (s.CUT_WORDS - 1) and len(gone[key]) - len(still) >= min(len(gone[key]), s.MIN_WORDS)
+    assert found[101].first_keys == [100] and found[101].text.split() == rows[41][1].split()[:20] + rows[41][1].split()[71:]
+    assert found[201].text == "three four" and found[201].n_removed == len(found[201].removed_sentences) > 0
+    assert found[300].text == "more" and found[300].first_keys[0] == 0
+
+
+def test_windows_of_scripts_without_blanks_and_of_copies(texts):
+    draw = random.Random(4)
+    wide = "".join(chr(0x4E00 + draw.randrange(3000)) for _ in range(60))
+    mixed = " ".join(f"é{draw.randrange(900)}！x" for _ in range(60))
+    own = [" ".join(f"own{k}x{i}" for i in range(22)) for k in range(8)]
+    rows = [(1, wide[:30] + "。" + wide[30:]), (2, own[0] + " " + wide[:30] + "。" + wide[30:]), (3, f"{own[1]} {mixed}"), (4, f"{mixed} {own[2]}")]
+    rows += [(5, f"{own[3]} {mixed[5:]}"), (None, f"{own[3]} {mixed[5:]}"), (6, None), (7, own[4])]
+    found = {r.doc_id: r for r in s.repeats(texts(rows), within=False).collect()}
+    assert set(found) == {2, 4, 5, None} and found[None].text == ""
+    for key, kept in ((2, own[0]), (4, own[2]), (5, own[3])):
+        words = kept.split()
+        assert set(words) <= set(found[key].text.split()) and len(found[key].text.split()) <= len(words) + 2 * (s.CUT_WORDS - 1)
+    assert 3 in found[4].first_keys and 3 in found[5].first_keys
+    assert s.repeats(texts([(1, "word " * 200), (2, "other words " * 9)])).collect() == []
