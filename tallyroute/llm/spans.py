@@ -24,6 +24,7 @@ counted like the runs of sentences. Of texts that are the same only the first do
 
 from __future__ import annotations
 
+import functools
 import re
 from collections.abc import Iterable, Iterator
 
@@ -61,6 +62,9 @@ UNSPACED = rb"(?:\xe0[\xb8-\xbb]|\xe1[\x80-\x82\x9e\x9f]|[\xe3-\xe9][\x80-\xbf]|
 WORD = re.compile(rb"[^\x20\x09-\x0D]+")
 WORD_UTF8 = re.compile(rb"%b|(?:(?!%b)[^\x20\x09-\x0D])+" % (UNSPACED, UNSPACED))
 UNSPACED = re.compile(UNSPACED)
+BLANK = np.isin(np.arange(256), list(b" \t\n\v\f\r"))
+#: A random number for every byte, for the two hashes of words.
+BYTES = np.random.default_rng(6).integers(0, 1 << 64, (2, 256), dtype=np.uint64)
 
 
 def cuts(words: list[bytes]) -> list[int]:
@@ -122,12 +126,20 @@ def signed(value: int) -> int:
     return value - (1 << 64) if value >= 1 << 63 else value
 
 
+@functools.cache
+def powers(base: int, n: int) -> np.ndarray:
+    """The first n powers of ``base``, modulo 2^64."""
+    made = np.full(n, base, np.uint64)
+    made[:1] = 1
+    return np.cumprod(made)
+
+
 def weighed(own: np.ndarray, first: np.ndarray, last: np.ndarray, weight: int, inverse: int) -> np.ndarray:
-    """Sum of the sentences' hashes from first to last, times powers of ``weight`` from the run's start."""
-    power = np.cumprod(np.concatenate([np.ones(1, np.uint64), np.full(len(own), weight, np.uint64)]))
-    back = np.cumprod(np.concatenate([np.ones(1, np.uint64), np.full(len(own), inverse, np.uint64)]))
-    upto = np.concatenate([np.zeros(1, np.uint64), np.cumsum(own * power[:-1])])
-    return ((upto[last + 1] - upto[first]) * back[first]).view(np.int64)
+    """Sum of the hashes (of sentences, words, bytes) from first to last, times powers of ``weight`` from the run's start."""
+    n = 1 << len(own).bit_length()  # tables of few lengths
+    upto = np.zeros(len(own) + 1, np.uint64)
+    np.cumsum(own * powers(weight, n)[: len(own)], out=upto[1:])
+    return ((upto[last + 1] - upto[first]) * powers(inverse, n)[first]).view(np.int64)
 
 
 def digests(parts: Iterable[bytes]) -> np.ndarray:
@@ -149,33 +161,53 @@ def arrays_of_runs(text: bytes, pieces: list[tuple[int, int, int]] | None = None
     return *halves(digests(text[a:b] for a, b, _ in pieces), first, last), first, last
 
 
-def words_of(text: bytes, pieces: list[tuple[int, int, int]]) -> list[bytes]:
-    """The words of all sentences, in order."""
-    if text.isascii():
-        return text.split()
-    if not UNSPACED.search(text):
-        return [word for a, b, _ in pieces for word in text[a:b].split()]
-    return [word for a, b, _ in pieces for word in WORD_UTF8.findall(text, a, b)]
+def word_bounds(text: bytes, pieces: list[tuple[int, int, int]]) -> tuple[np.ndarray, np.ndarray]:
+    """Where the words of all sentences start and end."""
+    if not text.isascii() and UNSPACED.search(text):
+        bounds = np.array([word.span() for a, b, _ in pieces for word in WORD_UTF8.finditer(text, a, b)], np.int64)
+        return bounds[:, 0], bounds[:, 1]
+    edges = np.diff(~BLANK[np.frombuffer(text, np.uint8)], prepend=False, append=False)
+    bounds = np.flatnonzero(edges)
+    starts, ends = bounds[::2], bounds[1::2]
+    if not text.isascii():  # a stop that needs no blank may end a sentence inside what stands between blanks
+        sides = np.array(pieces, np.int64)
+        starts, ends = np.union1d(starts, sides[:, 0]), np.union1d(ends, sides[:, 1])
+    return starts, ends
+
+
+def hashed_words(text: bytes, starts: np.ndarray, ends: np.ndarray, half: int) -> np.ndarray:
+    """A word of hash of every word: its bytes' numbers times powers of an odd number, stirred."""
+    made = weighed(BYTES[half][np.frombuffer(text, np.uint8)], starts, ends - 1, WEIGHTS[half], INVERSES[half]).view(np.uint64)
+    made ^= made >> np.uint64(32)
+    made *= np.uint64(WEIGHTS[1 - half])
+    return made ^ (made >> np.uint64(29))
 
 
 def least_hashes(own: np.ndarray) -> np.ndarray:
-    """The least hash of the runs of ANCHOR_WORDS words, for every window of PASSAGE_WORDS words."""
+    """The least hash of the runs of ANCHOR_WORDS words, for every window of PASSAGE_WORDS words, from the words' first hashes."""
     at = np.arange(len(own) - ANCHOR_WORDS + 1)
-    each = weighed(own[:, 0], at, at + ANCHOR_WORDS - 1, WEIGHTS[0], INVERSES[0])
-    return np.lib.stride_tricks.sliding_window_view(each, PASSAGE_WORDS - ANCHOR_WORDS + 1).min(axis=1)
+    least = weighed(own, at, at + ANCHOR_WORDS - 1, WEIGHTS[0], INVERSES[0])
+    width, wanted = 1, PASSAGE_WORDS - ANCHOR_WORDS + 1
+    while width < wanted:
+        step = min(width, wanted - width)
+        least = np.minimum(least[:-step], least[step:])
+        width += step
+    return least
 
 
 def anchors(text: bytes, pieces: list[tuple[int, int, int]]) -> np.ndarray:
-    """The least hashes of a text's windows, each once."""
+    """The least hashes of a text's windows: none twice in a row."""
     if sum(n for _, _, n in pieces) < PASSAGE_WORDS:
         return np.zeros(0, np.int64)
-    return np.unique(least_hashes(digests(words_of(text, pieces))))
+    least = least_hashes(hashed_words(text, *word_bounds(text, pieces), 0))
+    return least[np.flatnonzero(np.diff(least, prepend=~least[0]))]
 
 
 def arrays_of_windows(text: bytes, wanted: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
     """Hash, second hash, first and last word of every window whose least hash is ``wanted``."""
-    own = digests(words_of(text, counted_sentences(text)))
-    first = np.flatnonzero(np.isin(least_hashes(own), wanted))
+    bounds = word_bounds(text, counted_sentences(text))
+    own = np.stack([hashed_words(text, *bounds, half) for half in range(2)], axis=1)
+    first = np.flatnonzero(np.isin(least_hashes(own[:, 0]), wanted))
     last = first + PASSAGE_WORDS - 1
     return *halves(own, first, last), first, last
 
@@ -185,6 +217,7 @@ def hashed_runs(text: bytes | None) -> list[tuple[int, int, int, int]]:
     return list(zip(*(side.tolist() for side in arrays_of_runs(text)), strict=True)) if text else []
 
 
+WINDOWS_DDL = "array<struct<first_key: bigint, firsts: array<int>>>"
 SPAN_DDL = "key long, twin long, h1 long, h2 long, first int, last int"
 SPAN_SCHEMA = pa.schema(
     [("key", pa.int64()), ("twin", pa.int64()), ("h1", pa.int64()), ("h2", pa.int64()), ("first", pa.int32()), ("last", pa.int32())]
@@ -247,21 +280,19 @@ def _whole(docs: DataFrame, key: str, text: str, *more) -> DataFrame:
     return rows.withColumn("twin", F.xxhash64(F.col("text").cast("string")))  # the same hash and seed as TEXT_SEED
 
 
-def _later(copies: DataFrame, path: str, within: bool, words: bool) -> DataFrame:
-    """All places but the first of every hash in ``copies``, a written table."""
+def _later(copies: DataFrame, path: str, within: bool) -> DataFrame:
+    """All places but the first of every hash in ``copies``, a written table, each with ``start``, the first."""
     place = F.struct(F.col("key").isNull().alias("last_key"), "key", "twin", *(["first"] if within else []))
     # Both sides of the join are written tables: a passage that very many places share can then be split.
     start = copies.groupBy("h1", "h2").agg(F.min(place).alias("start"), F.max(place).alias("end")).where("start < end").drop("end")
     start = materialize_at(start, path)
     same = F.col("key").eqNullSafe(F.col("start.key")) & (F.col("twin") == F.col("start.twin"))
-    later = copies.join(start, ["h1", "h2"]).where(~(same & (F.col("first") == F.col("start.first")) if within else same))
-    return later.select("key", "twin", F.struct(F.lit(words).alias("words"), "first", "last", F.col("start.key").alias("first_key")).alias("span"))
+    return copies.join(start, ["h1", "h2"]).where(~(same & (F.col("first") == F.col("start.first")) if within else same))
 
 
 def repeated(docs: DataFrame, key: str, text: str, within: bool = False) -> DataFrame:
-    """key, twin (hash of the text), spans: array of (words, first, last, first_key), sorted: what goes in each document.
-
-    First and last number its words in a span of words, else its sentences.
+    """key, twin (hash of the text), spans: array of (first, last, first_key), sorted, and windows: array of
+    (first_key, firsts): the sentences that go in each document, and the first words of the windows that do.
     """
     spark = docs.sparkSession
     paths = {name: scratch_path(spark, name) for name in ("spans", "often", "copies", "starts", "wanted", "windows", "window_starts")}
@@ -282,18 +313,22 @@ def repeated(docs: DataFrame, key: str, text: str, within: bool = False) -> Data
     wanted = materialize_at(wanted, paths["wanted"])
     texts = _whole(docs, key, text).join(wanted, F.col("key").eqNullSafe(F.col("owner.key")) & (F.col("twin") == F.col("own_twin")))
     windows = materialize_at(texts.select("key", "twin", "text", "wanted").mapInArrow(_windows, SPAN_DDL), paths["windows"])
-    later = _later(copies.where("first >= 0"), paths["starts"], within, False).unionByName(_later(windows, paths["window_starts"], False, True))
+    first_key = F.col("start.key").alias("first_key")
     # Rows equal in key and text say the same: each of their places counts once.
-    return later.groupBy("key", "twin").agg(F.array_sort(F.collect_set("span")).alias("spans"))
+    runs = _later(copies.where("first >= 0"), paths["starts"], within).groupBy("key", "twin")
+    runs = runs.agg(F.array_sort(F.collect_set(F.struct("first", "last", first_key))).alias("spans"), F.lit(None).cast(WINDOWS_DDL).alias("windows"))
+    passages = _later(windows, paths["window_starts"], False).groupBy("key", "twin", first_key).agg(F.collect_set("first").alias("firsts"))
+    passages = passages.groupBy("key", "twin").agg(F.collect_list(F.struct("first_key", "firsts")).alias("windows"))
+    both = runs.unionByName(passages.withColumn("spans", F.lit(None).cast(runs.schema["spans"].dataType))).groupBy("key", "twin")
+    return both.agg(F.first("spans", ignorenulls=True).alias("spans"), F.first("windows", ignorenulls=True).alias("windows"))
 
 
-def covered_words(spans: list[dict], upto: np.ndarray) -> np.ndarray:
-    """Which words go by spans of words; sentence i holds words ``upto[i]`` to ``upto[i + 1]``. Short ends of passages stay."""
+def covered_words(windows: list[dict], upto: np.ndarray) -> np.ndarray:
+    """Which words go with windows; sentence i holds words ``upto[i]`` to ``upto[i + 1]``. Short ends of passages stay."""
     edges = np.zeros(upto[-1] + 1, np.int64)
-    for span in spans:
-        if span["words"]:
-            edges[span["first"]] += 1
-            edges[span["last"] + 1] -= 1
+    firsts = np.array([first for window in windows for first in window["firsts"]], np.int64)
+    np.add.at(edges, firsts, 1)
+    np.add.at(edges, firsts + PASSAGE_WORDS, -1)
     covered = np.cumsum(edges) > 0
     bounds = np.flatnonzero(np.diff(covered, prepend=False))
     for start, stop in zip(bounds[::2].tolist(), bounds[1::2].tolist(), strict=True):
@@ -304,22 +339,25 @@ def covered_words(spans: list[dict], upto: np.ndarray) -> np.ndarray:
     return covered[:-1]
 
 
-def cut(text: bytes, spans: list[dict]) -> tuple[bytes, list[int]]:
+def cut(text: bytes, spans: list[dict] | None, windows: list[dict] | None) -> tuple[bytes, list[int]]:
     """The text without the covered sentences and words and the blanks that followed them, and which sentences went, whole or in part."""
     pieces = counted_sentences(text)
-    gone = {i for span in spans if not span["words"] for i in range(span["first"], span["last"] + 1)}
-    upto = np.concatenate([np.zeros(1, np.int64), np.cumsum(np.array([n for _, _, n in pieces], np.int64))])
-    covered = covered_words(spans, upto)
-    pattern = WORD_UTF8 if UNSPACED.search(text) else WORD
-    parts, units = set(), []  # where sentences begin, and words of those that go in part, and whether they go
-    for i, (start, end, _) in enumerate(pieces):
-        own = covered[upto[i] : upto[i + 1]]
-        if i in gone or own.all() or not own.any():
-            gone |= {i} if own.all() else set()
-            units.append((start, i in gone))
-        else:
-            parts.add(i)
-            units += [(word.start(), bool(goes)) for word, goes in zip(pattern.finditer(text, start, end), own, strict=True)]
+    gone = {i for span in spans or [] for i in range(span["first"], span["last"] + 1)}
+    parts, units = set(), [(start, i in gone) for i, (start, _, _) in enumerate(pieces)]  # where sentences begin, and whether they go
+    if windows and len(gone) < len(pieces):
+        upto = np.cumsum([0, *(n for _, _, n in pieces)])
+        covered = covered_words(windows, upto)
+        some = np.add.reduceat(covered.astype(np.int64), upto[:-1])
+        starts = word_bounds(text, pieces)[0].tolist()
+        units = []  # the words of those that go in part count one by one
+        for i, (start, _, n) in enumerate(pieces):
+            if some[i] == n:
+                gone.add(i)
+            if i in gone or not some[i]:
+                units.append((start, i in gone))
+            else:
+                parts.add(i)
+                units += zip(starts[upto[i] : upto[i + 1]], covered[upto[i] : upto[i + 1]].tolist(), strict=True)
     kept, at = [], 0
     for (start, goes), (after, _) in zip(units, [*units[1:], (len(text), False)], strict=True):
         if goes:
@@ -330,7 +368,7 @@ def cut(text: bytes, spans: list[dict]) -> tuple[bytes, list[int]]:
 
 
 def _joined(docs: DataFrame, key: str, text: str, how: str, within: bool) -> DataFrame:
-    found = materialize(repeated(docs, key, text, within).select(F.col("key").alias("own_key"), F.col("twin").alias("own_twin"), "spans"), "repeats")
+    found = materialize(repeated(docs, key, text, within).select(F.col("key").alias("own_key"), F.col("twin").alias("own_twin"), "spans", "windows"), "repeats")
     whole = _whole(docs, key, text, packed(docs))
     return whole.join(found, F.col("key").eqNullSafe(F.col("own_key")) & (F.col("twin") == F.col("own_twin")), how).drop("own_key", "own_twin")
 
@@ -348,12 +386,12 @@ def repeats(docs: DataFrame, key: str = "doc_id", text: str = "text", within: bo
     )
     ddl = "key long, first_keys array<long>, removed_sentences array<int>, n_removed int, text string"
 
-    def each(key, text, spans):
-        left, gone = cut(text, spans)
-        firsts = sorted({s["first_key"] for s in spans if s["first_key"] is not None})
+    def each(key, text, spans, windows):
+        left, gone = cut(text, spans, windows)
+        firsts = sorted({s["first_key"] for s in [*(spans or []), *(windows or [])]} - {None})
         return [(key, firsts, gone, len(gone), left.decode("utf-8", "replace"))]
 
-    rows = _joined(docs, key, text, "inner", within).select("key", "text", "spans")
+    rows = _joined(docs, key, text, "inner", within).select("key", "text", "spans", "windows")
     return map_rows(rows, schema, ddl, each).withColumnRenamed("key", key)
 
 
@@ -363,13 +401,13 @@ def without_repeats(docs: DataFrame, key: str = "doc_id", text: str = "text", wi
     def run(batches):
         for batch in batches:
             made = [
-                (cut(value, spans)[0] if value is not None and spans else value,)
-                for value, spans in zip(batch.column(1).to_pylist(), batch.column(2).to_pylist(), strict=True)
+                (cut(value, spans, windows)[0] if value is not None and (spans or windows) else value,)
+                for value, spans, windows in zip(*(batch.column(i).to_pylist() for i in range(1, 4)), strict=True)
             ]
             left = as_batch(made, pa.schema([("left", pa.binary())])).column(0)
             yield pa.RecordBatch.from_arrays([batch.column(0), left], names=["row", "left"])
 
-    joined = _joined(docs, key, text, "left", within).select("row", "text", "spans")
+    joined = _joined(docs, key, text, "left", within).select("row", "text", "spans", "windows")
     kind = joined.schema["row"].dataType.simpleString()
     made = joined.mapInArrow(run, f"row {kind}, left binary")
     return unpacked(made.withColumn("row", F.col("row").withField(text, F.col("left").cast("string"))), docs.columns)
