@@ -163,15 +163,12 @@ def arrays_of_runs(text: bytes, pieces: list[tuple[int, int, int]] | None = None
 
 def word_bounds(text: bytes, pieces: list[tuple[int, int, int]]) -> tuple[np.ndarray, np.ndarray]:
     """Where the words of all sentences start and end."""
-    if not text.isascii() and UNSPACED.search(text):
-        bounds = np.array([word.span() for a, b, _ in pieces for word in WORD_UTF8.finditer(text, a, b)], np.int64)
-        return bounds[:, 0], bounds[:, 1]
-    edges = np.diff(~BLANK[np.frombuffer(text, np.uint8)], prepend=False, append=False)
-    bounds = np.flatnonzero(edges)
+    bounds = np.flatnonzero(np.diff(~BLANK[np.frombuffer(text, np.uint8)], prepend=False, append=False))
     starts, ends = bounds[::2], bounds[1::2]
-    if not text.isascii():  # a stop that needs no blank may end a sentence inside what stands between blanks
-        sides = np.array(pieces, np.int64)
-        starts, ends = np.union1d(starts, sides[:, 0]), np.union1d(ends, sides[:, 1])
+    if len(starts) < sum(n for _, _, n in pieces):  # some of what stands between blanks is several words
+        pattern = WORD_UTF8 if UNSPACED.search(text) else WORD
+        bounds = np.array([word.span() for a, b, _ in pieces for word in pattern.finditer(text, a, b)], np.int64)
+        starts, ends = bounds[:, 0], bounds[:, 1]
     return starts, ends
 
 
