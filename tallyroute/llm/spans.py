@@ -48,44 +48,90 @@ ANCHOR_WORDS = 20  # words of the runs whose least hash tells which windows may
 WEIGHTS = (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F)
 INVERSES = tuple(pow(w, -1, 1 << 64) for w in WEIGHTS)
 HELD_RUNS = 20_000
-#: A sentence ends after closing marks before a blank, at a line end, or with the text.
-SENTENCE_END = re.compile(rb"[.!?]+[\"')\]}]*(?=[\x20\x09-\x0D])|\n")
-#: The same in UTF-8: Arabic, Armenian, Indic and Ethiopic stops end one too, and wide, Khmer and Burmese ones need no blank.
-SENTENCE_END_UTF8 = re.compile(
-    rb"(?:[.!?]|\xd8\x9f|\xdb\x94|\xd6\x89|\xe0\xa5[\xa4\xa5]|\xe1\x8d\xa2|\xe2\x80\xa6)+"
-    rb"(?:[\"')\]}]|\xc2\xbb|\xe2\x80[\x98\x99\x9c\x9d\xba])*(?=[\x20\x09-\x0D])|\n"
-    rb"|(?:\xe3\x80\x82|\xef\xbc[\x81\x8e\x9f]|\xef\xbd\xa1|\xe1\x9f\x94|\xe1\x81\x8b)+"
-    rb"(?:[\"')\]}]|\xe2\x80[\x99\x9d]|\xe3\x80[\x89\x8b\x8d\x8f\x91]|\xef\xbc\x89)*"
+HELD_BYTES = 1 << 17  # of texts that are worked on together
+#: A sentence ends after closing marks before a blank, at a line end, or with the text. Arabic, Armenian, Indic and Ethiopic
+#: stops end one too; wide, Khmer and Burmese ones need no blank. The set of first bytes lets the search leap over all others.
+SENTENCE_END = re.compile(
+    rb"[\n.!?\xd6\xd8\xdb\xe0-\xe3\xef](?:(?<=\n)"
+    rb"|(?:(?<=[.!?])|(?<=\xd8)\x9f|(?<=\xdb)\x94|(?<=\xd6)\x89|(?<=\xe0)\xa5[\xa4\xa5]|(?<=\xe1)\x8d\xa2|(?<=\xe2)\x80\xa6)"
+    rb"(?:[.!?]|\xd8\x9f|\xdb\x94|\xd6\x89|\xe0\xa5[\xa4\xa5]|\xe1\x8d\xa2|\xe2\x80\xa6)*"
+    rb"(?:[\"')\]}]|\xc2\xbb|\xe2\x80[\x98\x99\x9c\x9d\xba])*(?=[\x20\x09-\x0D])"
+    rb"|(?:(?<=\xe3)\x80\x82|(?<=\xef)(?:\xbc[\x81\x8e\x9f]|\xbd\xa1)|(?<=\xe1)(?:\x9f\x94|\x81\x8b))"
+    rb"(?:\xe3\x80\x82|\xef\xbc[\x81\x8e\x9f]|\xef\xbd\xa1|\xe1\x9f\x94|\xe1\x81\x8b)*"
+    rb"(?:[\"')\]}]|\xe2\x80[\x99\x9d]|\xe3\x80[\x89\x8b\x8d\x8f\x91]|\xef\xbc\x89)*)"
 )
 #: A character of a script that is written without blanks (Thai, Lao, Burmese, Khmer, kana, ideographs) is a word.
 UNSPACED = rb"(?:\xe0[\xb8-\xbb]|\xe1[\x80-\x82\x9e\x9f]|[\xe3-\xe9][\x80-\xbf]|\xf0[\xa0-\xb3][\x80-\xbf])[\x80-\xbf]"
 WORD = re.compile(rb"[^\x20\x09-\x0D]+")
 WORD_UTF8 = re.compile(rb"%b|(?:(?!%b)[^\x20\x09-\x0D])+" % (UNSPACED, UNSPACED))
 UNSPACED = re.compile(UNSPACED)
-BLANK = np.isin(np.arange(256), list(b" \t\n\v\f\r"))
+#: Such a character, or a stop that needs no blank: where none is, words and sentences begin and end at blanks.
+NO_BLANK = re.compile(
+    rb"[\xe0\xe1\xe3-\xe9\xef\xf0](?:(?:(?<=\xe0)[\xb8-\xbb]|(?<=\xe1)[\x80-\x82\x9e\x9f]|(?<=[\xe3-\xe9])[\x80-\xbf]"
+    rb"|(?<=\xf0)[\xa0-\xb3][\x80-\xbf])[\x80-\xbf]|(?<=\xef)(?:\xbc[\x81\x8e\x9f]|\xbd\xa1))"
+)
+#: 0 for blanks, 1 for other bytes.
+FILLED = bytes(byte not in b" \t\n\v\f\r" for byte in range(256))
 #: A random number for every byte, for the two hashes of words.
 BYTES = np.random.default_rng(6).integers(0, 1 << 64, (2, 256), dtype=np.uint64)
 
 
-def cuts(words: list[bytes]) -> list[int]:
-    """Numbers of the words before which a long sentence is cut: the last least hash of every CUT_WORDS words.
+def cuts(words: list[bytes], piece: np.ndarray) -> np.ndarray:
+    """Numbers of the words that begin a piece: the first ones of long sentences, and the last least hash of every CUT_WORDS words.
 
-    A word that is the same as the one before it begins no piece.
+    ``piece`` says which words are of one sentence. A word that is the same as the one before it begins none.
     """
-    own = np.fromiter((xxhash.xxh3_64_intdigest(w) for w in words), np.uint64, len(words))
+    own = np.fromiter(map(xxhash.xxh3_64_intdigest, words), np.uint64, len(words))
     never = np.iinfo(np.uint64).max
-    own[1:][own[1:] == own[:-1]] = never
-    windows = np.lib.stride_tricks.sliding_window_view(own[::-1], CUT_WORDS)
-    least = len(words) - 1 - (windows.argmin(axis=1) + np.arange(len(windows)))
-    return [0, *sorted({*least[own[least] != never].tolist()} - {0})]
-
-
-def counted_sentences(text: bytes) -> list[tuple[int, int, int]]:
-    """(start, end, words) of every sentence, and of every piece of a long one."""
-    plain = text.isascii()
-    spaced = plain or not UNSPACED.search(text)
+    follows = piece[1:] == piece[:-1]
+    own[1:][(own[1:] == own[:-1]) & follows] = never
+    least, at, width = own, np.arange(len(own)), 1
+    while width < CUT_WORDS:
+        step = min(width, CUT_WORDS - width)
+        at = np.where(least[step:] <= least[:-step], at[step:], at[:-step])
+        least = np.minimum(least[:-step], least[step:])
+        width += step
+    whole = piece[: len(least)] == piece[CUT_WORDS - 1 :]
+    return np.union1d(np.flatnonzero(~np.append(False, follows)), at[whole & (least != never)])
+
+
+def blank_bounds(text: bytes) -> tuple[np.ndarray, np.ndarray]:
+    """Where what stands between blanks starts and ends."""
+    filled = np.frombuffer(b"\0" + text.translate(FILLED) + b"\0", np.uint8)
+    bounds = np.flatnonzero(filled[1:] != filled[:-1])
+    return bounds[::2], bounds[1::2]
+
+
+def measured(text: bytes) -> tuple[tuple[np.ndarray, np.ndarray, np.ndarray], tuple[np.ndarray, np.ndarray]]:
+    """Start, end and words of every sentence, and of every piece of a long one; where all words start and end."""
+    if without_blanks(text):
+        pieces = pieces_without_blanks(text)
+        return tuple(np.array(pieces, np.int64).reshape(-1, 3).T), word_bounds(text, pieces)
+    starts, ends = blank_bounds(text)
+    stops = [m.end() for m in SENTENCE_END.finditer(text)]
+    firsts = np.searchsorted(starts, [0, *stops])  # the first word after each end
+    firsts = np.append(firsts, len(starts))
+    firsts = firsts[:-1][firsts[1:] > firsts[:-1]]
+    counts = np.append(firsts[1:], len(starts)) - firsts
+    if len(long := np.flatnonzero(counts > LONG_WORDS)):
+        piece = np.repeat(long, counts[long])
+        number = np.flatnonzero(np.repeat(counts > LONG_WORDS, counts))
+        words = [text[a:b] for a, b in zip(starts[number].tolist(), ends[number].tolist(), strict=True)]
+        firsts = np.union1d(firsts, number[cuts(words, piece)])
+        counts = np.append(firsts[1:], len(starts)) - firsts
+    return (starts[firsts], ends[firsts + counts - 1], counts), (starts, ends)
+
+
+def without_blanks(text: bytes) -> bool:
+    """Whether words or sentences of the text may end without a blank."""
+    return not text.isascii() and NO_BLANK.search(text) is not None
+
+
+def pieces_without_blanks(text: bytes) -> list[tuple[int, int, int]]:
+    """The same of a text whose sentences or words may end without a blank."""
+    spaced = not UNSPACED.search(text)
     found, start = [], 0
-    for end in [m.end() for m in (SENTENCE_END if plain else SENTENCE_END_UTF8).finditer(text)] + [len(text)]:
+    for end in [m.end() for m in SENTENCE_END.finditer(text)] + [len(text)]:
         if piece := text[start:end].lstrip():
             at, piece = end - len(piece), piece.rstrip()
             stop = at + len(piece)
@@ -94,32 +140,40 @@ def counted_sentences(text: bytes) -> list[tuple[int, int, int]]:
                 found.append((at, stop, n))
             else:
                 words = list((WORD if spaced else WORD_UTF8).finditer(text, at, stop))
-                bounds = [*cuts([m[0] for m in words]), n]
+                bounds = [*cuts([m[0] for m in words], np.zeros(n, np.int64)).tolist(), n]
                 found += [(words[a].start(), words[b - 1].end(), b - a) for a, b in zip(bounds, bounds[1:])]
         start = end
     return found
 
 
+def counted_sentences(text: bytes) -> list[tuple[int, int, int]]:
+    """(start, end, words) of every sentence, and of every piece of a long one."""
+    return list(zip(*(side.tolist() for side in measured(text)[0]), strict=True))
+
+
 def sentences(text: bytes) -> list[tuple[int, int]]:
     """(start, end) in bytes of every sentence, or piece of a long one, that has a word; between them lie only blanks."""
     return [(start, end) for start, end, _ in counted_sentences(text)]
 
 
-def bounds_of_runs(words: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """First and last sentence of each run that is hashed, given the sentences' numbers of words."""
+def bounds_of_runs(words: np.ndarray, doc: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """First and last sentence of each run that is hashed, given the sentences' numbers of words and of the document."""
     n = len(words)
     upto = np.concatenate([np.zeros(1, np.int64), np.cumsum(words)])
     at = np.arange(n)
     # For each last sentence the latest first one that leaves enough words, for each first one the earliest last.
     first = np.minimum(np.searchsorted(upto, upto[1:] - MIN_WORDS, side="right") - 1, at - MIN_SENTENCES + 1)
     last = np.maximum(np.searchsorted(upto, upto[:-1] + MIN_WORDS) - 1, at + MIN_SENTENCES - 1)
-    pairs = np.concatenate([(first * n + at)[first >= 0], (at * n + last)[last < n]])
-    return np.divmod(np.unique(pairs), max(n, 1))
+    backwards, forwards = np.flatnonzero(first >= 0), np.flatnonzero(last < n)
+    backwards = backwards[doc[first[backwards]] == doc[backwards]]
+    forwards = forwards[(doc[last[forwards]] == doc[forwards]) & (first[last[forwards]] != forwards)]  # those that aren't runs backwards too
+    return np.concatenate([first[backwards], forwards]), np.concatenate([backwards, last[forwards]])
 
 
 def runs(words: list[int]) -> set[tuple[int, int]]:
     """(first, last) sentence of each run of several sentences that is hashed."""
-    return set(zip(*(side.tolist() for side in bounds_of_runs(np.array(words, np.int64))), strict=True))
+    found = bounds_of_runs(np.array(words, np.int64), np.zeros(len(words), np.int64))
+    return set(zip(*(side.tolist() for side in found), strict=True))
 
 
 def signed(value: int) -> int:
@@ -151,20 +205,20 @@ def halves(own: np.ndarray, first: np.ndarray, last: np.ndarray) -> list[np.ndar
     return [weighed(own[:, i], first, last, WEIGHTS[i], INVERSES[i]) for i in range(2)]
 
 
-def arrays_of_runs(text: bytes, pieces: list[tuple[int, int, int]] | None = None) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+def arrays_of_runs(
+    text: bytes, pieces: tuple[np.ndarray, np.ndarray, np.ndarray], doc: np.ndarray
+) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
     """Hash, second hash, first and last sentence of every run; sentences are compared byte by byte, trimmed."""
-    pieces = counted_sentences(text) if pieces is None else pieces
-    words = np.array([n for _, _, n in pieces], np.int64)
-    first, last = bounds_of_runs(words)
+    starts, ends, words = pieces
+    first, last = bounds_of_runs(words, doc)
     alone = np.flatnonzero(words >= MIN_WORDS)
     first, last = np.concatenate([first, alone]), np.concatenate([last, alone])
-    return *halves(digests(text[a:b] for a, b, _ in pieces), first, last), first, last
+    return *halves(digests(text[a:b] for a, b in zip(starts.tolist(), ends.tolist(), strict=True)), first, last), first, last
 
 
 def word_bounds(text: bytes, pieces: list[tuple[int, int, int]]) -> tuple[np.ndarray, np.ndarray]:
     """Where the words of all sentences start and end."""
-    bounds = np.flatnonzero(np.diff(~BLANK[np.frombuffer(text, np.uint8)], prepend=False, append=False))
-    starts, ends = bounds[::2], bounds[1::2]
+    starts, ends = blank_bounds(text)
     if len(starts) < sum(n for _, _, n in pieces):  # some of what stands between blanks is several words
         pattern = WORD_UTF8 if UNSPACED.search(text) else WORD
         bounds = np.array([word.span() for a, b, _ in pieces for word in pattern.finditer(text, a, b)], np.int64)
@@ -174,7 +228,7 @@ def word_bounds(text: bytes, pieces: list[tuple[int, int, int]]) -> tuple[np.nda
 
 def hashed_words(text: bytes, starts: np.ndarray, ends: np.ndarray, half: int) -> np.ndarray:
     """A word of hash of every word: its bytes' numbers times powers of an odd number, stirred."""
-    made = weighed(BYTES[half][np.frombuffer(text, np.uint8)], starts, ends - 1, WEIGHTS[half], INVERSES[half]).view(np.uint64)
+    made = weighed(BYTES[half].take(np.frombuffer(text, np.uint8)), starts, ends - 1, WEIGHTS[half], INVERSES[half]).view(np.uint64)
     made ^= made >> np.uint64(32)
     made *= np.uint64(WEIGHTS[1 - half])
     return made ^ (made >> np.uint64(29))
@@ -192,26 +246,37 @@ def least_hashes(own: np.ndarray) -> np.ndarray:
     return least
 
 
-def anchors(text: bytes, pieces: list[tuple[int, int, int]]) -> np.ndarray:
-    """The least hashes of a text's windows: none twice in a row."""
-    if sum(n for _, _, n in pieces) < PASSAGE_WORDS:
-        return np.zeros(0, np.int64)
-    least = least_hashes(hashed_words(text, *word_bounds(text, pieces), 0))
-    return least[np.flatnonzero(np.diff(least, prepend=~least[0]))]
+def anchors(text: bytes, bounds: tuple[np.ndarray, np.ndarray], doc: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The least hashes of the documents' windows, given the words' bounds and documents: none twice in a row. And the documents."""
+    if len(doc) < PASSAGE_WORDS:
+        return np.zeros(0, np.int64), np.zeros(0, np.int64)
+    least = least_hashes(hashed_words(text, *bounds, 0))
+    inside = doc[: len(least)] == doc[PASSAGE_WORDS - 1 :]
+    least, own = least[inside], doc[: len(least)][inside]
+    new = np.ones(len(least), bool)
+    new[1:] = (least[1:] != least[:-1]) | (own[1:] != own[:-1])
+    return least[new], own[new]
 
 
-def arrays_of_windows(text: bytes, wanted: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+def arrays_of_windows(
+    text: bytes, bounds: tuple[np.ndarray, np.ndarray], doc: np.ndarray, wanted: np.ndarray
+) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
     """Hash, second hash, first and last word of every window whose least hash is ``wanted``."""
-    bounds = word_bounds(text, counted_sentences(text))
+    if len(doc) < PASSAGE_WORDS:
+        none = np.zeros(0, np.int64)
+        return none, none, none, none
     own = np.stack([hashed_words(text, *bounds, half) for half in range(2)], axis=1)
-    first = np.flatnonzero(np.isin(least_hashes(own[:, 0]), wanted))
+    first = np.flatnonzero((doc[: 1 - PASSAGE_WORDS] == doc[PASSAGE_WORDS - 1 :]) & np.isin(least_hashes(own[:, 0]), wanted))
     last = first + PASSAGE_WORDS - 1
     return *halves(own, first, last), first, last
 
 
 def hashed_runs(text: bytes | None) -> list[tuple[int, int, int, int]]:
     """(hash, second hash, first sentence, last sentence) of every run."""
-    return list(zip(*(side.tolist() for side in arrays_of_runs(text)), strict=True)) if text else []
+    if not text:
+        return []
+    pieces, _ = measured(text)
+    return list(zip(*(side.tolist() for side in arrays_of_runs(text, pieces, np.zeros(len(pieces[0]), np.int64))), strict=True))
 
 
 WINDOWS_DDL = "array<struct<first_key: bigint, firsts: array<int>>>"
@@ -222,19 +287,18 @@ SPAN_SCHEMA = pa.schema(
 
 
 def _batches(found: Iterable[tuple]) -> Iterator[pa.RecordBatch]:
-    """Arrays of places, given with key and twin, a few documents' at a time."""
+    """Arrays of places, given with the keys and twins of some documents and the document of every place, in larger batches."""
     held, rows = [], 0
 
     def together():
-        key = pa.chunked_array([pa.array([k] * len(sides[0]), pa.int64()) for k, _, sides in held])
-        twin = np.concatenate([np.full(len(sides[0]), t, np.int64) for _, t, sides in held])
-        h1, h2, first, last = (np.concatenate(side) for side in zip(*(sides for *_, sides in held), strict=True))
-        columns = [key.combine_chunks(), twin, h1, h2, first.astype(np.int32), last.astype(np.int32)]
-        return pa.RecordBatch.from_arrays([pa.array(c) if isinstance(c, np.ndarray) else c for c in columns], schema=SPAN_SCHEMA)
-
-    for key, twin, sides in found:
-        if n := len(sides[0]):
-            held.append((key, twin, sides))
+        sides = [np.concatenate(side) for side in zip(*(sides for _, sides in held), strict=True)]
+        kinds = (np.int64, np.int64, np.int64, np.int32, np.int32)
+        columns = [pa.array(side.astype(kind)) for side, kind in zip(sides, kinds, strict=True)]
+        return pa.RecordBatch.from_arrays([pa.concat_arrays([key for key, _ in held]), *columns], schema=SPAN_SCHEMA)
+
+    for keys, twins, doc, sides in found:
+        if n := len(doc):
+            held.append((pa.array(keys, pa.int64()).take(pa.array(doc)), (np.array(twins, np.int64)[doc], *sides)))
             rows += n
             if rows >= HELD_RUNS:
                 yield together()
@@ -243,30 +307,79 @@ def _batches(found: Iterable[tuple]) -> Iterator[pa.RecordBatch]:
         yield together()
 
 
+def _some(rows: Iterable[tuple]) -> Iterator[list[tuple]]:
+    """Rows of (text, more), as many at a time as are worked on together; a text that needs no blanks comes alone."""
+    held, size = [], 0
+    for row in rows:
+        if without_blanks(row[0]):
+            yield [row]
+            continue
+        held.append(row)
+        size += len(row[0])
+        if size >= HELD_BYTES:
+            yield held
+            held, size = [], 0
+    if held:
+        yield held
+
+
+def _joined_texts(rows: list[tuple]) -> tuple[bytes, tuple, tuple, np.ndarray, np.ndarray]:
+    """The texts of some rows, a line end between them: the whole, its pieces, its words' bounds, the documents of both.
+
+    A line end ends a sentence and a word, so the pieces and words are those of every text for itself.
+    """
+    text = b"\n".join(row[0] for row in rows)
+    pieces, bounds = measured(text)
+    begins = np.cumsum([0, *(len(row[0]) + 1 for row in rows[:-1])])
+    return text, pieces, bounds, *(np.searchsorted(begins, side[0], side="right") - 1 for side in (pieces, bounds))
+
+
+def _in_document(number: np.ndarray, doc: np.ndarray, docs: np.ndarray) -> np.ndarray:
+    """Numbers of sentences or words, counted from their document's first one, given the document of each and of all."""
+    return number - np.searchsorted(docs, doc)
+
+
 def _spans(batches):
     """Of (key, text) the runs of every document, and its windows' least hashes, whose first and last are -1."""
 
-    def places():
+    def texts():
         for batch in batches:
             for key, text in zip(*batch.columns, strict=True):
                 if text := text.as_py():
-                    pieces = counted_sentences(text)
-                    twin = signed(xxhash.xxh64_intdigest(text, TEXT_SEED))
-                    yield key.as_py(), twin, arrays_of_runs(text, pieces)
-                    least = anchors(text, pieces)
-                    none = np.full(len(least), -1)
-                    yield key.as_py(), twin, (least, np.zeros(len(least), np.int64), none, none)
+                    yield text, key.as_py(), signed(xxhash.xxh64_intdigest(text, TEXT_SEED))
+
+    def places():
+        for rows in _some(texts()):
+            _, keys, twins = zip(*rows, strict=True)
+            text, pieces, bounds, docs, word_docs = _joined_texts(rows)
+            h1, h2, first, last = arrays_of_runs(text, pieces, docs)
+            doc = docs[first]
+            yield keys, twins, doc, (h1, h2, _in_document(first, doc, docs), _in_document(last, doc, docs))
+            least, doc = anchors(text, bounds, word_docs)
+            none = np.full(len(least), -1)
+            yield keys, twins, doc, (least, np.zeros(len(least), np.int64), none, none)
 
     return _batches(places())
 
 
 def _windows(batches):
-    """Of (key, twin, text, wanted) the windows whose least hash is wanted; first and last count words."""
+    """Of (key, twin, text, wanted) the windows whose least hash is wanted; first and last count words.
 
-    def places():
+    A least hash that one document wants is wanted by all that have it, so documents worked on together may share their lists.
+    """
+
+    def texts():
         for batch in batches:
             for key, twin, text, wanted in zip(*batch.columns, strict=True):
-                yield key.as_py(), twin.as_py(), arrays_of_windows(text.as_py(), wanted.values.to_numpy())
+                yield text.as_py(), key.as_py(), twin.as_py(), wanted.values.to_numpy()
+
+    def places():
+        for rows in _some(texts()):
+            _, keys, twins, wanted = zip(*rows, strict=True)
+            text, _, bounds, _, docs = _joined_texts(rows)
+            h1, h2, first, last = arrays_of_windows(text, bounds, docs, np.concatenate(wanted))
+            doc = docs[first]
+            yield keys, twins, doc, (h1, h2, _in_document(first, doc, docs), _in_document(last, doc, docs))
 
     return _batches(places())
 
@@ -338,23 +451,24 @@ def covered_words(windows: list[dict], upto: np.ndarray) -> np.ndarray:
 
 def cut(text: bytes, spans: list[dict] | None, windows: list[dict] | None) -> tuple[bytes, list[int]]:
     """The text without the covered sentences and words and the blanks that followed them, and which sentences went, whole or in part."""
-    pieces = counted_sentences(text)
+    (begins, _, words), bounds = measured(text)
+    begins = begins.tolist()
     gone = {i for span in spans or [] for i in range(span["first"], span["last"] + 1)}
-    parts, units = set(), [(start, i in gone) for i, (start, _, _) in enumerate(pieces)]  # where sentences begin, and whether they go
-    if windows and len(gone) < len(pieces):
-        upto = np.cumsum([0, *(n for _, _, n in pieces)])
+    parts, units = set(), [(start, i in gone) for i, start in enumerate(begins)]  # where sentences begin, and whether they go
+    if windows and len(gone) < len(begins):
+        upto = np.concatenate([np.zeros(1, np.int64), np.cumsum(words)])
         covered = covered_words(windows, upto)
-        some = np.add.reduceat(covered.astype(np.int64), upto[:-1])
-        starts = word_bounds(text, pieces)[0].tolist()
+        some = np.add.reduceat(covered.astype(np.int64), upto[:-1]).tolist()
+        starts, edges, covered = bounds[0].tolist(), upto.tolist(), covered.tolist()
         units = []  # the words of those that go in part count one by one
-        for i, (start, _, n) in enumerate(pieces):
+        for i, (start, n) in enumerate(zip(begins, words.tolist(), strict=True)):
             if some[i] == n:
                 gone.add(i)
             if i in gone or not some[i]:
                 units.append((start, i in gone))
             else:
                 parts.add(i)
-                units += zip(starts[upto[i] : upto[i + 1]], covered[upto[i] : upto[i + 1]].tolist(), strict=True)
+                units += zip(starts[edges[i] : edges[i + 1]], covered[edges[i] : edges[i + 1]], strict=True)
     kept, at = [], 0
     for (start, goes), (after, _) in zip(units, [*units[1:], (len(text), False)], strict=True):
         if goes:

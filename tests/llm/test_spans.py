@@ -1,6 +1,8 @@
 import random
 from collections import defaultdict
 
+import pyarrow as pa
+
 from tallyroute.llm import spans as s
 
 
@@ -225,3 +227,38 @@ def test_windows_of_scripts_without_blanks_and_of_copies(texts):
         assert set(words) <= set(found[key].text.split()) and len(found[key].text.split()) <= len(words) + 2 * (s.CUT_WORDS - 1)
     assert 3 in found[4].first_keys and 3 in found[5].first_keys
     assert s.repeats(texts([(1, "word " * 200), (2, "other words " * 9)])).collect() == []
+
+
+def test_texts_are_worked_on_together(monkeypatch):
+    """Many short texts are measured by few calls, and their runs and windows are those of every text for itself."""
+    draw = random.Random(12)
+    stops = [" ", " ", " ", " ", " ", " ", " ", ". ", "! ", "\n", "。", "… ", ".» "]
+
+    def text(n, stops):
+        return "".join(f"w{draw.randrange(300)}" + draw.choice(stops) for _ in range(n)).encode()
+
+    texts = [text(draw.choice([1, 5, 60, 150]), stops if i % 50 == 0 else [e for e in stops if e != "。"]) for i in range(600)]
+    texts += [b"no stop " * 40, b"one two " + text(120, [" "]), b" ", b"end.", b"(end.)"]
+
+    def found(of, batches):
+        return sorted(tuple(row.values()) for batch in of(batches) for row in batch.to_pylist())
+
+    def batch(numbers, *more):
+        columns = [pa.array(numbers, pa.int64()), *more[:1], pa.array([texts[i] for i in numbers], pa.binary()), *more[1:]]
+        return pa.RecordBatch.from_arrays(columns, [f"c{i}" for i in range(len(columns))])
+
+    calls, measured = [], s.measured
+    monkeypatch.setattr(s, "measured", lambda text: calls.append(len(text)) or measured(text))
+    together = found(s._spans, [batch(range(len(texts)))])
+    odd = sum(map(s.without_blanks, texts))
+    assert 5 <= odd <= 12 and len(calls) <= odd + 1 + sum(map(len, texts)) // s.HELD_BYTES
+    assert together == sorted(row for i in range(len(texts)) for row in found(s._spans, [batch([i])]))
+    wanted = {i: [row[2] for row in together if row[0] == i and row[4] < 0 and row[2] % 2 == 0] for i in range(len(texts))}
+    numbers = [i for i in wanted if wanted[i]]
+
+    def windows(numbers):
+        return found(s._windows, [batch(numbers, pa.array(numbers, pa.int64()), pa.array([wanted[i] for i in numbers], pa.list_(pa.int64())))])
+
+    both = windows(numbers)
+    assert len(both) > len(numbers) > 200 and both == sorted(row for i in numbers for row in windows([i]))
+    assert all(last - first + 1 == s.PASSAGE_WORDS for *_, first, last in both)
