@@ -12,17 +12,17 @@ from __future__ import annotations
 
 import math
 from collections import Counter, defaultdict
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 from itertools import combinations
 
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tallyroute.llm.rows import map_rows, packed, unpacked, utf8
+from tallyroute.llm.rows import map_rows, utf8
 from tallyroute.session import discard, materialize, materialize_at, scratch_path
 
 WIDTH = 5
@@ -205,6 +205,18 @@ def leaks(docs: DataFrame, benchmark: DataFrame, key: str = "doc_id", text: str
     return found.withColumnRenamed("key", key)
 
 
+def _clean(block: list[tuple[int, bytes]]) -> Callable[[Column], Column]:
+    """Whether a text holds no item of the block; only texts go to Python, and only verdicts come back."""
+
+    @F.arrow_udf("boolean")
+    def clean(columns: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        ready = prepare(block)
+        for column in columns:
+            yield pa.array([not search(value.as_py(), ready) for value in column], pa.bool_())
+
+    return clean
+
+
 def without_leaks(docs: DataFrame, benchmark: DataFrame, text: str = "text", item: str = "item_id", item_text: str = "text") -> DataFrame:
     """The rows of ``docs`` that hold no benchmark item. Between two blocks the rows left are written."""
     spark, left, written = docs.sparkSession, docs, None
@@ -215,11 +227,5 @@ def without_leaks(docs: DataFrame, benchmark: DataFrame, text: str = "text", ite
             if before:
                 discard(spark, before)
 
-        def run(batches, block=block):
-            ready = prepare(block)
-            for batch in batches:
-                yield batch.filter(pa.array([not search(t.as_py(), ready) for t in batch.column(1)], pa.bool_()))
-
-        whole = left.select(packed(left), utf8(text).alias("text"))
-        left = unpacked(whole.mapInArrow(run, whole.schema), docs.columns)
+        left = left.where(_clean(block)(utf8(text)))
     return left

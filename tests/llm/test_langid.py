@@ -32,6 +32,18 @@ def test_automaton_parses_as_substring_search():
         assert found[:, 0].tolist() == [phrases_by_search(t, reference) for t in texts]
 
 
+def test_tables_are_as_large_as_the_moves_are_many():
+    draw = random.Random(7)
+    moves = g.suffix_automaton([int(60 * draw.random() ** 2) for _ in range(5_000)])
+    assert sum(part.nbytes for part in g.parsing_table(moves, 61)) <= 16 * sum(map(len, moves))
+
+
+def test_only_texts_go_to_python(texts):
+    kept = g.keep_known(texts([(1, "one two"), (2, "1 2"), (3, None)]), g.fit([("en", "one two three")]))
+    assert [r.doc_id for r in kept.collect()] == [1]
+    assert "MapInArrow" not in kept._jdf.queryExecution().executedPlan().toString()
+
+
 def test_stretches_add_up():
     model = g.fit([("a", "lorem ipsum dolor"), ("b", "xyz zyx")])
     symbols = g.symbols_of("lorem xyz " * 200, model.symbols)
