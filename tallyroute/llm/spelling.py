@@ -170,6 +170,16 @@ def neighbours(buckets: DataFrame, alphabet: int) -> DataFrame:
     return buckets.select("sample", "key", "twin").mapInArrow(expand, "key long, from_key long, from_twin long")
 
 
+def meeting(buckets: DataFrame, known: DataFrame, alphabet: int) -> DataFrame:
+    """from_key, from_twin, other, other_n: the words of ``known`` that the neighbourhoods of the reduced words meet.
+
+    Neighbours are over a hundred a reduced word, but Spark sizes them like the reduced words they are made from: it would
+    send them to the driver and to every executor where those are a small table. So the join is a sorted one.
+    """
+    others = known.select("key", F.col("word").alias("other"), F.col("n").alias("other_n"))
+    return neighbours(buckets, alphabet).hint("merge").join(others, "key").drop("key")
+
+
 def near_words(words: DataFrame, crowd: int = CROWD) -> DataFrame:
     """word, n_near, best (n and word of its near word of largest n): the words of ``words`` that have a near word.
 
@@ -186,8 +196,7 @@ def near_words(words: DataFrame, crowd: int = CROWD) -> DataFrame:
         buckets = materialize(buckets, "buckets")
         last = turn == len(ALPHABETS) - 1
         making = buckets if last else buckets.where(F.col("size") <= crowd)
-        others = known.select("key", F.col("word").alias("other"), F.col("n").alias("other_n"))
-        met = materialize(neighbours(making, alphabet).join(others, "key").drop("key"), "met")
+        met = materialize(meeting(making, known, alphabet), "met")
         sources = own.select(F.col("key").alias("from_key"), F.col("twin").alias("from_twin"), "word")
         near = met.join(sources, ["from_key", "from_twin"]).where(F.levenshtein("word", "other", 1) == 1)
         best = F.min(F.struct((-F.col("other_n")).alias("less"), F.col("other").alias("word")))

@@ -4,8 +4,10 @@ from collections import Counter
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from tallyroute.llm import spelling as s
+from tallyroute.session import materialize
 
 
 def counted(rows):
@@ -94,6 +96,16 @@ def test_same_as_all_pairs(texts, crowd):
     assert result(s.variants(texts(rows), crowd=crowd)) == want
 
 
+def test_neighbours_are_never_broadcast(spark):
+    """Spark knows the size of the reduced words, not that each makes over a hundred neighbours."""
+    words = materialize(spark.createDataFrame([("apple", 9), ("aple", 3), ("other", 4)], "word string, n long"))
+    known = materialize(s.coded(words, 6))
+    met = s.meeting(known.withColumn("sample", F.col("word")), known, 6)
+    plan = met._jdf.queryExecution().executedPlan().toString()
+    assert "SortMergeJoin" in plan and "Broadcast" not in plan
+    assert {r.other for r in met.collect()} == {"apple", "aple", "other"}
+
+
 def test_many_words_of_few_letters(texts):
     """More than CROWD words to one reduced word."""
     table = s.symbols(s.ALPHABETS[0])
