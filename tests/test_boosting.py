@@ -4,6 +4,7 @@ import itertools
 import math
 import random
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
@@ -213,3 +214,31 @@ def test_folds_of_one_label_leave_the_others_to_decide(spark):
     rows = [(i, float(i % 7), None, 1.0, int(i in (3, 8))) for i in range(60)]
     (trial,) = b.search(frame(spark, rows), FEATURES, "y", trials=1, folds=5, space={"n_estimators": b.whole(2, 2), "max_depth": b.whole(2, 2)})
     assert 0 <= trial.auc <= 1 and 1 <= trial.rounds <= 2
+
+
+def test_rows_that_agree_are_kept_once(spark, monkeypatch):
+    rows = [(i, float(i % 2), float(i % 5), 1.0 if i % 3 else None, int(i % 2 + i % 5 > 2)) for i in range(4_000)]
+    df = frame(spark, rows).coalesce(1)
+    (block,) = b.binned(df, FEATURES, "y", b.bin_edges(df, FEATURES), F.pmod(F.col("rid"), F.lit(2))).collect()
+    n = np.frombuffer(block.n, np.int32)
+    assert n.sum() == 4_000 and len(n) == 20  # combinations of values
+    assert sorted(np.frombuffer(block.rid, np.uint32, offset=8)) == list(range(4_000))
+    fold, y = np.frombuffer(block.fold, np.int32), np.frombuffer(block.y, np.float64)
+    assert n[fold == 1].sum() == 2_000 and (n * y).sum() == sum(r[-1] for r in rows)
+    # Trees see the same rows as if each row were kept by itself.
+    params = b.Params(max_depth=3, n_estimators=3, subsample=0.7)
+    together = b.fit(df, None, FEATURES, "y", params)
+    monkeypatch.setattr(b, "alike", lambda columns: (np.arange(len(columns[0])),) * 2)
+    apart = b.fit(df, None, FEATURES, "y", params)
+    assert [(t.feature, t.bin, t.missing_left) for t in together.trees] == [(t.feature, t.bin, t.missing_left) for t in apart.trees]
+    assert all(abs(t.sums[k][0] - u.sums[k][0]) < 1e-6 for t, u in zip(together.trees, apart.trees) for k in u.sums)
+
+
+def test_rows_are_grouped_whatever_the_number_of_columns():
+    draw = np.random.default_rng(1)
+    columns = list(draw.integers(-1, 60, (14, 300)))
+    columns = [np.concatenate([c, c]) for c in columns]  # more combinations than a 64-bit number holds, each row twice
+    order, begin = b.alike(columns)
+    assert sorted(order) == list(range(600)) and len(begin) == 300
+    groups = {frozenset(g) for g in np.split(order, begin[1:])}
+    assert groups == {frozenset((i, i + 300)) for i in range(300)}
